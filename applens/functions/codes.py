@@ -48,25 +48,34 @@ _OBF_FROM = "@#$*%"
 _OBF_TO = "...;;"
 
 
-def _chunk_reverse(s: Column, width: Column) -> Column:
-    n_chunks = F.ceil(F.length(s) / width).cast("int")
-    idx = F.sequence(F.lit(0), n_chunks - 1)
-    return F.array_join(
-        F.transform(idx, lambda i: F.reverse(F.substring(s, i * width + 1, width))), "")
+_WIDTHS = (3, 4, 5, 6)  # max(3, len % 7) can only take these values
+
+
+def _chunk_reverse(s: Column) -> Column:
+    """Cut into chunks of max(3, len % 7) characters and reverse each chunk.
+
+    The width has four possible values, so each gets a literal pattern
+    (compiled once) and a row is processed in one linear pass.
+    """
+    width = F.greatest(F.length(s) % 7, F.lit(3))
+    chunks = None
+    for w in _WIDTHS:
+        part = F.regexp_extract_all(s, F.lit(f"(?s).{{1,{w}}}"), F.lit(0))
+        chunks = F.when(width == w, part) if chunks is None else chunks.when(width == w, part)
+    return F.array_join(F.transform(chunks, F.reverse), "")
 
 
 def deobfuscate(c) -> Column:
     """Obfuscated list -> plain text; blank -> NULL; a bad hex unit -> NULL."""
     s = col(c)
-    width = F.greatest(F.length(s) % 7, F.lit(3))
-    units = java_split(_chunk_reverse(s, width), "n")
-    hexes = F.slice(units, 2, F.greatest(F.size(units) - 1, F.lit(0)))
-    bad = F.exists(hexes, lambda h: ~h.rlike(r"^[0-9A-Fa-f]+\z"))
+    units = java_split(_chunk_reverse(s), "n")
+    hexes = F.filter(units, lambda u, i: i > 0)
     # a char keeps the low 16 bits of the parsed value
-    chars = F.transform(hexes, lambda h: F.decode(
-        F.unhex(F.lpad(F.substring(h, -4, 4), 4, "0")), "UTF-16BE"))
+    chars = F.transform(hexes, lambda h: F.when(
+        h.rlike(r"^[0-9A-Fa-f]+\z"),
+        F.decode(F.unhex(F.lpad(F.substring(h, -4, 4), 4, "0")), "UTF-16BE")))
     text = F.translate(F.array_join(chars, ""), _OBF_FROM, _OBF_TO)
-    return F.when(~is_blank(s) & ~bad, text)
+    return F.when(~is_blank(s) & ~F.exists(chars, lambda ch: ch.isNull()), text)
 
 
 def obfuscate(c) -> Column:
@@ -76,14 +85,9 @@ def obfuscate(c) -> Column:
     depends on the length, which reversal keeps.
     """
     s = col(c)
-    units = F.transform(F.split(s, ""), lambda ch: F.concat(
-        F.lit("n"), F.lower(F.hex(F.encode(ch, "UTF-16BE"))).substr(F.lit(1), F.lit(4))))
-    # strip leading zeros of each unit like Integer.toHexString would
-    units = F.transform(units, lambda u: F.concat(F.lit("n"), F.regexp_replace(
-        F.substring(u, 2, 4), "^0+(?=.)", "")))
-    plain = F.array_join(units, "")
-    width = F.greatest(F.length(plain) % 7, F.lit(3))
-    return F.when(F.length(s) > 0, _chunk_reverse(plain, width))
+    units = F.transform(F.split(s, ""), lambda ch: F.concat(F.lit("n"), F.lower(F.regexp_replace(
+        F.hex(F.encode(ch, "UTF-16BE")), "^0+(?=.)", ""))))
+    return F.when(F.length(s) > 0, _chunk_reverse(F.array_join(units, "")))
 
 
 # -- 32-bit string hash ids ---------------------------------------------------------

@@ -44,8 +44,8 @@ def qs_entries(c) -> Column:
 
     def entry(t):
         parts = java_split(t, "=")
-        return F.struct(F.element_at(parts, 1).alias("k"),
-                        F.when(F.size(parts) > 1, F.element_at(parts, 2))
+        return F.struct(F.try_element_at(parts, F.lit(1)).alias("k"),
+                        F.when(F.size(parts) > 1, F.try_element_at(parts, F.lit(2)))
                         .otherwise(F.lit("")).alias("v"))
 
     bad = F.exists(tokens, lambda t: F.size(java_split(t, "=")) == 0)
@@ -55,7 +55,7 @@ def qs_entries(c) -> Column:
 def qs_get(entries, key: str, default: str = "") -> Column:
     """Value of ``key`` (the last one when repeated), else ``default``."""
     hits = F.filter(col(entries), lambda e: e["k"] == F.lit(key))
-    return F.coalesce(F.element_at(hits, -1)["v"], F.lit(default))
+    return F.coalesce(F.try_element_at(hits, F.lit(-1))["v"], F.lit(default))
 
 
 def qs_map(entries) -> Column:

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 # The placeholder written for a blank field in delimited output (fixed value).
 BLANK = " "
 
+# stands in for an input made only of delimiters while splitting
+_ALL_DELIMS = "\u0002"
+
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -42,14 +45,13 @@ def java_split(c, delimiter: str) -> Column:
 
     Java drops trailing empty strings (Spark's ``split`` keeps them) and an
     input made only of delimiters yields an empty array; an empty input
-    yields one empty string.  NULL stays NULL.
+    yields one empty string.  NULL stays NULL.  The input is referenced once,
+    so nested splits do not grow the expression tree.
     """
     d = re.escape(delimiter)
-    c = col(c)
-    trimmed = F.regexp_replace(c, f"(?:{d})+\\z", "")
-    return (F.when(c.isNull(), F.lit(None))
-            .when(c.rlike(f"^(?:{d})+\\z"), F.array().cast("array<string>"))
-            .otherwise(F.split(trimmed, d)))
+    marked = F.regexp_replace(col(c), f"^(?:{d})+\\z", _ALL_DELIMS)
+    trimmed = F.regexp_replace(marked, f"(?:{d})+\\z", "")
+    return F.array_remove(F.split(trimmed, d), _ALL_DELIMS)
 
 
 def first_nonblank_id(*cols) -> Column:

@@ -59,7 +59,7 @@ def _parse_type2(t: Column) -> Column:
     after_us = F.substring_index(t, "_", -1)
     pieces = java_split(after_us, ".")
     split_form = F.when(_has(t, "_") & (F.size(pieces) >= 2),
-                        _element(F.element_at(pieces, 2), _before_last(t, "_")))
+                        _element(F.try_element_at(pieces, F.lit(2)), _before_last(t, "_")))
     return F.when(F.length(last) == 1, split_form).otherwise(_parse_dotted(t))
 
 
@@ -89,9 +89,14 @@ def parse_app_list(apps, process_type) -> Column:
     apps, process_type = col(apps), col(process_type)
     tokens = java_split(apps, ";")
     parsed = F.transform(tokens, lambda t: parse_app_token(t, process_type))
-    first_bad = F.array_position(F.transform(parsed, lambda e: e.isNull()), True)
-    keep = F.when(first_bad == 0, F.size(parsed)).otherwise(first_bad - 1)
-    return F.slice(parsed, 1, keep)
+    # keep elements up to the first unparsable one (single pass over the list)
+    start = F.struct(F.array().cast(f"array<{ELEMENT_TYPE}>").alias("acc"),
+                     F.lit(False).alias("stop"))
+    return F.aggregate(
+        parsed, start,
+        lambda s, e: F.when(s["stop"] | e.isNull(), F.struct(s["acc"].alias("acc"), F.lit(True).alias("stop")))
+        .otherwise(F.struct(F.array_append(s["acc"], e).alias("acc"), F.lit(False).alias("stop"))),
+        lambda s: s["acc"])
 
 
 def format_app_list(parsed) -> Column:

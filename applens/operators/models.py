@@ -19,16 +19,15 @@ def parse_reports(lines: DataFrame, value_col: str = "value", charset: str = "GB
     time or an unreadable parameter makes the report unreadable.
     """
     keep = keep if keep is not None else [c for c in lines.columns if c != value_col]
-    decoded = qs.url_decode(F.col(value_col), charset)
-    parts = F.split(decoded, r"\|", 3)
-    df = lines.select(*keep, F.col(value_col), decoded.alias("_decoded"), parts.alias("_p"))
-    ms = dates.parse_sec_millis(F.element_at("_p", 2))
-    params = qs.qs_entries(F.element_at("_p", 3))
-    df = df.select(*keep, value_col, "_decoded", "_p",
-                   F.element_at("_p", 1).alias("ip"), ms.alias("server_ms"),
-                   params.alias("params"))
+    df = lines.select(*keep, F.col(value_col),
+                      qs.url_decode(F.col(value_col), charset).alias("_decoded"))
+    df = df.select(*keep, value_col, "_decoded", F.split("_decoded", r"\|", 3).alias("_p"))
+    df = df.select(*keep, value_col, "_decoded", F.size("_p").alias("_np"),
+                   F.try_element_at("_p", F.lit(1)).alias("ip"),
+                   dates.parse_sec_millis(F.try_element_at("_p", F.lit(2))).alias("server_ms"),
+                   qs.qs_entries(F.try_element_at("_p", F.lit(3))).alias("params"))
     reject = (F.when(F.col("_decoded").isNull(), F.lit("bad_escape"))
-              .when(F.size("_p") < 3, F.lit("missing_field"))
+              .when(F.col("_np") < 3, F.lit("missing_field"))
               .when(F.col("server_ms").isNull(), F.lit("bad_time"))
               .when(F.col("params").isNull(), F.lit("bad_param")))
     return df.select(

@@ -285,7 +285,7 @@ def q_log_header(spark, sf):
 def q_payload_decode(spark, sf):
     lines = dv.click_lines(spark, sf)
     from applens.functions.payload import payload_text
-    return lines.select("event_id", payload_text(F.element_at(F.split("value", r"\|", 3), 3)).alias("body"))
+    return lines.select("event_id", payload_text(F.try_element_at(F.split("value", r"\|", 3), F.lit(3))).alias("body"))
 
 
 def q_click_log_parse(spark, sf):
@@ -347,8 +347,8 @@ def q_packed_geo(spark, sf):
 
 def q_deobfuscate_list(spark, sf):
     p = kv.project(dv.kv_table(spark, sf), ["appList"]).where(F.col("appList").isNotNull())
-    hidden = codes.obfuscate(F.translate("appList", ".;", "@*"))
-    return p.select("rowkey", codes.deobfuscate(hidden).alias("text"))
+    hidden = p.select("rowkey", codes.obfuscate(F.translate("appList", ".;", "@*")).alias("hidden"))
+    return hidden.select("rowkey", codes.deobfuscate("hidden").alias("text"))
 
 
 # -- ALS (rows-only checks) -------------------------------------------------------------------
