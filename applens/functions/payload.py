@@ -60,6 +60,8 @@ def inflate_first_entry(data: bytes) -> str:
     else:
         inflater = zlib.decompressobj(-zlib.MAX_WBITS)
         body = inflater.decompress(data[start:]) + inflater.flush()
+        if not inflater.eof:  # the stream stops before its final block
+            raise zlib.error("unexpected end of deflate stream")
     return body.decode("utf-8", errors="replace")
 
 

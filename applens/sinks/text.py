@@ -20,16 +20,23 @@ def route_columns(df: DataFrame, route_col: str = "route") -> DataFrame:
 
 
 def write_routed(df: DataFrame, root: str, route_col: str = "route", line_col: str = "line",
-                 compression: str | None = None, mode: str = "append") -> None:
+                 compression: str | None = None, mode: str = "append",
+                 concurrent_writers: bool = False) -> None:
     """Append ``line`` text under the day directory named by ``route``.
 
-    Rows are clustered by day first so each task writes few files.
+    Rows are clustered by day first so each task writes few files.  With
+    ``concurrent_writers`` several jobs may append to the same root at once:
+    tasks commit their (uniquely named) files straight into place and no job
+    removes the shared staging folder another job is still using.
     """
     out = route_columns(df, route_col).select(line_col, "year", "month", "day")
     w = (out.repartition("year", "month", "day").write.mode(mode)
          .partitionBy("year", "month", "day"))
     if compression:
         w = w.option("compression", compression)
+    if concurrent_writers:
+        w = (w.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+             .option("mapreduce.fileoutputcommitter.cleanup.skipped", "true"))
     w.text(root)
 
 

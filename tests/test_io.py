@@ -54,7 +54,8 @@ def test_line_count_matches_text_reader(spark, tmp_dir):
 def test_routed_text_appends_do_not_collide(spark, tmp_dir):
     root = f"{tmp_dir}/routed"
     df = spark.createDataFrame([("2017/04/26/", "a"), ("2017/04/27/", "b")], "route string, line string")
-    threads = [threading.Thread(target=write_routed, args=(df, root)) for _ in range(3)]
+    threads = [threading.Thread(target=write_routed, args=(df, root), kwargs={"concurrent_writers": True})
+               for _ in range(3)]
     for t in threads:
         t.start()
     for t in threads:
@@ -79,9 +80,11 @@ def test_jdbc_partitioned_read_query_and_truncate(spark):
     assert t.rdd.getNumPartitions() == 4 and t.count() == 100
     assert t.orderBy("ID").limit(3).count() == 3
     spark.createDataFrame([("m1", 1), ("m2", 2), ("m3", 9)], "PHONEMODELCODE string, MANUFACTURERID int") \
-        .write.mode("overwrite").jdbc(DERBY, "T_MODEL", properties=PROPS)
+        .write.mode("overwrite").option("createTableColumnTypes", "PHONEMODELCODE VARCHAR(64)") \
+        .jdbc(DERBY, "T_MODEL", properties=PROPS)
     spark.createDataFrame([(1, "mk"), (2, "mk2")], "MANUFACTURERID int, MANUFACTURERNAME string") \
-        .write.mode("overwrite").jdbc(DERBY, "T_MAKER", properties=PROPS)
+        .write.mode("overwrite").option("createTableColumnTypes", "MANUFACTURERNAME VARCHAR(64)") \
+        .jdbc(DERBY, "T_MAKER", properties=PROPS)
     known = jdbc.read_known_models(spark, DERBY, "T_MODEL", "T_MAKER", PROPS)
     assert sorted(rows(known), key=str) == sorted([("M1", "MK"), ("M2", "MK2"), ("M3", None)], key=str)
     jdbc.truncate(spark, DERBY, "T_IDS", PROPS)

@@ -74,9 +74,9 @@ def test_explode_app_detail(spark):
     df = spark.createDataFrame(data, schema)
     out = arr.explode_app_detail(df, "201705")
     assert out.columns == arr.APP_DETAIL_COLUMNS
-    assert sorted(rows(out)) == sorted([("", "n1", "p1", "s1", 3, "2017", "05", "01"),
-                                        ("", None, "p2", "s2", 3, "2017", "05", "01"),
-                                        ("c2", "n3", "p3", "s3", 1, "2017", "05", "31")])
+    assert sorted(rows(out), key=str) == sorted([("", "n1", "p1", "s1", 3, "2017", "05", "01"),
+                                                 ("", None, "p2", "s2", 3, "2017", "05", "01"),
+                                                 ("c2", "n3", "p3", "s3", 1, "2017", "05", "31")], key=str)
 
 
 def test_monthly_overwrite_dynamic_vs_whole_month(spark, tmp_dir):

@@ -18,7 +18,7 @@ def low_rank(spark):
         for i, itf in enumerate(items):
             if rnd.random() < 0.6:
                 r = 3 + sum(a * b for a, b in zip(uf, itf))
-                data.append((u, i, float(r), 1000 * u + i))
+                data.append((u, i, float(r), 10 * (100 * u + i) + rnd.randrange(10)))
     return spark.createDataFrame(data, "user_id int, item_id int, rating double, ts bigint")
 
 
