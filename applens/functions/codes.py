@@ -51,31 +51,55 @@ _OBF_TO = "...;;"
 _WIDTHS = (3, 4, 5, 6)  # max(3, len % 7) can only take these values
 
 
+def _reverse_groups(n: int) -> tuple[str, str]:
+    """Regex capturing ``n`` characters and the replacement writing them back
+    in reverse order."""
+    return "(.)" * n, "".join(f"${i}" for i in range(n, 0, -1))
+
+
 def _chunk_reverse(s: Column) -> Column:
     """Cut into chunks of max(3, len % 7) characters and reverse each chunk.
 
-    The width has four possible values, so each gets a literal pattern
-    (compiled once) and a row is processed in one linear pass.
+    For every (width, tail length) pair one branch rewrites the full chunks
+    with a literal regex (``(.)(.)(.)`` -> ``$3$2$1``, applied left to right)
+    and then reverses the shorter tail; all built-in, codegen'd expressions.
     """
-    width = F.greatest(F.length(s) % 7, F.lit(3))
-    chunks = None
+    n = F.length(s)
+    width = F.greatest(n % 7, F.lit(3))
+    out = None
     for w in _WIDTHS:
-        part = F.regexp_extract_all(s, F.lit(f"(?s).{{1,{w}}}"), F.lit(0))
-        chunks = F.when(width == w, part) if chunks is None else chunks.when(width == w, part)
-    return F.array_join(F.transform(chunks, F.reverse), "")
+        pat, rep = _reverse_groups(w)
+        full = F.regexp_replace(s, "(?s)" + pat, rep)
+        for tail in range(w):
+            branch = full
+            if tail > 1:
+                tpat, trep = _reverse_groups(tail)
+                branch = F.regexp_replace(full, "(?s)" + tpat + "\\z", trep)
+            cond = (width == w) & (n % w == tail)
+            out = F.when(cond, branch) if out is None else out.when(cond, branch)
+    return out
+
+
+_HEX = "[0-9A-Fa-f]"
+_UNIT_END = "(?=n|\\z)"
 
 
 def deobfuscate(c) -> Column:
-    """Obfuscated list -> plain text; blank -> NULL; a bad hex unit -> NULL."""
+    """Obfuscated list -> plain text; blank -> NULL; a bad hex unit -> NULL.
+
+    After un-reversing, the text is ``<ignored>n<hex>n<hex>...``: each unit is
+    a UTF-16 code unit in hex (a longer value keeps its low 16 bits).  Units
+    are normalised to four digits with regex rewrites and decoded in one
+    ``decode(unhex(..), 'UTF-16BE')``.
+    """
     s = col(c)
-    units = java_split(_chunk_reverse(s), "n")
-    hexes = F.filter(units, lambda u, i: i > 0)
-    # a char keeps the low 16 bits of the parsed value
-    chars = F.transform(hexes, lambda h: F.when(
-        h.rlike(r"^[0-9A-Fa-f]+\z"),
-        F.decode(F.unhex(F.lpad(F.substring(h, -4, 4), 4, "0")), "UTF-16BE")))
-    text = F.translate(F.array_join(chars, ""), _OBF_FROM, _OBF_TO)
-    return F.when(~is_blank(s) & ~F.exists(chars, lambda ch: ch.isNull()), text)
+    body = F.regexp_replace(F.regexp_replace(_chunk_reverse(s), "^[^n]*", ""), "n+\\z", "")
+    u = F.regexp_replace(body, f"n{_HEX}*({_HEX}{{4}}){_UNIT_END}", "n$1")
+    for digits, pad in ((3, "0"), (2, "00"), (1, "000")):
+        u = F.regexp_replace(u, f"n({_HEX}{{{digits}}}){_UNIT_END}", f"n{pad}$1")
+    text = F.translate(F.decode(F.unhex(F.regexp_replace(u, "n", "")), "UTF-16BE"), _OBF_FROM, _OBF_TO)
+    valid = body.rlike(f"^(?:n{_HEX}+)*\\z")
+    return F.when(~is_blank(s) & valid, text)
 
 
 def obfuscate(c) -> Column:
@@ -85,9 +109,9 @@ def obfuscate(c) -> Column:
     depends on the length, which reversal keeps.
     """
     s = col(c)
-    units = F.transform(F.split(s, ""), lambda ch: F.concat(F.lit("n"), F.lower(F.regexp_replace(
-        F.hex(F.encode(ch, "UTF-16BE")), "^0+(?=.)", ""))))
-    return F.when(F.length(s) > 0, _chunk_reverse(F.array_join(units, "")))
+    units = F.regexp_replace(F.lower(F.hex(F.encode(s, "UTF-16BE"))), "(.{4})", "n$1")
+    units = F.regexp_replace(units, "n0{1,3}(?=[0-9a-f])", "n")
+    return F.when(F.length(s) > 0, _chunk_reverse(units))
 
 
 # -- 32-bit string hash ids ---------------------------------------------------------

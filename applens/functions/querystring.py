@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,13 +17,20 @@ _BAD_ESCAPE = r"%(?![0-9A-Fa-f]{2})"
 
 
 def url_decode(c, charset: str = "GBK") -> Column:
-    """Form-URL decoding with a given byte charset.
+    """Form-URL decoding with a given byte charset (``+`` is a space, runs of
+    ``%XX`` are bytes in ``charset``); NULL when an escape is malformed.
 
-    ``+`` becomes a space, each run of ``%XX`` escapes is turned into bytes and
-    decoded together in ``charset``; an escape that is not two hex digits makes
-    the whole value invalid (NULL).  Non-UTF charsets need
-    ``spark.sql.legacy.javaCharsets=true`` (see ``session.RUNTIME_CONF``).
+    This calls the JVM's own form decoder through Spark's built-in
+    ``try_reflect``: one expression per value, no Python, and exactly the
+    decoder the reports were produced for.
     """
+    return F.try_reflect(F.lit("java.net.URLDecoder"), F.lit("decode"), col(c), F.lit(charset))
+
+
+def url_decode_native(c, charset: str = "GBK") -> Column:
+    """Same result from Spark string functions only (decodes each run of
+    escapes with ``decode(unhex(..), charset)``); needs
+    ``spark.sql.legacy.javaCharsets=true`` for non-UTF charsets."""
     c = col(c)
     spaced = F.translate(c, "+", " ")
     runs = F.regexp_extract_all(spaced, F.lit(r"(?:%[0-9A-Fa-f]{2})+|[^%]+"), F.lit(0))
@@ -33,6 +42,19 @@ def url_decode(c, charset: str = "GBK") -> Column:
     return F.when(~c.rlike(_BAD_ESCAPE), decoded)
 
 
+def qs_value(c, key: str) -> Column:
+    """Value of ``key`` in ``k=v&k=v`` text: the last occurrence wins, a key
+    without ``=`` or a missing key gives ``''``, and only the text up to a
+    second ``=`` counts.  A single codegen'd regex per key."""
+    pattern = f"(?s)^(?:.*&)?{re.escape(key)}(?:=([^&]*))?(?:&|\\z)"
+    return F.substring_index(F.regexp_extract(col(c), pattern, 1), "=", 1)
+
+
+def qs_invalid(c) -> Column:
+    """A parameter made only of ``=`` has no key; the report is unreadable."""
+    return F.coalesce(col(c).rlike(r"(?:^|&)=+(?:&|\z)"), F.lit(False))
+
+
 def qs_entries(c) -> Column:
     """``a=1&b=&c`` -> array<struct<k,v>>, in order, duplicates kept.
 
@@ -58,8 +80,15 @@ def qs_get(entries, key: str, default: str = "") -> Column:
     return F.coalesce(F.try_element_at(hits, F.lit(-1))["v"], F.lit(default))
 
 
-def qs_map(entries) -> Column:
-    """array<struct<k,v>> -> map; the last duplicate wins (needs LAST_WIN)."""
+def qs_map(c) -> Column:
+    """``k=v&k=v`` text -> map (last duplicate wins; needs
+    ``spark.sql.mapKeyDedupPolicy=LAST_WIN``, see ``session.RUNTIME_CONF``)."""
+    m = F.str_to_map(F.regexp_replace(col(c), r"&+\z", ""), F.lit("&"), F.lit("="))
+    return F.transform_values(m, lambda k, v: F.coalesce(F.substring_index(v, "=", 1), F.lit("")))
+
+
+def qs_entries_map(entries) -> Column:
+    """array<struct<k,v>> -> map (last duplicate wins; needs LAST_WIN)."""
     return F.map_from_entries(col(entries))
 
 

@@ -13,10 +13,12 @@ def parse_reports(lines: DataFrame, value_col: str = "value", charset: str = "GB
                   keep: list[str] | None = None) -> DataFrame:
     """``ip|sec.millis|k=v&...`` (percent-encoded in ``charset``) -> typed fields.
 
-    Adds ``ip, server_ms, posttime, params (array<struct<k,v>>), model, brand``
-    and ``reject`` (NULL for readable reports, else the reason).  The whole
-    line is decoded first; a bad escape, a missing ``|`` field, a non-numeric
-    time or an unreadable parameter makes the report unreadable.
+    Adds ``ip, server_ms, posttime, params`` (the decoded query string),
+    upper-cased ``model`` and ``brand`` (``''`` when absent) and ``reject``
+    (NULL for readable reports, else the reason).  The whole line is decoded
+    first; a bad escape, a missing ``|`` field, a non-numeric time or a
+    parameter without a key makes the report unreadable.  Every step is a
+    built-in expression, so the parse runs in one codegen'd projection.
     """
     keep = keep if keep is not None else [c for c in lines.columns if c != value_col]
     df = lines.select(*keep, F.col(value_col),
@@ -25,16 +27,16 @@ def parse_reports(lines: DataFrame, value_col: str = "value", charset: str = "GB
     df = df.select(*keep, value_col, "_decoded", F.size("_p").alias("_np"),
                    F.try_element_at("_p", F.lit(1)).alias("ip"),
                    dates.parse_sec_millis(F.try_element_at("_p", F.lit(2))).alias("server_ms"),
-                   qs.qs_entries(F.try_element_at("_p", F.lit(3))).alias("params"))
+                   F.try_element_at("_p", F.lit(3)).alias("params"))
     reject = (F.when(F.col("_decoded").isNull(), F.lit("bad_escape"))
               .when(F.col("_np") < 3, F.lit("missing_field"))
               .when(F.col("server_ms").isNull(), F.lit("bad_time"))
-              .when(F.col("params").isNull(), F.lit("bad_param")))
+              .when(qs.qs_invalid("params"), F.lit("bad_param")))
     return df.select(
         *keep, value_col, "ip", "server_ms",
         dates.format_epoch_ms("server_ms").alias("posttime"), "params",
-        F.upper(qs.qs_get("params", "model")).alias("model"),
-        F.upper(qs.qs_get("params", "brand")).alias("brand"),
+        F.upper(qs.qs_value("params", "model")).alias("model"),
+        F.upper(qs.qs_value("params", "brand")).alias("brand"),
         reject.alias("reject"))
 
 

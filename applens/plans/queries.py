@@ -180,8 +180,8 @@ def _reports(spark, sf):
 
 
 def q_query_string_map(spark, sf):
-    p = models.readable(_reports(spark, sf))
-    m = qs.qs_map("params")
+    p = models.readable(_reports(spark, sf)).withColumn("_m", qs.qs_map("params"))
+    m = F.col("_m")
     return p.select("event_id", "posttime", "model", "brand", m["ver"].alias("ver"),
                     F.size(m).alias("n_params"))
 
