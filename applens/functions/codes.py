@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from applens.functions.text import col, is_blank, java_split
@@ -49,6 +49,7 @@ _OBF_TO = "...;;"
 
 
 _WIDTHS = (3, 4, 5, 6)  # max(3, len % 7) can only take these values
+_PAD = "\u0001"  # fills the last chunk; not expected in the text
 
 
 def _reverse_groups(n: int) -> tuple[str, str]:
@@ -60,46 +61,69 @@ def _reverse_groups(n: int) -> tuple[str, str]:
 def _chunk_reverse(s: Column) -> Column:
     """Cut into chunks of max(3, len % 7) characters and reverse each chunk.
 
-    For every (width, tail length) pair one branch rewrites the full chunks
-    with a literal regex (``(.)(.)(.)`` -> ``$3$2$1``, applied left to right)
-    and then reverses the shorter tail; all built-in, codegen'd expressions.
+    The tail is padded to a full chunk with a sentinel, every chunk is
+    reversed by one literal regex per width (``(.)(.)(.)`` -> ``$3$2$1``,
+    applied left to right), and the sentinels, now leading the last chunk,
+    are removed.  Built-in, codegen'd expressions only.
     """
     n = F.length(s)
     width = F.greatest(n % 7, F.lit(3))
+    padded = F.concat(s, F.repeat(F.lit(_PAD), (width - n % width) % width))
     out = None
     for w in _WIDTHS:
         pat, rep = _reverse_groups(w)
-        full = F.regexp_replace(s, "(?s)" + pat, rep)
-        for tail in range(w):
-            branch = full
-            if tail > 1:
-                tpat, trep = _reverse_groups(tail)
-                branch = F.regexp_replace(full, "(?s)" + tpat + "\\z", trep)
-            cond = (width == w) & (n % w == tail)
-            out = F.when(cond, branch) if out is None else out.when(cond, branch)
-    return out
+        branch = F.regexp_replace(padded, "(?s)" + pat, rep)
+        out = F.when(width == w, branch) if out is None else out.when(width == w, branch)
+    return F.replace(out, F.lit(_PAD), F.lit(""))
 
 
 _HEX = "[0-9A-Fa-f]"
 _UNIT_END = "(?=n|\\z)"
 
 
+def _units_body(reversed_text: Column) -> Column:
+    # drop the part before the first unit and trailing empty units
+    return F.regexp_replace(F.regexp_replace(reversed_text, "^[^n]*", ""), "n+\\z", "")
+
+
+def _decode_body(body: Column) -> Column:
+    u = F.regexp_replace(body, f"n{_HEX}*({_HEX}{{4}}){_UNIT_END}", "n$1")
+    for digits, pad in ((3, "0"), (2, "00"), (1, "000")):
+        u = F.regexp_replace(u, f"n({_HEX}{{{digits}}}){_UNIT_END}", f"n{pad}$1")
+    return F.translate(F.decode(F.unhex(F.regexp_replace(u, "n", "")), "UTF-16BE"), _OBF_FROM, _OBF_TO)
+
+
+def _valid_body(body: Column) -> Column:
+    return body.rlike(f"^(?:n{_HEX}+)*\\z")
+
+
 def deobfuscate(c) -> Column:
     """Obfuscated list -> plain text; blank -> NULL; a bad hex unit -> NULL.
 
     After un-reversing, the text is ``<ignored>n<hex>n<hex>...``: each unit is
     a UTF-16 code unit in hex (a longer value keeps its low 16 bits).  Units
     are normalised to four digits with regex rewrites and decoded in one
-    ``decode(unhex(..), 'UTF-16BE')``.
+    ``decode(unhex(..), 'UTF-16BE')``.  For large inputs prefer
+    :func:`with_deobfuscated`, which evaluates each step once.
     """
     s = col(c)
-    body = F.regexp_replace(F.regexp_replace(_chunk_reverse(s), "^[^n]*", ""), "n+\\z", "")
-    u = F.regexp_replace(body, f"n{_HEX}*({_HEX}{{4}}){_UNIT_END}", "n$1")
-    for digits, pad in ((3, "0"), (2, "00"), (1, "000")):
-        u = F.regexp_replace(u, f"n({_HEX}{{{digits}}}){_UNIT_END}", f"n{pad}$1")
-    text = F.translate(F.decode(F.unhex(F.regexp_replace(u, "n", "")), "UTF-16BE"), _OBF_FROM, _OBF_TO)
-    valid = body.rlike(f"^(?:n{_HEX}+)*\\z")
-    return F.when(~is_blank(s) & valid, text)
+    body = _units_body(_chunk_reverse(s))
+    return F.when(~is_blank(s) & _valid_body(body), _decode_body(body))
+
+
+def with_deobfuscated(df: DataFrame, c: str, out: str) -> DataFrame:
+    """``df`` plus ``out = deobfuscate(c)``, one projection per step so that no
+    intermediate string is computed twice."""
+    keep = [x for x in df.columns if x != out]
+    staged = df.select(*keep, _chunk_reverse(F.col(c)).alias("_rev"))
+    staged = staged.select(*keep, "_rev", _units_body(F.col("_rev")).alias("_body"))
+    return staged.select(*keep, F.when(~is_blank("_rev") & _valid_body(F.col("_body")),
+                                       _decode_body(F.col("_body"))).alias(out))
+
+
+def _units(s: Column) -> Column:
+    units = F.regexp_replace(F.lower(F.hex(F.encode(s, "UTF-16BE"))), "(.{4})", "n$1")
+    return F.regexp_replace(units, "n0{1,3}(?=[0-9a-f])", "n")
 
 
 def obfuscate(c) -> Column:
@@ -109,9 +133,13 @@ def obfuscate(c) -> Column:
     depends on the length, which reversal keeps.
     """
     s = col(c)
-    units = F.regexp_replace(F.lower(F.hex(F.encode(s, "UTF-16BE"))), "(.{4})", "n$1")
-    units = F.regexp_replace(units, "n0{1,3}(?=[0-9a-f])", "n")
-    return F.when(F.length(s) > 0, _chunk_reverse(units))
+    return F.when(F.length(s) > 0, _chunk_reverse(_units(s)))
+
+
+def with_obfuscated(df: DataFrame, c, out: str) -> DataFrame:
+    keep = [x for x in df.columns if x != out]
+    staged = df.select(*keep, _units(col(c)).alias("_units"))
+    return staged.select(*keep, F.when(F.length("_units") > 0, _chunk_reverse(F.col("_units"))).alias(out))
 
 
 # -- 32-bit string hash ids ---------------------------------------------------------

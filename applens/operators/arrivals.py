@@ -57,25 +57,38 @@ def write_app_detail(spark: SparkSession, detail: DataFrame, path: str,
     """Overwrite the daily partitions present in ``detail``.
 
     Dynamic partition overwrite replaces exactly the days that have rows and
-    leaves the others.  ``replace_whole_month='yyyyMM'`` additionally empties
-    that month's days that got no rows (what a static per-day overwrite of
-    every calendar day does).  One write, one job.
+    leaves the others; each day is staged and swapped in at commit, so a
+    failed job leaves the table as it was.  ``replace_whole_month='yyyyMM'``
+    additionally empties that month's days that got no rows (what a static
+    per-day overwrite of every calendar day does); those stale days are
+    removed only after the new data is committed.
     """
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = detail.select(*APP_DETAIL_COLUMNS)
+    kept_days = None
     if replace_whole_month:
-        _drop_month_partitions(spark, path, replace_whole_month)
-    (out.repartition("year", "month", "day")
-        .write.mode("overwrite").partitionBy("year", "month", "day").parquet(path))
+        # at most 31 values: the days of that month the new data covers
+        kept_days = {r["day"] for r in month_filter(out, replace_whole_month)
+                     .select("day").distinct().collect()}
+    # rebalance (not repartition): AQE splits a day holding a large share of
+    # the rows into several write tasks and merges small days
+    (out.hint("rebalance", "year", "month", "day")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("year", "month", "day").parquet(path))
+    if replace_whole_month:
+        _drop_stale_days(spark, path, replace_whole_month, kept_days)
 
 
-def _drop_month_partitions(spark: SparkSession, path: str, yyyymm: str) -> None:
+def _drop_stale_days(spark: SparkSession, path: str, yyyymm: str, kept_days: set) -> None:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(f"{path}/year={yyyymm[:4]}/month={yyyymm[4:]}")
-    fs = p.getFileSystem(conf)
-    if fs.exists(p):
-        fs.delete(p, True)
+    month_dir = jvm.org.apache.hadoop.fs.Path(f"{path}/year={yyyymm[:4]}/month={yyyymm[4:]}")
+    fs = month_dir.getFileSystem(conf)
+    if not fs.exists(month_dir):
+        return
+    for st in fs.listStatus(month_dir):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("day=") and name[4:] not in kept_days:
+            fs.delete(st.getPath(), True)
 
 
 def read_app_detail(spark: SparkSession, path: str) -> DataFrame:

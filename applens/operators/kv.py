@@ -47,9 +47,11 @@ def report_lines(kv: DataFrame) -> DataFrame:
          .where(F.col("appList").isNotNull() & F.col("_ms").isNotNull())
          .withColumn("route", dates.date_route("_ms"))
          .where(is_not_blank("route")))
-    apps = format_app_list(parse_app_list("appList", "processType"))
-    fields = [apps.alias(q) if q == "appList" else F.col(q) for q in KV_FIELDS]
-    return p.select("rowkey", "route", F.concat_ws("|", *[blank_to_space(c) for c in fields]).alias("line"))
+    others = [q for q in KV_FIELDS if q != "appList"]
+    p = p.select("rowkey", "route", *others,
+                 format_app_list(parse_app_list("appList", "processType")).alias("appList"))
+    return p.select("rowkey", "route",
+                    F.concat_ws("|", *[blank_to_space(q) for q in KV_FIELDS]).alias("line"))
 
 
 def nonblank(df: DataFrame, key: str = "route", value: str = "line") -> DataFrame:

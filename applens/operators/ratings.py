@@ -54,11 +54,19 @@ def split_counts(r: DataFrame) -> DataFrame:
         F.count_if(b >= 8).alias("n_validation_20"))
 
 
-def rating_profile(r: DataFrame) -> DataFrame:
-    """Number of ratings, distinct users and distinct items in one aggregate."""
+def rating_profile(r: DataFrame, approx: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Number of ratings, distinct users and distinct items in one aggregate.
+
+    ``approx=True`` uses HyperLogLog++ sketches (one fixed-size state per
+    task, no shuffle of the ids) instead of exact distinct counts.
+    """
+    if approx:
+        distinct = lambda c: F.approx_count_distinct(c, rsd)
+    else:
+        distinct = F.count_distinct
     return r.agg(F.count(F.lit(1)).alias("n_ratings"),
-                 F.count_distinct("user_id").alias("n_users"),
-                 F.count_distinct("item_id").alias("n_items"))
+                 distinct("user_id").alias("n_users"),
+                 distinct("item_id").alias("n_items"))
 
 
 def personal(r: DataFrame, user_id: int = 0) -> DataFrame:

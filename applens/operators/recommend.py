@@ -31,6 +31,12 @@ def make_als(rank: int = 10, max_iter: int = 10, reg: float = 0.01, seed: int =
 
 
 def fit(training: DataFrame, **kw) -> ALSModel:
+    """Fit ALS.  Its factor lineage is checkpointed every 10 iterations into
+    the shared checkpoint folder, so a lost executor costs at most the
+    iterations since the last checkpoint instead of the whole fit."""
+    from applens.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(training.sparkSession)
     return make_als(**kw).fit(training)
 
 

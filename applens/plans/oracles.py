@@ -14,18 +14,18 @@ from applens.sources import derived as dv
 from applens.sources.derived import DUCK as D
 
 RAW_EVENT_COLS = [("event_id", "event_id"), ("event_type", "event_type"),
-                  ("user_id", "user_id"), ("props", "props"), ("ts", "ts")]
+                  ("user_id", "user_id"), ("props", "props"), ("ts", "ts"), ("k_", "k_")]
 
 
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
 
-R = dv.cte(D, "ratings", dv.ratings_exprs(D), "events")
-KV = dv.cte(D, "kv", dv.kv_exprs(D) + [(f"ev_{a}", b) for a, b in RAW_EVENT_COLS], "events")
+R = dv.cte(D, "ratings", dv.ratings_exprs(D), dv.events_source(D))
+KV = dv.cte(D, "kv", dv.kv_exprs(D) + [(f"ev_{a}", b) for a, b in RAW_EVENT_COLS], dv.events_source(D))
 MODEL = "model AS (SELECT item_id, avg(rating) AS prediction FROM ratings WHERE ts % 10 < 6 GROUP BY item_id)"
 VAL = "val AS (SELECT * FROM ratings WHERE ts % 10 >= 6 AND ts % 10 < 8)"
-PRE = dv.cte(D, "pre", dv.preinstall_expected(D) + [("ts", "ts")], "events")
+PRE = dv.cte(D, "pre", dv.preinstall_expected(D) + [("ts", "ts")], dv.events_source(D))
 CIDS = dv.cte(D, "ids", dv.customer_ids_exprs(D), "customer")
 PARENTS = dv.cte(D, "parents", dv.arrival_parent_exprs(D), "orders")
 APPS = dv.cte(D, "apps", dv.arrival_app_exprs(D), "lineitem")
@@ -61,12 +61,12 @@ def _click_cte() -> str:
              ("truncated", p["truncated"]), ("corrupt", p["corrupt"]),
              ("pkg0", dv._app(D, 0)), ("pkg1", dv._app(D, 1)), ("pkg2", dv._app(D, 2)),
              ("line", dv.click_expected_line(D))]
-    return dv.cte(D, "click", exprs, "events")
+    return dv.cte(D, "click", exprs, dv.events_source(D))
 
 
 def _body_cte() -> str:
     exprs = [(a, b) for a, b in dv.click_report_exprs(D)]
-    return dv.cte(D, "reports", exprs, "events")
+    return dv.cte(D, "reports", exprs, dv.events_source(D))
 
 
 _TOP = f"""{_with(R, MODEL)}, cands AS (
@@ -217,7 +217,7 @@ _ORACLES: dict[str, str] = {
                           AND r.item_id = p.p_partkey)""",
     "top_n_items": _TOP,
     "preview_limit": _with(CIDS) + f"SELECT c_custkey AS id, {FIRST_ID} AS imei FROM ids ORDER BY id LIMIT 10",
-    "packed_geo": _with(dv.cte(D, "geo", dv.geo_exprs(D), "events")) + """SELECT
+    "packed_geo": _with(dv.cte(D, "geo", dv.geo_exprs(D), dv.events_source(D))) + """SELECT
         CAST(floor(lon) AS BIGINT) AS lon_cell, CAST(floor(lat) AS BIGINT) AS lat_cell, count(*) AS n FROM (
           SELECT CASE WHEN geo IS NULL OR geo = 0 THEN 0 ELSE lon_micro / 1000000.0 END AS lon,
                  CASE WHEN geo IS NULL OR geo = 0 THEN 0 ELSE lat_micro / 1000000.0 END AS lat FROM geo)

@@ -347,8 +347,9 @@ def q_packed_geo(spark, sf):
 
 def q_deobfuscate_list(spark, sf):
     p = kv.project(dv.kv_table(spark, sf), ["appList"]).where(F.col("appList").isNotNull())
-    hidden = p.select("rowkey", codes.obfuscate(F.translate("appList", ".;", "@*")).alias("hidden"))
-    return hidden.select("rowkey", codes.deobfuscate("hidden").alias("text"))
+    hidden = codes.with_obfuscated(p.select("rowkey", "appList"), F.translate("appList", ".;", "@*"),
+                                   "hidden").select("rowkey", "hidden")
+    return codes.with_deobfuscated(hidden, "hidden", "text").select("rowkey", "text")
 
 
 # -- ALS (rows-only checks) -------------------------------------------------------------------

@@ -24,13 +24,15 @@ def write_routed(df: DataFrame, root: str, route_col: str = "route", line_col: s
                  concurrent_writers: bool = False) -> None:
     """Append ``line`` text under the day directory named by ``route``.
 
-    Rows are clustered by day first so each task writes few files.  With
+    Rows are clustered by day first so each task writes few files; the
+    ``rebalance`` hint lets AQE split a day that holds a large share of the
+    rows across several tasks.  With
     ``concurrent_writers`` several jobs may append to the same root at once:
     tasks commit their (uniquely named) files straight into place and no job
     removes the shared staging folder another job is still using.
     """
     out = route_columns(df, route_col).select(line_col, "year", "month", "day")
-    w = (out.repartition("year", "month", "day").write.mode(mode)
+    w = (out.hint("rebalance", "year", "month", "day").write.mode(mode)
          .partitionBy("year", "month", "day"))
     if compression:
         w = w.option("compression", compression)

@@ -70,6 +70,21 @@ SPARK = Dialect("spark")
 DUCK = Dialect("duckdb")
 
 
+# Event columns every derived input uses, computed once per row: the item
+# id from the JSON props and the epoch milliseconds of ``ts``.
+def _event_base_exprs(d: Dialect) -> list[str]:
+    return [f"CAST({d.json_k('props')} AS INT) AS k_", f"{d.epoch_ms('ts')} AS ms_"]
+
+
+def events_source(d: Dialect) -> str:
+    """FROM-clause text of the event base (DuckDB side)."""
+    return f"(SELECT *, {', '.join(_event_base_exprs(d))} FROM events)"
+
+
+def events_base(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr("*", *_event_base_exprs(SPARK))
+
+
 def _select(d: Dialect, exprs: list[tuple[str, str]]) -> list[str]:
     return [f"{e} AS {name}" for name, e in exprs]
 
@@ -86,13 +101,13 @@ def cte(d: Dialect, name: str, exprs: list[tuple[str, str]], source: str,
 
 def ratings_exprs(d: Dialect) -> list[tuple[str, str]]:
     return [("user_id", "CAST(user_id AS INT)"),
-            ("item_id", f"CAST({d.json_k('props')} AS INT)"),
+            ("item_id", "k_"),
             ("rating", "value"),
-            ("ts", d.idiv(d.epoch_ms("ts"), "1000"))]
+            ("ts", d.idiv("ms_", "1000"))]
 
 
 def ratings(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*_select(SPARK, ratings_exprs(SPARK)))
+    return events_base(spark, sf_dir).selectExpr(*_select(SPARK, ratings_exprs(SPARK)))
 
 
 def ratings_lines(spark, sf_dir, fields: int = 4) -> DataFrame:
@@ -124,7 +139,7 @@ def _crc_b(d: Dialect) -> str:
 
 
 def _k(d: Dialect) -> str:
-    return f"CAST({d.json_k('props')} AS INT)"
+    return "k_"
 
 
 def _app(d: Dialect, offset: int) -> str:
@@ -157,7 +172,7 @@ def kv_exprs(d: Dialect) -> list[tuple[str, str]]:
              || {app1} || '&Shop ' || {s(k)} || '.00000000.' || {crc_b} || '.1'
         ELSE {app0} || '.' || {crc_a} || ';broken;com.x.' || {crc_b} END"""
     accept = f"""CASE WHEN event_id % 89 = 0 THEN 'n/a'
-        ELSE {s(d.epoch_ms('ts'))} END"""
+        ELSE {s('ms_')} END"""
     return [
         ("rowkey", f"md5({s('event_id')}) || {d.fmt('ts', 'yyyyMMdd')} || {s('user_id')}"),
         ("source", f"'D' || {s('user_id % 3')}"),
@@ -192,12 +207,10 @@ def kv_exprs(d: Dialect) -> list[tuple[str, str]]:
 
 def kv_table(spark, sf_dir) -> DataFrame:
     """K as a wide-column table: ``rowkey STRING, scf MAP<STRING,STRING>``."""
-    flat = table(spark, sf_dir, "events").selectExpr(*_select(SPARK, kv_exprs(SPARK)))
+    flat = events_base(spark, sf_dir).selectExpr(*_select(SPARK, kv_exprs(SPARK)))
     keys = KV_FIELDS + KV_EXTRA_FIELDS
-    return flat.select(
-        "rowkey",
-        F.map_from_arrays(F.array(*[F.lit(q) for q in keys]),
-                          F.array(*[F.col(q) for q in keys])).alias("scf"))
+    pairs = [x for q in keys for x in (F.lit(q), F.col(q))]
+    return flat.select("rowkey", F.create_map(*pairs).alias("scf"))
 
 
 def kv_expected_apps(d: Dialect) -> str:
@@ -253,7 +266,7 @@ def _pre_parts(d: Dialect, decoded: bool) -> tuple[str, str, str]:
 
 def preinstall_exprs(d: Dialect) -> list[tuple[str, str]]:
     s = d.s
-    ms = d.epoch_ms("ts")
+    ms = "ms_"
     model, brand, alt = _pre_parts(d, decoded=False)
     secmillis = f"{s(d.idiv(ms, '1000'))} || '.' || lpad({s(f'{ms} % 1000')}, 3, '0')"
     qs = f"""'model=' || {model} || '&brand=' || {brand} || '&ver=' || {s(_k(d))}
@@ -265,7 +278,7 @@ def preinstall_exprs(d: Dialect) -> list[tuple[str, str]]:
 
 
 def preinstall_lines(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*_select(SPARK, preinstall_exprs(SPARK)))
+    return events_base(spark, sf_dir).selectExpr(*_select(SPARK, preinstall_exprs(SPARK)))
 
 
 def preinstall_expected(d: Dialect) -> list[tuple[str, str]]:
@@ -305,7 +318,7 @@ def manufacturers(spark, sf_dir) -> DataFrame:
 
 def click_body_parts(d: Dialect) -> dict[str, str]:
     s = d.s
-    ms = d.epoch_ms("ts")
+    ms = "ms_"
     crc_a, crc_b = _crc_a(d), _crc_b(d)
     crc_c = f"lower(hex(({_crc_src(d)} + 4099) % 1048576))"
     n_apps = "(1 + event_id % 3)"
@@ -344,7 +357,7 @@ def click_lines(spark, sf_dir) -> DataFrame:
     """Raw click log lines (``value``) as a receiver would hand them over."""
     from applens.functions.payload import encode_payload_col
 
-    r = table(spark, sf_dir, "events").selectExpr(*_select(SPARK, click_report_exprs(SPARK)))
+    r = events_base(spark, sf_dir).selectExpr(*_select(SPARK, click_report_exprs(SPARK)))
     payload = F.when(F.col("corrupt"), F.lit("bm90IGEgemlw")).otherwise(encode_payload_col("body"))
     return r.select("event_id", F.concat_ws("|", "ip", "secmillis", payload).alias("value"))
 
@@ -391,11 +404,14 @@ def arrival_app_exprs(d: Dialect) -> list[tuple[str, str]]:
 
 def arrivals(spark, sf_dir) -> DataFrame:
     """``firstimei, secondimei, thirdimei, applist ARRAY<STRUCT<signcrc32,pkg,appname>>,
-    arrivetimes, year, month, day`` — one row per order (NULL list if no lines)."""
+    arrivetimes, year, month, day`` — one row per order and block of up to 64
+    lines (one row with a NULL list for an order without lines)."""
     parents = table(spark, sf_dir, "orders").selectExpr(*_select(SPARK, arrival_parent_exprs(SPARK)))
     apps = (table(spark, sf_dir, "lineitem")
             .selectExpr(*_select(SPARK, arrival_app_exprs(SPARK)))
-            .groupBy("l_orderkey")
+            # at most 64 lines per nested list: an order with very many lines
+            # becomes several report rows instead of one unbounded group
+            .groupBy("l_orderkey", (F.col("l_linenumber") / 64).cast("int").alias("_chunk"))
             .agg(F.transform(
                 F.array_sort(F.collect_list(F.struct("l_linenumber", "signcrc32", "pkg", "appname"))),
                 lambda e: F.struct(e["signcrc32"].alias("signcrc32"), e["pkg"].alias("pkg"),
@@ -436,4 +452,4 @@ def geo_exprs(d: Dialect) -> list[tuple[str, str]]:
 
 
 def geo_reports(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr(*_select(SPARK, geo_exprs(SPARK)))
+    return events_base(spark, sf_dir).selectExpr(*_select(SPARK, geo_exprs(SPARK)))

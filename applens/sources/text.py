@@ -69,8 +69,19 @@ def read_ratings(spark: SparkSession, path: str, sep: str = "::", fields: int =
     return df
 
 
-def parse_items(lines: DataFrame, sep: str = "::", value_col: str = "value") -> DataFrame:
-    """``item<sep>name[<sep>...]`` -> (item_id, name)."""
+def parse_items(lines: DataFrame, sep: str = "::", value_col: str = "value",
+                dedupe: bool = True) -> DataFrame:
+    """``item<sep>name[<sep>...]`` -> (item_id, name).
+
+    A repeated id keeps its last line (map semantics).  Line order is the
+    order of ``monotonically_increasing_id`` (partition, then position), which
+    follows the file splits; the dimension stays distributed and is reduced
+    with ``max_by`` (partial aggregation map-side).
+    """
     parts = F.split(F.col(value_col), sep.replace("|", "\\|"))
-    return lines.select(F.element_at(parts, 1).cast("int").alias("item_id"),
-                        F.element_at(parts, 2).alias("name"))
+    items = lines.select(F.element_at(parts, 1).cast("int").alias("item_id"),
+                         F.element_at(parts, 2).alias("name"),
+                         F.monotonically_increasing_id().alias("_pos"))
+    if not dedupe:
+        return items.drop("_pos")
+    return items.groupBy("item_id").agg(F.max_by("name", "_pos").alias("name"))

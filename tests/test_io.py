@@ -114,3 +114,9 @@ def test_click_stream_exactly_once_and_late_data(spark, tmp_dir):
     # the stream wrote exactly what the batch parser produces for the same lines
     batch = click_lines(parse_click_lines(spark.read.text(src))).select("line")
     assert sorted(rows(back.select(F.col("value").alias("line")))) == sorted(rows(batch))
+
+
+def test_item_dimension_last_line_wins(spark, tmp_dir):
+    _write(f"{tmp_dir}/movies/movies.dat", "1::First::x\n2::Second\n1::First again\n")
+    items = txt.parse_items(txt.read_lines(spark, f"{tmp_dir}/movies"))
+    assert sorted(rows(items)) == [(1, "First again"), (2, "Second")]
