@@ -18,13 +18,18 @@ def resolve_imei(df: DataFrame, ids=("firstimei", "secondimei", "thirdimei")) ->
     return df.withColumn("imei", first_nonblank_id(*ids))
 
 
+def check_month(yyyymm: str) -> str:
+    if len(yyyymm) != 6 or not yyyymm.isdigit() or not 1 <= int(yyyymm[4:]) <= 12:
+        raise ValueError(f"month must be yyyyMM, got {yyyymm!r}")
+    return yyyymm
+
+
 def month_filter(df: DataFrame, yyyymm: str | None) -> DataFrame:
     """Rows of one ``yyyyMM`` month, compared as strings on the partition
     columns so a partitioned table prunes to that month's directories."""
     if yyyymm is None:
         return df
-    if len(yyyymm) != 6 or not yyyymm.isdigit() or not 1 <= int(yyyymm[4:]) <= 12:
-        raise ValueError(f"month must be yyyyMM, got {yyyymm!r}")
+    check_month(yyyymm)
     return df.where((F.col("year") == yyyymm[:4]) & (F.col("month") == yyyymm[4:]))
 
 
@@ -41,6 +46,26 @@ def explode_app_detail(arrivals: DataFrame, yyyymm: str | None = None) -> DataFr
             .select(*APP_DETAIL_COLUMNS))
 
 
+APP_DETAIL_SQL = """
+SELECT CASE WHEN firstimei != ' ' THEN firstimei
+            WHEN secondimei != ' ' THEN secondimei
+            WHEN thirdimei != ' ' THEN thirdimei END AS imei,
+       app.appname, app.pkg, app.signcrc32, arrivetimes, year, month, day
+FROM {view} LATERAL VIEW inline(applist) app AS signcrc32, pkg, appname
+WHERE applist IS NOT NULL{month}
+"""
+
+
+def explode_app_detail_sql(spark: SparkSession, view: str, yyyymm: str | None = None) -> DataFrame:
+    """The same extraction written in SQL over a registered view (for users who
+    keep their jobs as SQL); Catalyst plans it like :func:`explode_app_detail`."""
+    month = ""
+    if yyyymm is not None:
+        check_month(yyyymm)
+        month = f" AND year = '{yyyymm[:4]}' AND month = '{yyyymm[4:]}'"
+    return spark.sql(APP_DETAIL_SQL.format(view=view, month=month))
+
+
 def month_days_table(months: DataFrame, month_col: str = "yyyymm") -> DataFrame:
     """Every calendar day of each month in ``months``: the partitions a monthly
     rewrite covers."""

@@ -79,6 +79,22 @@ def test_explode_app_detail(spark):
                                                  ("c2", "n3", "p3", "s3", 1, "2017", "05", "31")], key=str)
 
 
+def test_explode_app_detail_sql_matches_dataframe(spark):
+    schema = ("firstimei string, secondimei string, thirdimei string, "
+              "applist array<struct<signcrc32:string,pkg:string,appname:string>>, arrivetimes int, "
+              "year string, month string, day string")
+    data = [(" ", "", "c", [("s1", "p1", "n1"), ("s2", "p2", None)], 3, "2017", "05", "01"),
+            (None, " ", " ", [("s3", "p3", "n3")], 1, "2017", "05", "31"),
+            ("a", "b", "c", None, 1, "2017", "05", "02"),
+            ("z", "b", "c", [("s4", "p4", "n4")], 2, "2017", "06", "01")]
+    spark.createDataFrame(data, schema).createOrReplaceTempView("arrivals_t")
+    src = spark.table("arrivals_t")
+    for month in (None, "201705"):
+        a = sorted(rows(arr.explode_app_detail(src, month)), key=str)
+        b = sorted(rows(arr.explode_app_detail_sql(spark, "arrivals_t", month)), key=str)
+        assert a == b
+
+
 def test_monthly_overwrite_dynamic_vs_whole_month(spark, tmp_dir):
     path = f"{tmp_dir}/app_detail"
     schema = arr.APP_DETAIL_DDL
