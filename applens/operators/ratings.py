@@ -9,7 +9,7 @@ scalars.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TRAINING, VALIDATION, TEST = "training", "validation", "test"
@@ -164,3 +164,26 @@ def mean_baseline(r: DataFrame, model: DataFrame) -> DataFrame:
                       model_rmse.alias("model_rmse"),
                       ((baseline - model_rmse) / baseline * 100).alias("improvement_pct"),
                       n.alias("n_test"))
+
+
+# -- daily rating table (device, app, rating, last time; year/month/day) -----
+
+RATING_TABLE_DDL = ("imei STRING, pkg STRING, rating DOUBLE, lasttimestamp BIGINT, "
+                    "year STRING, month STRING, day STRING")
+
+
+def write_rating_table(df: DataFrame, path: str) -> None:
+    (df.hint("rebalance", "year", "month", "day").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year", "month", "day").parquet(path))
+
+
+def read_rating_day(spark: SparkSession, path: str, year: str, month: str, day: str) -> DataFrame:
+    """One day of the table, renamed to (user, app, rating, lasttimestamp).
+
+    The schema keeps partition values as strings, and the predicate on them
+    prunes the scan to that day's directory.
+    """
+    t = spark.read.schema(RATING_TABLE_DDL).parquet(path)
+    return (t.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
+            .select(F.col("imei").alias("user"), F.col("pkg").alias("app"), "rating", "lasttimestamp"))

@@ -142,10 +142,9 @@ def _rating_table(spark, sf):
 
 
 def q_partition_scan(spark, sf):
-    y, m, d = SCAN_DAY
-    t = _rating_table(spark, sf)
-    return (t.where((F.col("year") == y) & (F.col("month") == m) & (F.col("day") == d))
-            .select(F.col("imei").alias("user"), F.col("pkg").alias("app"), "rating", "lasttimestamp"))
+    path = scratch_path(spark, "rating-table")
+    rt.write_rating_table(_rating_table(spark, sf), path)
+    return rt.read_rating_day(spark, path, *SCAN_DAY)
 
 
 def q_first_nonblank_id(spark, sf):
