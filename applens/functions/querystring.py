@@ -87,11 +87,6 @@ def qs_map(c) -> Column:
     return F.transform_values(m, lambda k, v: F.coalesce(F.substring_index(v, "=", 1), F.lit("")))
 
 
-def qs_entries_map(entries) -> Column:
-    """array<struct<k,v>> -> map (last duplicate wins; needs LAST_WIN)."""
-    return F.map_from_entries(col(entries))
-
-
 def is_noise(model, brand) -> Column:
     """Blank model or brand, or a noise word anywhere in model+brand."""
     both = F.concat(F.upper(col(model)), F.upper(col(brand)))

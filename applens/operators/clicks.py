@@ -12,9 +12,6 @@ from applens.functions import dates
 from applens.functions.payload import payload_text
 from applens.functions.text import blank_to_space, java_split
 
-APP_TYPE = "struct<pkg:string,crc:string,clicks:array<string>,n_clicks:int,raw:string>"
-
-
 def _at(arr, i: int):
     return F.try_element_at(arr, F.lit(i))
 

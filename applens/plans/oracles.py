@@ -32,7 +32,6 @@ APPS = dv.cte(D, "apps", dv.arrival_app_exprs(D), "lineitem")
 IDLIST = dv.cte(D, "idlist", dv.id_list_exprs(D), "customer")
 FIRST_ID = ("CASE WHEN firstimei != ' ' THEN firstimei WHEN secondimei != ' ' THEN secondimei "
             "WHEN thirdimei != ' ' THEN thirdimei ELSE NULL END")
-SEC = "WHEN {0} THEN '{1}'"
 
 
 def _blank(x: str) -> str:
