@@ -55,7 +55,7 @@ def epoch_millis(ts_ntz) -> Column:
 
 
 def parse_sec_millis(c) -> Column:
-    """``"1493169060.849"`` -> 1493169060849: drop the dots, parse a long.
+    """``"1600000000.250"`` -> 1600000000250: drop the dots, parse a long.
 
     Anything that is not an optionally signed run of digits after removing
     dots (or that overflows a long) gives NULL, the row-level parse failure.

@@ -73,25 +73,40 @@ class GridResult:
 
 
 def grid_search(training: DataFrame, validation: DataFrame, grid: dict,
-                all_rows_denominator: bool = False, seed: int = 42) -> GridResult:
+                all_rows_denominator: bool = False, seed: int = 42,
+                parallelism: int = 1) -> GridResult:
     """rank -> regParam -> maxIter order; first strictly smaller RMSE wins.
 
-    Inputs are cached for the duration of the search and released after.
-    Raises if no setting produced a finite RMSE (e.g. no overlap between the
-    splits) instead of returning nothing.
+    ``parallelism`` > 1 submits that many fits at once from driver threads
+    (each fit is its own distributed job; a large cluster runs them side by
+    side); the winner is still chosen in grid order.  Inputs are cached for
+    the search and released after.  Raises if no setting produced a finite
+    RMSE (e.g. no overlap between the splits) instead of returning nothing.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    settings = [(rank, reg, iters) for rank in grid["rank"] for reg in grid["reg"]
+                for iters in grid["iters"]]
     training, validation = training.cache(), validation.cache()
+
+    def run(setting):
+        rank, reg, iters = setting
+        model = fit(training, rank=rank, reg=reg, max_iter=iters, seed=seed)
+        r = (rmse_over_all(model, validation) if all_rows_denominator
+             else rmse(score(model, validation)))
+        return model, r
+
     try:
+        if parallelism > 1:
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                results = list(pool.map(run, settings))
+        else:
+            results = [run(x) for x in settings]
         best, trials = None, []
-        for rank in grid["rank"]:
-            for reg in grid["reg"]:
-                for iters in grid["iters"]:
-                    model = fit(training, rank=rank, reg=reg, max_iter=iters, seed=seed)
-                    r = (rmse_over_all(model, validation) if all_rows_denominator
-                         else rmse(score(model, validation)))
-                    trials.append((rank, reg, iters, r))
-                    if r is not None and r == r and (best is None or r < best.rmse):
-                        best = GridResult(model, rank, reg, iters, r, trials)
+        for (rank, reg, iters), (model, r) in zip(settings, results):
+            trials.append((rank, reg, iters, r))
+            if r is not None and r == r and (best is None or r < best.rmse):
+                best = GridResult(model, rank, reg, iters, r, trials)
         if best is None:
             raise ValueError("no grid setting produced a finite validation RMSE")
         best.trials = trials

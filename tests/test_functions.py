@@ -65,14 +65,14 @@ def test_noise_filter(spark):
 
 
 def test_epoch_helpers(spark):
-    df = spark.createDataFrame([("1493169060.849",), ("12a",), ("",), ("-5.0",), ("123\n",)], "s string")
+    df = spark.createDataFrame([("1600000000.250",), ("12a",), ("",), ("-5.0",), ("123\n",)], "s string")
     ms = dates.parse_sec_millis("s")
     got = rows(df.select(ms, dates.format_epoch_ms(ms), dates.date_route(ms)))
-    assert got[0] == (1493169060849, "2017-04-26 01:11:00", "2017/04/26/")
+    assert got[0] == (1600000000250, "2020-09-13 12:26:40", "2020/09/13/")
     assert got[1] == (None, None, None) and got[2] == (None, None, None) and got[4][0] is None
     assert got[3][0] == -50
-    shanghai = one(spark, dates.format_epoch_ms(F.lit(1493169060849), zone="Asia/Shanghai"), "x")
-    assert shanghai == "2017-04-26 09:11:00"
+    shanghai = one(spark, dates.format_epoch_ms(F.lit(1600000000250), zone="Asia/Shanghai"), "x")
+    assert shanghai == "2020-09-13 20:26:40"
 
 
 def test_month_helpers(spark):
@@ -82,12 +82,12 @@ def test_month_helpers(spark):
 
 
 @pytest.mark.parametrize("apps,pt,expected", [
-    ("com.a.b.FE1E4867", "1", "FE1E4867,com.a.b"),
+    ("com.a.b.AB12CD34", "1", "AB12CD34,com.a.b"),
     ("com.a.12ab;com.b.123456789", "1", "000012ab,com.a;123456789,com.b"),
-    ("com.zj_lab.f3.baidu_D60FA026.57113dce.1", "2", "57113dce,com.zj_lab.f3.baidu"),
-    ("com.q.FE1E4867", "2", "FE1E4867,com.q"),
-    ("com.d&ANT HAL Service.00000000.ee0dcfb0.0;com.i&i 管家.00000000.c15e53c0.0;", "3",
-     "ee0dcfb0,com.d,ANT HAL Service;c15e53c0,com.i,i 管家"),
+    ("com.demo_lab.f3.store_A1B2C3D4.5e6f7a8b.1", "2", "5e6f7a8b,com.demo_lab.f3.store"),
+    ("com.q.AB12CD34", "2", "AB12CD34,com.q"),
+    ("com.d&Demo Service.00000000.1a2b3c4d.0;com.i&i 工具.00000000.9f8e7d6c.0;", "3",
+     "1a2b3c4d,com.d,Demo Service;9f8e7d6c,com.i,i 工具"),
     ("x.y.abc", "7", "00000abc,x.y"),
     ("x.y.abc", None, "00000abc,x.y"),
     ("com.a.1;broken;com.b.2", "1", "00000001,com.a"),
@@ -106,7 +106,7 @@ def test_app_tokens_null_list(spark):
     assert df.select(tokens.parse_app_list("a", "p")).first()[0] is None
 
 
-@pytest.mark.parametrize("crc,expected", [("12ab", "000012ab"), ("FE1E4867", "FE1E4867"),
+@pytest.mark.parametrize("crc,expected", [("12ab", "000012ab"), ("AB12CD34", "AB12CD34"),
                                           ("123456789", "123456789"), ("", "00000000")])
 def test_crc_pad(spark, crc, expected):
     assert one(spark, tokens.crc_pad("s"), crc) == expected
@@ -126,7 +126,7 @@ def _java_hash(s):
 
 
 def test_java_hash(spark):
-    words = ["hello", "", "com.tencent.mm", "管家", "a" * 40, "Zz9-_."]
+    words = ["hello", "", "com.example.app", "工具", "a" * 40, "Zz9-_."]
     df = spark.createDataFrame([(w,) for w in words], "s string")
     assert [r[0] for r in rows(df.select(codes.java_string_hash("s")))] == [_java_hash(w) for w in words]
 
@@ -153,7 +153,7 @@ def test_deobfuscate_bad_and_blank(spark):
 
 
 def test_payload_round_trip_and_errors(spark):
-    body = "865066038753146-865066038753153&meizu&m5note|com.x&1c5441a9&1,2;"
+    body = "111111111111111-222222222222222&acme&x1|com.x&0badf00d&1,2;"
     enc = payload.encode_payload(body)
     raw = base64.b64decode(enc.replace("*", "/"))
     assert raw[:4] == b"PK\x03\x04" and b"PK\x01\x02" not in raw   # no central directory
@@ -164,6 +164,6 @@ def test_payload_round_trip_and_errors(spark):
 
 
 def test_unzip_text_large_entry():
-    text = ";".join(f"com.app{i}&{i:08x}&{1493109297305 + i}" for i in range(5000))
+    text = ";".join(f"com.app{i}&{i:08x}&{1600000000000 + i}" for i in range(5000))
     assert payload.unzip_text(payload.encode_payload(text).replace("*", "/")) == text
     assert zlib.crc32(b"") == 0

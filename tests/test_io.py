@@ -53,7 +53,7 @@ def test_line_count_matches_text_reader(spark, tmp_dir):
 
 def test_routed_text_appends_do_not_collide(spark, tmp_dir):
     root = f"{tmp_dir}/routed"
-    df = spark.createDataFrame([("2017/04/26/", "a"), ("2017/04/27/", "b")], "route string, line string")
+    df = spark.createDataFrame([("2020/09/13/", "a"), ("2017/04/27/", "b")], "route string, line string")
     threads = [threading.Thread(target=write_routed, args=(df, root), kwargs={"concurrent_writers": True})
                for _ in range(3)]
     for t in threads:
@@ -99,18 +99,18 @@ def _log(ip, ts, body):
 
 def test_click_stream_exactly_once_and_late_data(spark, tmp_dir):
     src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
-    body = "111-222&meizu&m5|com.a&1c54&1493109297305;"
-    _write(f"{src}/b1.log", _log("1.1.1.1", "1493169060.849", body) + _log("1.1.1.2", "1493169061.000", body))
+    body = "111-222&acme&x1|com.a&ab12&1600000000000;"
+    _write(f"{src}/b1.log", _log("1.1.1.1", "1600000000.250", body) + _log("1.1.1.2", "1600000001.000", body))
     run_until_caught_up(read_click_source(spark, "text", src), out, ckpt)
     assert spark.read.text(out).count() == 2
     run_until_caught_up(read_click_source(spark, "text", src), out, ckpt)     # nothing new
     assert spark.read.text(out).count() == 2
     # a late batch (older receive date) goes to its own day; no duplicates of earlier lines
-    _write(f"{src}/b2.log", _log("1.1.1.3", "1493000000.000", body) + "garbage line\n")
+    _write(f"{src}/b2.log", _log("1.1.1.3", "1599800000.000", body) + "garbage line\n")
     run_until_caught_up(read_click_source(spark, "text", src), out, ckpt)
     back = spark.read.text(out)
     assert back.count() == 3
-    assert sorted(rows(back.groupBy("day").count())) == [(24, 1), (26, 2)]
+    assert sorted(rows(back.groupBy("day").count())) == [(11, 1), (13, 2)]
     # the stream wrote exactly what the batch parser produces for the same lines
     batch = click_lines(parse_click_lines(spark.read.text(src))).select("line")
     assert sorted(rows(back.select(F.col("value").alias("line")))) == sorted(rows(batch))

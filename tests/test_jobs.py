@@ -17,7 +17,7 @@ def _kv(spark, path):
     rows = []
     for i in range(20):
         key = hashlib.md5(str(i).encode()).hexdigest() + ("20170426" if i % 2 else "20170427") + str(i)
-        scf = {"processType": "1", "appList": f"com.a{i}.{i:x};", "acceptTimestamp": str(1493169060849 + i),
+        scf = {"processType": "1", "appList": f"com.a{i}.{i:x};", "acceptTimestamp": str(1600000000250 + i),
                "packagelist": f"p{i}", "cdate": "20170426"}
         rows.append((key, scf))
     spark.createDataFrame(rows, "rowkey string, scf map<string,string>").write.mode("overwrite").parquet(path)
@@ -51,8 +51,8 @@ def test_extract_app_detail(spark, tmp_dir):
 
 def test_new_phone_models(spark, tmp_dir):
     with open(f"{tmp_dir}/pre.log", "w") as f:
-        f.write("1.1.1.1|1493169060.849|model=mi5&brand=%D0%A1%C3%D7\n"
-                "1.1.1.1|1493169060.849|model=known&brand=b\n"
+        f.write("1.1.1.1|1600000000.250|model=mi5&brand=%D0%A1%C3%D7\n"
+                "1.1.1.1|1600000000.250|model=known&brand=b\n"
                 "1.1.1.1|bad|model=x&brand=y\n")
     known = spark.createDataFrame([("KNOWN", "B")], "model string, brand string")
     jobs.new_phone_models(spark, f"{tmp_dir}/pre.log", known, f"{tmp_dir}/new", f"{tmp_dir}/rej")

@@ -49,7 +49,7 @@ def test_new_models_anti_join(spark):
 def test_parse_reports_and_rejects(spark):
     from applens.session import ensure_runtime_conf
     ensure_runtime_conf(spark)
-    lines = [(1, "1.2.3.4|1493169060.849|model=mi+5&brand=%D0%A1%C3%D7&brand=xiaomi"),
+    lines = [(1, "1.2.3.4|1600000000.250|model=mi+5&brand=%D0%A1%C3%D7&brand=xiaomi"),
              (2, "1.2.3.4|12x|model=a&brand=b"), (3, "1.2.3.4|1.5|model=%zz"),
              (4, "1.2.3.4|1.5"), (5, "ip|1.5|model=ab&brand=DaeMon"), (6, "ip|1.5|model=&brand=b"),
              (7, "ip|1.5|=&model=a")]
@@ -156,17 +156,17 @@ def test_dense_index(spark):
 
 
 def test_kv_report_lines(spark):
-    scf = {"processType": "1", "appList": "com.a.12ab;", "acceptTimestamp": "1493169060849",
+    scf = {"processType": "1", "appList": "com.a.12ab;", "acceptTimestamp": "1600000000250",
            "firstImei": " ", "phoneBrand": None}
     bad_time = dict(scf, acceptTimestamp="x")
     no_apps = dict(scf, appList=None)
     df = spark.createDataFrame([("k1", scf), ("k2", bad_time), ("k3", no_apps)],
                                "rowkey string, scf map<string,string>")
     out = rows(kv.report_lines(df))
-    assert len(out) == 1 and out[0][1] == "2017/04/26/"
+    assert len(out) == 1 and out[0][1] == "2020/09/13/"
     fields = out[0][2].split("|")
     assert len(fields) == 23 and fields[1] == "1" and fields[13] == "000012ab,com.a"
-    assert fields[6] == " " and fields[11] == " " and fields[22] == "1493169060849"
+    assert fields[6] == " " and fields[11] == " " and fields[22] == "1600000000250"
     lines = rows(kv.key_list_date_line(spark.createDataFrame(
         [("k", {"packagelist": "p"})], "rowkey string, scf map<string,string>")))
     assert lines == [("k", "k|p|null")]
@@ -184,18 +184,18 @@ def _click(ip, ts, body):
 
 
 def test_click_parse(spark):
-    good = "111-222&meizu&m5|com.a&1c54&1493109297305,1493110895807;cn.k&d1d0&1493109460580;"
-    lines = [(1, _click("1.2.3.4", "1493169060.849", good)),
-             (2, _click("", "1493169060.849", good)),
-             (3, _click("1.2.3.4", "1493169060.849", "111&b&m|com.a&1c54&1;com.b&2")),
-             (4, "1.2.3.4|1493169060.849|%%%notbase64"),
-             (5, _click("1.2.3.4", "1493169060.849", "&b&m|com.a&1&1")),
-             (6, _click("1.2.3.4", "14931690x", good))]
+    good = "111-222&acme&x1|com.a&ab12&1600000100000,1600000200000;cn.k&cd34&1600000300000;"
+    lines = [(1, _click("1.2.3.4", "1600000000.250", good)),
+             (2, _click("", "1600000000.250", good)),
+             (3, _click("1.2.3.4", "1600000000.250", "111&b&m|com.a&ab12&1;com.b&2")),
+             (4, "1.2.3.4|1600000000.250|%%%notbase64"),
+             (5, _click("1.2.3.4", "1600000000.250", "&b&m|com.a&1&1")),
+             (6, _click("1.2.3.4", "16000000x", good))]
     p = clk.parse_click_lines(spark.createDataFrame(lines, "id int, value string"))
     got = {r["id"]: (r["ok"], r["route"], r["line"]) for r in p.collect()}
-    assert got[1] == (True, "2017/04/26/",
-                      "111;222|1.2.3.4|1493169060849|2017-04-26 01:11:00|meizu|m5|"
-                      "com.a&1c54&1493109297305,1493110895807&2;cn.k&d1d0&1493109460580&1")
+    assert got[1] == (True, "2020/09/13/",
+                      "111;222|1.2.3.4|1600000000250|2020-09-13 12:26:40|acme|x1|"
+                      "com.a&ab12&1600000100000,1600000200000&2;cn.k&cd34&1600000300000&1")
     assert got[2][2].split("|")[1] == " "
     for bad in (3, 4, 5, 6):
         assert got[bad][0] is False and got[bad][2] is None

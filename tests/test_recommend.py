@@ -67,3 +67,14 @@ def test_top_n_and_save_load(spark, low_rank, tmp_dir):
     a = model.transform(low_rank.limit(20)).select("prediction").collect()
     b = same.transform(low_rank.limit(20)).select("prediction").collect()
     assert a == b
+
+
+def test_grid_parallel_keeps_grid_order(spark, low_rank, monkeypatch):
+    table = {(8, 10): 2.0, (8, 20): 1.0, (12, 10): 1.0, (12, 20): 3.0}
+    monkeypatch.setattr(recommend, "fit", lambda t, **kw: kw)
+    monkeypatch.setattr(recommend, "score", lambda m, d: m)
+    monkeypatch.setattr(recommend, "rmse", lambda p: table[(p["rank"], p["max_iter"])])
+    res = recommend.grid_search(low_rank, low_rank, {"rank": [8, 12], "reg": [0.1], "iters": [10, 20]},
+                                parallelism=3)
+    assert (res.rank, res.iters) == (8, 20)
+    assert [t[3] for t in res.trials] == [2.0, 1.0, 1.0, 3.0]
