@@ -128,11 +128,14 @@ def top_n(scored: DataFrame, items: DataFrame, n: int = 50,
     """Best ``n`` scored candidates with names and a ``%2d: name`` listing.
 
     ``orderBy(...).limit(n)`` plans as a distributed top-k (each task keeps
-    ``n`` rows); numbering happens on those ``n`` rows only.
+    ``n`` rows); naming and numbering happen on those ``n`` rows only.
     """
     top = (scored.where(~F.isnan(score_col) & F.col(score_col).isNotNull())
            .orderBy(F.col(score_col).desc(), F.col("item_id").asc()).limit(n))
-    named = top.join(items.select("item_id", "name"), "item_id", "left")
+    # The <= n chosen rows are broadcast (bounded by the limit) and the item
+    # dimension streams past them once: no shuffle of the dimension.
+    # Candidates come from the dimension, so every chosen item has its row.
+    named = items.select("item_id", "name").join(F.broadcast(top), "item_id")
     w = Window.orderBy(F.col(score_col).desc(), F.col("item_id").asc())
     ranked = named.withColumn("rank", F.row_number().over(w))
     return ranked.select("rank", "item_id", "name", score_col,
