@@ -1,4 +1,4 @@
-"""Sources and sinks: delimited text, JDBC (embedded Derby), routed text, streaming."""
+"""Sources and sinks: delimited text, routed text, streaming."""
 
 import os
 import threading
@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from applens.operators.clicks import click_lines, parse_click_lines
 from applens.functions.payload import encode_payload
 from applens.sinks.text import write_routed, write_single_file
-from applens.sources import jdbc, text as txt
+from applens.sources import text as txt
 from applens.streaming.clicks_stream import read_click_source, run_until_caught_up
 from conftest import rows
 
@@ -69,30 +69,6 @@ def test_routed_text_appends_do_not_collide(spark, tmp_dir):
     assert len([f for f in os.listdir(f"{tmp_dir}/single") if f.startswith("part-")]) == 1
 
 
-DERBY = "jdbc:derby:memory:applens;create=true"
-PROPS = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-
-
-def test_jdbc_partitioned_read_query_and_truncate(spark):
-    ids_ = spark.createDataFrame([(i, f"imei{i:05d}") for i in range(1, 101)], "id bigint, imei string")
-    ids_.write.mode("overwrite").jdbc(DERBY, "T_IDS", properties=PROPS)
-    t = jdbc.read_range_partitioned(spark, DERBY, "T_IDS", "ID", 1, 100, 4, PROPS)
-    assert t.rdd.getNumPartitions() == 4 and t.count() == 100
-    assert t.orderBy("ID").limit(3).count() == 3
-    spark.createDataFrame([("m1", 1), ("m2", 2), ("m3", 9)], "PHONEMODELCODE string, MANUFACTURERID int") \
-        .write.mode("overwrite").option("createTableColumnTypes", "PHONEMODELCODE VARCHAR(64)") \
-        .jdbc(DERBY, "T_MODEL", properties=PROPS)
-    spark.createDataFrame([(1, "mk"), (2, "mk2")], "MANUFACTURERID int, MANUFACTURERNAME string") \
-        .write.mode("overwrite").option("createTableColumnTypes", "MANUFACTURERNAME VARCHAR(64)") \
-        .jdbc(DERBY, "T_MAKER", properties=PROPS)
-    known = jdbc.read_known_models(spark, DERBY, "T_MODEL", "T_MAKER", PROPS)
-    assert sorted(rows(known), key=str) == sorted([("M1", "MK"), ("M2", "MK2"), ("M3", None)], key=str)
-    jdbc.truncate(spark, DERBY, "T_IDS", PROPS)
-    assert jdbc.read_query(spark, DERBY, "SELECT * FROM T_IDS", PROPS).count() == 0
-    jdbc.append(ids_.limit(5), DERBY, "T_IDS", PROPS)
-    assert jdbc.read_query(spark, DERBY, "SELECT COUNT(*) AS N FROM T_IDS", PROPS).first()[0] == 5
-
-
 def _log(ip, ts, body):
     return f"{ip}|{ts}|{encode_payload(body)}\n"
 
