@@ -367,7 +367,7 @@ def q_als_predict(spark, sf):
 
 def q_als_grid(spark, sf):
     _, training, validation = _als_inputs(spark, sf)
-    res = recommend.grid_search(training, validation, recommend.GRID_TWO_WAY)
+    res = recommend.grid_search(training, validation, recommend.GRID_TWO_WAY, parallelism=4)
     rows = [(rk, rg, it, r, (rk, rg, it) == (res.rank, res.reg, res.iters))
             for rk, rg, it, r in res.trials]
     return spark.createDataFrame(rows, "rank int, reg double, iters int, rmse double, best boolean")
