@@ -58,3 +58,52 @@ def test_new_phone_models(spark, tmp_dir):
     jobs.new_phone_models(spark, f"{tmp_dir}/pre.log", known, f"{tmp_dir}/new", f"{tmp_dir}/rej")
     assert [tuple(r) for r in spark.read.parquet(f"{tmp_dir}/new").collect()] == [("MI5", "小米")]
     assert spark.read.parquet(f"{tmp_dir}/rej").select("reject").first()[0] == "bad_time"
+
+
+def _ratings_files(tmp_dir):
+    import random
+    rnd = random.Random(5)
+    lines, mine = [], []
+    for u in range(1, 25):
+        for i in range(1, 30):
+            if rnd.random() < 0.5:
+                r = 1 + ((u * i) % 5)
+                lines.append(f"{u}::{i}::{float(r)}::{978300000 + rnd.randrange(100000)}")
+    for i in (1, 2, 3):
+        mine.append(f"0::{i}::{float(i)}")
+    mine.append("0::4::0")
+    with open(f"{tmp_dir}/ratings.dat", "w") as f:
+        f.write("\n".join(lines) + "\n")
+    with open(f"{tmp_dir}/personalRatings.txt", "w") as f:
+        f.write("\n".join(mine) + "\n")
+    with open(f"{tmp_dir}/movies.dat", "w") as f:
+        f.write("\n".join(f"{i}::Item {i}::Genre" for i in range(1, 35)) + "\n")
+
+
+def test_movielens_job(spark, tmp_dir):
+    _ratings_files(tmp_dir)
+    res = jobs.movielens(spark, tmp_dir + "/", out=f"{tmp_dir}/top")
+    assert res["n_ratings"] > 0 and res["best"][0] in (8, 12)
+    assert res["test_rmse"] == res["test_rmse"] and res["baseline_rmse"] > 0
+    top = spark.read.json(f"{tmp_dir}/top")
+    assert top.count() > 0 and top.where("item_id in (1, 2, 3)").count() == 0   # already rated
+
+
+def test_als_evaluation_job(spark, tmp_dir):
+    import random
+    rnd = random.Random(9)
+    rows = [(f"dev{u}", f"com.app{i}", float(1 + (u + i) % 5), 1494400000000 + rnd.randrange(10 ** 6),
+             "2017", "05", "10")
+            for u in range(20) for i in range(15) if rnd.random() < 0.6]
+    df = spark.createDataFrame(rows, "imei string, pkg string, rating double, lasttimestamp bigint, "
+                                     "year string, month string, day string")
+    df.write.mode("overwrite").partitionBy("year", "month", "day").parquet(f"{tmp_dir}/rating_table")
+    res = jobs.als_evaluation(spark, f"{tmp_dir}/rating_table", "2017", "05", "10")
+    assert res["best"][0] in (8, 12) and res["validation_rmse"] == res["validation_rmse"]
+
+
+def test_als_demo_job(spark, tmp_dir):
+    with open(f"{tmp_dir}/test.data", "w") as f:
+        f.write("\n".join(f"{u},{i},{1 + (u * i) % 5}" for u in range(1, 6) for i in range(1, 6)) + "\n")
+    mse = jobs.als_demo(spark, f"{tmp_dir}/test.data", f"{tmp_dir}/model", rank=3, iters=5)
+    assert mse >= 0
