@@ -201,3 +201,29 @@ def test_click_parse(spark):
         assert got[bad][0] is False and got[bad][2] is None
     per_app = dict((r["pkg"], (r["clicks"], r["reports"])) for r in clk.clicks_per_app(p).collect())
     assert per_app == {"com.a": (4, 2), "cn.k": (2, 2)}
+
+
+def _physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_keys_stay_exact_and_pre_aggregate(spark):
+    # a third of the table shares one prefix, a third of the reports one package
+    n = 3000
+    keys = [("aaa" + f"{i:06d}" if i % 3 == 0 else hashlib.md5(str(i).encode()).hexdigest(), f"p{i}")
+            for i in range(n)]
+    table = spark.createDataFrame(keys, "rowkey string, packagelist string").repartition(8)
+    ids_ = spark.createDataFrame([("aaa",)] * 500 + [("aa",), (keys[1][0][:5],)], "id string")
+    hits = lookup.prefix_first_match(ids_, table, value_cols=["packagelist"])
+    got = hits.groupBy("id", "rowkey").count().collect()
+    assert {(r["id"], r["rowkey"], r["count"]) for r in got} == {
+        ("aaa", "aaa000000", 500), ("aa", min(k for k, _ in keys if k.startswith("aa")), 1),
+        (keys[1][0][:5], min(k for k, _ in keys if k.startswith(keys[1][0][:5])), 1)}
+    plan = _physical(lookup.first_match_per_prefix(table, [2, 3, 5], value_cols=["packagelist"]))
+    assert "partial_min_by" in plan and plan.index("partial_min_by") > plan.index("Exchange")
+
+    apps = [("hot" if i % 3 == 0 else f"app{i % 50}", 1 + i % 4) for i in range(n)]
+    df = spark.createDataFrame(apps, "pkg string, n int").repartition(8)
+    agg = df.groupBy("pkg").agg(F.sum("n").alias("clicks"))
+    assert agg.where("pkg = 'hot'").first()["clicks"] == sum(c for p, c in apps if p == "hot")
+    assert "partial_sum" in _physical(agg)
