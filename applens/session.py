@@ -32,6 +32,10 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Initial shuffle width for cluster jobs (see build_session); size it as
+# largest shuffle bytes / a few hundred MB when submitting.
+CLUSTER_SHUFFLE_PARTITIONS = 16384
+
 # SQL confs a query needs on whatever session it runs in.
 #  * duplicate keys in a parsed query string: the last one wins (a Java map
 #    put overwrites); Spark's default is to raise.
@@ -53,6 +57,12 @@ def build_session(app_name: str = "applens", master: str | None = None,
     conf.update(RUNTIME_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    else:
+        # Cluster default: AQE only merges partitions, it never adds them, so
+        # start wide (a full shuffle of ~100 TB is ~4 TB/1000 partitions) and
+        # let AQE coalesce to the advisory size.
+        conf["spark.sql.shuffle.partitions"] = str(CLUSTER_SHUFFLE_PARTITIONS)
+        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(CLUSTER_SHUFFLE_PARTITIONS)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
