@@ -210,7 +210,6 @@ def q_malformed_rows(spark, sf):
 
 
 def q_gbk_url_decode(spark, sf):
-    ensure_runtime_conf(spark)
     c = dv.table(spark, sf, "customer")
     word = (F.when(F.col("c_nationkey") % 3 == 0, F.lit("%C4%E3%BA%C3"))
             .when(F.col("c_nationkey") % 3 == 1, F.lit("%BB%AA%CE%AA"))

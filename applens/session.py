@@ -36,16 +36,17 @@ DEFAULT_CONF = {
 # largest shuffle bytes / a few hundred MB when submitting.
 CLUSTER_SHUFFLE_PARTITIONS = 16384
 
-# SQL confs a query needs on whatever session it runs in.
-#  * duplicate keys in a parsed query string: the last one wins (a Java map
-#    put overwrites); Spark's default is to raise.
-#  * GBK (and other non-UTF charsets) in decode()/encode() need the legacy
-#    java charset switch in Spark 4.
+# SQL confs a query needs on whatever session it runs in: duplicate keys in a
+# parsed query string resolve to the last one (a Java map put overwrites);
+# Spark's default is to raise.
 RUNTIME_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    "spark.sql.legacy.javaCharsets": "true",
 }
 
+# Only for ``querystring.url_decode_native`` with non-UTF charsets (the
+# default decoder goes through the JVM and needs nothing).
+LEGACY_CHARSETS_CONF = {"spark.sql.legacy.javaCharsets": "true"}
+
 
 def build_session(app_name: str = "applens", master: str | None = None,
                   shuffle_partitions: int | None = None,
@@ -55,6 +56,7 @@ def build_session(app_name: str = "applens", master: str | None = None,
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf.update(RUNTIME_CONF)
+    conf.update(LEGACY_CHARSETS_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     else:
