@@ -80,9 +80,15 @@ def _unzip_udf(s: pd.Series) -> pd.Series:
     return s.map(unzip_text, na_action="ignore")
 
 
+# Marked nondeterministic only so the optimizer evaluates each call exactly
+# where it is written: a filter on parsed fields would otherwise be pushed
+# below the projection and the payloads inflated twice (once per node).
+_unzip_once = _unzip_udf.asNondeterministic()
+
+
 def unzip_payload(c) -> Column:
     """Column form of :func:`unzip_text`."""
-    return _unzip_udf(col(c))
+    return _unzip_once(col(c))
 
 
 def payload_text(c) -> Column:
@@ -117,5 +123,8 @@ def _encode_udf(s: pd.Series) -> pd.Series:
     return s.map(encode_payload, na_action="ignore")
 
 
+_encode_once = _encode_udf.asNondeterministic()
+
+
 def encode_payload_col(c) -> Column:
-    return _encode_udf(col(c))
+    return _encode_once(col(c))

@@ -81,8 +81,19 @@ def events_source(d: Dialect) -> str:
     return f"(SELECT *, {', '.join(_event_base_exprs(d))} FROM events)"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the scan has fewer splits than
+    cores (e.g. one file with one row group), so the per-row parsing that
+    follows is not confined to one task.  Inputs that already arrive in
+    enough splits (any large table) are left as they are."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism)
+    return df
+
+
 def events_base(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr("*", *_event_base_exprs(SPARK))
+    return spread(table(spark, sf_dir, "events")).selectExpr("*", *_event_base_exprs(SPARK))
 
 
 def _select(d: Dialect, exprs: list[tuple[str, str]]) -> list[str]:
