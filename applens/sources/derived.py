@@ -417,8 +417,8 @@ def arrivals(spark, sf_dir) -> DataFrame:
     """``firstimei, secondimei, thirdimei, applist ARRAY<STRUCT<signcrc32,pkg,appname>>,
     arrivetimes, year, month, day`` — one row per order and block of up to 64
     lines (one row with a NULL list for an order without lines)."""
-    parents = table(spark, sf_dir, "orders").selectExpr(*_select(SPARK, arrival_parent_exprs(SPARK)))
-    apps = (table(spark, sf_dir, "lineitem")
+    parents = spread(table(spark, sf_dir, "orders")).selectExpr(*_select(SPARK, arrival_parent_exprs(SPARK)))
+    apps = (spread(table(spark, sf_dir, "lineitem"))
             .selectExpr(*_select(SPARK, arrival_app_exprs(SPARK)))
             # at most 64 lines per nested list: an order with very many lines
             # becomes several report rows instead of one unbounded group
