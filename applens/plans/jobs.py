@@ -126,6 +126,8 @@ def new_phone_models(spark: SparkSession, log_path: str, known: DataFrame, out:
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="applens")
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="initial shuffle width (default: the cluster default in applens.session)")
     sub = ap.add_subparsers(dest="job", required=True)
     sub.add_parser("count-lines").add_argument("path")
     p = sub.add_parser("movielens")
@@ -152,7 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--topic", default="launcher_click")
     args = ap.parse_args(argv)
 
-    spark = build_session(app_name=f"applens-{args.job}")
+    spark = build_session(app_name=f"applens-{args.job}", shuffle_partitions=args.shuffle_partitions)
     if args.job == "count-lines":
         print(f"{args.path}: {count_lines(spark, args.path)} lines")
     elif args.job == "movielens":
