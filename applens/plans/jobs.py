@@ -89,14 +89,21 @@ def als_evaluation(spark: SparkSession, table_path: str, year: str, month: str,
             "baseline_rmse": base, "improvement": "%1.2f" % ((base - best.rmse) / base * 100)}
 
 
-def kv_prefix_lookup(spark: SparkSession, ids_path: str, kv_path: str, out: str) -> None:
-    """First key-value row per id prefix, written as ``key|list|date`` text."""
+def kv_prefix_lookup(spark: SparkSession, ids_path: str, kv_path: str, out: str,
+                     single_file: bool = False) -> None:
+    """First key-value row per id prefix, written as ``key|list|date`` text.
+
+    ``single_file=True`` funnels the result through one task (only for id
+    lists known to be small); by default every task writes its own part."""
     ids_ = txt.read_lines(spark, ids_path).select(F.col("value").alias("id"))
     table = kvops.project(spark.read.parquet(kv_path), ["packagelist", "cdate"])
     hit = lookup.prefix_first_match(ids_, table, value_cols=["packagelist", "cdate"])
     lines = hit.select(F.concat_ws("|", "rowkey", F.coalesce("packagelist", F.lit("null")),
                                    F.coalesce("cdate", F.lit("null"))).alias("line"))
-    write_single_file(lines, out)
+    if single_file:
+        write_single_file(lines, out)
+    else:
+        lines.write.mode("overwrite").text(out)
 
 
 def kv_export(spark: SparkSession, kv_path: str, date_arg: str, out_root: str,
