@@ -86,10 +86,12 @@ def spread(df: DataFrame) -> DataFrame:
     cores (e.g. one file with one row group), so the per-row parsing that
     follows is not confined to one task.  Inputs that already arrive in
     enough splits (any large table) are left as they are."""
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
-        return df.repartition(parallelism)
-    return df
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session has no RDD view)
+        return df
+    return df.repartition(parallelism) if splits < parallelism else df
 
 
 def events_base(spark, sf_dir) -> DataFrame:
