@@ -167,3 +167,10 @@ def test_unzip_text_large_entry():
     text = ";".join(f"com.app{i}&{i:08x}&{1600000000000 + i}" for i in range(5000))
     assert payload.unzip_text(payload.encode_payload(text).replace("*", "/")) == text
     assert zlib.crc32(b"") == 0
+
+
+def test_native_decoder_matches_jvm_decoder(spark):
+    cases = ["model=%C4%E3%BA%C3+x", "a%26b%2B", "plain", "bad%zz", "%BB%AA%CE%AA%D0%A1%C3%D7", "trail%4"]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    got = rows(df.select(qs.url_decode("s", "GBK"), qs.url_decode_native("s", "GBK")))
+    assert all(a == b for a, b in got)

@@ -96,3 +96,13 @@ def test_item_dimension_last_line_wins(spark, tmp_dir):
     _write(f"{tmp_dir}/movies/movies.dat", "1::First::x\n2::Second\n1::First again\n")
     items = txt.parse_items(txt.read_lines(spark, f"{tmp_dir}/movies"))
     assert sorted(rows(items)) == [(1, "First again"), (2, "Second")]
+
+
+def test_click_stream_gzip_output(spark, tmp_dir):
+    src, out, ckpt = f"{tmp_dir}/in", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    _write(f"{src}/b1.log", _log("1.1.1.1", "1600000000.250", "1-2&b&m|com.a&ab12&1,2;"))
+    run_until_caught_up(read_click_source(spark, "text", src), out, ckpt, compression="gzip")
+    files = [f for _, _, fs in os.walk(out) for f in fs if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
+    assert rows(spark.read.text(out).select("value")) == [
+        ("1;2|1.1.1.1|1600000000250|2020-09-13 12:26:40|b|m|com.a&ab12&1,2&2",)]

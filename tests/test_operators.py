@@ -227,3 +227,13 @@ def test_hot_keys_stay_exact_and_pre_aggregate(spark):
     agg = df.groupBy("pkg").agg(F.sum("n").alias("clicks"))
     assert agg.where("pkg = 'hot'").first()["clicks"] == sum(c for p, c in apps if p == "hot")
     assert "partial_sum" in _physical(agg)
+
+
+def test_rating_profile_exact_and_approx(spark):
+    r = spark.range(0, 5000).select((F.col("id") % 300).cast("int").alias("user_id"),
+                                    (F.col("id") % 70).cast("int").alias("item_id"),
+                                    F.lit(1.0).alias("rating"))
+    exact = rt.rating_profile(r).first()
+    approx = rt.rating_profile(r, approx=True, rsd=0.02).first()
+    assert (exact["n_ratings"], exact["n_users"], exact["n_items"]) == (5000, 300, 70)
+    assert abs(approx["n_users"] - 300) <= 15 and abs(approx["n_items"] - 70) <= 4
