@@ -1,13 +1,16 @@
 """Collision-free dense integer ids for string keys.
 
 ``dense_index`` numbers the distinct values 1..n in sort order without a
-single-partition window: values are range-partitioned, numbered inside each
-partition, and shifted by the sizes of the partitions before them.  Only the
-per-partition sizes (one row per partition) are combined globally.
+single-partition window: values are range-partitioned and numbered inside
+each partition, then shifted by the sizes of the partitions before them.
+Only those sizes (one number per partition, as ``zipWithIndex`` does) reach
+the driver; the offsets go back as a broadcast of the same size.
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,9 +24,10 @@ def dense_index(df: DataFrame, key: str, id_col: str = "dense_id",
             .withColumn("_part", F.spark_partition_id()))
     local = keys.withColumn("_rn", F.row_number().over(
         Window.partitionBy("_part").orderBy(key)))
-    sizes = local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: a running total over them is tiny
-    offsets = sizes.select("_part", (F.sum("_n").over(
-        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"))
+    sizes = sorted((r["_part"], r["_n"]) for r in
+                   local.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect())
+    starts = [0] + list(accumulate(c for _, c in sizes))[:-1]
+    offsets = spark.createDataFrame([(p, o) for (p, _), o in zip(sizes, starts)] or [(0, 0)],
+                                    "_part int, _off long")
     return (local.join(F.broadcast(offsets), "_part")
-            .select(key, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn")).cast("bigint").alias(id_col)))
+            .select(key, (F.col("_off") + F.col("_rn")).cast("bigint").alias(id_col)))

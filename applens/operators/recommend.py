@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Grids of the two tuning jobs (fixed values).
@@ -136,10 +136,15 @@ def top_n(scored: DataFrame, items: DataFrame, n: int = 50,
     # dimension streams past them once: no shuffle of the dimension.
     # Candidates come from the dimension, so every chosen item has its row.
     named = items.select("item_id", "name").join(F.broadcast(top), "item_id")
-    w = Window.orderBy(F.col(score_col).desc(), F.col("item_id").asc())
-    ranked = named.withColumn("rank", F.row_number().over(w))
-    return ranked.select("rank", "item_id", "name", score_col,
-                         F.format_string("%2d: %s", F.col("rank"), F.col("name")).alias("listing"))
+    # number the <= n rows: one sorted array of at most n entries, exploded
+    # with its positions (no window, no single-partition sort of the input)
+    order = F.struct((-F.col(score_col)).alias("_k"), F.col("item_id").alias("item_id"),
+                     F.col("name").alias("name"), F.col(score_col).alias(score_col))
+    ranked = (named.agg(F.sort_array(F.collect_list(order)).alias("_top"))
+              .select(F.posexplode("_top").alias("_pos", "_e")))
+    return ranked.select((F.col("_pos") + 1).cast("int").alias("rank"), F.col("_e.item_id").alias("item_id"),
+                         F.col("_e.name").alias("name"), F.col(f"_e.{score_col}").alias(score_col),
+                         F.format_string("%2d: %s", F.col("_pos") + 1, F.col("_e.name")).alias("listing"))
 
 
 def recommend_for_all_users(model: ALSModel, n: int = 50) -> DataFrame:
