@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from applens.functions.text import col, is_blank, java_split
+from applens.functions.text import col, is_blank
 
 # -- packed coordinates --------------------------------------------------------
 # An 18-digit long: 3 integer + 6 fraction digits of longitude, then the same

@@ -2,7 +2,6 @@
 
 import hashlib
 
-from pyspark.sql import functions as F
 
 from applens.plans import jobs
 
