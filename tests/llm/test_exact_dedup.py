@@ -1,0 +1,43 @@
+import hashlib
+import random
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from applens.llm import exact_dedup as ed
+
+
+def brute(rows):
+    norm = [re.sub(r"[\x20\x09-\x0D]", "", t or "") for _, t in rows]
+    out = []
+    for (i, t), n in zip(rows, norm):
+        group = [(-len(u or ""), j) for (j, u), m in zip(rows, norm) if m == n]
+        keep = min(group)[1]
+        out.append((i, keep, len(group), i == keep, hashlib.sha256(n.encode()).hexdigest()))
+    return sorted(out)
+
+
+def test_against_brute_force(spark, docs):
+    rng = random.Random(3)
+    base = ["", None, " ", "a b c", "abc", "ab\tc\n", "a bc", "é" * 30, "x" * 100_000, " x" * 100_000, "prefix", "prefixed", "pre"]
+    rows = [(i, rng.choice(base)) for i in range(200)]
+    for task_bytes in (1 << 20, 1):
+        got = sorted(map(tuple, ed.exact_duplicates(docs(rows, extra=True), task_bytes=task_bytes).collect()))
+        assert got == brute(rows)
+
+
+def test_repeated_rows_and_empty_table(docs):
+    got = [tuple(r)[:4] for r in ed.exact_duplicates(docs([(1, "a"), (1, "a")])).collect()]
+    assert got == [(1, 1, 2, True)] * 2
+    assert ed.exact_duplicates(docs([(1, "a")]).limit(0)).count() == 0
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.binary(max_size=6), st.integers(0, 5), st.integers(0, 20)), max_size=40))
+def test_trie_holds_every_string_with_its_owner(rows):
+    trie, want = ed.PatriciaTrie(), {}
+    for key, points, doc in rows:
+        assert trie.insert(key, (points, doc, 1)) == (key not in want)
+        want.setdefault(key, []).append((-points, doc))
+    assert {k: (-min(v)[0], min(v)[1], len(v)) for k, v in want.items()} == dict(trie.owners())

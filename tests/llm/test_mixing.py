@@ -1,0 +1,75 @@
+import itertools
+import random
+
+import pytest
+
+from applens.llm import mixing as mx
+from applens.llm.common import pinned
+
+
+def test_targets_stop_at_the_passes_and_are_reshared():
+    t = mx.weighted_targets({"a": 100, "b": 100, "c": 1000, None: 0}, {"a": 3, "b": 1, "c": 2, None: 3}, 1.5, 2)
+    assert t["a"] == 200 and t["b"] == 200 and t["c"] == pytest.approx(1400) and t[None] == 0
+    assert mx.source_order(["b", None, "a", "Z"]) == ["Z", "a", "b", None]
+
+
+def brute_flow(patterns, quotas, passes):
+    """Best (flow, -cost) over all integer splits of small instances."""
+    best = (-1, 0)
+    options = []
+    for members, size in patterns:
+        cells = [s for s in members if s in quotas]
+        options.append([c for c in itertools.product(range(passes * size + 1), repeat=len(cells)) if sum(c) <= passes * size])
+    for choice in itertools.product(*options):
+        got, cost = {}, 0
+        for (members, size), split in zip(patterns, choice):
+            for s, n in zip([s for s in members if s in quotas], split):
+                got[s] = got.get(s, 0) + n
+            n = sum(split)
+            cost += sum(k * max(0, min(size, n - k * size)) for k in range(passes))
+        if all(n <= quotas[s] for s, n in got.items()):
+            best = max(best, (sum(got.values()), -cost))
+    return best
+
+
+def test_flow_is_largest_and_cheapest():
+    rng = random.Random(5)
+    for _ in range(25):
+        patterns = [(("a",), rng.randint(0, 3)), (("a", "b"), rng.randint(1, 3)), (("b",), rng.randint(0, 3))]
+        quotas = {"a": rng.randint(0, 6), "b": rng.randint(0, 6)}
+        taken = mx.route(patterns, quotas, 2)
+        cost = sum(max(0, t - s) for t, (_, s) in zip(taken, patterns))
+        assert (sum(taken), -cost) == brute_flow(patterns, quotas, 2)
+
+
+def test_report_is_near_its_targets_and_agrees_again(docs):
+    rng = random.Random(1)
+    rows = [(i, None if i % 97 == 0 else " ".join(["w"] * rng.randint(0, 200)), rng.choice(["big"] * 5 + ["m", "n", None]))
+            for i in range(1500)]
+    report = [tuple(r) for r in mx.mix_report(docs(rows, extra=True)).collect()]
+    assert len(report) == 1500
+    want_size = {i: len((t or "").split()) for i, t, _ in rows}
+    source = {i: s for i, _, s in rows}
+    by = {}
+    for doc_id, size, source_size, target, taken in report:
+        assert size == want_size[doc_id] and taken in (0, size, 2 * size)
+        got = by.setdefault(source[doc_id], [0, 0, source_size, target])
+        got[0] += taken
+        got[1] += size
+    assert all(g[1] == g[2] and abs(g[0] - g[3]) <= 5 for g in by.values())
+    assert sum(g[3] for g in by.values()) == pytest.approx(1.5 * sum(want_size.values()))
+    again = [tuple(r) for r in mx.mix_report(docs(rows).repartition(7)).collect()]
+    assert sorted(again, key=str) == sorted(report, key=str)
+
+
+def test_overlapping_sources_and_repeated_rows(spark):
+    rows = pinned(spark.createDataFrame([(i, i // 2, ["a", "b"] if i % 3 == 0 else ["b", "b"], 10) for i in range(60)],
+                                        "rid long, order_key long, members array<string>, size long"))
+    passes, sizes, targets = mx.mix(rows, lambda s: {"a": 5, "b": 1}, share=0.5)
+    assert sizes == {"a": 200, "b": 600}
+    assert sum(r["passes"] * 10 for r in passes.collect()) == pytest.approx(sum(targets.values()), abs=10)
+
+
+def test_empty_table(docs):
+    assert mx.mix_report(docs([(1, "a")]).limit(0)).count() == 0
+    assert [tuple(r)[1:] for r in mx.mix_report(docs([(1, None, None), (2, "", "x")])).collect()] == [(0, 0, 0.0, 0)] * 2
