@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from applens.llm import exact_dedup, mixing, token_output
+from applens.llm import decontaminate, exact_dedup, mixing, quality, simhash, token_count, token_output, url_filter
 from applens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,28 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# fixed values: the rules of the op1 contract
+URL_RULES = (url_filter.Rule("allow", "org/"), url_filter.Rule("block", "example.org/es/"),
+             url_filter.Rule("block", "example.org/en/1"), url_filter.Rule("allow", "com/fr/"),
+             url_filter.Rule("block", "com/de/"))
+
+
+def op1_url_filter(spark, sf):
+    return url_filter.judge_urls(table(spark, sf, "pages"), URL_RULES)
+
+
+def op3_decontamination(spark, sf):
+    return decontaminate.benchmark_overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def op5_quality(spark, sf):
+    return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op6_token_counts(spark, sf):
+    return token_count.token_counts(table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op7_token_output(spark, sf):
     return token_output.token_ids(table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -25,13 +47,22 @@ def op8_exact_dedup(spark, sf):
     return exact_dedup.exact_duplicates(table(spark, sf, "documents"))
 
 
+def op9_simhash(spark, sf):
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op10_source_mixing(spark, sf):
     return mixing.mix_report(table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_url_filter": op1_url_filter,
+    "op3_decontamination": op3_decontamination,
+    "op5_quality": op5_quality,
+    "op6_token_counts": op6_token_counts,
     "op7_token_output": op7_token_output,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_simhash": op9_simhash,
     "op10_source_mixing": op10_source_mixing,
 }
 

@@ -1,0 +1,56 @@
+import re
+
+from applens.llm import url_filter as uf
+from applens.llm.queries import URL_RULES
+
+SCHEMA = "page_id long, url string, host string, score string"
+
+
+def by_hand(url):
+    if url is None or "://" not in url:
+        return "", "", None, None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest).group()
+    path = re.match(r"[^?#]*", rest[len(host):]).group()
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fits = []
+    for r in URL_RULES:
+        h, slash, p = r.text.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith(slash + p):
+            fits.append((len(r.text), r.text, r.action))
+    best = max(fits, default=(0, None, None))
+    return host, path, best[1], best[2]
+
+
+def test_rules_hosts_and_paths(spark):
+    urls = [None, "", "no scheme", "http://", "HTTP://WWW.Example.ORG/es/1?x=/de/", "https://example.org/en/19", "https://xexample.org/es/",
+            "https://a.example.org/es", "https://org/", "https://org", "http://x.com/de/#top", "http://x.com/fr/a?b#c", "http://x.com?q=/de/",
+            "http://x.com#/de/", "http://É.com/de/", "a://b://c/d", "http://x.com/DE/", "http://xcom/de/", "http://h/" + "p" * 100_000,
+            "http://x.com/fr/\nline", "http://x.com/fr/\nline"]
+    rows = [(i, u, "clash", "clash") for i, u in enumerate(urls)]
+    got = {r["page_id"]: r for r in uf.judge_urls(spark.createDataFrame(rows, SCHEMA), URL_RULES).collect()}
+    assert len(got) == len(urls)
+    for i, u in enumerate(urls):
+        host, path, rule, action = by_hand(u)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule)
+        assert got[i]["verdict"] == (action or ("block" if got[i]["score"] >= 0.5 else "allow"))
+        h, p = uf.split_url(u or "")
+        assert (h.decode().lower(), p.decode()) == (host.lower(), path)
+
+
+def test_classifier_on_urls_it_has_not_seen():
+    table = uf.labelled_urls()
+    model = uf.fit_urls([x for i, x in enumerate(table) if i % 5])
+    rest = [x for i, x in enumerate(table) if not i % 5]
+    hosts, paths = zip(*(uf.split_url(u) for u, _ in rest))
+    right = [(s >= 0.5) == y for s, (_, y) in zip(model.scores(hosts, paths), rest)]
+    assert sum(right) >= 0.95 * len(right)
+    assert abs(model.scores([b""], [b""])[0] - 0.5) < 0.5
+
+
+def test_longest_rule_first_of_equals_and_empty_table(spark):
+    rules = [uf.Rule("block", "b.com/"), uf.Rule("allow", "a.b.com/"), uf.Rule("block", "com/a/bcd"), uf.Rule("allow", "com/a/bcd")]
+    df = spark.createDataFrame([(1, "x://a.b.com/a/bcde", "", ""), (2, "x://a.b.com/", "", ""), (3, "x://b.com/q", "", "")], SCHEMA)
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in uf.judge_urls(df, rules).collect()}
+    assert got == {1: ("com/a/bcd", "block"), 2: ("a.b.com/", "allow"), 3: ("b.com/", "block")}
+    assert uf.judge_urls(df.limit(0), rules).count() == 0
