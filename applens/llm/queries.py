@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from applens.llm import decontaminate, exact_dedup, mixing, quality, simhash, token_count, token_output, url_filter
+from applens.llm import (decontaminate, exact_dedup, html_extract, mixing, quality, simhash, token_count, token_output,
+                         url_filter)
 from applens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +28,10 @@ def op1_url_filter(spark, sf):
     return url_filter.judge_urls(table(spark, sf, "pages"), URL_RULES)
 
 
+def op2_html_extraction(spark, sf):
+    return html_extract.main_texts(table(spark, sf, "pages"))
+
+
 def op3_decontamination(spark, sf):
     return decontaminate.benchmark_overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
@@ -57,6 +62,7 @@ def op10_source_mixing(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
+    "op2_html_extraction": op2_html_extraction,
     "op3_decontamination": op3_decontamination,
     "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
