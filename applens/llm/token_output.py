@@ -9,14 +9,16 @@ offset indexes, so a reader of some documents or of the metadata alone touches
 only those pages.
 
 The tokenizer drops white space, so a text's ids are its words' ids one after
-another; each distinct word is encoded once per task and kept as bytes.
+another; each distinct word is encoded once while a worker remembers it and kept as bytes.
 """
 
 from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +29,26 @@ from pyspark.sql import functions as F
 from applens.llm.common import byte_texts, id_and_text, scratch
 
 END_ID = 1
-WORDS_KEPT = 400_000          # distinct words a task remembers before it starts afresh
+WORDS_KEPT = 600_000          # distinct words a worker remembers before it starts afresh
 LONG_WORD = 200               # bytes; longer runs are encoded but not remembered
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 FILE_SCHEMA = "doc_id bigint, shard int, pos bigint, n_tokens bigint, ids array<int>"
 
 
+# Words of these characters are one pre-token that normalises letter by letter, so the
+# model alone encodes them; a tail of these marks is the next pre-token.
+_LAST_PLAIN, _NOT_PLAIN = "\u024f", "\u0130"
+_TAIL = b".,!?;:#$%&*|-+=()"
+
+
+def _byte_alphabet() -> dict[int, str]:
+    """The characters that stand for bytes in a byte-level vocabulary: visible Latin-1 as is, the rest from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordEncoder:
     """Encodes whole texts word by word with a tokenizer that never joins across white space."""
 
@@ -43,28 +58,66 @@ class WordEncoder:
         self._tok = Tokenizer.from_file(path)
         self._tok.no_truncation()
         self._tok.no_padding()
+        self._model = self._tok.model
+        self._alphabet = _byte_alphabet()
         self._known: dict[bytes, bytes] = {}
         self._words_kept = words_kept
 
-    def _encode(self, words: list[bytes]) -> list[bytes]:
-        encoded = self._tok.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
+    def _whole(self, word: bytes) -> bytes:
+        ids = self._tok.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return array("I", ids).tobytes()
+
+    def _letters(self, word: bytes) -> bytes | None:
+        """Ids of a word of plain letters; None if it is not one."""
+        if word.isascii():
+            if not word.isalpha():
+                return None
+            piece = word.lower().decode("ascii")
+        else:
+            text = word.decode("utf-8", "replace")
+            if not text.isalpha() or max(text) > _LAST_PLAIN or _NOT_PLAIN in text:
+                return None
+            piece = text.lower().encode().decode("latin-1").translate(self._alphabet)
+        return array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
+
+    def _new(self, word: bytes) -> bytes:
+        ids = self._letters(word)
+        if ids is not None:
+            return ids
+        core = word.rstrip(_TAIL)
+        ids = self._letters(core) if core and len(core) < len(word) else None
+        if ids is None:
+            return self._whole(word)
+        tail = word[len(core):]
+        known = self._known.get(tail)
+        if known is None:
+            known = self._known[tail] = self._whole(tail)
+        return ids + known
 
     def encode(self, text: bytes) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
         words = text.split()
         known = self._known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        new = list(dict.fromkeys(w for w in words if w not in known))
-        if len(known) + len(new) > self._words_kept:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        here = dict(zip(new, self._encode(new)))
-        known.update((w, b) for w, b in here.items() if len(w) <= LONG_WORD)
-        return b"".join([here.get(w) or known.get(w, b"") for w in words])
+        out = list(map(known.get, words))
+        if None in out:
+            if len(known) > self._words_kept:
+                known.clear()
+            for i, ids in enumerate(out):
+                if ids is None:
+                    word = words[i]
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = self._new(word)
+                        if len(word) <= LONG_WORD:
+                            known[word] = ids
+                    out[i] = ids
+        return b"".join(out)
+
+
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> WordEncoder:
+    """One encoder a worker process, so its words serve the tasks that follow."""
+    return WordEncoder(path)
 
 
 def _encode_partition(path: str, end_id: int | None):
@@ -72,7 +125,7 @@ def _encode_partition(path: str, end_id: int | None):
         encoder, pos, shard = None, 0, TaskContext.get().partitionId()
         tail = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            encoder = encoder or WordEncoder(path)
+            encoder = encoder or _encoder(path)
             ids, rows, held, start = [], [], 0, 0
             doc_ids = batch.column("doc_id")
             for i, text in enumerate(byte_texts(batch.column("text"))):

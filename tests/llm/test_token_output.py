@@ -2,6 +2,8 @@ import zlib
 
 import numpy as np
 import pyarrow.parquet as pq
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from applens.llm import token_output as to
 from applens.llm.queries import tokenizer_path
@@ -50,3 +52,14 @@ def test_words_forgotten_stay_right():
     enc = to.WordEncoder(PATH, words_kept=3)
     text = b"alpha beta gamma delta epsilon alpha " * 3
     assert enc.encode(text) == to.WordEncoder(PATH).encode(text) == enc.encode(text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=8), st.sampled_from(
+    ["the,", "Ones.", "it's", "'s", "Σας", "İstanbul", "ŉ", "ﬁ", "e\u0301", "\u0301", "<|endoftext|>", "a<|startoftext|>.", "ß!!", "ÀÉ###", "x2y",
+     "ª", "ǅ", "don't.", "end'", "a-b", "\x1c", "\x85", "\xa0", "\u2028"])), max_size=12))
+def test_word_by_word_equals_whole_text(words):
+    text = " ".join(words)
+    enc = to._encoder(PATH)
+    assert np.frombuffer(enc.encode(text.encode("utf-8", "replace")), "<u4").tolist() == enc._tok.encode(
+        text.encode("utf-8", "replace").decode(), add_special_tokens=False).ids
