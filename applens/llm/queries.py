@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from applens.llm import (decontaminate, exact_dedup, html_extract, mixing, quality, simhash, token_count, token_output,
-                         url_filter)
+from applens.llm import (decontaminate, exact_dedup, html_extract, mixing, quality, simhash, suffix_dedup, token_count,
+                         token_output, url_filter)
 from applens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op3_decontamination(spark, sf):
     return decontaminate.benchmark_overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+def op4_suffix_dedup(spark, sf):
+    return suffix_dedup.without_repeats(table(spark, sf, "documents"))
+
+
 def op5_quality(spark, sf):
     return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extraction": op2_html_extraction,
     "op3_decontamination": op3_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op6_token_counts": op6_token_counts,
     "op7_token_output": op7_token_output,
