@@ -104,21 +104,20 @@ def route(pattern_sizes: list[tuple[tuple, int]], quotas: dict, max_passes: int)
             arcs[e ^ 1][1] += room
 
 
-def mix(rows: DataFrame, weights, share: float = 1.5, max_passes: int = 2, seed: int = 42) -> tuple[DataFrame, dict, dict]:
-    """How many passes the mix makes over each row.
-
-    ``rows`` holds ``rid`` (any unique value), ``order_key`` (what the seeded
-    order hashes), ``members`` (array of sources, may hold null) and ``size``
-    (words); it is read several times and should be pinned.  ``weights`` maps the ordered list of
-    sources to their weights.  Returns (rid, passes), the sources' sizes (a
-    document of several sources counts for each) and their targets.
-
-    Each pattern's quota is met by whole passes and whole documents: the
-    documents that come first in the order while they fit, then the one whose size is nearest
-    to what is left, if it brings the sum nearer.  Rows without words are taken as often as the whole passes.
+PLAN = "members array<string>, whole bigint, rest bigint, cut bigint, limit_h bigint, limit_key bigint, pick_h bigint, pick_key bigint"
+
+
+def mix_plan(rows: DataFrame, weights, share: float = 1.5, max_passes: int = 2) -> tuple[DataFrame, dict, dict]:
+    """How the mix takes each pattern's rows: a row per pattern, for :func:`passes`; the sources' sizes; their targets.
+
+    ``rows`` holds what :func:`ordered` adds and is read several times, so it should be pinned.  ``weights`` maps the
+    ordered list of sources to their weights.  A document of several sources counts for the size of each.
+
+    A pattern's quota is met by whole passes over its rows, then by the rows that come first in
+    the seeded order while they fit, then by the one row whose size is nearest to what is left, if it brings the sum
+    nearer.  Equal rows share one place in the order and are taken together.
     """
-    sums = (rows.groupBy(F.array_sort(F.array_distinct("members")).alias("members"))
-            .agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect())
+    sums = rows.groupBy("members").agg(F.sum("size").alias("size")).limit(MAX_PATTERNS + 1).collect()
     if len(sums) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} patterns of sources")
     patterns = sorted(((tuple(r["members"]), r["size"]) for r in sums), key=lambda p: [(s is None, s or "") for s in p[0]])
@@ -131,62 +130,92 @@ def mix(rows: DataFrame, weights, share: float = 1.5, max_passes: int = 2, seed:
     taken = route(patterns, targets, max_passes)
 
     spark = rows.sparkSession
-    plan = spark.createDataFrame(
-        [(i, list(p), t // s if s else 0, t % s if s else 0) for i, ((p, s), t) in enumerate(zip(patterns, taken))],
-        "pattern int, members array<string>, whole bigint, rest bigint")
-    h = F.xxhash64(F.lit(seed), "order_key")
-    dealt = (rows.withColumn("members", F.array_sort(F.array_distinct("members")))
-             .join(F.broadcast(plan), "members")
-             .select("rid", "size", "pattern", "whole", "rest", h.alias("h"),
-                     F.shiftrightunsigned(h, 64 - BUCKET_BITS).alias("bucket")))
-    sized = dealt.filter((F.col("size") > 0) & (F.col("rest") > 0))
-    # the bucket in which a pattern's quota runs out, and what is left of the quota there
-    before = Window.partitionBy("pattern").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = (sized.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
+    quota = spark.createDataFrame([(list(p), t // s if s else 0, t % s if s else 0) for (p, s), t in zip(patterns, taken)],
+                                  "members array<string>, whole bigint, rest bigint")
+    sized = rows.join(F.broadcast(quota), "members").filter((F.col("size") > 0) & (F.col("rest") > 0))
+    # the bucket of the order in which a pattern's quota runs out, and what is left of the quota there
+    before = Window.partitionBy("members").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (sized.groupBy("members", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
             .withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
             .filter((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest")))
-            .groupBy("pattern").agg(F.min(F.struct("bucket", (F.col("rest") - F.col("before")).alias("room"))).alias("cut"))
-            .select("pattern", F.col("cut.bucket").alias("cut"), F.col("cut.room").alias("room")))
-    dealt = dealt.join(F.broadcast(cuts), "pattern", "left")
-    upto = Window.partitionBy("pattern").orderBy("h", "size", "rid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cut_row = F.coalesce((F.col("bucket") == F.col("cut")) & (F.col("size") > 0) & (F.col("rest") > 0), F.lit(False))
-    at_cut = dealt.filter(cut_row).withColumn("run", F.sum("size").over(upto)).withColumn("extra", F.col("run") <= F.col("room"))
-    gaps = at_cut.groupBy("pattern").agg(
-        (F.first("room") - F.coalesce(F.max(F.when(F.col("extra"), F.col("run"))), F.lit(0))).alias("gap"))
-    others = dealt.filter(~cut_row).withColumn(
-        "extra", F.coalesce((F.col("bucket") < F.col("cut")) & (F.col("size") > 0) & (F.col("rest") > 0), F.lit(False)))
-    marked = others.unionByName(at_cut.drop("run")).join(F.broadcast(gaps), "pattern", "left")
+            .select("members", F.col("bucket").alias("cut"), (F.col("rest") - F.col("before")).alias("room")))
+    sized = sized.join(F.broadcast(cuts), "members")
+    # within that bucket, the last place that still fits
+    places = (sized.filter(F.col("bucket") == F.col("cut")).groupBy("members", "h", "row_key")
+              .agg(F.sum("size").alias("size"), F.first("room").alias("room")))
+    upto = Window.partitionBy("members").orderBy("h", "row_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    limits = (places.withColumn("run", F.sum("size").over(upto)).withColumn("fits", F.col("run") <= F.col("room"))
+              .groupBy("members").agg(F.max(F.when(F.col("fits"), F.struct("run", "h", "row_key"))).alias("last"), F.first("room").alias("room"))
+              .select("members", F.col("last.h").alias("limit_h"), F.col("last.row_key").alias("limit_key"),
+                      (F.col("room") - F.coalesce(F.col("last.run"), F.lit(0))).alias("gap")))
+    plan = quota.join(cuts.drop("room"), "members", "left").join(limits, "members", "left")
     off = F.abs(F.col("size") - F.col("gap"))
-    picks = (marked.filter(~F.col("extra") & (F.col("gap") > 0) & (off < F.col("gap")))
-             .groupBy("pattern").agg(F.min(F.struct(off.alias("off"), "h", "size", "rid")).alias("p"))
-             .select(F.col("p.rid").alias("rid"), F.lit(True).alias("picked")))
-    passes = (marked.join(F.broadcast(picks), "rid", "left")
-              .select("rid", (F.col("whole") + (F.col("extra") | F.coalesce("picked", F.lit(False))).cast("bigint")).alias("passes")))
-    return passes, sizes, targets
+    picks = (sized.drop("cut", "rest", "whole", "room").join(F.broadcast(plan), "members").filter(~_first_in_order() & (F.col("gap") > 0))
+             .groupBy("members", "h", "row_key").agg(F.sum("size").alias("size"), F.first("gap").alias("gap")).filter(off < F.col("gap"))
+             .groupBy("members").agg(F.min(F.struct(off.alias("off"), "h", "row_key")).alias("p"))
+             .select("members", F.col("p.h").alias("pick_h"), F.col("p.row_key").alias("pick_key")))
+    found = plan.join(picks, "members", "left").select([c.split()[0] for c in PLAN.split(", ")]).collect()
+    return spark.createDataFrame(found, PLAN), sizes, targets
+
+
+def _first_in_order() -> Column:
+    """Whether a row comes before the place at which its pattern's quota runs out."""
+    here = (F.col("h") < F.col("limit_h")) | ((F.col("h") == F.col("limit_h")) & (F.col("row_key") <= F.col("limit_key")))
+    return F.coalesce((F.col("bucket") < F.col("cut")) | ((F.col("bucket") == F.col("cut")) & here), F.lit(False))
+
+
+def passes() -> Column:
+    """Times the mix takes a row that :func:`ordered` has prepared and the plan has joined; rows without words count as whole passes do."""
+    picked = F.coalesce((F.col("h") == F.col("pick_h")) & (F.col("row_key") == F.col("pick_key")), F.lit(False))
+    extra = (F.col("rest") > 0) & (F.col("size") > 0) & (_first_in_order() | picked)
+    return F.col("whole") + extra.cast("bigint")
+
+
+def ordered(rows: DataFrame, members: Column, size: Column, order_key: Column, row_key: Column, seed: int = 42) -> DataFrame:
+    """``rows`` with members (distinct, in order), size, and their place in the seeded order (bucket, h, row_key)."""
+    h = F.xxhash64(F.lit(seed), order_key)
+    return rows.withColumns({"members": F.array_sort(F.array_distinct(members)), "size": size, "h": h, "row_key": row_key,
+                             "bucket": F.shiftrightunsigned(h, 64 - BUCKET_BITS)})
 
 
 def repeating_weights(pattern=(3, 1, 2)):
     return lambda sources: {s: pattern[i % len(pattern)] for i, s in enumerate(sources)}
 
 
-def sized_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The pinned input of :func:`mix` for documents of one source each."""
-    return pinned(docs.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).cast("bigint").alias("order_key"),
-                              F.array(F.col(source_col).cast("string")).alias("members"), word_count(text_col).alias("size")))
+def _prepared(docs: DataFrame, seed: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """(doc_id, members, size, h, row_key, bucket) of documents of one source each; rows agree in row_key if in id, source and text."""
+    doc_id, source, text = F.col(id_col).cast("bigint"), F.col(source_col).cast("string"), F.col(text_col).cast("string")
+    return ordered(docs.select(doc_id.alias("doc_id"), source.alias("source"), text.alias("text")), F.array("source"),
+                   word_count("text"), F.col("doc_id"), F.xxhash64("doc_id", "source", "text"), seed).drop("source", "text")
 
 
-def mix_report(docs: DataFrame, weights=None, share: float = 1.5, max_passes: int = 2, seed: int = 42) -> DataFrame:
-    """Per document: doc_id, size, source_size, target, taken.
+def mix_report(docs: DataFrame, weights=None, share: float = 1.5, max_passes: int = 2, seed: int = 42, id_col: str = "doc_id",
+               text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Per row: doc_id, size, source_size, target, taken.
 
     Null sources are one source, last in order; null and empty texts have size
-    0 and nothing is taken from them; repeated rows count each; further columns
+    0 and nothing is taken from them; rows equal in id, source and text are taken equally often; further columns
     are not read; an empty table gives no rows.
     """
-    rows = sized_rows(docs)
-    passes, sizes, targets = mix(rows, weights or repeating_weights(), share, max_passes, seed)
-    by_source = docs.sparkSession.createDataFrame([(s, sizes[s], targets[s]) for s in sizes],
-                                                  "source string, source_size bigint, target double")
-    source = F.col("members")[0]
-    return (rows.join(passes, "rid").join(F.broadcast(by_source), source.eqNullSafe(F.col("source")))
-            .select(F.col("order_key").alias("doc_id"), "size", "source_size", "target",
-                    (F.col("size") * F.col("passes")).alias("taken")))
+    rows = pinned(_prepared(docs, seed, id_col, text_col, source_col))
+    plan, sizes, targets = mix_plan(rows, weights or repeating_weights(), share, max_passes)
+    by_source = docs.sparkSession.createDataFrame([([s], sizes[s], targets[s]) for s in sizes],
+                                                  "members array<string>, source_size bigint, target double")
+    return (rows.join(F.broadcast(plan), "members").join(F.broadcast(by_source), "members")
+            .select("doc_id", "size", "source_size", "target", (F.col("size") * passes()).alias("taken")))
+
+
+def mixed_documents(docs: DataFrame, weights=None, share: float = 1.5, max_passes: int = 2, seed: int = 42, id_col: str = "doc_id",
+                    text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The rows of ``docs``, with all their columns, each as often as the mix takes it; rows without words once.
+
+    The plan is broadcast (a row per pattern of sources), so documents are not shuffled.
+    """
+    plan, _, _ = mix_plan(pinned(_prepared(docs, seed, id_col, text_col, source_col)), weights or repeating_weights(), share, max_passes)
+    row = F.struct(*(docs[c].alias(f"c{i}") for i, c in enumerate(docs.columns)))
+    doc_id, source, text = docs[id_col].cast("bigint"), docs[source_col].cast("string"), docs[text_col].cast("string")
+    placed = ordered(docs.select(row.alias("row"), doc_id.alias("doc_id"), source.alias("source"), text.alias("text")), F.array("source"),
+                     word_count("text"), F.col("doc_id"), F.xxhash64("doc_id", "source", "text"), seed)
+    times = F.when(F.col("size") > 0, passes()).otherwise(1).cast("int")
+    return (placed.join(F.broadcast(plan), "members").select("row", F.explode(F.array_repeat(F.lit(1), times)).alias("copy"))
+            .select(*(F.col(f"row.c{i}").alias(c) for i, c in enumerate(docs.columns))))

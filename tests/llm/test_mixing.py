@@ -1,7 +1,9 @@
 import itertools
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from applens.llm import mixing as mx
 from applens.llm.common import pinned
@@ -62,14 +64,30 @@ def test_report_is_near_its_targets_and_agrees_again(docs):
     assert sorted(again, key=str) == sorted(report, key=str)
 
 
-def test_overlapping_sources_and_repeated_rows(spark):
-    rows = pinned(spark.createDataFrame([(i, i // 2, ["a", "b"] if i % 3 == 0 else ["b", "b"], 10) for i in range(60)],
-                                        "rid long, order_key long, members array<string>, size long"))
-    passes, sizes, targets = mx.mix(rows, lambda s: {"a": 5, "b": 1}, share=0.5)
+def test_overlapping_sources(spark):
+    rows = spark.createDataFrame([(i, ["a", "b"] if i % 3 == 0 else ["b", "b"], 10) for i in range(60)], "i long, m array<string>, n long")
+    rows = pinned(mx.ordered(rows, F.col("m"), F.col("n"), F.col("i"), F.col("i")))
+    plan, sizes, targets = mx.mix_plan(rows, lambda s: {"a": 5, "b": 1}, share=0.5)
     assert sizes == {"a": 200, "b": 600}
-    assert sum(r["passes"] * 10 for r in passes.collect()) == pytest.approx(sum(targets.values()), abs=10)
+    taken = rows.join(plan, "members").select((F.col("size") * mx.passes()).alias("t")).agg(F.sum("t")).first()[0]
+    assert taken == pytest.approx(sum(targets.values()), abs=10)
+
+
+def test_documents_come_as_often_as_the_report_says(docs):
+    rng = random.Random(2)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["x", "y", None])) for i in range(300)] + [(400, None, "x"), (400, None, "x")]
+    table = docs(rows, extra=True)
+    mixed = mx.mixed_documents(table)
+    assert mixed.columns == table.columns
+    got = Counter((r["doc_id"], r["text"], r["source"]) for r in mixed.collect())
+    report = {r["doc_id"]: r for r in mx.mix_report(table).collect()}
+    want = Counter()
+    for i, t, s in rows:
+        want[(i, t, s)] += report[i]["taken"] // report[i]["size"] if report[i]["size"] else 1
+    assert got == +want
 
 
 def test_empty_table(docs):
     assert mx.mix_report(docs([(1, "a")]).limit(0)).count() == 0
+    assert mx.mixed_documents(docs([(1, "a")]).limit(0)).count() == 0
     assert [tuple(r)[1:] for r in mx.mix_report(docs([(1, None, None), (2, "", "x")])).collect()] == [(0, 0, 0.0, 0)] * 2
