@@ -8,8 +8,9 @@ compared token by token: the best run of agreeing tokens, with few enough
 substitutions, decides.
 
 Documents stay where they lie: positions are generated, hashed and looked up in one
-pass, and only hits are shuffled.  The benchmark's seeds are broadcast if their
-counted number is within a bound; a larger benchmark is joined by shuffling both sides.
+pass, and only hits are shuffled.  The benchmark is broadcast if its counted tokens and
+bytes are within bounds; for a larger one the hashes are shuffled instead, without their documents, and
+those with a hit are fetched again.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ MASKS = ("1110111", "11011011", "1101000111")
 MIN_TOKENS = 13          # agreeing tokens that make an overlap; items that are shorter need MIN_SHARE of theirs
 MIN_SHARE = 0.8
 MISS_COST = 3            # one substitution is paid for by so many agreeing tokens
-BROADCAST_SEEDS = 1_000_000      # rows of two numbers each
+BROADCAST_TOKENS = 500_000       # of the benchmark; a seed of four numbers for each token and mask
+BROADCAST_BYTES = 16 << 20       # of the benchmark's texts
 
 
 def tokens(text: Column | str) -> Column:
     """Lower-case runs of letters and digits; null and texts without any give an empty array."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
 
 
 def _seed(words: Column, pos: Column, number: int, mask: str) -> Column:
@@ -62,40 +64,44 @@ def needed(n_tokens: Column) -> Column:
     return F.least(F.lit(MIN_TOKENS), F.ceil(n_tokens * MIN_SHARE).cast("int"))
 
 
+def _agreeing(words: Column, item: Column, first: Column) -> Column:
+    """Agreeing tokens of the best run, with the item's first token at ``first`` (maybe before the text)."""
+    skip = F.greatest(F.lit(0), -first)
+    doc_part = F.slice(words, F.greatest(first, F.lit(0)) + 1, F.size(item) - skip)
+    item_part = F.slice(item, skip + 1, F.size(doc_part))
+    return _best_run(F.zip_with(doc_part, item_part, lambda a, b: a == b))
+
+
 def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, masks=MASKS, id_col: str = "doc_id", text_col: str = "text",
-                       item_col: str = "item_id", item_text_col: str = "text",
-                       broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
+                       item_col: str = "item_id", item_text_col: str = "text", broadcast_tokens: int = BROADCAST_TOKENS,
+                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row per document and item that overlap: doc_id, item_id, n_matched (agreeing tokens of the best place).
 
     Items of fewer tokens than the shortest mask hold too little to go by and
     match nothing; null and empty texts on either side match nothing.  Repeated
     rows give one row per pair of ids; other columns are not read; without documents or items there are no rows.
     """
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), tokens(item_text_col).alias("item"))
-    places = items.select("item_id", "item", F.posexplode("item").alias("at", "_"))
-    seeds = (places.select("item_id", "item", "at", F.explode(_seeds(F.col("item"), F.col("at"), masks)).alias("seed"))
+    items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), tokens(F.col(item_text_col).cast("string")).alias("item"))
+    seeds = (items.select("item_id", "item", F.posexplode("item").alias("at", "_"))
+             .select("item_id", "at", F.explode(_seeds(F.col("item"), F.col("at"), masks)).alias("seed"))
              .filter("seed IS NOT NULL"))
-    keys = seeds.select("seed").distinct()
-    words = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), tokens(text_col).alias("words"))
-    hashed = (words.select("doc_id", "words", F.posexplode("words").alias("pos", "_"))
-              .select("doc_id", "words", "pos", F.explode(_seeds(F.col("words"), F.col("pos"), masks)).alias("seed"))
-              .filter("seed IS NOT NULL"))
-    # The first lookup carries nothing but the hash; the places of a hit are joined after it.
-    small = seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds
+    size = items.agg(F.sum(F.size("item")).alias("n"), F.sum(F.octet_length(F.concat_ws("", "item"))).alias("bytes")).first()
+    small = (size["n"] or 0) <= broadcast_tokens and (size["bytes"] or 0) <= broadcast_bytes
+
+    did, text = F.col(id_col).cast("bigint"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    words = docs.select(did.alias("doc_id"), F.xxhash64(did, text).alias("key"), tokens(text).alias("words"))
     if small:
-        hits = hashed.join(F.broadcast(keys), "seed", "left_semi")
-        hits = hits.join(F.broadcast(seeds), "seed")
+        hits = (words.select("doc_id", "words", F.posexplode("words").alias("pos", "_"))
+                .select("doc_id", "words", "pos", F.explode(_seeds(F.col("words"), F.col("pos"), masks)).alias("seed"))
+                .join(F.broadcast(seeds), "seed").select("doc_id", "words", "item_id", (F.col("pos") - F.col("at")).alias("first"))
+                .join(F.broadcast(items), "item_id"))
     else:
-        near = hashed.select("doc_id", "words", "pos", "seed").join(keys, "seed", "left_semi")
-        hits = near.join(seeds, "seed")
-    first = F.col("pos") - F.col("at")                     # where the item's first token falls, maybe before the text
-    n = F.size("item")
-    # the stretch of the document that the item covers, moved into the item's own positions
-    skip = F.greatest(F.lit(0), -first)
-    doc_part = F.slice("words", F.greatest(first, F.lit(0)) + 1, n - skip)
-    item_part = F.slice("item", skip + 1, F.size(doc_part))
-    same = F.zip_with(doc_part, item_part, lambda a, b: a == b)
-    found = hits.select("doc_id", "item_id", n.alias("n_item"), _best_run(same).alias("n_matched"))
+        hits = (words.select("key", "words", F.posexplode("words").alias("pos", "_"))
+                .select("key", "pos", F.explode(_seeds(F.col("words"), F.col("pos"), masks)).alias("seed"))
+                .join(seeds, "seed").select("key", "item_id", (F.col("pos") - F.col("at")).alias("first")).distinct()
+                .join(words, "key").join(items, "item_id"))
+    found = hits.select("doc_id", "item_id", F.size("item").alias("n_item"),
+                        _agreeing(F.col("words"), F.col("item"), F.col("first")).alias("n_matched"))
     return (found.filter(F.col("n_matched") >= needed(F.col("n_item")))
             .groupBy("doc_id", "item_id").agg(F.max("n_matched").alias("n_matched")))
 

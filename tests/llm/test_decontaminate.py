@@ -55,8 +55,8 @@ def test_against_brute_force_on_both_joins(spark, docs):
     rows, items = make(1)
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = brute(rows, items)
-    for bound in (dc.BROADCAST_SEEDS, 0):
-        got = {(r[0], r[1]): r[2] for r in dc.benchmark_overlaps(docs(rows, extra=True), bench, broadcast_seeds=bound).collect()}
+    for bound in (dc.BROADCAST_TOKENS, 0):
+        got = {(r[0], r[1]): r[2] for r in dc.benchmark_overlaps(docs(rows, extra=True), bench, broadcast_tokens=bound).collect()}
         assert set(got) <= set(want)
         # a seed must survive: all but the most heavily changed passages are found
         assert len(got) >= 0.97 * len(want)
