@@ -1,17 +1,15 @@
 """Session construction and the few runtime settings the library relies on.
 
 Jobs build their own session with :func:`build_session`.  Query functions are
-also handed sessions built by someone else, so anything a query depends on at
-runtime is applied through :func:`ensure_runtime_conf` (only SQL confs that are
-settable on a live session) instead of being assumed.
+also handed sessions built by someone else and leave their settings alone.
 """
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job session gets.  Sized for a large cluster; tests and the
 # local bench override shuffle partitions.
@@ -32,39 +30,27 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-# Initial shuffle width for cluster jobs (see build_session); size it as
-# largest shuffle bytes / a few hundred MB when submitting.
+# Initial shuffle width of a job that says nothing about its size.  AQE merges small partitions and splits
+# skewed join partitions, but never splits ordinary ones, so a job that shuffles much
+# more than this many times SHUFFLE_PARTITION_BYTES must say so (``shuffle_bytes``).
 CLUSTER_SHUFFLE_PARTITIONS = 16384
+SHUFFLE_PARTITION_BYTES = 256 << 20
 
-# SQL confs a query needs on whatever session it runs in: duplicate keys in a
-# parsed query string resolve to the last one (a Java map put overwrites);
-# Spark's default is to raise.
-RUNTIME_CONF = {
-    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-}
 
-# Only for ``querystring.url_decode_native`` with non-UTF charsets (the
-# default decoder goes through the JVM and needs nothing).
-LEGACY_CHARSETS_CONF = {"spark.sql.legacy.javaCharsets": "true"}
+def partitions_for(shuffle_bytes: int) -> int:
+    """Shuffle width that gives partitions of SHUFFLE_PARTITION_BYTES: 100 TB needs about 400,000."""
+    return max(1, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(app_name: str = "applens", master: str | None = None,
-                  shuffle_partitions: int | None = None,
+                  shuffle_partitions: int | None = None, shuffle_bytes: int | None = None,
                   extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf.update(RUNTIME_CONF)
-    conf.update(LEGACY_CHARSETS_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    else:
-        # Cluster default: AQE only merges partitions, it never adds them, so
-        # start wide (a full shuffle of ~100 TB is ~4 TB/1000 partitions) and
-        # let AQE coalesce to the advisory size.
-        conf["spark.sql.shuffle.partitions"] = str(CLUSTER_SHUFFLE_PARTITIONS)
-        conf["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(CLUSTER_SHUFFLE_PARTITIONS)
+    width = shuffle_partitions or (partitions_for(shuffle_bytes) if shuffle_bytes else CLUSTER_SHUFFLE_PARTITIONS)
+    conf["spark.sql.shuffle.partitions"] = str(width)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -74,18 +60,11 @@ def build_session(app_name: str = "applens", master: str | None = None,
     return spark
 
 
-def ensure_runtime_conf(spark: SparkSession) -> None:
-    for k, v in RUNTIME_CONF.items():
-        if spark.conf.get(k, None) != v:
-            spark.conf.set(k, v)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` is read from the session; only when nothing is
-    configured (unit tests, a laptop) is a fallback under the system temp dir
-    set, so on a cluster the shared folder is always the one used.
+    Where nothing is configured, a session on one machine (``local...``: unit tests, a
+    laptop) gets a temporary folder; on a cluster that is an error, as a folder of one machine would lose data.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -93,13 +72,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = os.path.join(os.environ.get("TMPDIR", "/tmp"),
-                                  "applens-checkpoints")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="applens-checkpoints-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory under the shared checkpoint folder for written tables."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
+    root = (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
     return f"{root}/applens-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch directory, in whatever store it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def pinned(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the shared checkpoint folder, without its lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
