@@ -33,13 +33,6 @@ def geo_latitude(geo) -> Column:
     return _geo_part(geo, 10)
 
 
-def pack_geo(lon, lat) -> Column:
-    """Inverse of the two readers for non-negative coordinates below 1000."""
-    def part(v):
-        return F.round(col(v) * F.lit(1_000_000)).cast("bigint")
-    return part(lon) * F.lit(10 ** 9) + part(lat)
-
-
 # -- obfuscated app lists ---------------------------------------------------------
 # Text is written as ``n<hex code unit>`` per character, the whole string is
 # cut into chunks of max(3, len % 7) characters and each chunk is reversed.
@@ -49,7 +42,6 @@ _OBF_TO = "...;;"
 
 
 _WIDTHS = (3, 4, 5, 6)  # max(3, len % 7) can only take these values
-_PAD = "\u0001"  # fills the last chunk; not expected in the text
 
 
 def _reverse_groups(n: int) -> tuple[str, str]:
@@ -61,20 +53,18 @@ def _reverse_groups(n: int) -> tuple[str, str]:
 def _chunk_reverse(s: Column) -> Column:
     """Cut into chunks of max(3, len % 7) characters and reverse each chunk.
 
-    The tail is padded to a full chunk with a sentinel, every chunk is
-    reversed by one literal regex per width (``(.)(.)(.)`` -> ``$3$2$1``,
-    applied left to right), and the sentinels, now leading the last chunk,
-    are removed.  Built-in, codegen'd expressions only.
+    The whole chunks are reversed by one literal regex per width (``(.)(.)(.)``
+    -> ``$3$2$1``, applied left to right), the shorter rest by ``reverse``.
     """
     n = F.length(s)
     width = F.greatest(n % 7, F.lit(3))
-    padded = F.concat(s, F.repeat(F.lit(_PAD), (width - n % width) % width))
-    out = None
+    whole = n - n % width
+    head, out = F.substring(s, F.lit(1), whole), None
     for w in _WIDTHS:
         pat, rep = _reverse_groups(w)
-        branch = F.regexp_replace(padded, "(?s)" + pat, rep)
+        branch = F.regexp_replace(head, "(?s)" + pat, rep)
         out = F.when(width == w, branch) if out is None else out.when(width == w, branch)
-    return F.replace(out, F.lit(_PAD), F.lit(""))
+    return F.concat(out, F.reverse(F.substring(s, whole + 1, n)))
 
 
 _HEX = "[0-9A-Fa-f]"
@@ -86,10 +76,20 @@ def _units_body(reversed_text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(reversed_text, "^[^n]*", ""), "n+\\z", "")
 
 
+# A UTF-16 surrogate without its other half stands for no character and is read as U+FFFD.
+_HIGH, _LOW = "n[dD][89abAB][0-9A-Fa-f]{2}", "n[dD][c-fC-F][0-9A-Fa-f]{2}"
+
+
+def _pair_surrogates(units: Column) -> Column:
+    lows = F.regexp_replace(units, f"(?<!{_HIGH}){_LOW}", "nfffd")
+    return F.regexp_replace(lows, f"{_HIGH}(?!{_LOW})", "nfffd")
+
+
 def _decode_body(body: Column) -> Column:
     u = F.regexp_replace(body, f"n{_HEX}*({_HEX}{{4}}){_UNIT_END}", "n$1")
     for digits, pad in ((3, "0"), (2, "00"), (1, "000")):
         u = F.regexp_replace(u, f"n({_HEX}{{{digits}}}){_UNIT_END}", f"n{pad}$1")
+    u = _pair_surrogates(u)
     return F.translate(F.decode(F.unhex(F.regexp_replace(u, "n", "")), "UTF-16BE"), _OBF_FROM, _OBF_TO)
 
 
@@ -121,37 +121,15 @@ def with_deobfuscated(df: DataFrame, c: str, out: str) -> DataFrame:
                                        _decode_body(F.col("_body"))).alias(out))
 
 
-def _units(s: Column) -> Column:
-    units = F.regexp_replace(F.lower(F.hex(F.encode(s, "UTF-16BE"))), "(.{4})", "n$1")
-    return F.regexp_replace(units, "n0{1,3}(?=[0-9a-f])", "n")
-
-
-def obfuscate(c) -> Column:
-    """Inverse of :func:`deobfuscate` for text without ``@#$*%`` (fixture helper).
-
-    Chunk reversal with a fixed width is its own inverse, and the width only
-    depends on the length, which reversal keeps.
-    """
-    s = col(c)
-    return F.when(F.length(s) > 0, _chunk_reverse(_units(s)))
-
-
-def with_obfuscated(df: DataFrame, c, out: str) -> DataFrame:
-    keep = [x for x in df.columns if x != out]
-    staged = df.select(*keep, _units(col(c)).alias("_units"))
-    return staged.select(*keep, F.when(F.length("_units") > 0, _chunk_reverse(F.col("_units"))).alias(out))
-
-
 # -- 32-bit string hash ids ---------------------------------------------------------
 
 def java_string_hash(c) -> Column:
-    """``String.hashCode`` of BMP text as a signed 32-bit int.
+    """``String.hashCode`` (over UTF-16 code units) as a signed 32-bit int.
 
     Kept for parity with ids produced by older jobs; it collides, so new
     tables should use :func:`applens.operators.ids.dense_index`.
     """
-    chars = F.split(col(c), "")
-    h = F.aggregate(chars, F.lit(0).cast("bigint"),
-                    lambda acc, ch: (acc * 31 + F.ascii(ch)) % F.lit(4294967296))
-    h = F.when(F.length(col(c)) == 0, F.lit(0).cast("bigint")).otherwise(h)
+    units = F.regexp_extract_all(F.hex(F.encode(col(c), "UTF-16BE")), F.lit("[0-9A-F]{4}"), F.lit(0))
+    h = F.aggregate(units, F.lit(0).cast("bigint"),
+                    lambda acc, u: (acc * 31 + F.conv(u, 16, 10).cast("bigint")) % F.lit(4294967296))
     return F.when(h >= 2147483648, h - 4294967296).otherwise(h).cast("int")

@@ -20,9 +20,13 @@ def _epoch_ntz() -> Column:
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 ROUTE_FORMAT = "yyyy/MM/dd/"
 
+# Epoch milliseconds of the years 1 to 9999, less a day on either side for time zones.
+MIN_MS, MAX_MS = -62_135_510_400_000, 253_402_214_399_999
+
 
 def epoch_ms_to_ntz(ms, zone: str = "UTC") -> Column:
-    ts = F.timestamp_add("MILLISECOND", col(ms), _epoch_ntz())
+    """Epoch millis -> local date-time; NULL outside the years 1 to 9999."""
+    ts = F.when(col(ms).between(MIN_MS, MAX_MS), F.timestamp_add("MILLISECOND", col(ms), _epoch_ntz()))
     if zone.upper() != "UTC":
         ts = F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
     return ts
@@ -58,10 +62,16 @@ def parse_sec_millis(c) -> Column:
     """``"1600000000.250"`` -> 1600000000250: drop the dots, parse a long.
 
     Anything that is not an optionally signed run of digits after removing
-    dots (or that overflows a long) gives NULL, the row-level parse failure.
+    dots (or that overflows a long, or lies outside the years 1 to 9999) gives
+    NULL, the row-level parse failure.
     """
     digits = F.regexp_replace(col(c), r"\.", "")
-    return F.when(digits.rlike(r"^[+-]?[0-9]+\z"), digits.try_cast("bigint"))
+    return valid_ms(F.when(digits.rlike(r"^[+-]?[0-9]+\z"), digits.try_cast("bigint")))
+
+
+def valid_ms(ms) -> Column:
+    """The value if it is a time that can be written as a date, else NULL."""
+    return F.when(col(ms).between(MIN_MS, MAX_MS), col(ms))
 
 
 def to_month_start(yyyymm) -> Column:

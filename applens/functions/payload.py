@@ -33,12 +33,14 @@ except (ImportError, AttributeError, KeyError):  # pragma: no cover
 
 _LOCAL_HEADER = b"PK\x03\x04"
 _NOT_B64 = re.compile(r"[^A-Za-z0-9+/]")
+_URL_SAFE = str.maketrans("-_", "+/")
 
 
 def _b64_lenient(text: str) -> bytes:
-    """Base64 decode that skips characters outside the alphabet and tolerates
-    missing padding (a trailing lone character carries no full byte)."""
-    clean = _NOT_B64.sub("", text)
+    """Base64 decode of the plain and the URL-safe alphabet that skips other
+    characters and tolerates missing padding (a trailing lone character carries
+    no full byte)."""
+    clean = _NOT_B64.sub("", text.translate(_URL_SAFE))
     if len(clean) % 4 == 1:
         clean = clean[:-1]
     return base64.b64decode(clean + "=" * (-len(clean) % 4))

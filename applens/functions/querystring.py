@@ -7,14 +7,12 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from applens.functions.text import col, is_blank, java_split
+from applens.functions.text import col, is_blank
 
 # Words whose presence in upper(model) + upper(brand) marks a report as noise
 # (fixed values).
 NOISE_WORDS = ["ADB", "DAEMON", "ERROR", "WARNING", "CANNOT"]
 
-_BAD_ESCAPE = r"%(?![0-9A-Fa-f]{2})"
-
 
 def url_decode(c, charset: str = "GBK") -> Column:
     """Form-URL decoding with a given byte charset (``+`` is a space, runs of
@@ -27,21 +25,6 @@ def url_decode(c, charset: str = "GBK") -> Column:
     return F.try_reflect(F.lit("java.net.URLDecoder"), F.lit("decode"), col(c), F.lit(charset))
 
 
-def url_decode_native(c, charset: str = "GBK") -> Column:
-    """Same result from Spark string functions only (decodes each run of
-    escapes with ``decode(unhex(..), charset)``); needs
-    ``spark.sql.legacy.javaCharsets=true`` for non-UTF charsets."""
-    c = col(c)
-    spaced = F.translate(c, "+", " ")
-    runs = F.regexp_extract_all(spaced, F.lit(r"(?:%[0-9A-Fa-f]{2})+|[^%]+"), F.lit(0))
-    decoded = F.array_join(
-        F.transform(runs, lambda r: F.when(
-            r.startswith("%"),
-            F.decode(F.unhex(F.regexp_replace(r, "%", "")), charset)).otherwise(r)),
-        "")
-    return F.when(~c.rlike(_BAD_ESCAPE), decoded)
-
-
 def qs_value(c, key: str) -> Column:
     """Value of ``key`` in ``k=v&k=v`` text: the last occurrence wins, a key
     without ``=`` or a missing key gives ``''``, and only the text up to a
@@ -55,36 +38,21 @@ def qs_invalid(c) -> Column:
     return F.coalesce(col(c).rlike(r"(?:^|&)=+(?:&|\z)"), F.lit(False))
 
 
-def qs_entries(c) -> Column:
-    """``a=1&b=&c`` -> array<struct<k,v>>, in order, duplicates kept.
+def qs_map(c) -> Column:
+    """``k=v&k=v`` text -> map; of a repeated key the last value stays.
 
-    Per token: the text before the first ``=`` is the key, the text between the
-    first and second ``=`` the value, a missing value is ``''``.  Returns NULL
-    when a token is made only of ``=`` (no key can be read from it).
+    Entries are folded from the end, so no map ever holds a key twice and the
+    session's policy for such keys does not matter.
     """
-    tokens = java_split(c, "&")
-
-    def entry(t):
-        parts = java_split(t, "=")
-        return F.struct(F.try_element_at(parts, F.lit(1)).alias("k"),
-                        F.when(F.size(parts) > 1, F.try_element_at(parts, F.lit(2)))
-                        .otherwise(F.lit("")).alias("v"))
+    key = lambda t: F.substring_index(t, "=", 1)
 
-    bad = F.exists(tokens, lambda t: F.size(java_split(t, "=")) == 0)
-    return F.when(~bad, F.transform(tokens, entry))
+    def entries(pairs: Column) -> Column:
+        last = F.filter(pairs, lambda t, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda u: key(u) == key(t)))
+        return F.transform(last, lambda t: F.struct(key(t).alias("k"), F.coalesce(F.get(F.split(t, "="), F.lit(1)), F.lit("")).alias("v")))
 
-
-def qs_get(entries, key: str, default: str = "") -> Column:
-    """Value of ``key`` (the last one when repeated), else ``default``."""
-    hits = F.filter(col(entries), lambda e: e["k"] == F.lit(key))
-    return F.coalesce(F.try_element_at(hits, F.lit(-1))["v"], F.lit(default))
-
-
-def qs_map(c) -> Column:
-    """``k=v&k=v`` text -> map (last duplicate wins; needs
-    ``spark.sql.mapKeyDedupPolicy=LAST_WIN``, see ``session.RUNTIME_CONF``)."""
-    m = F.str_to_map(F.regexp_replace(col(c), r"&+\z", ""), F.lit("&"), F.lit("="))
-    return F.transform_values(m, lambda k, v: F.coalesce(F.substring_index(v, "=", 1), F.lit("")))
+    # the one-element array binds the split text to a name, so it is split once
+    pairs = F.filter(F.split(F.regexp_replace(col(c), r"&+\z", ""), "&"), lambda t: t != "")
+    return F.map_from_entries(F.transform(F.array(pairs), entries)[0])
 
 
 def is_noise(model, brand) -> Column:

@@ -1,7 +1,6 @@
 """String helpers with the Java semantics the jobs were written against.
 
-All functions take and return Columns and use only built-in expressions, so
-they stay inside whole-stage codegen.
+All functions take and return Columns and use only built-in expressions.
 """
 
 from __future__ import annotations
@@ -14,9 +13,6 @@ from pyspark.sql import functions as F
 # The placeholder written for a blank field in delimited output (fixed value).
 BLANK = " "
 
-# stands in for an input made only of delimiters while splitting
-_ALL_DELIMS = "\u0002"
-
 
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -36,22 +32,17 @@ def blank_to_space(c) -> Column:
     return F.when(is_not_blank(c), col(c)).otherwise(F.lit(BLANK))
 
 
-def nonblank_or_null(c) -> Column:
-    return F.when(is_not_blank(c), col(c))
-
-
 def java_split(c, delimiter: str) -> Column:
     """``String.split(delimiter)`` for a literal delimiter.
 
     Java drops trailing empty strings (Spark's ``split`` keeps them) and an
     input made only of delimiters yields an empty array; an empty input
-    yields one empty string.  NULL stays NULL.  The input is referenced once,
-    so nested splits do not grow the expression tree.
+    yields one empty string.  NULL stays NULL.  The input is referenced twice:
+    split an expensive one in a projection of its own.
     """
     d = re.escape(delimiter)
-    marked = F.regexp_replace(col(c), f"^(?:{d})+\\z", _ALL_DELIMS)
-    trimmed = F.regexp_replace(marked, f"(?:{d})+\\z", "")
-    return F.array_remove(F.split(trimmed, d), _ALL_DELIMS)
+    pieces = F.split(F.regexp_replace(col(c), f"(?:{d})+\\z", ""), d)
+    return F.when(col(c).rlike(f"^(?:{d})+\\z"), F.array().cast("array<string>")).otherwise(pieces)
 
 
 def first_nonblank_id(*cols) -> Column:
@@ -62,7 +53,3 @@ def first_nonblank_id(*cols) -> Column:
     """
     return F.coalesce(*[F.when(col(c) != F.lit(BLANK), col(c)) for c in cols])
 
-
-def hex_to_text(c, charset: str = "UTF-16BE") -> Column:
-    """Hex digits -> characters of the given charset (BMP code points)."""
-    return F.decode(F.unhex(col(c)), charset)

@@ -10,7 +10,7 @@ shape depends on the report's ``processType``:
 
 Parsing stops at the first token that does not fit its shape; the tokens
 before it are kept (the valid prefix).  Everything is a native expression
-(``transform``/``slice``), so a list is parsed in codegen without Python.
+(``transform``/``slice``), without Python.
 """
 
 from __future__ import annotations
@@ -89,14 +89,13 @@ def parse_app_list(apps, process_type) -> Column:
     apps, process_type = col(apps), col(process_type)
     tokens = java_split(apps, ";")
     parsed = F.transform(tokens, lambda t: parse_app_token(t, process_type))
-    # keep elements up to the first unparsable one (single pass over the list)
-    start = F.struct(F.array().cast(f"array<{ELEMENT_TYPE}>").alias("acc"),
-                     F.lit(False).alias("stop"))
-    return F.aggregate(
-        parsed, start,
-        lambda s, e: F.when(s["stop"] | e.isNull(), F.struct(s["acc"].alias("acc"), F.lit(True).alias("stop")))
-        .otherwise(F.struct(F.array_append(s["acc"], e).alias("acc"), F.lit(False).alias("stop"))),
-        lambda s: s["acc"])
+
+    def prefix(p: Column) -> Column:
+        stop = F.array_position(F.transform(p, lambda e: e.isNull()), True)      # 0: none
+        return F.slice(p, F.lit(1), F.when(stop == 0, F.size(p)).otherwise(stop - 1).cast("int"))
+
+    # the one-element array binds the parsed list to a name, so it is built once
+    return F.transform(F.array(parsed), prefix)[0]
 
 
 def format_app_list(parsed) -> Column:
