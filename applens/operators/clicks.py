@@ -12,6 +12,7 @@ from applens.functions import dates
 from applens.functions.payload import payload_text
 from applens.functions.text import blank_to_space, java_split
 
+
 def _at(arr, i: int):
     return F.try_element_at(arr, F.lit(i))
 
@@ -20,11 +21,12 @@ def parse_click_lines(lines: DataFrame, value_col: str = "value",
                       keep: list[str] | None = None, zone: str = "UTC") -> DataFrame:
     """Raw lines -> ``route`` (``yyyy/MM/dd/`` of the server time), ``line``,
     plus the typed fields (``imeis, ip, server_ms, server_time, brand, model,
-    apps``) and ``ok``.  Unreadable reports have ``ok = false``.
+    apps``), ``ok`` and ``reject``.  Unreadable reports have ``ok = false`` and the reason:
+    ``missing_field``, ``bad_time``, ``bad_payload`` (not decodable), ``bad_body`` (no device, phone or app
+    part) or ``bad_app`` (an app without its third part).
 
     The body ``id1-id2&brand&model|pkg&crc&t1,t2;...`` is split in stages
-    (each a plain projection, fused by whole-stage codegen) so no split is
-    evaluated twice.  One app without its third part makes the whole report
+    so no split is evaluated twice.  One app without its third part makes the whole report
     unreadable.  Records are filed under the server's receive date, so late
     data lands in the day it arrived; nothing is dropped for lateness.
     """
@@ -33,14 +35,15 @@ def parse_click_lines(lines: DataFrame, value_col: str = "value",
     h = h.select(*keep, _at("_h", 1).alias("ip"),
                  dates.parse_sec_millis(_at("_h", 2)).alias("server_ms"),
                  _at("_h", 3).alias("_payload"), (F.size("_h") == 3).alias("_whole"))
-    b = h.select(*keep, "ip", "server_ms",
+    b = h.select(*keep, "ip", "server_ms", "_whole",
                  F.when(F.col("server_ms").isNotNull() & F.col("_whole"),
                         payload_text("_payload")).alias("_body"))
-    b = b.select(*keep, "ip", "server_ms", java_split("_body", "|").alias("_pieces"))
-    b = b.select(*keep, "ip", "server_ms", F.size("_pieces").alias("_np"),
+    b = b.select(*keep, "ip", "server_ms", "_whole", F.col("_body").isNotNull().alias("_decoded"),
+                 java_split("_body", "|").alias("_pieces"))
+    b = b.select(*keep, "ip", "server_ms", "_whole", "_decoded", F.size("_pieces").alias("_np"),
                  java_split(_at("_pieces", 1), "&").alias("_phone"),
                  java_split(_at("_pieces", 2), ";").alias("_tokens"))
-    b = b.select(*keep, "ip", "server_ms", "_np", "_phone", "_tokens",
+    b = b.select(*keep, "ip", "server_ms", "_whole", "_decoded", "_np", "_phone", "_tokens",
                  F.transform("_tokens", lambda a: java_split(a, "&")).alias("_details"))
     apps = F.transform(F.arrays_zip(F.col("_tokens").alias("raw"), F.col("_details").alias("d")),
                        lambda z: F.struct(
@@ -52,19 +55,21 @@ def parse_click_lines(lines: DataFrame, value_col: str = "value",
     b = b.select(*keep, "ip", "server_ms", imeis.alias("imeis"),
                  _at("_phone", 2).alias("brand"), _at("_phone", 3).alias("model"),
                  apps.alias("_apps"),
-                 F.coalesce((F.col("_np") >= 2) & (F.size("_phone") >= 3)
-                            & ~F.exists("_details", lambda d: F.size(d) < 3)
-                            & (F.size("_tokens") > 0) & F.col("server_ms").isNotNull(),
-                            F.lit(False)).alias("_ok"))
+                 (F.when(~F.col("_whole"), "missing_field")
+                  .when(F.col("server_ms").isNull(), "bad_time")
+                  .when(~F.col("_decoded"), "bad_payload")
+                  .when(~F.coalesce((F.col("_np") >= 2) & (F.size("_phone") >= 3) & (F.size("_tokens") > 0)
+                                    & (F.length(imeis) > 0), F.lit(False)), "bad_body")
+                  .when(F.exists("_details", lambda d: F.size(d) < 3), "bad_app")).alias("reject"))
     parsed = b.select(
         *keep, "ip", "server_ms",
         dates.format_epoch_ms("server_ms", zone=zone).alias("server_time"),
         dates.date_route("server_ms", zone=zone).alias("route"),
-        "imeis", "brand", "model",
+        "imeis", "brand", "model", "reject",
         F.transform("_apps", lambda a: F.struct(
             a["pkg"].alias("pkg"), a["crc"].alias("crc"), a["clicks"].alias("clicks"),
             F.size(a["clicks"]).alias("n_clicks"), a["raw"].alias("raw"))).alias("apps"),
-        (F.col("_ok") & (F.length("imeis") > 0)).alias("ok"))
+        F.col("reject").isNull().alias("ok"))
     app_text = F.array_join(F.transform("apps", lambda a: F.concat(a["raw"], F.lit("&"),
                                                                    a["n_clicks"].cast("string"))), ";")
     line = F.concat_ws("|", "imeis", blank_to_space("ip"), F.col("server_ms").cast("string"),
@@ -78,6 +83,11 @@ def click_lines(parsed: DataFrame) -> DataFrame:
     return parsed.where("ok").select("route", "line")
 
 
+def click_rejects(parsed: DataFrame, value_cols: list[str] | None = None) -> DataFrame:
+    """Quarantine output: what :func:`click_lines` leaves out and why, with the kept columns named."""
+    return parsed.where(~F.col("ok")).select(*(value_cols or []), "ip", "server_ms", "reject")
+
+
 def clicks_per_app(parsed: DataFrame) -> DataFrame:
     """Total clicks and number of reports per app package."""
     apps = parsed.where("ok").select("imeis", F.explode("apps").alias("a"))

@@ -10,15 +10,15 @@ from applens.functions.text import is_not_blank
 
 
 def parse_reports(lines: DataFrame, value_col: str = "value", charset: str = "GBK",
-                  keep: list[str] | None = None) -> DataFrame:
+                  keep: list[str] | None = None, zone: str = "UTC") -> DataFrame:
     """``ip|sec.millis|k=v&...`` (percent-encoded in ``charset``) -> typed fields.
 
     Adds ``ip, server_ms, posttime, params`` (the decoded query string),
     upper-cased ``model`` and ``brand`` (``''`` when absent) and ``reject``
     (NULL for readable reports, else the reason).  The whole line is decoded
-    first; a bad escape, a missing ``|`` field, a non-numeric time or a
-    parameter without a key makes the report unreadable.  Every step is a
-    built-in expression, so the parse runs in one codegen'd projection.
+    first; a bad escape, a missing ``|`` field, a time that is no number or no
+    date, or a parameter without a key makes the report unreadable.  Every step is a
+    built-in expression.
     """
     keep = keep if keep is not None else [c for c in lines.columns if c != value_col]
     df = lines.select(*keep, F.col(value_col),
@@ -34,7 +34,7 @@ def parse_reports(lines: DataFrame, value_col: str = "value", charset: str = "GB
               .when(qs.qs_invalid("params"), F.lit("bad_param")))
     return df.select(
         *keep, value_col, "ip", "server_ms",
-        dates.format_epoch_ms("server_ms").alias("posttime"), "params",
+        dates.format_epoch_ms("server_ms", zone=zone).alias("posttime"), "params",
         F.upper(qs.qs_value("params", "model")).alias("model"),
         F.upper(qs.qs_value("params", "brand")).alias("brand"),
         reject.alias("reject"))
@@ -64,7 +64,9 @@ def known_models(phone_models: DataFrame, manufacturers: DataFrame) -> DataFrame
     whose manufacturer is unknown has a NULL brand), de-duplicated, upper-cased
     where present."""
     up = lambda c: F.when(is_not_blank(c), F.upper(c)).otherwise(F.col(c))
-    return (phone_models.join(manufacturers, "manufacturerid", "left")
+    # models are de-duplicated before the join, so a maker of very many rows costs its distinct models
+    codes = phone_models.select("phonemodelcode", "manufacturerid").distinct()
+    return (codes.join(manufacturers.select("manufacturerid", "manufacturername").distinct(), "manufacturerid", "left")
             .select(up("phonemodelcode").alias("model"), up("manufacturername").alias("brand"))
             .distinct())
 

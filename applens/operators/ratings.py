@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from applens.sources.tables import read_table
+
 TRAINING, VALIDATION, TEST = "training", "validation", "test"
 
 
@@ -94,14 +96,11 @@ def predict(model: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def actual_vs_predicted(model: DataFrame, data: DataFrame) -> DataFrame:
-    """Actual ratings next to predictions for the same (user, item).
+    """Actual ratings next to the predictions of their items; rows whose item has none are left out.
 
-    Predictions are a function of the pair, so they are computed once per
-    distinct pair and joined back: a pair rated k times gives k rows, not k².
+    One join: a pair rated k times gives k rows.
     """
-    pairs = data.select("user_id", "item_id").distinct()
-    scored = pairs.join(model, "item_id")  # inner: unseen items have no prediction
-    return data.join(scored, ["user_id", "item_id"])
+    return data.join(model, "item_id")
 
 
 def guard_predictions(scored: DataFrame, bound: float = 1000.0) -> DataFrame:
@@ -121,14 +120,12 @@ def rmse_all_rows(model: DataFrame, data: DataFrame) -> DataFrame:
     """sqrt(sum of squared errors over predicted rows / number of ALL rows).
 
     One left join and one aggregate: rows without a prediction still count in
-    the denominator, as in the reference's hold-out score.
+    the denominator, as in the reference's hold-out score.  NULL when nothing was scored.
     """
-    pairs = data.select("user_id", "item_id").distinct().join(model, "item_id")
-    scored = data.join(pairs, ["user_id", "item_id"], "left")
     e2 = F.when(F.col("prediction").isNotNull(), squared_error())
-    return scored.agg(F.sqrt(F.coalesce(F.sum(e2), F.lit(0.0)) / F.count(F.lit(1))).alias("rmse"),
-                      F.count("prediction").alias("n_predicted"),
-                      F.count(F.lit(1)).alias("n_rows"))
+    return data.join(model, "item_id", "left").agg(
+        F.sqrt(F.try_divide(F.sum(e2), F.count(F.lit(1)))).alias("rmse"),
+        F.count("prediction").alias("n_predicted"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def rmse_predicted_rows(joined: DataFrame) -> DataFrame:
@@ -141,10 +138,11 @@ def mean_baseline(r: DataFrame, model: DataFrame) -> DataFrame:
     """Constant-mean baseline against the model on the test split.
 
     mean = avg rating of training+validation; baseline RMSE = RMSE of always
-    predicting it on test; model RMSE uses all test rows as denominator; the
-    improvement is in percent.  Everything comes out of one aggregate over
-    the ratings left-joined to the model (the baseline's squared error is
-    expanded so the mean need not be known before the pass).
+    predicting it on test; model RMSE uses all test rows as denominator and is NULL when none was
+    scored; the improvement is in percent.  Everything comes out of one
+    aggregate over the ratings left-joined to the model: the baseline's mean squared error is
+    the test ratings' variance plus the squared distance of the two means, which needs no second pass
+    and does not cancel.
     """
     r = with_bucket(r)
     scored = r.join(model, "item_id", "left")
@@ -153,16 +151,16 @@ def mean_baseline(r: DataFrame, model: DataFrame) -> DataFrame:
     test = b >= 8
     agg = scored.agg(
         F.avg(F.when(fit, x)).alias("mean_rating"),
-        F.sum(F.when(test, x)).alias("s1"),
-        F.sum(F.when(test, x * x)).alias("s2"),
+        F.avg(F.when(test, x)).alias("test_mean"),
+        F.var_pop(F.when(test, x)).alias("test_var"),
         F.count_if(test).alias("n_test"),
         F.sum(F.when(test & F.col("prediction").isNotNull(), squared_error())).alias("sse"))
     m, n = F.col("mean_rating"), F.col("n_test")
-    baseline = F.sqrt((F.col("s2") - 2 * m * F.col("s1") + n * m * m) / n)
-    model_rmse = F.sqrt(F.coalesce(F.col("sse"), F.lit(0.0)) / n)
+    baseline = F.sqrt(F.col("test_var") + (F.col("test_mean") - m) * (F.col("test_mean") - m))
+    model_rmse = F.sqrt(F.try_divide(F.col("sse"), n))
     return agg.select(m.alias("mean_rating"), baseline.alias("baseline_rmse"),
                       model_rmse.alias("model_rmse"),
-                      ((baseline - model_rmse) / baseline * 100).alias("improvement_pct"),
+                      (F.try_divide(baseline - model_rmse, baseline) * 100).alias("improvement_pct"),
                       n.alias("n_test"))
 
 
@@ -178,12 +176,12 @@ def write_rating_table(df: DataFrame, path: str) -> None:
      .partitionBy("year", "month", "day").parquet(path))
 
 
-def read_rating_day(spark: SparkSession, path: str, year: str, month: str, day: str) -> DataFrame:
-    """One day of the table, renamed to (user, app, rating, lasttimestamp).
+def read_rating_day(spark: SparkSession, source: str, year: str, month: str, day: str) -> DataFrame:
+    """One day of the table (a path or a catalogue name), renamed to (user, app, rating, lasttimestamp).
 
     The schema keeps partition values as strings, and the predicate on them
     prunes the scan to that day's directory.
     """
-    t = spark.read.schema(RATING_TABLE_DDL).parquet(path)
+    t = read_table(spark, source, RATING_TABLE_DDL)
     return (t.where((F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day))
             .select(F.col("imei").alias("user"), F.col("pkg").alias("app"), "rating", "lasttimestamp"))

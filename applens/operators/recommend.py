@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +17,8 @@ from pyspark.sql import functions as F
 GRID_THREE_WAY = {"rank": [8, 12], "reg": [0.01, 0.02, 0.1, 10.0], "iters": [10, 20]}
 GRID_TWO_WAY = {"rank": [8, 12], "reg": [0.01, 0.1, 10.0], "iters": [10, 20]}
 
+MAX_TOP = 10_000
+
 
 def make_als(rank: int = 10, max_iter: int = 10, reg: float = 0.01, seed: int = 42,
              user_col: str = "user_id", item_col: str = "item_id",
@@ -30,14 +31,21 @@ def make_als(rank: int = 10, max_iter: int = 10, reg: float = 0.01, seed: int =
     return als
 
 
-def fit(training: DataFrame, **kw) -> ALSModel:
-    """Fit ALS.  Its factor lineage is checkpointed every 10 iterations into
+def default_blocks(training: DataFrame) -> int:
+    """Blocks for as many tasks as the session runs at once (at least ALS's own 10)."""
+    return max(10, training.sparkSession.sparkContext.defaultParallelism)
+
+
+def fit(training: DataFrame, blocks: int | None = None, **kw) -> ALSModel:
+    """Fit ALS over ``blocks`` user and item blocks (see :func:`default_blocks`).
+
+    Its factor lineage is checkpointed every 10 iterations into
     the shared checkpoint folder, so a lost executor costs at most the
     iterations since the last checkpoint instead of the whole fit."""
     from applens.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(training.sparkSession)
-    return make_als(**kw).fit(training)
+    return make_als(blocks=blocks or default_blocks(training), **kw).fit(training)
 
 
 def score(model: ALSModel, data: DataFrame, bound: float = 1000.0) -> DataFrame:
@@ -46,20 +54,22 @@ def score(model: ALSModel, data: DataFrame, bound: float = 1000.0) -> DataFrame:
     return model.transform(data).where(F.col("prediction") < bound)
 
 
+def _squared_error():
+    return (F.col("rating") - F.col("prediction")) ** 2
+
+
 def rmse(predictions: DataFrame) -> float | None:
-    if predictions.isEmpty():
-        return None
-    return RegressionEvaluator(metricName="rmse", labelCol="rating",
-                               predictionCol="prediction").evaluate(predictions)
+    """RMSE of scored rows; None if there are none."""
+    mean = predictions.agg(F.avg(_squared_error())).first()[0]
+    return None if mean is None else float(mean) ** 0.5
 
 
-def rmse_over_all(model: ALSModel, data: DataFrame) -> float:
-    """RMSE with the number of ALL rows as denominator (unscored rows count)."""
+def rmse_over_all(model: ALSModel, data: DataFrame) -> float | None:
+    """RMSE with the number of ALL rows as denominator (unscored rows count); None if none was scored."""
     row = (model.transform(data)
-           .agg(F.sum(F.when(~F.isnan("prediction"),
-                             (F.col("rating") - F.col("prediction")) ** 2)).alias("sse"),
+           .agg(F.sum(F.when(~F.isnan("prediction"), _squared_error())).alias("sse"),
                 F.count(F.lit(1)).alias("n")).first())
-    return float(((row["sse"] or 0.0) / row["n"]) ** 0.5) if row["n"] else float("nan")
+    return None if row["sse"] is None else float((row["sse"] / row["n"]) ** 0.5)
 
 
 @dataclass
@@ -74,14 +84,15 @@ class GridResult:
 
 def grid_search(training: DataFrame, validation: DataFrame, grid: dict,
                 all_rows_denominator: bool = False, seed: int = 42,
-                parallelism: int = 1) -> GridResult:
+                parallelism: int = 1, blocks: int | None = None) -> GridResult:
     """rank -> regParam -> maxIter order; first strictly smaller RMSE wins.
 
     ``parallelism`` > 1 submits that many fits at once from driver threads
     (each fit is its own distributed job; a large cluster runs them side by
-    side); the winner is still chosen in grid order.  Inputs are cached for
-    the search and released after.  Raises if no setting produced a finite
-    RMSE (e.g. no overlap between the splits) instead of returning nothing.
+    side); the winner is still chosen in grid order.  Only the best model so far is
+    kept: Spark releases the factors of the others once nothing refers to them.
+    Inputs are cached for the search and released after.  A setting that scored nothing never wins; raises if no
+    setting produced a finite RMSE (e.g. no overlap between the splits) instead of returning nothing.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -91,31 +102,42 @@ def grid_search(training: DataFrame, validation: DataFrame, grid: dict,
 
     def run(setting):
         rank, reg, iters = setting
-        model = fit(training, rank=rank, reg=reg, max_iter=iters, seed=seed)
+        model = fit(training, rank=rank, reg=reg, max_iter=iters, seed=seed, blocks=blocks)
         r = (rmse_over_all(model, validation) if all_rows_denominator
              else rmse(score(model, validation)))
         return model, r
 
+    best, trials = None, []
     try:
-        if parallelism > 1:
-            with ThreadPoolExecutor(max_workers=parallelism) as pool:
-                results = list(pool.map(run, settings))
-        else:
-            results = [run(x) for x in settings]
-        best, trials = None, []
-        for (rank, reg, iters), (model, r) in zip(settings, results):
-            trials.append((rank, reg, iters, r))
-            if r is not None and r == r and (best is None or r < best.rmse):
-                best = GridResult(model, rank, reg, iters, r, trials)
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            for at in range(0, len(settings), parallelism):
+                here = settings[at:at + parallelism]
+                for (rank, reg, iters), (model, r) in zip(here, pool.map(run, here)):
+                    trials.append((rank, reg, iters, r))
+                    if r is not None and r == r and (best is None or r < best.rmse):
+                        best = GridResult(model, rank, reg, iters, r, trials)
         if best is None:
             raise ValueError("no grid setting produced a finite validation RMSE")
-        best.trials = trials
         return best
     finally:
         training.unpersist()
         validation.unpersist()
 
 
+def score_for_user(model: ALSModel, user_id: int, items: DataFrame, bound: float = 1000.0) -> DataFrame:
+    """(item_id, prediction) of one user for ``items`` (item_id) that the model knows; empty for an unknown user.
+
+    The user's factors are one row of ``rank`` numbers; they become a literal, and each item's
+    score is its dot product with them: a scan of the item factors and an equi-join with the items.
+    """
+    row = model.userFactors.where(F.col("id") == user_id).first()
+    known = model.itemFactors if row else model.itemFactors.limit(0)
+    mine = F.array(*[F.lit(float(x)) for x in (row["features"] if row else [])]).cast("array<double>")
+    dot = F.aggregate(F.zip_with("features", mine, lambda a, b: a.cast("double") * b), F.lit(0.0), lambda s, x: s + x)
+    return (known.select(F.col("id").alias("item_id"), dot.alias("prediction"))
+            .join(items.select("item_id").distinct(), "item_id").where(F.col("prediction") < bound))
+
+
 def unrated_candidates(items: DataFrame, rated: DataFrame, user_id: int) -> DataFrame:
     """(user, item) for every catalogue item the user has not rated."""
     seen = rated.where(F.col("user_id") == user_id).select("item_id")
@@ -128,8 +150,11 @@ def top_n(scored: DataFrame, items: DataFrame, n: int = 50,
     """Best ``n`` scored candidates with names and a ``%2d: name`` listing.
 
     ``orderBy(...).limit(n)`` plans as a distributed top-k (each task keeps
-    ``n`` rows); naming and numbering happen on those ``n`` rows only.
+    ``n`` rows); naming and numbering happen on those ``n`` rows only, in one task: ``n`` is a
+    list for a person to read, at most MAX_TOP.
     """
+    if n > MAX_TOP:
+        raise ValueError(f"top_n lists at most {MAX_TOP} items; sort the scores instead")
     top = (scored.where(~F.isnan(score_col) & F.col(score_col).isNotNull())
            .orderBy(F.col(score_col).desc(), F.col("item_id").asc()).limit(n))
     # The <= n chosen rows are broadcast (bounded by the limit) and the item
@@ -146,6 +171,3 @@ def top_n(scored: DataFrame, items: DataFrame, n: int = 50,
                          F.col("_e.name").alias("name"), F.col(f"_e.{score_col}").alias(score_col),
                          F.format_string("%2d: %s", F.col("_pos") + 1, F.col("_e.name")).alias("listing"))
 
-
-def recommend_for_all_users(model: ALSModel, n: int = 50) -> DataFrame:
-    return model.recommendForAllUsers(n)

@@ -15,8 +15,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from applens.operators.kv import KV_FIELDS
+
+try:  # ship this module's helper with the UDF so executors need no install
+    import sys as _sys
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, KeyError):  # pragma: no cover
+    pass
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -81,21 +92,8 @@ def events_source(d: Dialect) -> str:
     return f"(SELECT *, {', '.join(_event_base_exprs(d))} FROM events)"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the scan has fewer splits than
-    cores (e.g. one file with one row group), so the per-row parsing that
-    follows is not confined to one task.  Inputs that already arrive in
-    enough splits (any large table) are left as they are."""
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session has no RDD view)
-        return df
-    return df.repartition(parallelism) if splits < parallelism else df
-
-
 def events_base(spark, sf_dir) -> DataFrame:
-    return spread(table(spark, sf_dir, "events")).selectExpr("*", *_event_base_exprs(SPARK))
+    return table(spark, sf_dir, "events").selectExpr("*", *_event_base_exprs(SPARK))
 
 
 def _select(d: Dialect, exprs: list[tuple[str, str]]) -> list[str]:
@@ -113,10 +111,24 @@ def cte(d: Dialect, name: str, exprs: list[tuple[str, str]], source: str,
 # R: ratings, one per event: (user, item = props.k, rating = value, epoch secs)
 
 def ratings_exprs(d: Dialect) -> list[tuple[str, str]]:
+    """Some items occur only in seconds ending in 6 and 7 (the validation split), so no training row has them."""
+    secs = d.idiv("ms_", "1000")
     return [("user_id", "CAST(user_id AS INT)"),
-            ("item_id", "k_"),
+            ("item_id", f"CASE WHEN {secs} % 10 IN (6, 7) AND event_id % 11 = 0 THEN k_ + 100 ELSE k_ END"),
             ("rating", "value"),
-            ("ts", d.idiv("ms_", "1000"))]
+            ("ts", secs)]
+
+
+def personal_exprs(d: Dialect) -> list[tuple[str, str]]:
+    """Ratings of which some are 0 or below: seen, but not rated."""
+    return [("user_id", "CAST(user_id AS INT)"), ("item_id", "k_"),
+            ("rating", "CASE WHEN event_id % 7 = 0 THEN CAST(0 AS DOUBLE) WHEN event_id % 13 = 0 THEN -value ELSE value END")]
+
+
+def personal_lines(spark, sf_dir) -> DataFrame:
+    """``user::item::rating`` lines (column ``value``) of :func:`personal_exprs`."""
+    r = events_base(spark, sf_dir).selectExpr(*_select(SPARK, personal_exprs(SPARK)))
+    return r.select(F.concat_ws("::", *[F.col(c).cast("string") for c in ("user_id", "item_id", "rating")]).alias("value"))
 
 
 def ratings(spark, sf_dir) -> DataFrame:
@@ -163,12 +175,6 @@ def _app(d: Dialect, offset: int) -> str:
 # K: key-value device reports, one per event.  rowkey = md5(event_id) + yyyyMMdd
 # + user id; the report fields are strings (some blank, some NULL).
 
-KV_FIELDS = ["source", "processType", "serverIp", "optTime", "serviceProvider",
-             "netType", "firstImei", "secondImei", "thirdImei", "channelNumber",
-             "flag", "phoneBrand", "phoneModel", "appList", "counterPkg",
-             "counterCrc32", "longitude", "latitude", "simStatus", "simSequence",
-             "identity", "arriveTimes", "acceptTimestamp"]
-
 KV_EXTRA_FIELDS = ["packagelist", "cdate"]
 
 
@@ -238,6 +244,30 @@ def kv_expected_apps(d: Dialect) -> str:
         ELSE {pa} || ',' || {app0} END"""
 
 
+def routed_exprs(d: Dialect) -> list[tuple[str, str]]:
+    """Routes and lines of which some are blank in one way or another."""
+    return [("route", f"""CASE WHEN event_id % 13 = 0 THEN ' ' WHEN event_id % 17 = 0 THEN '' WHEN event_id % 19 = 0 THEN NULL
+                ELSE {d.fmt('ts', 'yyyy/MM/dd/')} END"""),
+            ("line", f"CASE WHEN event_id % 23 = 0 THEN '   ' WHEN event_id % 29 = 0 THEN NULL ELSE {d.s('event_id')} END")]
+
+
+def routed_lines(spark, sf_dir) -> DataFrame:
+    return events_base(spark, sf_dir).selectExpr(*_select(SPARK, routed_exprs(SPARK)))
+
+
+@F.pandas_udf(StringType())
+def hide_text(texts: pd.Series) -> pd.Series:
+    """What a device sends for an app list: ``n`` and the hex of each UTF-16 unit, cut into
+    chunks of max(3, length % 7) characters that are each written backwards.  Written character by character,
+    apart from the library's decoder, which it serves to test."""
+    def hide(text: str) -> str:
+        raw = text.encode("utf-16-be")
+        units = "".join(f"n{raw[i] * 256 + raw[i + 1]:x}" for i in range(0, len(raw), 2))
+        width = max(3, len(units) % 7)
+        return "".join(units[i:i + width][::-1] for i in range(0, len(units), width))
+    return texts.map(hide, na_action="ignore")
+
+
 # ---------------------------------------------------------------------------
 # id list for prefix lookups: device-id prefixes of 3 to 5 hex chars, some blank
 
@@ -417,14 +447,12 @@ def arrival_app_exprs(d: Dialect) -> list[tuple[str, str]]:
 
 def arrivals(spark, sf_dir) -> DataFrame:
     """``firstimei, secondimei, thirdimei, applist ARRAY<STRUCT<signcrc32,pkg,appname>>,
-    arrivetimes, year, month, day`` — one row per order and block of up to 64
-    lines (one row with a NULL list for an order without lines)."""
-    parents = spread(table(spark, sf_dir, "orders")).selectExpr(*_select(SPARK, arrival_parent_exprs(SPARK)))
-    apps = (spread(table(spark, sf_dir, "lineitem"))
+    arrivetimes, year, month, day`` — one row per order, with all its lines (a
+    NULL list for an order without lines)."""
+    parents = table(spark, sf_dir, "orders").selectExpr(*_select(SPARK, arrival_parent_exprs(SPARK)))
+    apps = (table(spark, sf_dir, "lineitem")
             .selectExpr(*_select(SPARK, arrival_app_exprs(SPARK)))
-            # at most 64 lines per nested list: an order with very many lines
-            # becomes several report rows instead of one unbounded group
-            .groupBy("l_orderkey", (F.col("l_linenumber") / 64).cast("int").alias("_chunk"))
+            .groupBy("l_orderkey")
             .agg(F.transform(
                 F.array_sort(F.collect_list(F.struct("l_linenumber", "signcrc32", "pkg", "appname"))),
                 lambda e: F.struct(e["signcrc32"].alias("signcrc32"), e["pkg"].alias("pkg"),

@@ -7,9 +7,8 @@ caller; nothing is hard-coded.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from applens.functions.text import is_not_blank
+from applens.operators.models import known_models
 
 
 def read_range_partitioned(spark: SparkSession, url: str, table: str, column: str,
@@ -38,22 +37,20 @@ def read_query(spark: SparkSession, url: str, query: str, props: dict | None = N
     return reader.load()
 
 
-KNOWN_MODELS_SQL = (
-    "SELECT a.phonemodelcode AS model, b.manufacturername AS brand "
-    "FROM {models} a LEFT JOIN {makers} b ON a.manufacturerid = b.manufacturerid "
-    "GROUP BY a.phonemodelcode, b.manufacturername")
-
-
 def read_known_models(spark: SparkSession, url: str, models_table: str, makers_table: str,
-                      props: dict | None = None) -> DataFrame:
-    """Catalogue (model, manufacturer) pairs joined and de-duplicated by the DB."""
-    raw = read_query(spark, url, KNOWN_MODELS_SQL.format(models=models_table, makers=makers_table), props)
-    return _normalise(raw)
+                      columns: dict[str, str] | None = None, props: dict | None = None) -> DataFrame:
+    """Catalogue (model, manufacturer) pairs from the two tables of a database.
+
+    ``columns`` maps ``phonemodelcode``, ``manufacturerid`` and ``manufacturername`` to
+    other names.  Only these columns are read; the join and its rules are :func:`applens.operators.models.known_models`.
+    """
+    names = {c: c for c in ("phonemodelcode", "manufacturerid", "manufacturername")} | (columns or {})
 
+    def pairs(table: str, code: str) -> DataFrame:
+        sql = f"SELECT DISTINCT {names[code]}, {names['manufacturerid']} FROM {table}"
+        return read_query(spark, url, sql, props).toDF(code, "manufacturerid")
 
-def _normalise(raw: DataFrame) -> DataFrame:
-    up = lambda c: F.when(is_not_blank(c), F.upper(c)).otherwise(F.col(c))
-    return raw.select(up("model").alias("model"), up("brand").alias("brand")).distinct()
+    return known_models(pairs(models_table, "phonemodelcode"), pairs(makers_table, "manufacturername"))
 
 
 def append(df: DataFrame, url: str, table: str, props: dict | None = None) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,7 +43,7 @@ def parse_delimited_ratings(lines: DataFrame, sep: str = "::", fields: int = 4,
     rating file should.  With a timestamp the ``bucket`` column is its last
     decimal digit, the key of the deterministic splits.
     """
-    parts = F.split(F.col(value_col), sep.replace("|", "\\|"))
+    parts = F.split(F.col(value_col), re.escape(sep))
     out = [F.element_at(parts, i + 1).cast(t).alias(n)
            for i, (n, t) in enumerate(zip(RATING_COLUMNS[:fields], RATING_TYPES[:fields]))]
     df = lines.select(*out)
@@ -52,36 +54,45 @@ def parse_delimited_ratings(lines: DataFrame, sep: str = "::", fields: int = 4,
 
 def read_ratings(spark: SparkSession, path: str, sep: str = "::", fields: int = 4,
                  strict_width: bool = False) -> DataFrame:
-    """Rating text files.  ``strict_width`` also rejects lines with a different
-    number of fields (the comma format requires exactly three)."""
+    """Rating text files.  ``strict_width`` also fails the job on a line with a different
+    number of fields (the comma format requires exactly three), in the same pass."""
+    if strict_width:
+        parts = F.split("value", re.escape(sep))
+        n = F.size(parts)
+        checked = F.when(n == fields, F.col("value")).otherwise(
+            F.raise_error(F.concat(F.lit(f"{path}: not {fields} fields: "), F.col("value"))))
+        return parse_delimited_ratings(read_lines(spark, path).select(checked.alias("value")), sep, fields)
     ddl = ", ".join(f"{n} {t}" for n, t in zip(RATING_COLUMNS[:fields], RATING_TYPES[:fields]))
     df = (spark.read.schema(ddl).option("sep", sep).option("mode", "FAILFAST")
           .option("enforceSchema", "true").csv(path))
-    if strict_width:
-        # the CSV reader pads short lines with NULL and drops extras silently
-        raw = spark.read.text(path)
-        widths = raw.select(F.size(F.split("value", sep.replace("|", "\\|"))).alias("w"))
-        bad = widths.where(F.col("w") != fields).limit(1).count()
-        if bad:
-            raise ValueError(f"{path}: a line does not have exactly {fields} fields")
     if fields >= 4:
         df = df.withColumn("bucket", F.col("ts") % 10)
     return df
 
 
+def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Text file(s) -> ``value`` and ``pos``, which orders lines as they lie: by file path, then by
+    the split's place in the file, then by the line's place in the split."""
+    meta = F.col("_metadata")
+    # a split's lines keep their order, and so does the id that numbers them
+    return spark.read.text(path).select("value", F.struct(
+        meta["file_path"].alias("file"), meta["file_block_start"].alias("block"),
+        F.monotonically_increasing_id().alias("line")).alias("pos"))
+
+
 def parse_items(lines: DataFrame, sep: str = "::", value_col: str = "value",
-                dedupe: bool = True) -> DataFrame:
+                dedupe: bool = True, pos_col: str | None = None) -> DataFrame:
     """``item<sep>name[<sep>...]`` -> (item_id, name).
 
-    A repeated id keeps its last line (map semantics).  Line order is the
-    order of ``monotonically_increasing_id`` (partition, then position), which
-    follows the file splits; the dimension stays distributed and is reduced
+    A repeated id keeps its last line (map semantics) by ``pos_col`` (see
+    :func:`read_ordered_lines`); without one, lines are taken in the order of the
+    frame's partitions.  The dimension stays distributed and is reduced
     with ``max_by`` (partial aggregation map-side).
     """
-    parts = F.split(F.col(value_col), sep.replace("|", "\\|"))
+    parts = F.split(F.col(value_col), re.escape(sep))
+    pos = F.col(pos_col) if pos_col else F.monotonically_increasing_id()
     items = lines.select(F.element_at(parts, 1).cast("int").alias("item_id"),
-                         F.element_at(parts, 2).alias("name"),
-                         F.monotonically_increasing_id().alias("_pos"))
+                         F.element_at(parts, 2).alias("name"), pos.alias("_pos"))
     if not dedupe:
         return items.drop("_pos")
     return items.groupBy("item_id").agg(F.max_by("name", "_pos").alias("name"))

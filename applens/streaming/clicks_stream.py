@@ -38,12 +38,29 @@ def read_click_source(spark: SparkSession, kind: str = "text", path: str | None
 
 def start_click_etl(source: DataFrame, out_root: str, checkpoint: str,
                     trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False,
-                    compression: str | None = None, query_name: str | None = None) -> StreamingQuery:
-    routed = route_columns(click_lines(parse_click_lines(source)))
+                    compression: str | None = None, query_name: str | None = None,
+                    zone: str = "UTC") -> StreamingQuery:
+    """Readable reports, filed under their receive day in ``zone``."""
+    routed = route_columns(click_lines(parse_click_lines(source, zone=zone)))
     w = (routed.select("line", "year", "month", "day").writeStream
          .format("text").outputMode("append")
          .option("path", out_root).option("checkpointLocation", checkpoint)
          .partitionBy("year", "month", "day"))
+    return _start(w, trigger, available_now, compression, query_name)
+
+
+def start_click_rejects(source: DataFrame, out_root: str, checkpoint: str,
+                        trigger: str | None = DEFAULT_TRIGGER, available_now: bool = False,
+                        compression: str | None = None, query_name: str | None = None) -> StreamingQuery:
+    """Quarantine: the raw lines that the other stream leaves out, under ``reject=<reason>``, by a query of its own."""
+    parsed = parse_click_lines(source.select("value", F.col("value").alias("_line")), keep=["_line"])
+    rejects = parsed.where(~F.col("ok")).select(F.col("_line").alias("value"), "reject")
+    w = (rejects.writeStream.format("text").outputMode("append")
+         .option("path", out_root).option("checkpointLocation", checkpoint).partitionBy("reject"))
+    return _start(w, trigger, available_now, compression, query_name)
+
+
+def _start(w, trigger: str | None, available_now: bool, compression: str | None, query_name: str | None) -> StreamingQuery:
     if compression:
         w = w.option("compression", compression)
     if query_name:
