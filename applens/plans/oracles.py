@@ -2,13 +2,14 @@
 
 Derived inputs come from the same expression lists as the Spark side
 (``applens.sources.derived`` rendered in the DuckDB dialect); the work on top
-of them is written independently in plain SQL.  ALS queries have no oracle
-(training is iterative and seeded per engine), so only their row counts are
-checked.
+of them is written independently in plain SQL.  Of the ALS queries only what
+does not depend on the solver is returned and checked.
 """
 
 from __future__ import annotations
 
+from applens.operators.kv import KV_FIELDS
+from applens.operators.recommend import GRID_TWO_WAY
 from applens.plans import queries as Q
 from applens.sources import derived as dv
 from applens.sources.derived import DUCK as D
@@ -30,8 +31,7 @@ CIDS = dv.cte(D, "ids", dv.customer_ids_exprs(D), "customer")
 PARENTS = dv.cte(D, "parents", dv.arrival_parent_exprs(D), "orders")
 APPS = dv.cte(D, "apps", dv.arrival_app_exprs(D), "lineitem")
 IDLIST = dv.cte(D, "idlist", dv.id_list_exprs(D), "customer")
-FIRST_ID = ("CASE WHEN firstimei != ' ' THEN firstimei WHEN secondimei != ' ' THEN secondimei "
-            "WHEN thirdimei != ' ' THEN thirdimei ELSE NULL END")
+FIRST_ID = "coalesce(nullif(firstimei, ' '), nullif(secondimei, ' '), nullif(thirdimei, ' '))"
 
 
 def _blank(x: str) -> str:
@@ -46,7 +46,7 @@ def _kv_for_apps() -> str:
 
 def _kv_line() -> str:
     fields = []
-    for f in dv.KV_FIELDS:
+    for f in KV_FIELDS:
         src = f"({dv.kv_expected_apps(D)})" if f == "appList" else f
         fields.append(_blank(src))
     route = "strftime(make_timestamp(CAST(acceptTimestamp AS BIGINT) * 1000), '%Y/%m/%d/')"
@@ -109,7 +109,8 @@ _ORACLES: dict[str, str] = {
             len(string_split_regex(regexp_replace(text, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n')) END) AS BIGINT)
         AS n_lines FROM documents""",
     "parse_ratings_delim": _with(R) + "SELECT user_id, item_id, rating, ts, ts % 10 AS bucket FROM ratings",
-    "personal_ratings": _with(R) + "SELECT user_id, item_id, rating FROM ratings WHERE rating > 0",
+    "personal_ratings": _with(dv.cte(D, "mine", dv.personal_exprs(D), dv.events_source(D)))
+        + f"SELECT user_id, item_id, rating FROM mine WHERE user_id = {Q.PERSONAL_USER} AND rating > 0",
     "rating_profile": _with(R) + """SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users,
         count(DISTINCT item_id) AS n_items FROM ratings""",
     "split_three_way": _with(R) + """SELECT user_id, item_id, rating, ts,
@@ -154,7 +155,9 @@ _ORACLES: dict[str, str] = {
         SELECT yyyymm, strftime(s + INTERVAL 1 MONTH, '%Y%m') AS next_month, strftime(d, '%Y') AS year,
                strftime(d, '%m') AS month, strftime(d, '%d') AS day FROM days""",
     "monthly_partition_overwrite": _with(PARENTS, APPS) + """SELECT p.year, p.month, p.day, count(*) AS n_rows
-        FROM parents p JOIN apps a ON a.l_orderkey = p.o_orderkey GROUP BY p.year, p.month, p.day""",
+        FROM parents p JOIN apps a ON a.l_orderkey = p.o_orderkey
+        WHERE NOT (p.year = '""" + Q.OVERWRITE_MONTH[:4] + """' AND p.month = '""" + Q.OVERWRITE_MONTH[4:] + """'
+                   AND CAST(p.day AS INTEGER) % 3 = 0) GROUP BY p.year, p.month, p.day""",
     "query_string_map": _with(PRE) + f"""SELECT event_id, posttime, model, brand, ver,
         CAST(3 AS INTEGER) AS n_params FROM pre WHERE {_PRE_OK}""",
     "noise_filter": _with(PRE) + f"SELECT event_id, model, brand FROM pre WHERE {_PRE_OK} AND NOT {_NOISE}",
@@ -162,19 +165,22 @@ _ORACLES: dict[str, str] = {
     "known_models": _with(_KNOWN) + "SELECT model, brand FROM known",
     "new_models": _with(PRE, _DISTINCT_MODELS, _KNOWN) + """SELECT d.model, d.brand FROM dm d
         WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.model = d.model AND k.brand = d.brand)""",
-    "malformed_rows": _with(PRE) + """SELECT event_id,
-        CASE WHEN bad_escape THEN 'bad_escape' ELSE 'bad_time' END AS reject FROM pre
-        WHERE bad_escape OR bad_time""",
+    "malformed_rows": _with(PRE, _click_cte(), KV) + """SELECT 'phone' AS kind, CAST(event_id AS VARCHAR) AS id,
+        CASE WHEN bad_escape THEN 'bad_escape' ELSE 'bad_time' END AS reject FROM pre WHERE bad_escape OR bad_time
+        UNION ALL SELECT 'click', CAST(event_id AS VARCHAR), CASE WHEN corrupt THEN 'bad_body' ELSE 'bad_app' END
+        FROM click WHERE corrupt OR truncated
+        UNION ALL SELECT 'kv', rowkey, CASE WHEN appList IS NULL THEN 'no_app_list' ELSE 'bad_time' END
+        FROM kv WHERE appList IS NULL OR acceptTimestamp = 'n/a'""",
     "gbk_url_decode": """SELECT c_custkey, c_name || ' ' || CASE c_nationkey % 3 WHEN 0 THEN '你好'
         WHEN 1 THEN '华为' ELSE '小米' END AS decoded FROM customer""",
     "kv_scan_rowkey_regex": _with(KV) + f"""SELECT rowkey, processType FROM kv
         WHERE regexp_matches(rowkey, '^.{{32}}{Q.KV_SCAN_DATE}.*$')""",
-    "kv_project": _with(KV) + f"SELECT rowkey, {', '.join(dv.KV_FIELDS)} FROM kv",
+    "kv_project": _with(KV) + f"SELECT rowkey, {', '.join(KV_FIELDS)} FROM kv",
     "kv_text_format": _with(KV) + """SELECT rowkey,
         rowkey || '|' || coalesce(packagelist, 'null') || '|' || coalesce(cdate, 'null') AS line FROM kv""",
     "delimited_line": _with(KV, _kv_for_apps(), _kv_line()) + "SELECT rowkey, route, line FROM lines",
-    "nonblank_filter": _with(KV, _kv_for_apps(), _kv_line()) + """SELECT route, count(*) AS n_lines
-        FROM lines GROUP BY route""",
+    "nonblank_filter": _with(dv.cte(D, "lines", dv.routed_exprs(D), dv.events_source(D))) + """
+        SELECT route, count(*) AS n_lines FROM lines WHERE trim(route) <> '' AND trim(line) <> '' GROUP BY route""",
     "app_token_parse": _with(KV, _kv_for_apps()) + f"""SELECT rowkey, processType,
         {dv.kv_expected_apps(D)} AS apps FROM kva WHERE appList IS NOT NULL""",
     "crc_pad": _with(KV) + "SELECT rowkey, counterCrc32 AS crc, lpad(counterCrc32, 8, '0') AS padded FROM kv",
@@ -206,8 +212,8 @@ _ORACLES: dict[str, str] = {
           SELECT p_partkey, p_name, list_reduce(
             list_transform(string_split(p_name, ''), lambda c: CAST(unicode(c) AS BIGINT)),
             lambda acc, x: (acc * 31 + x) % 4294967296, CAST(0 AS BIGINT)) AS h FROM part)""",
-    "dense_id": """SELECT p_name, CAST(dense_rank() OVER (ORDER BY p_name) AS BIGINT) AS dense_id
-        FROM (SELECT DISTINCT p_name FROM part WHERE p_name IS NOT NULL)""",
+    "dense_id": """SELECT c_name, CAST(dense_rank() OVER (ORDER BY c_name) AS BIGINT) AS dense_id
+        FROM (SELECT DISTINCT c_name FROM customer WHERE c_name IS NOT NULL)""",
     "item_name_lookup": _with(R) + """SELECT r.item_id, p.p_name AS name
         FROM (SELECT DISTINCT item_id FROM ratings) r JOIN part p ON p.p_partkey = r.item_id""",
     "unrated_candidates": _with(R) + f"""SELECT DISTINCT CAST(p_partkey AS INTEGER) AS item_id,
@@ -224,7 +230,22 @@ _ORACLES: dict[str, str] = {
     "deobfuscate_list": _with(KV) + "SELECT rowkey, appList AS text FROM kv WHERE appList IS NOT NULL",
 }
 
-NO_ORACLE = {"als_predict", "als_grid", "als_top_n"}
+_GRID = [(k, r, i) for k in GRID_TWO_WAY["rank"] for r in GRID_TWO_WAY["reg"] for i in GRID_TWO_WAY["iters"]]
+_TRAINED = "trained AS (SELECT * FROM ratings WHERE ts % 10 < 8)"
+
+_ORACLES |= {
+    "als_predict": _with(R, _TRAINED) + """SELECT v.user_id, v.item_id, v.rating, true AS usable FROM ratings v
+        WHERE v.ts % 10 >= 8 AND v.user_id IN (SELECT user_id FROM trained) AND v.item_id IN (SELECT item_id FROM trained)""",
+    "als_grid": "SELECT * FROM (VALUES " + ", ".join(
+        f"(CAST({at} AS INTEGER), CAST({k} AS INTEGER), CAST({r} AS DOUBLE), CAST({i} AS INTEGER), true, true)"
+        for at, (k, r, i) in enumerate(_GRID)) + ") AS g(place, rank, reg, iters, scored, winner_is_least)",
+    "als_top_n": _with(R, _TRAINED) + f""", scored AS (
+        SELECT DISTINCT p_partkey FROM part WHERE p_partkey IN (SELECT item_id FROM trained)
+          AND p_partkey NOT IN (SELECT item_id FROM ratings WHERE user_id = {Q.PERSONAL_USER})
+          AND EXISTS (SELECT 1 FROM trained WHERE user_id = {Q.PERSONAL_USER}))
+        SELECT CAST(r.range AS INTEGER) AS rank, n AS n_scored, true AS unrated, true AS ordered
+        FROM (SELECT count(*) AS n FROM scored) s, range(1, {Q.TOP_N} + 1) r WHERE r.range <= n""",
+}
 
 
 def oracles() -> dict[str, str]:

@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from applens.functions import codes, dates, tokens
@@ -20,7 +19,7 @@ from applens.functions.text import java_split
 from applens.operators import arrivals as arr
 from applens.operators import clicks as clk
 from applens.operators import ids, kv, lookup, models, ratings as rt, recommend
-from applens.session import ensure_runtime_conf, scratch_path
+from applens.session import pinned, remove_path, scratch_path
 from applens.sources import derived as dv
 from applens.sources import text as txt
 
@@ -58,8 +57,8 @@ def q_parse_ratings_delim(spark, sf):
 
 
 def q_personal_ratings(spark, sf):
-    lines = dv.ratings_lines(spark, sf, fields=3)
-    return txt.parse_delimited_ratings(lines, fields=3).where(F.col("rating") > 0)
+    lines = dv.personal_lines(spark, sf)
+    return rt.personal(txt.parse_delimited_ratings(lines, fields=3), PERSONAL_USER)
 
 
 def q_rating_profile(spark, sf):
@@ -142,10 +141,19 @@ def _rating_table(spark, sf):
                      *dates.route_parts(ms))
 
 
+def _from_stored(spark, name, write, read) -> DataFrame:
+    """What ``read`` takes from a table that ``write`` stores in the shared folder, which is removed again."""
+    path = scratch_path(spark, name)
+    try:
+        write(path)
+        return pinned(read(path))
+    finally:
+        remove_path(spark, path)
+
+
 def q_partition_scan(spark, sf):
-    path = scratch_path(spark, "rating-table")
-    rt.write_rating_table(_rating_table(spark, sf), path)
-    return rt.read_rating_day(spark, path, *SCAN_DAY)
+    return _from_stored(spark, "rating-table", lambda p: rt.write_rating_table(_rating_table(spark, sf), p),
+                        lambda p: rt.read_rating_day(spark, p, *SCAN_DAY))
 
 
 def q_first_nonblank_id(spark, sf):
@@ -163,24 +171,23 @@ def q_month_days(spark, sf):
 
 
 def q_monthly_partition_overwrite(spark, sf):
-    path = scratch_path(spark, "app-detail")
-    # the derived nested input is rebuilt from line items on every use (a
-    # stored table would just be scanned), so keep it for the three passes
-    source = dv.arrivals(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        arr.write_app_detail(spark, arr.explode_app_detail(source), path)
-        month = arr.explode_app_detail(source, OVERWRITE_MONTH)
-        arr.write_app_detail(spark, month, path, replace_whole_month=OVERWRITE_MONTH)
-    finally:
-        source.unpersist()
-    return (arr.read_app_detail(spark, path).groupBy("year", "month", "day")
-            .agg(F.count(F.lit(1)).alias("n_rows")))
+    """All days are written; then one month is rewritten whole from reports of which those of every third day are gone."""
+    def write(path):
+        source, detail = f"{path}/reports", f"{path}/detail"
+        dv.arrivals(spark, sf).write.parquet(source)
+        reports = arr.read_arrivals(spark, source)
+        arr.write_app_detail(spark, arr.explode_app_detail(reports), detail)
+        fewer = reports.where(F.col("day").cast("int") % 3 != 0)
+        arr.write_app_detail(spark, arr.explode_app_detail(fewer, OVERWRITE_MONTH), detail, replace_whole_month=OVERWRITE_MONTH)
+
+    return _from_stored(spark, "app-detail", write,
+                        lambda p: arr.read_app_detail(spark, f"{p}/detail").groupBy("year", "month", "day")
+                        .agg(F.count(F.lit(1)).alias("n_rows")))
 
 
 # -- phone models -------------------------------------------------------------------
 
 def _reports(spark, sf):
-    ensure_runtime_conf(spark)
     return models.parse_reports(dv.preinstall_lines(spark, sf))
 
 
@@ -212,7 +219,12 @@ def q_new_models(spark, sf):
 
 
 def q_malformed_rows(spark, sf):
-    return models.rejected(_reports(spark, sf)).select("event_id", "reject")
+    """Quarantined rows of all three kinds of report, with their reasons."""
+    reports = models.rejected(_reports(spark, sf)).select(F.lit("phone").alias("kind"), F.col("event_id").cast("string").alias("id"), "reject")
+    parsed = clk.parse_click_lines(dv.click_lines(spark, sf))
+    clicks = clk.click_rejects(parsed, ["event_id"]).select(F.lit("click").alias("kind"), F.col("event_id").cast("string").alias("id"), "reject")
+    keyed = kv.rejected_reports(dv.kv_table(spark, sf)).select(F.lit("kv").alias("kind"), F.col("rowkey").alias("id"), "reject")
+    return reports.unionAll(clicks).unionAll(keyed)
 
 
 def q_gbk_url_decode(spark, sf):
@@ -227,8 +239,11 @@ def q_gbk_url_decode(spark, sf):
 # -- key-value export -------------------------------------------------------------------
 
 def q_kv_scan_rowkey_regex(spark, sf):
-    t = kv.rowkey_date_filter(dv.kv_table(spark, sf), KV_SCAN_DATE, regex=True)
-    return t.select("rowkey", F.col("scf")["processType"].alias("processType"))
+    def read(path):
+        t = kv.rowkey_date_filter(kv.read_kv_table(spark, path), KV_SCAN_DATE, regex=True)
+        return t.select("rowkey", F.col("scf")["processType"].alias("processType"))
+
+    return _from_stored(spark, "kv", lambda p: kv.write_kv_table(dv.kv_table(spark, sf), p), read)
 
 
 def q_kv_project(spark, sf):
@@ -244,7 +259,7 @@ def q_delimited_line(spark, sf):
 
 
 def q_nonblank_filter(spark, sf):
-    lines = kv.report_lines(dv.kv_table(spark, sf))
+    lines = kv.nonblank(dv.routed_lines(spark, sf))
     return lines.groupBy("route").agg(F.count(F.lit(1)).alias("n_lines"))
 
 
@@ -308,7 +323,7 @@ def q_java_hash_id(spark, sf):
 
 
 def q_dense_id(spark, sf):
-    return ids.dense_index(dv.table(spark, sf, "part"), "p_name")
+    return ids.dense_index(dv.table(spark, sf, "customer"), "c_name")
 
 
 # -- items and recommendations -------------------------------------------------------------------
@@ -351,12 +366,11 @@ def q_packed_geo(spark, sf):
 
 def q_deobfuscate_list(spark, sf):
     p = kv.project(dv.kv_table(spark, sf), ["appList"]).where(F.col("appList").isNotNull())
-    hidden = codes.with_obfuscated(p.select("rowkey", "appList"), F.translate("appList", ".;", "@*"),
-                                   "hidden").select("rowkey", "hidden")
+    hidden = p.select("rowkey", dv.hide_text(F.translate("appList", ".;", "@*")).alias("hidden"))
     return codes.with_deobfuscated(hidden, "hidden", "text").select("rowkey", "text")
 
 
-# -- ALS (rows-only checks) -------------------------------------------------------------------
+# -- ALS: what does not depend on the solver is checked against SQL -------------------------------------------------------------------
 
 def _als_inputs(spark, sf):
     r = _ratings(spark, sf)
@@ -365,25 +379,35 @@ def _als_inputs(spark, sf):
 
 
 def q_als_predict(spark, sf):
+    """Validation rows that get a usable prediction: those whose user and item were trained on."""
     _, training, validation = _als_inputs(spark, sf)
     model = recommend.fit(training, rank=8, reg=0.1, max_iter=10)
-    return model.transform(validation).select("user_id", "item_id", "rating", "prediction")
+    return recommend.score(model, validation).select("user_id", "item_id", "rating", (F.abs("prediction") < 1000).alias("usable"))
 
 
 def q_als_grid(spark, sf):
+    """The settings in grid order, whether each was scored, and whether the winner is the first of the least errors."""
     _, training, validation = _als_inputs(spark, sf)
     res = recommend.grid_search(training, validation, recommend.GRID_TWO_WAY, parallelism=4)
-    rows = [(rk, rg, it, r, (rk, rg, it) == (res.rank, res.reg, res.iters))
-            for rk, rg, it, r in res.trials]
-    return spark.createDataFrame(rows, "rank int, reg double, iters int, rmse double, best boolean")
+    least = min((r, i) for i, (_, _, _, r) in enumerate(res.trials))
+    winner = res.trials[least[1]][:3] == (res.rank, res.reg, res.iters) and least[0] == res.rmse
+    rows = [(i, rk, rg, it, r > 0, winner) for i, (rk, rg, it, r) in enumerate(res.trials)]
+    return spark.createDataFrame(rows, "place int, rank int, reg double, iters int, scored boolean, winner_is_least boolean")
 
 
 def q_als_top_n(spark, sf):
+    """Ranks of the listed items, how many were scored, and whether each is unrated and no better than the one before."""
     r, training, _ = _als_inputs(spark, sf)
     model = recommend.fit(training, rank=8, reg=0.1, max_iter=10)
     items = _items(spark, sf)
     cands = recommend.unrated_candidates(items, r, PERSONAL_USER)
-    return recommend.top_n(model.transform(cands), items, TOP_N)
+    scored = recommend.score_for_user(model, PERSONAL_USER, cands)
+    top = recommend.top_n(scored, items, TOP_N)
+    mine = r.where(F.col("user_id") == PERSONAL_USER).select("item_id").distinct().withColumn("rated", F.lit(True))
+    best_first = F.coalesce(F.col("prediction") <= F.lag("prediction").over(Window.orderBy("rank")), F.lit(True))
+    n_scored = F.lit(scored.count()).alias("n_scored")
+    return (top.withColumn("ordered", best_first).join(mine, "item_id", "left")
+            .select("rank", n_scored, F.col("rated").isNull().alias("unrated"), "ordered"))
 
 
 QUERIES: dict[str, Query] = {
