@@ -37,8 +37,6 @@ def test_first_nonblank_id(spark):
 
 
 def test_url_decode_gbk(spark):
-    from applens.session import ensure_runtime_conf
-    ensure_runtime_conf(spark)
     cases = [("model=%C4%E3%BA%C3+x", "model=你好 x"), ("a%26b", "a&b"), ("%2B", "+"),
              ("bad%zz", None), ("trail%4", None), ("plain", "plain")]
     df = spark.createDataFrame(cases, "s string, e string")
@@ -46,17 +44,14 @@ def test_url_decode_gbk(spark):
         assert got == exp
 
 
-def test_query_string_entries(spark):
-    cases = ["XX=&YY=c", "XX", "a=b=c", "k=1&k=2", "=", "a=1&&b=2", "model=x&"]
+def test_query_string_map_and_values(spark):
+    cases = ["XX=&YY=c", "XX", "a=b=c", "k=1&k=2", "a=1&&b=2", "model=x&", "k=1&j=0&k="]
     df = spark.createDataFrame([(c,) for c in cases], "s string")
-    e = qs.qs_entries("s")
-    got = rows(df.select(e, qs.qs_get(e, "XX"), qs.qs_get(e, "a"), qs.qs_get(e, "k"), qs.qs_get(e, "zz")))
-    as_pairs = [None if r[0] is None else [(x["k"], x["v"]) for x in r[0]] for r in got]
-    assert as_pairs == [[("XX", ""), ("YY", "c")], [("XX", "")], [("a", "b")], [("k", "1"), ("k", "2")],
-                        None, [("a", "1"), ("", ""), ("b", "2")], [("model", "x")]]
-    assert [r[1:] for r in got][3] == ("", "", "2", "")   # last duplicate wins
-    assert got[0][1] == "" and got[2][2] == "b"
-
+    got = [r[0] for r in rows(df.select(qs.qs_map("s")))]
+    assert got == [{"XX": "", "YY": "c"}, {"XX": ""}, {"a": "b"}, {"k": "2"}, {"a": "1", "b": "2"}, {"model": "x"},
+                   {"j": "0", "k": ""}]
+    assert [r[0] for r in rows(df.select(qs.qs_value("s", "k")))] == ["", "", "", "2", "", "", ""]
+    assert rows(df.select(qs.qs_invalid("s")))[0][0] is False
 
 def test_noise_filter(spark):
     df = spark.createDataFrame([("ECONOMY ERR", "OR#5"), ("A", "B"), ("", "B"), ("x adb", "y"),
@@ -141,10 +136,83 @@ def test_deobfuscate_round_trip(spark):
     texts = ["com.a.b;com.c", "x", "a" * 50, "包名.应用;x", "12,34;56"]
     df = spark.createDataFrame([(t, _py_obfuscate(t.replace(".", "@").replace(";", "*"))) for t in texts],
                                "t string, o string")
-    got = rows(df.select("t", codes.deobfuscate("o"),
-                         codes.deobfuscate(codes.obfuscate(F.translate("t", ".;", "#%")))))
-    for t, a, b in got:
-        assert a == t and b == t
+    for t, a in rows(df.select("t", codes.deobfuscate("o"))):
+        assert a == t
+
+
+def test_fixture_encoder_agrees_with_the_tests_own(spark):
+    from applens.sources.derived import hide_text
+    texts = ["com.a.b;com.c", "x", "a" * 50, "包名😀", "12,34;56\u0001", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    utf16 = lambda t: [int.from_bytes(t.encode("utf-16-be")[i:i + 2], "big") for i in range(0, 2 * len(t.encode("utf-16-be")) // 2, 2)]
+    for t, h, back in rows(df.select("t", hide_text("t"), codes.deobfuscate(hide_text("t")))):
+        plain = "".join(f"n{u:x}" for u in utf16(t))
+        w = max(len(plain) % 7, 3)
+        assert h == "".join(plain[i:i + w][::-1] for i in range(0, len(plain), w))
+        assert back == (t or None)
+
+
+def test_lone_surrogates_do_not_abort(spark):
+    def hide(units):
+        w = max(len(units) % 7, 3)
+        return "".join(units[i:i + w][::-1] for i in range(0, len(units), w))
+    cases = [("nd800", "\ufffd"), ("n61ndc00n62", "a\ufffdb"), ("nd83dnde00", "😀"), ("nd83dnd83dnde00n63", "\ufffd😀c")]
+    df = spark.createDataFrame([(hide(u), e) for u, e in cases], "o string, e string")
+    for got, want in rows(df.select(codes.deobfuscate("o"), "e")):
+        assert got == want
+
+
+def test_split_keeps_control_characters(spark):
+    from applens.functions.text import java_split
+    df = spark.createDataFrame([("a;\u0002;b;;",), (";;",), ("",), (None,), ("\u0002",)], "s string")
+    assert [r[0] for r in rows(df.select(java_split("s", ";")))] == [["a", "\u0002", "b"], [], [""], None, ["\u0002"]]
+
+
+def test_times_that_are_no_dates_become_null(spark):
+    cases = [("9223372036854775.807", None), ("1600000000.250", "2020/09/13/"), ("-62135596800.000", None), ("253402300799.999", None),
+             ("-9223372036854775.808", None)]
+    df = spark.createDataFrame(cases, "s string, e string")
+    for got, want in rows(df.select(dates.date_route(dates.parse_sec_millis("s"), "Asia/Shanghai"), "e")):
+        assert got == want
+    late = spark.createDataFrame([(2 ** 62,), (1_600_000_000_250,)], "ms long")
+    assert [r[0] for r in rows(late.select(dates.date_route("ms")))] == [None, "2020/09/13/"]
+
+
+def test_base64_of_both_alphabets(spark):
+    for i in range(40):
+        text = f"body {i} " * i
+        plain = payload.encode_payload(text).replace("*", "/")
+        assert payload.unzip_text(plain.replace("+", "-").replace("/", "_")) == text
+
+
+def test_java_hash_beyond_the_basic_plane(spark):
+    df = spark.createDataFrame([("😀",), ("a😀b",)], "s string")
+    def h(t):
+        v = 0
+        raw = t.encode("utf-16-be")
+        for i in range(0, len(raw), 2):
+            v = (v * 31 + raw[i] * 256 + raw[i + 1]) % 2 ** 32
+        return v - 2 ** 32 if v >= 2 ** 31 else v
+    assert [r[0] for r in rows(df.select(codes.java_string_hash("s")))] == [h("😀"), h("a😀b")]
+
+
+def test_long_app_lists_stay_linear(spark):
+    import time
+    from applens.functions import tokens
+    lists = [(";".join(f"com.app{i}.{i:x}" for i in range(1000)),)] * 300 + [("com.a.1;broken;com.b.2",), ("broken",), (None,), ("com.a.1;;",)]
+    df = spark.createDataFrame(lists, "s string").repartition(4).cache()
+    df.count()
+    plain = df.select(F.transform(F.split("s", ";"), lambda t: tokens.parse_app_token(t, F.lit("1"))).alias("p"))
+    full = df.select(tokens.parse_app_list("s", F.lit("1")).alias("p"))
+    took = []
+    for d in (plain, full, plain, full):
+        t = time.perf_counter()
+        d.write.format("noop").mode("overwrite").save()
+        took.append(time.perf_counter() - t)
+    assert took[3] < 4 * took[2] + 1
+    got = {r["s"]: r["p"] for r in df.select("s", tokens.parse_app_list("s", F.lit("1")).alias("p")).collect()}
+    assert len(got[lists[0][0]]) == 1000 and [e["pkg"] for e in got["com.a.1;broken;com.b.2"]] == ["com.a"]
+    assert got["broken"] == [] and got[None] is None and len(got["com.a.1;;"]) == 1
 
 
 def test_deobfuscate_bad_and_blank(spark):
@@ -167,10 +235,3 @@ def test_unzip_text_large_entry():
     text = ";".join(f"com.app{i}&{i:08x}&{1600000000000 + i}" for i in range(5000))
     assert payload.unzip_text(payload.encode_payload(text).replace("*", "/")) == text
     assert zlib.crc32(b"") == 0
-
-
-def test_native_decoder_matches_jvm_decoder(spark):
-    cases = ["model=%C4%E3%BA%C3+x", "a%26b%2B", "plain", "bad%zz", "%BB%AA%CE%AA%D0%A1%C3%D7", "trail%4"]
-    df = spark.createDataFrame([(c,) for c in cases], "s string")
-    got = rows(df.select(qs.url_decode("s", "GBK"), qs.url_decode_native("s", "GBK")))
-    assert all(a == b for a, b in got)

@@ -33,8 +33,8 @@ def test_comma_ratings_must_have_three_fields(spark, tmp_dir):
     _write(f"{tmp_dir}/ok/a.csv", "1,1,5.0\n1,2,1.0\n")
     assert txt.read_ratings(spark, f"{tmp_dir}/ok", sep=",", fields=3, strict_width=True).count() == 2
     _write(f"{tmp_dir}/bad/a.csv", "1,1,5.0\n1,2,1.0,9\n")
-    with pytest.raises(ValueError):
-        txt.read_ratings(spark, f"{tmp_dir}/bad", sep=",", fields=3, strict_width=True)
+    with pytest.raises(Exception, match="not 3 fields"):
+        txt.read_ratings(spark, f"{tmp_dir}/bad", sep=",", fields=3, strict_width=True).collect()
     _write(f"{tmp_dir}/nan/a.csv", "1,x,5.0\n")
     with pytest.raises(Exception):
         txt.read_ratings(spark, f"{tmp_dir}/nan", sep=",", fields=3).collect()
@@ -106,3 +106,16 @@ def test_click_stream_gzip_output(spark, tmp_dir):
     assert files and all(f.endswith(".gz") for f in files)
     assert rows(spark.read.text(out).select("value")) == [
         ("1;2|1.1.1.1|1600000000250|2020-09-13 12:26:40|b|m|com.a&ab12&1,2&2",)]
+
+
+def test_last_line_wins_over_files_of_any_size(spark, tmp_dir):
+    _write(f"{tmp_dir}/items/a.dat", "1::old\n2::first\n")
+    _write(f"{tmp_dir}/items/b.dat", "1::new\n" + "".join(f"{i}::name {i}\n" for i in range(10, 4000)))
+    _write(f"{tmp_dir}/items/c.dat", "2::second\n2::third\n")
+    items = txt.parse_items(txt.read_ordered_lines(spark, f"{tmp_dir}/items"), pos_col="pos")
+    assert {r["item_id"]: r["name"] for r in items.where("item_id < 3").collect()} == {1: "new", 2: "third"}
+
+
+def test_a_line_of_a_separator_with_special_characters(spark):
+    df = spark.createDataFrame([("1.*2.*3.5",)], "value string")
+    assert rows(txt.parse_delimited_ratings(df, sep=".*", fields=3)) == [(1, 2, 3.5)]

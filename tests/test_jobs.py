@@ -2,7 +2,9 @@
 
 import hashlib
 
+import pytest
 
+from applens.operators import arrivals as arr, ratings as rt
 from applens.plans import jobs
 
 
@@ -106,3 +108,102 @@ def test_als_demo_job(spark, tmp_dir):
         f.write("\n".join(f"{u},{i},{1 + (u * i) % 5}" for u in range(1, 6) for i in range(1, 6)) + "\n")
     mse = jobs.als_demo(spark, f"{tmp_dir}/test.data", f"{tmp_dir}/model", rank=3, iters=5)
     assert mse >= 0
+
+
+ARRIVALS = ("firstimei string, secondimei string, thirdimei string, applist array<struct<signcrc32:string,pkg:string,appname:string>>, "
+            "arrivetimes int, year string, month string, day string")
+
+
+def _reports(spark, days):
+    return spark.createDataFrame([("id", " ", " ", [("c", f"p{y}{m}{d}", "n")], 1, y, m, d) for y, m, d in days], ARRIVALS)
+
+
+@pytest.mark.parametrize("month", [f"{m:02d}" for m in range(1, 13)])
+def test_month_rewrite_from_a_partitioned_source(spark, tmp_dir, month):
+    source, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    other = "03" if month == "02" else "02"
+    _reports(spark, [("2016", month, "07"), ("2016", month, "08"), ("2016", other, "08")]).write.partitionBy("year", "month", "day").parquet(source)
+    read = lambda: sorted((r["month"], r["day"]) for r in arr.read_app_detail(spark, out).collect())
+    for m in (month, other):
+        jobs.extract_app_detail(spark, source, "2016" + m, out)
+    assert read() == sorted([(month, "07"), (month, "08"), (other, "08")])
+    _reports(spark, [("2016", month, "07"), ("2016", month, "09")]).write.mode("overwrite").partitionBy("year", "month", "day").parquet(source)
+    jobs.extract_app_detail(spark, source, "2016" + month, out)
+    assert read() == sorted([(month, "07"), (month, "08"), (month, "09"), (other, "08")])
+    jobs.extract_app_detail(spark, source, "2016" + month, out, replace_whole_month=True)
+    assert read() == sorted([(month, "07"), (month, "09"), (other, "08")])
+
+
+def test_month_without_rows_is_left_alone(spark, tmp_dir):
+    source, out = f"{tmp_dir}/in", f"{tmp_dir}/out"
+    _reports(spark, [("2016", "05", "07")]).write.partitionBy("year", "month", "day").parquet(source)
+    jobs.extract_app_detail(spark, source, "201605", out)
+    with pytest.raises(ValueError):
+        arr.write_app_detail(spark, arr.explode_app_detail(arr.read_arrivals(spark, source), "201606"), out, replace_whole_month="201605")
+    assert arr.read_app_detail(spark, out).count() == 1
+
+
+def test_month_rewrite_of_catalogue_tables(spark):
+    spark.sql("DROP TABLE IF EXISTS arrivals_src")
+    spark.sql("DROP TABLE IF EXISTS app_detail_out")
+    _reports(spark, [("2016", "05", "07"), ("2016", "05", "09")]).write.partitionBy("year", "month", "day").saveAsTable("arrivals_src")
+    spark.sql(f"CREATE TABLE app_detail_out ({arr.APP_DETAIL_DDL}) USING parquet PARTITIONED BY (year, month, day)")
+    old = _reports(spark, [("2016", "05", "07"), ("2016", "05", "08"), ("2016", "06", "01")])
+    arr.write_app_detail(spark, arr.explode_app_detail(old), "app_detail_out")
+    jobs.extract_app_detail(spark, "arrivals_src", "201605", "app_detail_out", replace_whole_month=True)
+    got = sorted((r["month"], r["day"]) for r in arr.read_app_detail(spark, "app_detail_out").collect())
+    assert got == [("05", "07"), ("05", "09"), ("06", "01")]
+    spark.sql("DROP TABLE arrivals_src")
+    spark.sql("DROP TABLE app_detail_out")
+
+
+def test_every_job_can_be_started():
+    starts = {"count-lines": ["x"], "jdbc-preview": ["u", "t", "c", "--lower", "1", "--upper", "2"], "als-demo": ["r", "m"],
+              "movielens": ["h"], "als-evaluation": ["t", "2024", "01", "15", "--model-path", "m"], "kv-export": ["k", "d", "o"],
+              "kv-prefix-lookup": ["i", "k", "o"], "extract-app": ["a", "201605", "o"],
+              "new-phone-models": ["l", "o", "--known", "k"], "click-batch": ["p", "o"], "click-stream": ["s", "o", "c"]}
+    for name, args in starts.items():
+        assert jobs.parser().parse_args([name, *args]).job == name
+    with pytest.raises(SystemExit):
+        jobs.main(["click-stream", "s", "o", "c", "--kafka-bootstrap", "host:1"])
+    with pytest.raises(SystemExit):
+        jobs.main(["new-phone-models", "l", "o"])
+
+
+def test_evaluation_keeps_its_best_model_and_id_maps(spark, tmp_dir, monkeypatch):
+    from applens.operators import recommend
+    monkeypatch.setattr(recommend, "GRID_TWO_WAY", {"rank": [2], "reg": [0.1], "iters": [2]})
+    rows_ = [(f"u{i % 9}", f"a{i % 7}", float(i % 5), i, "2024", "01", "05") for i in range(300)]
+    rt.write_rating_table(spark.createDataFrame(rows_, rt.RATING_TABLE_DDL), f"{tmp_dir}/t")
+    out = jobs.als_evaluation(spark, f"{tmp_dir}/t", "2024", "01", "05", model_path=f"{tmp_dir}/m")
+    assert out["best"] == (2, 0.1, 2)
+    model, users, items = jobs.load_recommender(spark, f"{tmp_dir}/m")
+    assert users.count() == 9 and items.count() == 7
+    scored = recommend.score_for_user(model, users.where("user = 'u3'").first()["user_id"], items)
+    assert scored.join(items, "item_id").count() == 7
+
+
+def test_click_batch_quarantines(spark, tmp_dir):
+    from applens.functions.payload import encode_payload
+    import os
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a", "w") as f:
+        f.write("ip|1600000000.250|" + encode_payload("a-b&br&mo|p&c&1;") + "\nip|9223372036854775.807|x\n")
+    jobs.click_batch(spark, f"{tmp_dir}/in", f"{tmp_dir}/out", rejects=f"{tmp_dir}/bad")
+    assert spark.read.text(f"{tmp_dir}/out").count() == 1
+    assert [r["reject"] for r in spark.read.parquet(f"{tmp_dir}/bad").collect()] == ["bad_time"]
+
+
+def test_stream_survives_an_overflowing_time(spark, tmp_dir):
+    from applens.functions.payload import encode_payload
+    from applens.streaming import clicks_stream as cs
+    import os
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/a", "w") as f:
+        f.write("ip|9223372036854775.807|x\nip|1600000000.250|" + encode_payload("a-b&br&mo|p&c&1;") + "\n")
+    source = cs.read_click_source(spark, "text", f"{tmp_dir}/in")
+    cs.run_until_caught_up(source, f"{tmp_dir}/out", f"{tmp_dir}/cp", zone="Asia/Shanghai")
+    q = cs.start_click_rejects(source, f"{tmp_dir}/bad", f"{tmp_dir}/cp2", available_now=True)
+    q.awaitTermination()
+    assert spark.read.text(f"{tmp_dir}/out").count() == 1
+    assert [(r["value"], r["reject"]) for r in spark.read.text(f"{tmp_dir}/bad").collect()] == [("ip|9223372036854775.807|x", "bad_time")]

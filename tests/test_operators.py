@@ -47,8 +47,6 @@ def test_new_models_anti_join(spark):
 
 
 def test_parse_reports_and_rejects(spark):
-    from applens.session import ensure_runtime_conf
-    ensure_runtime_conf(spark)
     lines = [(1, "1.2.3.4|1600000000.250|model=mi+5&brand=%D0%A1%C3%D7&brand=xiaomi"),
              (2, "1.2.3.4|12x|model=a&brand=b"), (3, "1.2.3.4|1.5|model=%zz"),
              (4, "1.2.3.4|1.5"), (5, "ip|1.5|model=ab&brand=DaeMon"), (6, "ip|1.5|model=&brand=b"),
@@ -79,22 +77,6 @@ def test_explode_app_detail(spark):
                                                  ("c2", "n3", "p3", "s3", 1, "2017", "05", "31")], key=str)
 
 
-def test_explode_app_detail_sql_matches_dataframe(spark):
-    schema = ("firstimei string, secondimei string, thirdimei string, "
-              "applist array<struct<signcrc32:string,pkg:string,appname:string>>, arrivetimes int, "
-              "year string, month string, day string")
-    data = [(" ", "", "c", [("s1", "p1", "n1"), ("s2", "p2", None)], 3, "2017", "05", "01"),
-            (None, " ", " ", [("s3", "p3", "n3")], 1, "2017", "05", "31"),
-            ("a", "b", "c", None, 1, "2017", "05", "02"),
-            ("z", "b", "c", [("s4", "p4", "n4")], 2, "2017", "06", "01")]
-    spark.createDataFrame(data, schema).createOrReplaceTempView("arrivals_t")
-    src = spark.table("arrivals_t")
-    for month in (None, "201705"):
-        a = sorted(rows(arr.explode_app_detail(src, month)), key=str)
-        b = sorted(rows(arr.explode_app_detail_sql(spark, "arrivals_t", month)), key=str)
-        assert a == b
-
-
 def test_monthly_overwrite_dynamic_vs_whole_month(spark, tmp_dir):
     path = f"{tmp_dir}/app_detail"
     schema = arr.APP_DETAIL_DDL
@@ -219,8 +201,11 @@ def test_hot_keys_stay_exact_and_pre_aggregate(spark):
     assert {(r["id"], r["rowkey"], r["count"]) for r in got} == {
         ("aaa", "aaa000000", 500), ("aa", min(k for k, _ in keys if k.startswith("aa")), 1),
         (keys[1][0][:5], min(k for k, _ in keys if k.startswith(keys[1][0][:5])), 1)}
-    plan = _physical(lookup.first_match_per_prefix(table, [2, 3, 5], value_cols=["packagelist"]))
-    assert "partial_min_by" in plan and plan.index("partial_min_by") > plan.index("Exchange")
+    asked = ids_.select(F.col("id").alias("prefix")).distinct()
+    plan = _physical(lookup.first_key_per_prefix(table, asked, [2, 3, 5]))
+    assert "partial_min" in plan
+    # values are fetched by key for the winners alone: the first shuffle carries no list
+    assert all("packagelist" not in line for line in plan.splitlines() if "Exchange" in line)
 
     apps = [("hot" if i % 3 == 0 else f"app{i % 50}", 1 + i % 4) for i in range(n)]
     df = spark.createDataFrame(apps, "pkg string, n int").repartition(8)
@@ -237,3 +222,89 @@ def test_rating_profile_exact_and_approx(spark):
     approx = rt.rating_profile(r, approx=True, rsd=0.02).first()
     assert (exact["n_ratings"], exact["n_users"], exact["n_items"]) == (5000, 300, 70)
     assert abs(approx["n_users"] - 300) <= 15 and abs(approx["n_items"] - 70) <= 4
+
+
+def test_one_bad_time_is_a_reject_and_not_the_end(spark):
+    lines = spark.createDataFrame([(1, "1.1.1.1|9223372036854775.807|x"), (2, "1.1.1.1|1600000000.250"),
+                                   (3, "ip|1600000000.250|" + encode_payload("a-b&br&mo|p&c&1;"))], "id int, value string")
+    got = {r["id"]: r["reject"] for r in clk.parse_click_lines(lines).collect()}
+    assert got == {1: "bad_time", 2: "missing_field", 3: None}
+    damaged = "ip|1600000000.250|" + encode_payload("a-b&br&mo|p&c&1;")[:40]
+    more = spark.createDataFrame([(4, damaged), (5, "ip|1600000000.250|" + encode_payload("a-b&br|p&c&1;")),
+                                  (6, "ip|1600000000.250|" + encode_payload("a-b&br&mo|p&c;"))], "id int, value string")
+    assert {r["id"]: r["reject"] for r in clk.click_rejects(clk.parse_click_lines(more), ["id"]).collect()} == {
+        4: "bad_payload", 5: "bad_body", 6: "bad_app"}
+    reports = spark.createDataFrame([(1, "ip|9223372036854775.807|model=a&brand=b")], "id int, value string")
+    assert models.parse_reports(reports).first()["reject"] == "bad_time"
+    fields = {"appList": "com.a.1", "processType": "1"}
+    store = spark.createDataFrame([("k1", {**fields, "acceptTimestamp": "9223372036854775807"}),
+                                   ("k2", {**fields, "acceptTimestamp": "1600000000250"}),
+                                   ("k3", {"acceptTimestamp": "1600000000250"})], "rowkey string, scf map<string,string>")
+    assert [r["rowkey"] for r in kv.report_lines(store).collect()] == ["k2"]
+    assert {r["rowkey"]: r["reject"] for r in kv.rejected_reports(store).collect()} == {"k1": "bad_time", "k3": "no_app_list"}
+
+
+def test_day_route_follows_the_zone(spark):
+    late = 1_600_000_000_250 + 6 * 3_600_000          # 18:26 UTC: the next day in Shanghai
+    store = spark.createDataFrame([("k", {"appList": "a.1", "acceptTimestamp": str(late)})], "rowkey string, scf map<string,string>")
+    assert kv.report_lines(store).first()["route"] == "2020/09/13/"
+    assert kv.report_lines(store, zone="Asia/Shanghai").first()["route"] == "2020/09/14/"
+    r = spark.createDataFrame([(f"ip|{late // 1000}.250|model=a&brand=b",)], "value string")
+    assert models.parse_reports(r, zone="Asia/Shanghai").first()["posttime"].startswith("2020-09-14")
+
+
+def test_dense_ids_are_dense_at_any_width(spark):
+    for n, parts in ((20_000, 8), (20_000, 200), (300_000, 8)):
+        keys = spark.range(n).select(F.md5(F.col("id").cast("string")).alias("k"))
+        out = ids.dense_index(keys.unionAll(keys.limit(100)), "k", num_partitions=parts)
+        row = out.agg(F.count("*"), F.count_distinct("dense_id"), F.min("dense_id"), F.max("dense_id")).first()
+        assert tuple(row) == (n, n, 1, n)
+    some = sorted(hashlib.md5(str(i).encode()).hexdigest() for i in range(300_000))
+    got = {r["k"]: r["dense_id"] for r in out.where("dense_id % 50000 = 1").collect()}
+    assert got == {some[i]: i + 1 for i in range(0, 300_000, 50_000)}
+
+
+def test_blank_id_list_gives_no_rows_and_all_columns(spark):
+    ids_ = spark.createDataFrame([("",), (" ",), (None,)], "id string")
+    table = spark.createDataFrame([("abc", "p", "d")], "rowkey string, packagelist string, cdate string")
+    out = lookup.prefix_first_match(ids_, table, value_cols=["packagelist", "cdate"])
+    assert out.columns == ["id", "rowkey", "packagelist", "cdate"] and out.count() == 0
+
+
+def test_nothing_scored_is_not_perfect(spark):
+    model = spark.createDataFrame([(1, 3.0)], "item_id int, prediction double")
+    data = spark.createDataFrame([(1, 9, 4.0, 8), (2, 9, 5.0, 9)], "user_id int, item_id int, rating double, ts bigint")
+    assert rt.rmse_all_rows(model, data).first()["rmse"] is None
+    assert rt.rmse_all_rows(model, data.limit(0)).first()["rmse"] is None
+    out = rt.mean_baseline(data, model).first()
+    assert out["model_rmse"] is None and out["improvement_pct"] is None
+
+
+def test_baseline_does_not_cancel(spark):
+    r = spark.range(100_000).select(F.col("id").cast("int").alias("user_id"), F.lit(1).alias("item_id"),
+                                    (F.lit(1e8) + (F.col("id") % 5) * 2e-4).alias("rating"), F.col("id").alias("ts"))
+    out = rt.mean_baseline(r, rt.item_mean_model(r.where("ts % 10 < 6"))).first()
+    assert 0 < out["baseline_rmse"] < 1e-3
+
+
+def test_metrics_use_one_join(spark):
+    model = spark.createDataFrame([(1, 3.0)], "item_id int, prediction double")
+    data = spark.createDataFrame([(1, 1, 4.0, 8)], "user_id int, item_id int, rating double, ts bigint")
+    for df in (rt.actual_vs_predicted(model, data), rt.rmse_all_rows(model, data)):
+        assert _physical(df).count("Join") == 1
+
+
+def test_kv_table_by_date_prunes(spark, tmp_dir):
+    rows_ = [(hashlib.md5(str(i).encode()).hexdigest() + f"202401{1 + i % 20:02d}" + "u", {"processType": str(i)}) for i in range(60)]
+    path = f"{tmp_dir}/kv"
+    kv.write_kv_table(spark.createDataFrame(rows_, "rowkey string, scf map<string,string>"), path)
+    hit = kv.rowkey_date_filter(kv.read_kv_table(spark, path), "20240115", regex=True)
+    assert hit.count() == 3 and "PartitionFilters: [isnotnull(keydate" in _physical(hit)
+    pattern = kv.rowkey_date_filter(kv.read_kv_table(spark, path), "2024011[56]", regex=True)
+    assert pattern.count() == 6
+
+
+def test_known_models_of_a_maker_with_very_many_rows(spark):
+    phones = spark.createDataFrame([("M1", 1)] * 500 + [("M2", 1), ("m1", 2), ("x", 9)], "phonemodelcode string, manufacturerid int")
+    makers = spark.createDataFrame([(1, "A"), (2, "b")], "manufacturerid int, manufacturername string")
+    assert sorted(rows(models.known_models(phones, makers)), key=str) == [("M1", "A"), ("M1", "B"), ("M2", "A"), ("X", None)]

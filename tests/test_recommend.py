@@ -78,3 +78,30 @@ def test_grid_parallel_keeps_grid_order(spark, low_rank, monkeypatch):
                                 parallelism=3)
     assert (res.rank, res.iters) == (8, 20)
     assert [t[3] for t in res.trials] == [2.0, 1.0, 1.0, 3.0]
+
+
+def test_unscored_settings_never_win(spark, low_rank):
+    train, valid = rt.split_two_way(low_rank)
+    unseen = valid.withColumn("item_id", F.col("item_id") + 1000)
+    model = recommend.fit(train, rank=2, max_iter=2)
+    assert recommend.rmse_over_all(model, unseen) is None and recommend.rmse(recommend.score(model, unseen)) is None
+    with pytest.raises(ValueError):
+        recommend.grid_search(train, unseen, {"rank": [2], "reg": [0.1], "iters": [2]}, all_rows_denominator=True)
+
+
+def test_scores_of_one_user_need_no_nested_loop(spark, low_rank):
+    train, _ = rt.split_two_way(low_rank)
+    model = recommend.fit(train, rank=3, max_iter=3)
+    items = spark.range(30).select(F.col("id").cast("int").alias("item_id"))
+    scored = recommend.score_for_user(model, 5, items)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    want = {r["item_id"]: r["prediction"] for r in model.transform(items.withColumn("user_id", F.lit(5))).collect()}
+    got = {r["item_id"]: r["prediction"] for r in scored.collect()}
+    assert set(got) == {i for i, p in want.items() if p == p} and all(abs(got[i] - want[i]) < 1e-4 for i in got)
+    assert recommend.score_for_user(model, 12345, items).count() == 0
+
+
+def test_blocks_follow_the_session_or_the_argument(spark, low_rank):
+    assert recommend.default_blocks(low_rank) == max(10, spark.sparkContext.defaultParallelism)
+    assert recommend.make_als(blocks=33).getNumUserBlocks() == 33
