@@ -2,6 +2,7 @@ import random
 import re
 
 from applens.llm import decontaminate as dc
+from llm_fixtures import docs  # noqa: F401  (a fixture)
 
 
 def words_of(t):

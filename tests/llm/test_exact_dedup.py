@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from applens.llm import exact_dedup as ed
+from llm_fixtures import docs  # noqa: F401  (a fixture)
 
 
 def brute(rows):

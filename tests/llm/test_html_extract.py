@@ -66,6 +66,8 @@ def test_template_text_goes_and_copies_do_not_make_a_template(spark):
     assert got[302]["n_chars"] == 5 * 200_000 - 1
     assert got[303]["text"] == "null url"
     assert he.main_texts(df).count() == len(rows)
+    salted = {r["page_id"]: r["text"] for r in he.main_texts(df, broadcast_tokens=0).collect()}
+    assert salted == {i: r["text"] for i, r in got.items()}
     assert he.main_texts(df.limit(0)).count() == 0
 
 

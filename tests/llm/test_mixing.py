@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from applens.llm import mixing as mx
 from applens.llm.common import pinned
+from llm_fixtures import docs  # noqa: F401  (a fixture)
 
 
 def test_targets_stop_at_the_passes_and_are_reshared():

@@ -13,6 +13,7 @@ from applens.llm.queries import tokenizer_path
 from test_decontaminate import brute as brute_overlaps
 from test_quality import make as quality_rows
 from test_simhash import brute_components
+from llm_fixtures import docs  # noqa: F401  (a fixture)
 
 
 @pytest.fixture

@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 
 from applens.llm import quality as q
+from llm_fixtures import docs  # noqa: F401  (a fixture)
 
 
 def make(n=500, seed=1):

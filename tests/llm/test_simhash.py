@@ -5,6 +5,7 @@ import xxhash
 
 from applens.llm import simhash as sh
 from applens.llm.components import components
+from llm_fixtures import docs  # noqa: F401  (a fixture)
 
 
 def by_hand(text):

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from applens.llm import suffix_dedup as sd
+from llm_fixtures import docs  # noqa: F401  (a fixture)
 
 
 def brute(rows, length):

@@ -5,6 +5,7 @@ from hypothesis import strategies as st
 
 from applens.llm import token_count as tc
 from applens.llm.queries import tokenizer_path
+from llm_fixtures import docs  # noqa: F401  (a fixture)
 
 PATH = tokenizer_path("byte_bpe_50k.json")
 

@@ -7,6 +7,7 @@ from hypothesis import strategies as st
 
 from applens.llm import token_output as to
 from applens.llm.queries import tokenizer_path
+from llm_fixtures import docs  # noqa: F401  (a fixture)
 
 PATH = tokenizer_path("word_bpe_49k.json")
 
