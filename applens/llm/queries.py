@@ -1,4 +1,4 @@
-"""Registered queries of the corpus operators, and DuckDB SQL where SQL can express one."""
+"""Registered queries of the corpus operators; DuckDB SQL where SQL can express one is in ``oracles``."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from applens.llm import (decontaminate, exact_dedup, html_extract, mixing, quality, simhash, suffix_dedup, token_count,
                          token_output, url_filter)
 from applens.llm.common import table
+from applens.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,16 +77,3 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_source_mixing": op10_source_mixing,
 }
-
-ORACLES: dict[str, str] = {
-    "op8_exact_dedup": r"""
-        WITH d AS (
-          SELECT doc_id, length(coalesce(text, '')) AS points,
-                 sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
-          FROM documents),
-        g AS (
-          SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS keep_id,
-                 count(*) OVER (PARTITION BY text_sha256) AS group_size
-          FROM d)
-        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
-}
