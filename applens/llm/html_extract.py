@@ -11,7 +11,8 @@ author.  What is left are slots; the elements that enclose a slot tell whether i
 the article or a menu, advert, form and the like.
 
 Vectors are never built: a token's vector is summed up as a hash that pages add to one by one,
-so a host may have any number of pages and is aggregated before the shuffle.
+so a host may have any number of pages and is aggregated before the shuffle.  Where markup names the article, its
+text is in a slot by that alone; the vectors decide on the text that no element places.
 Pages with one and the same content count once, else the copies of an article would look like a template.
 """
 
@@ -27,11 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from applens.llm.common import byte_texts
+from applens.llm.common import byte_texts, pinned
 from applens.llm.url_filter import host_and_path
 
 MIN_PAGES = 3           # differing pages that must hold a text before it can belong to the template
 MIN_SHARE = 0.5         # and their share of the host's differing pages
+BROADCAST_TOKENS = 500_000      # 8 bytes each; larger template tables are joined by a shuffle
+SALTS = 64
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -77,7 +80,8 @@ class Block:
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
-    tokens: list[tuple[int, int]] = field(default_factory=list)     # (hash, 1 for a text block or 0 for an element), in page order
+    # (hash, 1 for a text block or 0 for an element), in page order; text that its elements already place is left out
+    tokens: list[tuple[int, int]] = field(default_factory=list)
 
 
 def _hash(parent: int, *parts: str) -> int:
@@ -99,7 +103,8 @@ def parse(html: str) -> Page:
         if text:
             _, path, skipped, in_main = at[0] if at else stack[-1]
             page.blocks.append(Block(path, text, skipped > 0, in_main))
-            page.tokens.append((_hash(path, text), 1))
+            if not skipped and not in_main:
+                page.tokens.append((_hash(path, text), 1))
         at.clear()
 
     at: list[tuple[str, int, int, bool]] = []          # where the block under way began
@@ -189,8 +194,9 @@ def _signed(h: int) -> int:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per page and distinct token.  Text that an enclosing element has already placed (in the article or out of it) is no token."""
     names = ["host", "unit", "token", "is_text", "times", "place"]
-    types = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
     for batch in batches:
         rows: list[tuple] = []
         for host, html in zip(batch.column("host").to_pylist(), byte_texts(batch.column("html"))):
@@ -206,11 +212,11 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, template): the text tokens of each host's valid, nested classes.  ``pages`` has host and html."""
-    rows = pages.mapInArrow(_tokens, "host string, unit bigint, token bigint, is_text int, times int, place int")
+    """(host, template): the text tokens of each host's valid, nested classes.  ``pages`` has host (a number) and html."""
+    rows = pages.mapInArrow(_tokens, "host bigint, unit bigint, token bigint, is_text int, times int, place int")
     # pages of one content, and so of one unit, count once
-    rows = rows.groupBy("host", "unit", "token").agg(F.max("is_text").alias("is_text"), F.max("times").alias("times"),
-                                                     F.min("place").alias("place"))
+    rows = pinned(rows.groupBy("host", "unit", "token").agg(F.max("is_text").alias("is_text"), F.max("times").alias("times"),
+                                                            F.min("place").alias("place")))
     mark = F.xxhash64("unit", "times")
     low, high = mark.bitwiseAND(F.lit((1 << 31) - 1)), F.shiftright(mark, 32)
     vectors = rows.groupBy("host", "token").agg(
@@ -248,7 +254,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-               min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+               min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE, broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
     """Per row: page_id, url, text (the article's blocks, one a line; empty if there are none), n_chars (its code points).
 
     Null and empty html give an empty text; null urls and urls without a host
@@ -257,7 +263,14 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """
     host, _ = host_and_path(F.col(url_col).cast("string"))
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
-                        host.alias("host"), F.col(html_col).cast("string").alias("html"))
-    found = templates(rows.select("host", "html"), min_pages, min_share)
-    return (rows.join(found, "host", "left").select("page_id", "url", "html", "template")
-            .mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint"))
+                        F.xxhash64(host).alias("host"), F.col(html_col).cast("string").alias("html"))
+    found = pinned(templates(rows.select("host", "html"), min_pages, min_share))
+    size = found.agg(F.sum(F.size("template") + 1)).first()[0] or 0
+    if size <= broadcast_tokens:
+        told = rows.join(F.broadcast(found), "host", "left")
+    else:
+        # a host may hold any share of the pages: its rows are dealt over salts, its one template to each of them
+        salts = F.explode(F.array(*(F.lit(i) for i in range(SALTS)))).alias("salt")
+        told = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(
+            found.select("host", "template", salts), ["host", "salt"], "left")
+    return told.select("page_id", "url", "html", "template").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
