@@ -33,8 +33,8 @@ from applens.llm.common import byte_texts, pinned
 
 LENGTH = 200
 GRAM = 50                      # bytes of an anchor
-CHUNK = 1 << 20                # bytes hashed at once
-BLOCK = 1 << 20                # bytes sorted at once
+CHUNK = 1 << 19                # bytes hashed at once
+BLOCK = 1 << 19                # bytes sorted at once
 HOT_CONTEXTS = 4096            # contexts of one anchor that still go to one block
 # fixed values: a perfect difference set, every difference modulo 31 is that of two of its members
 V = 31
@@ -62,7 +62,7 @@ class PrefixHashes:
     """Hashes of any string of a text from those of its prefixes; equal strings have equal hashes wherever they lie."""
 
     def __init__(self, x: np.ndarray):
-        power, self._inverse = _powers_to(1 << max(21, len(x).bit_length()))
+        power, self._inverse = _powers_to(1 << max(20, len(x).bit_length()))
         self._prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_VALUES[x] * power[:len(x)])])
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -113,7 +113,7 @@ def _occurrences(length: int, gram: int):
     def out(pieces: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch | None:
         x = np.frombuffer(b"".join(p[3] for p in pieces), np.uint8)
         sizes = np.array([len(p[3]) for p in pieces])
-        owner = np.repeat(np.arange(len(pieces)), sizes)
+        owner = np.repeat(np.arange(len(pieces), dtype=np.int32), sizes)
         lo, n, place, h, c = anchors(x, owner, length, gram)
         if not len(lo):
             return None
