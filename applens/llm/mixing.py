@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from applens.llm.common import WORD_PATTERN, pinned
 
 MAX_PATTERNS = 20_000     # one driver row each; more is an error, not a cut
-BUCKET_BITS = 14
+BUCKET_BITS, STEP_BITS = 32, 8      # the seeded order is searched by so many of its leading bits, a step at a time
 
 
 def word_count(text: Column | str) -> Column:
@@ -133,12 +133,7 @@ def mix_plan(rows: DataFrame, weights, share: float = 1.5, max_passes: int = 2)
     quota = spark.createDataFrame([(list(p), t // s if s else 0, t % s if s else 0) for (p, s), t in zip(patterns, taken)],
                                   "members array<string>, whole bigint, rest bigint")
     sized = rows.join(F.broadcast(quota), "members").filter((F.col("size") > 0) & (F.col("rest") > 0))
-    # the bucket of the order in which a pattern's quota runs out, and what is left of the quota there
-    before = Window.partitionBy("members").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    cuts = (sized.groupBy("members", "bucket").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-            .withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-            .filter((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("words") > F.col("rest")))
-            .select("members", F.col("bucket").alias("cut"), (F.col("rest") - F.col("before")).alias("room")))
+    cuts = _cuts(sized.select("members", "bucket", "size"), quota.filter("rest > 0").select("members", F.col("rest").alias("room")))
     sized = sized.join(F.broadcast(cuts), "members")
     # within that bucket, the last place that still fits
     places = (sized.filter(F.col("bucket") == F.col("cut")).groupBy("members", "h", "row_key")
@@ -158,6 +153,26 @@ def mix_plan(rows: DataFrame, weights, share: float = 1.5, max_passes: int = 2)
     return spark.createDataFrame(found, PLAN), sizes, targets
 
 
+def _cuts(sized: DataFrame, quotas: DataFrame) -> DataFrame:
+    """(members, room, cut): the bucket in which each pattern's quota runs out, and what is left of the quota there.
+
+    Found from the leading bits down: each step sums the words of 256 parts of the part found before, so
+    no window ever holds more than these, however many rows a pattern has.
+    """
+    state = quotas.withColumn("cut", F.lit(0).cast("bigint"))
+    for done in range(0, BUCKET_BITS, STEP_BITS):
+        rest_bits = BUCKET_BITS - done
+        part = F.shiftright("bucket", rest_bits - STEP_BITS)
+        sums = (sized.join(F.broadcast(state), "members").filter(F.shiftright("bucket", rest_bits) == F.col("cut"))
+                .groupBy("members", part.alias("part")).agg(F.sum("size").alias("words"), F.first("room").alias("room")))
+        before = Window.partitionBy("members").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        found = (sums.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
+                 .filter((F.col("before") <= F.col("room")) & (F.col("before") + F.col("words") > F.col("room")))
+                 .select("members", (F.col("room") - F.col("before")).alias("room"), F.col("part").alias("cut")).collect())
+        state = sized.sparkSession.createDataFrame(found, "members array<string>, room bigint, cut bigint")
+    return state
+
+
 def _first_in_order() -> Column:
     """Whether a row comes before the place at which its pattern's quota runs out."""
     here = (F.col("h") < F.col("limit_h")) | ((F.col("h") == F.col("limit_h")) & (F.col("row_key") <= F.col("limit_key")))
