@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from applens.llm.common import byte_texts, id_and_text, scratch
 
 END_ID = 1
-WORDS_KEPT = 600_000          # distinct words a worker remembers before it starts afresh
+WORDS_KEPT = 400_000          # distinct words a worker remembers before it starts afresh
 LONG_WORD = 200               # bytes; longer runs are encoded but not remembered
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
