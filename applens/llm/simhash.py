@@ -259,7 +259,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     roots = components(fingerprint_links(nodes.select("fp"), max_bits))
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
-    names = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+    # kept apart, so that a component of very many fingerprints is a plain skewed join, which Spark splits
+    names = pinned(placed.groupBy("root").agg(F.min("least").alias("component_id")))
     by_print = placed.join(names, "root").select("fp", "component_id")
     return (signed.join(by_print, "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
