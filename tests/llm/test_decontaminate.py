@@ -87,3 +87,14 @@ def test_main_path_runs_no_python(spark, docs):
     bench = spark.createDataFrame([(1, "a b c d e f g h i j")], "item_id long, text string")
     plan = dc.benchmark_overlaps(docs([(1, "a")]), bench)._jdf.queryExecution().optimizedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_passages_with_replaced_tokens_are_mostly_found(spark, docs):
+    rng = random.Random(11)
+    items = [(i, " ".join(f"t{rng.randint(0, 3000)}" for _ in range(rng.randint(15, 59)))) for i in range(300)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for rate, least in ((0.1, 0.95), (0.2, 0.8)):
+        rows = [(i, "lead in " + " ".join("other" if rng.random() < rate else w for w in t.split()) + " lead out") for i, t in items]
+        rows += [(10_000 + i, " ".join(f"t{rng.randint(0, 3000)}" for _ in range(200))) for i in range(300)]
+        got = {r["doc_id"] for r in dc.benchmark_overlaps(docs(rows), bench).collect()}
+        assert len([d for d in got if d < 10_000]) >= least * 300 and not [d for d in got if d >= 10_000]
