@@ -48,9 +48,11 @@ def pinned(df: DataFrame) -> DataFrame:
 
 
 def byte_texts(column: pa.Array) -> Iterator[bytes]:
-    """UTF-8 bytes of a string column; null counts as empty."""
-    for x in column.cast(pa.binary()).to_pylist():
-        yield x or b""
+    """UTF-8 bytes of a string column, a few rows at a time in memory; null counts as empty."""
+    column = column.cast(pa.binary())
+    for at in range(0, len(column), 64):
+        for x in column.slice(at, 64).to_pylist():
+            yield x or b""
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

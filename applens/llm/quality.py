@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -208,16 +207,17 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
             .mapInArrow(_score(model, threshold), "doc_id bigint, held_out boolean, score double, predicted int"))
 
 
-def _good(model, threshold: float):
-    @F.pandas_udf("boolean")
-    def good(texts: pd.Series) -> pd.Series:
+def _keep(model, threshold: float, text_at: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, m = np.zeros(N_FEATURES, np.uint8), model.value
-        return pd.Series([m.score(m.margin(indicators((t or "").encode(), seen))) >= threshold for t in texts])
-    return good
+        for batch in batches:
+            texts = byte_texts(batch.column(text_at).cast(pa.string()))
+            yield batch.filter(pa.array([m.score(m.margin(indicators(t, seen))) >= threshold for t in texts], pa.bool_()))
+    return run
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, max_train: int = MAX_TRAIN,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that the classifier accepts."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col=id_col, text_col=text_col, max_train=max_train))
-    return docs.filter(_good(model, threshold)(F.col(text_col).cast("string")))
+    return docs.mapInArrow(_keep(model, threshold, docs.columns.index(text_col)), docs.schema)
