@@ -49,11 +49,6 @@ def route_parts(ms, zone: str = "UTC") -> list[Column]:
             F.date_format(ts, "dd").alias("day")]
 
 
-def epoch_seconds(ts_ntz) -> Column:
-    """Whole seconds since the epoch of a ``timestamp_ntz`` value."""
-    return F.timestamp_diff("SECOND", _epoch_ntz(), col(ts_ntz))
-
-
 def epoch_millis(ts_ntz) -> Column:
     return F.timestamp_diff("MILLISECOND", _epoch_ntz(), col(ts_ntz))
 

@@ -3,7 +3,6 @@
 import base64
 
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from applens.sources.derived import hide_text
 from applens.functions import codes, payload
