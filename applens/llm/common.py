@@ -55,6 +55,14 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
             yield x or b""
 
 
+def tidy(run):
+    """A task over Arrow batches that gives back Arrow's freed memory at its end, as workers outlive their tasks."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+    return task
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Just the two columns an operator needs, under fixed names, so that further columns never clash."""
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

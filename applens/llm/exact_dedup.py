@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from applens.llm.common import SPACE, byte_texts, id_and_text
+from applens.llm.common import SPACE, byte_texts, id_and_text, tidy
 
 TASK_BYTES = 96 << 20          # texts a task's tries hold before subtrees are sent on
 BATCH_BYTES = 8 << 20
@@ -172,9 +172,9 @@ def _hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def text_owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", task_bytes: int = TASK_BYTES) -> DataFrame:
     """One row per distinct normal form: text_sha256, keep_id, group_size."""
     rows = id_and_text(docs, id_col, text_col)
-    partial = rows.mapInArrow(_local_owners(task_bytes), _PARTIAL)
+    partial = rows.mapInArrow(tidy(_local_owners(task_bytes)), _PARTIAL)
     return (partial.repartition("length", "hash").sortWithinPartitions("length", "hash")
-            .mapInArrow(_global_owners, "text_sha256 string, keep_id bigint, group_size bigint"))
+            .mapInArrow(tidy(_global_owners), "text_sha256 string, keep_id bigint, group_size bigint"))
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", task_bytes: int = TASK_BYTES) -> DataFrame:
@@ -187,6 +187,6 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     each such row is kept if its id is the one that stays.  Columns other than
     the two named are not read; an empty table gives no rows.
     """
-    members = id_and_text(docs, id_col, text_col).mapInArrow(_hashes, "doc_id bigint, text_sha256 string")
+    members = id_and_text(docs, id_col, text_col).mapInArrow(tidy(_hashes), "doc_id bigint, text_sha256 string")
     return (members.join(text_owners(docs, id_col, text_col, task_bytes), "text_sha256")
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"))

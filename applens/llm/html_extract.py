@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from applens.llm.common import byte_texts, pinned
+from applens.llm.common import byte_texts, pinned, tidy
 from applens.llm.url_filter import host_and_path
 
 MIN_PAGES = 3           # differing pages that must hold a text before it can belong to the template
@@ -213,7 +213,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(host, template): the text tokens of each host's valid, nested classes.  ``pages`` has host (a number) and html."""
-    rows = pages.mapInArrow(_tokens, "host bigint, unit bigint, token bigint, is_text int, times int, place int")
+    rows = pages.mapInArrow(tidy(_tokens), "host bigint, unit bigint, token bigint, is_text int, times int, place int")
     # pages of one content, and so of one unit, count once
     rows = pinned(rows.groupBy("host", "unit", "token").agg(F.max("is_text").alias("is_text"), F.max("times").alias("times"),
                                                             F.min("place").alias("place")))
@@ -273,4 +273,4 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         salts = F.explode(F.array(*(F.lit(i) for i in range(SALTS)))).alias("salt")
         told = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(
             found.select("host", "template", salts), ["host", "salt"], "left")
-    return told.select("page_id", "url", "html", "template").mapInArrow(_extract, "page_id bigint, url string, text string, n_chars bigint")
+    return told.select("page_id", "url", "html", "template").mapInArrow(tidy(_extract), "page_id bigint, url string, text string, n_chars bigint")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from applens.llm.common import byte_texts, id_and_text
+from applens.llm.common import byte_texts, id_and_text, tidy
 
 MAX_TRAIN = 6_000
 TRIGRAM_BITS = 17
@@ -176,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     spark = docs.sparkSession
     picked = spark.createDataFrame([(r["id"], r["label"]) for r in chosen], "id bigint, label int")
     texts = id_and_text(docs, id_col, text_col).join(F.broadcast(picked), F.col("doc_id") == F.col("id")).select("doc_id", "label", "text")
-    rows = texts.mapInArrow(_features, "doc_id bigint, label int, found array<int>").toArrow()
+    rows = texts.mapInArrow(tidy(_features), "doc_id bigint, label int, found array<int>").toArrow()
     found = [np.asarray(x, np.int32) for x in rows.column("found").to_pylist()]
     ids, y = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy()
     order = sorted(range(len(ids)), key=lambda i: (ids[i], y[i], found[i].tobytes()))
@@ -204,7 +204,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col=id_col, text_col=text_col, max_train=max_train))
     return (id_and_text(docs, id_col, text_col).select("doc_id", held_out().alias("held_out"), "text")
-            .mapInArrow(_score(model, threshold), "doc_id bigint, held_out boolean, score double, predicted int"))
+            .mapInArrow(tidy(_score(model, threshold)), "doc_id bigint, held_out boolean, score double, predicted int"))
 
 
 def _keep(model, threshold: float, text_at: int):
@@ -220,4 +220,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that the classifier accepts."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col=id_col, text_col=text_col, max_train=max_train))
-    return docs.mapInArrow(_keep(model, threshold, docs.columns.index(text_col)), docs.schema)
+    return docs.mapInArrow(tidy(_keep(model, threshold, docs.columns.index(text_col))), docs.schema)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from applens.llm.common import byte_texts, id_and_text, pinned
+from applens.llm.common import byte_texts, id_and_text, pinned, tidy
 from applens.llm.components import components
 
 SHINGLE = 4
@@ -65,7 +65,7 @@ def _sign(shingle: int):
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp) per row, the fingerprint's bits as a signed long."""
-    return id_and_text(docs, id_col, text_col).mapInArrow(_sign(shingle), "doc_id bigint, fp bigint")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(_sign(shingle)), "doc_id bigint, fp bigint")
 
 
 def _blocks(low: int, high: int, n: int) -> list[tuple[int, int]]:
@@ -238,7 +238,7 @@ def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS, hot: int =
 
     def linked(rows: DataFrame, hot: int | None) -> DataFrame:
         return (rows.repartition("deal", "sub", "key").sortWithinPartitions("deal", "sub", "key")
-                .mapInArrow(_link_partition(max_bits, hot), schema))
+                .mapInArrow(tidy(_link_partition(max_bits, hot)), schema))
 
     first = pinned(linked(dealt, hot))
     second = linked(first.filter("b IS NULL").select("deal", "sub", "key", F.col("a").alias("fp")), None)

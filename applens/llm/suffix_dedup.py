@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from applens.llm.common import byte_texts, pinned
+from applens.llm.common import byte_texts, pinned, tidy
 
 LENGTH = 200
 GRAM = 50                      # bytes of an anchor
@@ -381,7 +381,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     # both joins below shuffle the texts by the same keys with the same columns, so Spark shuffles them once
     texts = docs.select(F.xxhash64(did, text).alias("key"), did.alias("did"), text.alias("text"))
-    met = texts.mapInArrow(_occurrences(length, gram), _OCCURRENCE).repartition("h")
+    met = texts.mapInArrow(tidy(_occurrences(length, gram)), _OCCURRENCE).repartition("h")
     same, of_anchor = Window.partitionBy("h", "c"), Window.partitionBy("h")
     first_ref = F.col("refs")[0]
     seen = (met.withColumn("m", F.sum(F.size("refs")).over(same))
@@ -402,18 +402,18 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
     def bodies(hot: bool) -> DataFrame:
         mine = asked.select("key", "did", F.filter("asked", lambda r: r["hot"] == hot).alias("asked")).filter(F.size("asked") > 0)
         return (texts.join(mine, ["key", "did"])
-                .mapInArrow(_fetch(length), "h bigint, c bigint, n int, a int, sure boolean, key bigint, did bigint, lo int, body binary"))
+                .mapInArrow(tidy(_fetch(length)), "h bigint, c bigint, n int, a int, sure boolean, key bigint, did bigint, lo int, body binary"))
 
-    parts = whole.unionAll(bodies(False).repartition("h").sortWithinPartitions("h").mapInArrow(_sort_blocks(length), _SPAN))
+    parts = whole.unionAll(bodies(False).repartition("h").sortWithinPartitions("h").mapInArrow(tidy(_sort_blocks(length)), _SPAN))
     if not seen.filter(F.col("contexts") > hot_contexts).isEmpty():
-        windows = bodies(True).mapInArrow(_window_hashes(length), "w1 bigint, w2 bigint, key bigint, did bigint, at int, sure boolean")
+        windows = bodies(True).mapInArrow(tidy(_window_hashes(length)), "w1 bigint, w2 bigint, key bigint, did bigint, at int, sure boolean")
         again = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
         parts = parts.unionAll(windows.filter("NOT sure").join(again, ["w1", "w2"], "left_semi")
                                .select("key", "did", F.col("at").alias("lo"), (F.col("at") + length).cast("int").alias("hi")))
     spans = parts.groupBy("key", "did").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     doc_id = F.nullif("did", F.lit(_NO_ID)).alias("doc_id")
     return (texts.join(spans, ["key", "did"], "left").select(doc_id, "text", "spans")
-            .mapInArrow(_remove, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
+            .mapInArrow(tidy(_remove), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
                                  "spans array<struct<lo: bigint, hi: bigint>>"))
 
 

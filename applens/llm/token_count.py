@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from applens.llm.common import byte_texts, id_and_text
+from applens.llm.common import byte_texts, id_and_text, tidy
 
 WORDS_KEPT = 500_000
 LONG_WORD = 200
@@ -163,4 +163,4 @@ def token_counts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     Null and empty texts count nothing; repeated rows count each; a word of any
     length is walked whole; other columns are not read; an empty table gives no rows.
     """
-    return id_and_text(docs, id_col, text_col).mapInArrow(_count(vocabulary), "doc_id bigint, n_words bigint, n_tokens bigint")
+    return id_and_text(docs, id_col, text_col).mapInArrow(tidy(_count(vocabulary)), "doc_id bigint, n_words bigint, n_tokens bigint")

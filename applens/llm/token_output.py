@@ -26,11 +26,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from applens.llm.common import byte_texts, id_and_text, scratch
+from applens.llm.common import byte_texts, id_and_text, scratch, tidy
 
 END_ID = 1
-WORDS_KEPT = 400_000          # distinct words a worker remembers before it starts afresh
+WORDS_KEPT = 250_000          # distinct words a worker remembers before it starts afresh
 LONG_WORD = 200               # bytes; longer runs are encoded but not remembered
+BATCH_BYTES = 4 << 20           # ids handed on at once
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
 FILE_SCHEMA = "doc_id bigint, shard int, pos bigint, n_tokens bigint, ids array<int>"
@@ -42,6 +43,13 @@ _LAST_PLAIN, _NOT_PLAIN = "\u024f", "\u0130"
 _TAIL = b".,!?;:#$%&*|-+=()"
 
 
+def _plain_letters(word: bytes) -> bool:
+    if word.isascii():
+        return word.isalpha()
+    text = word.decode("utf-8", "replace")
+    return text.isalpha() and max(text) <= _LAST_PLAIN and _NOT_PLAIN not in text
+
+
 def _byte_alphabet() -> dict[int, str]:
     """The characters that stand for bytes in a byte-level vocabulary: visible Latin-1 as is, the rest from U+0100 on."""
     plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
@@ -67,32 +75,31 @@ class WordEncoder:
         ids = self._tok.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
         return array("I", ids).tobytes()
 
-    def _letters(self, word: bytes) -> bytes | None:
-        """Ids of a word of plain letters; None if it is not one."""
-        if word.isascii():
-            if not word.isalpha():
-                return None
-            piece = word.lower().decode("ascii")
-        else:
-            text = word.decode("utf-8", "replace")
-            if not text.isalpha() or max(text) > _LAST_PLAIN or _NOT_PLAIN in text:
-                return None
-            piece = text.lower().encode().decode("latin-1").translate(self._alphabet)
+    def _letters(self, word: bytes) -> bytes:
+        """Ids of a word of plain letters."""
+        piece = word.decode().lower().encode().decode("latin-1").translate(self._alphabet) if not word.isascii() else word.decode("ascii").lower()
         return array("I", [t.id for t in self._model.tokenize(piece)]).tobytes()
 
     def _new(self, word: bytes) -> bytes:
-        ids = self._letters(word)
-        if ids is not None:
-            return ids
         core = word.rstrip(_TAIL)
-        ids = self._letters(core) if core and len(core) < len(word) else None
-        if ids is None:
+        if not _plain_letters(core):
             return self._whole(word)
+        # capitals and tails are many, the lower-case words behind them fewer
+        known, key = self._known, core.lower()
+        ids = known.get(key)
+        if ids is None:
+            ids = self._letters(key)
+            if len(key) <= LONG_WORD:
+                known[key] = ids
+        if len(core) == len(word):
+            return ids
         tail = word[len(core):]
-        known = self._known.get(tail)
-        if known is None:
-            known = self._known[tail] = self._whole(tail)
-        return ids + known
+        end = known.get(tail)
+        if end is None:
+            end = self._whole(tail)
+            if len(tail) <= LONG_WORD:
+                known[tail] = end
+        return ids + end
 
     def encode(self, text: bytes) -> bytes:
         """The ids of ``text`` as little-endian unsigned 32-bit integers."""
@@ -131,7 +138,7 @@ def _encode_partition(path: str, end_id: int | None):
             for i, text in enumerate(byte_texts(batch.column("text"))):
                 ids.append(encoder.encode(text) + tail)
                 held += len(ids[-1])
-                if held > 64 << 20 or i == batch.num_rows - 1:
+                if held > BATCH_BYTES or i == batch.num_rows - 1:
                     lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
                     values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
                     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
@@ -159,7 +166,7 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int | No
     n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = id_and_text(docs, id_col, text_col)
     (rows.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-     .mapInArrow(_encode_partition(tokenizer, end_id), FILE_SCHEMA)
+     .mapInArrow(tidy(_encode_partition(tokenizer, end_id)), FILE_SCHEMA)
      .write.mode("errorifexists")
      .option("compression", "zstd").option("parquet.writer.version", "PARQUET_2_0")
      .option("parquet.block.size", row_group_bytes).option("parquet.page.size", page_bytes)
@@ -189,7 +196,7 @@ def token_digest(written: DataFrame) -> DataFrame:
     Places are sums within a file range, moved by the sums of the ranges before
     it; there is one such sum for each range, so that side is small at any size.
     """
-    rows = written.mapInArrow(_digest, "doc_id bigint, shard int, pos bigint, n_tokens bigint, ids_crc32 bigint")
+    rows = written.mapInArrow(tidy(_digest), "doc_id bigint, shard int, pos bigint, n_tokens bigint, ids_crc32 bigint")
     totals = written.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("shard", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))

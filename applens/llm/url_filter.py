@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from applens.llm.common import byte_texts
+from applens.llm.common import byte_texts, tidy
 
 FEATURE_BITS = 15
 GRAMS = (3, 4, 5)
@@ -169,7 +169,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule] = (), labelled: Sequence[
     model = pages.sparkSession.sparkContext.broadcast(fit_urls(labelled_urls() if labelled is None else labelled))
     host, path = host_and_path(F.col(url_col).cast("string"))
     parts = pages.select(F.col(id_col).cast("bigint").alias("page_id"), host.alias("host"), path.alias("path"))
-    scored = parts.mapInArrow(_score(model), "page_id bigint, host string, path string, score double")
+    scored = parts.mapInArrow(tidy(_score(model)), "page_id bigint, host string, path string, score double")
     rule, action = matching_rule(rules, F.col("host"), F.col("path"))
     return scored.select("page_id", "host", "path", rule.alias("rule"),
                          F.coalesce(action, F.when(F.col("score") >= threshold, "block").otherwise("allow")).alias("verdict"), "score")
