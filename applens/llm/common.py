@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,11 +57,24 @@ def byte_texts(column: pa.Array) -> Iterator[bytes]:
             yield x or b""
 
 
+# where the library lies; workers on the driver's machine may have no other way to it
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def tidy(run):
-    """A task over Arrow batches that gives back Arrow's freed memory at its end, as workers outlive their tasks."""
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from run(batches)
-        pa.default_memory_pool().release_unused()
+    """A task over Arrow batches that finds this library where the driver has it, if the worker's own path
+    has none, and gives back Arrow's freed memory at its end, as workers outlive their tasks."""
+    packed, root = cloudpickle.dumps(run), _ROOT
+
+    def task(batches):
+        import sys
+
+        import pyarrow
+        from pyspark import cloudpickle as loader
+        if root not in sys.path:
+            sys.path.append(root)
+        yield from loader.loads(packed)(batches)
+        pyarrow.default_memory_pool().release_unused()
     return task
 
 
