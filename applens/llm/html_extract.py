@@ -11,8 +11,8 @@ author.  What is left are slots; the elements that enclose a slot tell whether i
 the article or a menu, advert, form and the like.
 
 Vectors are never built: a token's vector is summed up as a hash that pages add to one by one,
-so a host may have any number of pages and is aggregated before the shuffle.  Where markup names the article, its
-text is in a slot by that alone; the vectors decide on the text that no element places.
+so a host may have any number of pages and is aggregated before the shuffle.  Every text block is a token, in the
+article or not; elements and classes only tell which of the slots left by the template is the article.
 Pages with one and the same content count once, else the copies of an article would look like a template.
 """
 
@@ -73,14 +73,15 @@ _ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "
 class Block:
     path: int              # hash of the enclosing elements' names and classes
     text: str
+    token: int             # hash of path and text
     skipped: bool          # an enclosing element says it is not the article
-    in_main: bool
+    main: int              # number of the innermost article or main around it, 0 if there is none
 
 
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
-    # (hash, 1 for a text block or 0 for an element), in page order; text that its elements already place is left out
+    # (hash, 1 for a text block or 0 for an element), in page order
     tokens: list[tuple[int, int]] = field(default_factory=list)
 
 
@@ -91,9 +92,10 @@ def _hash(parent: int, *parts: str) -> int:
 def parse(html: str) -> Page:
     """Elements and text blocks of a page; lenient about tags left open, stray ends and cut-off pages."""
     page = Page()
-    # (name, path, skipped: 1 as a block or 2 within one, in main)
-    stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
+    # (name, path, skipped: 1 as a block or 2 within one, number of the article)
+    stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
     parts: list[str] = []
+    mains = 0
 
     def flush() -> None:
         if not parts:
@@ -101,13 +103,13 @@ def parse(html: str) -> Page:
         text = " ".join(unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, path, skipped, in_main = at[0] if at else stack[-1]
-            page.blocks.append(Block(path, text, skipped > 0, in_main))
-            if not skipped and not in_main:
-                page.tokens.append((_hash(path, text), 1))
+            _, path, skipped, main = at[0] if at else stack[-1]
+            token = _hash(path, text)
+            page.blocks.append(Block(path, text, token, skipped > 0, main))
+            page.tokens.append((token, 1))
         at.clear()
 
-    at: list[tuple[str, int, int, bool]] = []          # where the block under way began
+    at: list[tuple[str, int, int, int]] = []          # where the block under way began
     pos, end = 0, len(html)
     while pos < end:
         m = _TOKEN.match(html, pos)
@@ -151,7 +153,7 @@ def parse(html: str) -> Page:
                     break
                 if stack[i][0] in holders:
                     break
-        _, path, skipped, in_main = stack[-1]
+        _, path, skipped, main = stack[-1]
         kinds, marks = "", ()
         if attrs and "=" in attrs:
             found = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
@@ -162,7 +164,7 @@ def parse(html: str) -> Page:
             skip_here = False
         if name in ("html", "body") or name in _MAIN and "comment" not in marks and "comments" not in marks:
             skip_here = False                                  # a page's own classes name its kind, not what it holds
-        if name in _SKIPPED or not in_main and (name == "header" or name in ("div", "section") and "header" in marks):
+        if name in _SKIPPED or not main and (name == "header" or name in ("div", "section") and "header" in marks):
             skip_here = True
         path = _hash(path, name, kinds)
         page.tokens.append((path, 0))
@@ -173,7 +175,10 @@ def parse(html: str) -> Page:
             pos = close.start() if close else end
         if skip_here and not skipped:
             skipped = 1 if name in _BLOCK else 2
-        stack.append((name, path, skipped, in_main or name in _MAIN and not skipped))
+        if name in _MAIN and not skipped:
+            mains += 1
+            main = mains
+        stack.append((name, path, skipped, main))
     flush()
     return page
 
@@ -181,12 +186,17 @@ def parse(html: str) -> Page:
 def remaining_text(page: Page, template: set[int]) -> str:
     """Blocks of the slots that hold the article, in page order, one a line.
 
-    Where a page marks its article, that is the slot; template text counts only outside of it.
+    The template decides first.  Within an article, the blocks of one path are a slot: it is the template's if all its
+    texts are, else its repeated lines stand among the author's and stay.  Of what is left, marked articles are taken if there are any.
     """
     blocks = [b for b in page.blocks if not b.skipped]
-    if any(b.in_main for b in blocks):
-        return "\n".join(b.text for b in blocks if b.in_main)
-    return "\n".join(b.text for b in blocks if _signed(_hash(b.path, b.text)) not in template)
+    if template:
+        own = [_signed(b.token) not in template for b in blocks]
+        slots = {(b.main, b.path) for b, o in zip(blocks, own) if o and b.main}
+        blocks = [b for b, o in zip(blocks, own) if o or (b.main, b.path) in slots]
+    if any(b.main for b in blocks):
+        blocks = [b for b in blocks if b.main]
+    return "\n".join(b.text for b in blocks)
 
 
 def _signed(h: int) -> int:
@@ -194,7 +204,7 @@ def _signed(h: int) -> int:
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per page and distinct token.  Text that an enclosing element has already placed (in the article or out of it) is no token."""
+    """A row per page and distinct token."""
     names = ["host", "unit", "token", "is_text", "times", "place"]
     types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
     for batch in batches:

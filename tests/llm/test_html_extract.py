@@ -87,3 +87,23 @@ def test_articles_are_never_cut_by_the_template(spark):
     rows = [(i, "http://a.example/", f"<div>Menu text</div><article><p>Same first line</p><p>own {i}</p></article>", "", "", "") for i in range(9)]
     got = {r["page_id"]: r["text"] for r in he.main_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {i: f"Same first line\nown {i}" for i in range(9)}
+
+
+def test_the_template_decides_on_text_inside_articles(spark):
+    """Same text in a place of its own is the template's, in an article or not; an article that is all template is not the article."""
+    def page(i):
+        return (f"<body><main><h1>Daily paper</h1><article class='note'><p>About this site</p></article><article><h2>Title {i}</h2>"
+                f"<p>Same first line</p><p>own {i}</p><div class='more'>Read all of it</div></article></main></body>")
+
+    rows = [(i, "http://d.example/", page(i), "", "", "") for i in range(9)]
+    rows += [(20 + i, "http://e.example/", f"<article><p>Only a frame</p></article><div>own {i}</div>", "", "", "") for i in range(9)]
+    rows += [(40 + i, "http://few.example/", page(i), "", "", "") for i in range(2)]
+    got = {r["page_id"]: r["text"] for r in he.main_texts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i] == f"Title {i}\nSame first line\nown {i}" for i in range(9))
+    assert all(got[20 + i] == f"own {i}" for i in range(9))
+    assert all(got[40 + i] == f"Daily paper\nAbout this site\nTitle {i}\nSame first line\nown {i}\nRead all of it" for i in range(2))
+
+
+def test_every_text_block_is_a_token():
+    page = he.parse("<nav>menu</nav><article><p>text</p></article><footer>end</footer>")
+    assert sum(is_text for _, is_text in page.tokens) == len(page.blocks) == 3
