@@ -60,6 +60,13 @@ _SKIPPED_WORDS = frozenset(
     "navbar navigation breadcrumb breadcrumbs sidebar sidebars rail widget widgets footer masthead topbar comment comments reply "
     "replies respond disqus discussion share sharing social related recommended recommendations pagination pager toolbar search "
     "skip".split())
+# Those of them that name a box of other texts than the page's own; the rest may as well describe the layout around an article.
+_LISTS = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion popup modal overlay "
+    "newsletter sidebar sidebars rail widget widgets comment comments reply replies respond disqus discussion related recommended "
+    "recommendations".split())
+_ENTRIES = frozenset("comment comments reply replies card cards teaser teasers".split())     # articles of such a box
+_HAS = re.compile(r"(?<!\S)(?:has|with|without|no)[-_]\S*")           # classes that say what is inside or missing
 # An open element that a start tag ends, up to the nearest of the elements that hold it.
 _ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
          "tr": (("tr",), ("table",)), "td": (("td", "th"), ("tr", "table")), "th": (("td", "th"), ("tr", "table")),
@@ -67,6 +74,7 @@ _ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "
          # a menu or page head left open does not hold the article
          "article": (("nav", "header"), ("article", "main", "aside", "footer", "section")),
          "main": (("nav", "header"), ("article", "aside", "footer"))}
+LISTED = 1000
 
 
 @dataclass
@@ -76,6 +84,7 @@ class Block:
     token: int             # hash of path and text
     skipped: bool          # an enclosing element says it is not the article
     main: int              # number of the innermost article or main around it, 0 if there is none
+    depth: int             # elements around that article whose class says it is not one, LISTED for a box of other texts; -1 in main itself
 
 
 @dataclass
@@ -92,8 +101,9 @@ def _hash(parent: int, *parts: str) -> int:
 def parse(html: str) -> Page:
     """Elements and text blocks of a page; lenient about tags left open, stray ends and cut-off pages."""
     page = Page()
-    # (name, path, skipped: 1 as a block or 2 within one, number of the article)
-    stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
+    # (name, path, skipped: 1 as a block or 2 within one, number of the article, whether an element's name or role
+    # skips it, depth of classes that do, depth of the article)
+    stack: list[tuple[str, int, int, int, bool, int, int]] = [("", 0, 0, 0, False, 0, -1)]
     parts: list[str] = []
     mains = 0
 
@@ -103,13 +113,13 @@ def parse(html: str) -> Page:
         text = " ".join(unescape("".join(parts)).split())
         parts.clear()
         if text:
-            _, path, skipped, main = at[0] if at else stack[-1]
+            _, path, skipped, main, _, _, depth = at[0] if at else stack[-1]
             token = _hash(path, text)
-            page.blocks.append(Block(path, text, token, skipped > 0, main))
+            page.blocks.append(Block(path, text, token, skipped > 0, main, depth))
             page.tokens.append((token, 1))
         at.clear()
 
-    at: list[tuple[str, int, int, int]] = []          # where the block under way began
+    at: list[tuple[str, int, int, int, bool, int, int]] = []          # where the block under way began
     pos, end = 0, len(html)
     while pos < end:
         m = _TOKEN.match(html, pos)
@@ -153,19 +163,24 @@ def parse(html: str) -> Page:
                     break
                 if stack[i][0] in holders:
                     break
-        _, path, skipped, main = stack[-1]
-        kinds, marks = "", ()
+        _, path, skipped, main, never, words, depth = stack[-1]
+        kinds, marks, never_here, skip_here = "", frozenset(), False, False
         if attrs and "=" in attrs:
             found = {k.lower(): a or b or c for k, a, b, c in _ATTR.findall(attrs)}
             kinds = found.get("class", "")
             marks = {w.lower() for k in ("class", "id") if k in found for w in _WORDS.findall(found[k])}
-            skip_here = found.get("role", "").lower() in _SKIPPED_ROLES or not marks.isdisjoint(_SKIPPED_WORDS)
-        else:
-            skip_here = False
+            never_here = found.get("role", "").lower() in _SKIPPED_ROLES
+            skip_here = not marks.isdisjoint(_SKIPPED_WORDS)
         if name in ("html", "body") or name in _MAIN and "comment" not in marks and "comments" not in marks:
-            skip_here = False                                  # a page's own classes name its kind, not what it holds
-        if name in _SKIPPED or not main and (name == "header" or name in ("div", "section") and "header" in marks):
+            never_here = skip_here = False                     # a page's own classes name its kind, not what it holds
+        if name in _SKIPPED or not main and name == "header":
+            never_here = True
+        if not main and name in ("div", "section") and "header" in marks:
             skip_here = True
+        never = never or never_here
+        if skip_here:
+            boxes = {w.lower() for k in ("class", "id") if k in found for w in _WORDS.findall(_HAS.sub("", found[k]))}
+            words += 1 if boxes.isdisjoint(_LISTS) else LISTED
         path = _hash(path, name, kinds)
         page.tokens.append((path, 0))
         if name in _VOID or attrs and attrs.endswith("/") and name not in _BLOCK:
@@ -173,12 +188,15 @@ def parse(html: str) -> Page:
         if name in _RAW:
             close = re.compile(rf"</{name}(?=[\s/>])", re.I).search(html, pos)
             pos = close.start() if close else end
-        if skip_here and not skipped:
-            skipped = 1 if name in _BLOCK else 2
-        if name in _MAIN and not skipped:
+        if name in _MAIN and not never and not skip_here and not (skipped and marks & _ENTRIES):
+            # a class around an article may tell of the layout only; the article's depth says how far to believe it
             mains += 1
-            main = mains
-        stack.append((name, path, skipped, main))
+            main, skipped = mains, 0
+            words = 0 if name == "main" else words
+            depth = -1 if name == "main" else words
+        elif (never_here or skip_here) and not skipped:
+            skipped = 1 if name in _BLOCK else 2
+        stack.append((name, path, skipped, main, never, words, depth))
     flush()
     return page
 
@@ -194,8 +212,12 @@ def remaining_text(page: Page, template: set[int]) -> str:
         own = [_signed(b.token) not in template for b in blocks]
         slots = {(b.main, b.path) for b, o in zip(blocks, own) if o and b.main}
         blocks = [b for b, o in zip(blocks, own) if o or (b.main, b.path) in slots]
-    if any(b.main for b in blocks):
-        blocks = [b for b in blocks if b.main]
+    marked = [b for b in blocks if b.main]
+    if marked:
+        # the articles with the fewest classes against them; those in a box of other texts only if there is nothing else
+        least = min((b.depth for b in marked if b.depth >= 0), default=0)
+        direct = any(b.depth < 0 for b in marked)
+        blocks = [b for b in marked if b.depth < 0 or b.depth == least and not (direct and least >= LISTED)]
     return "\n".join(b.text for b in blocks)
 
 

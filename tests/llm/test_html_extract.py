@@ -107,3 +107,25 @@ def test_the_template_decides_on_text_inside_articles(spark):
 def test_every_text_block_is_a_token():
     page = he.parse("<nav>menu</nav><article><p>text</p></article><footer>end</footer>")
     assert sum(is_text for _, is_text in page.tokens) == len(page.blocks) == 3
+
+
+WRAPPED = [
+    ("<div class='layout has-sidebar'><article><p>t</p></article></div>", "t"),
+    ("<div id='search-page'><main><h1>T</h1><p>t</p></main></div>", "T\nt"),
+    ("<app-root class='search-page'><article>t</article></app-root>", "t"),
+    ("<div class='header-fixed'><article>t</article></div>", "t"),
+    ("<main><h1>T</h1><div class='layout has-sidebar'><article><p>t</p></article><div class='sidebar'>s</div></div></main>", "T\nt"),
+    ("<div class='sidebar-layout'><article><p>t</p><div class='share'>s</div></article></div>", "t"),
+    ("<div class='no-ads'><div class='with-menu'><article>t</article><div class='related'><article>r</article></div></div></div>", "t"),
+    ("<article>t</article><div class='related'><article>r</article></div>", "t"),
+    ("<main><p>t</p><div class='sidebar'><article>s</article></div></main>", "t"),
+    ("<article>t<section class='comments'><article>c</article></section></article>", "t"),
+    ("<div class='related'><article class='card'>r</article></div><p>t</p>", "t"),
+    ("<div class='has-sidebar'><aside><article>s</article></aside></div><p>t</p>", "t"),
+    ("<div class='has-sidebar'><nav><main>s</main></nav></div>", "s"),
+]
+
+
+@pytest.mark.parametrize("html,want", WRAPPED)
+def test_a_class_around_an_article_does_not_lose_it(html, want):
+    assert he.remaining_text(he.parse(html), set()) == want
