@@ -378,11 +378,16 @@ def _als_inputs(spark, sf):
     return r, training, validation
 
 
-def q_als_predict(spark, sf):
-    """Validation rows that get a usable prediction: those whose user and item were trained on."""
+def als_predictions(spark, sf):
+    """Validation rows whose user and item were trained on, with their prediction."""
     _, training, validation = _als_inputs(spark, sf)
     model = recommend.fit(training, rank=8, reg=0.1, max_iter=10)
-    return recommend.score(model, validation).select("user_id", "item_id", "rating", (F.abs("prediction") < 1000).alias("usable"))
+    return recommend.score(model, validation).select("user_id", "item_id", "rating", "prediction")
+
+
+def q_als_predict(spark, sf):
+    """Validation rows that get a usable prediction: those whose user and item were trained on."""
+    return als_predictions(spark, sf).select("user_id", "item_id", "rating", (F.abs("prediction") < 1000).alias("usable"))
 
 
 def q_als_grid(spark, sf):
@@ -395,14 +400,24 @@ def q_als_grid(spark, sf):
     return spark.createDataFrame(rows, "place int, rank int, reg double, iters int, scored boolean, winner_is_least boolean")
 
 
-def q_als_top_n(spark, sf):
-    """Ranks of the listed items, how many were scored, and whether each is unrated and no better than the one before."""
+def _als_top(spark, sf):
+    """All ratings, the person's scored items, and the best of them."""
     r, training, _ = _als_inputs(spark, sf)
     model = recommend.fit(training, rank=8, reg=0.1, max_iter=10)
     items = _items(spark, sf)
     cands = recommend.unrated_candidates(items, r, PERSONAL_USER)
     scored = recommend.score_for_user(model, PERSONAL_USER, cands)
-    top = recommend.top_n(scored, items, TOP_N)
+    return r, scored, recommend.top_n(scored, items, TOP_N)
+
+
+def als_top_items(spark, sf):
+    """The person's best unrated items: rank, item_id, name, prediction and a line to print."""
+    return _als_top(spark, sf)[2]
+
+
+def q_als_top_n(spark, sf):
+    """Ranks of the listed items, how many were scored, and whether each is unrated and no better than the one before."""
+    r, scored, top = _als_top(spark, sf)
     mine = r.where(F.col("user_id") == PERSONAL_USER).select("item_id").distinct().withColumn("rated", F.lit(True))
     best_first = F.coalesce(F.col("prediction") <= F.lag("prediction").over(Window.orderBy("rank")), F.lit(True))
     n_scored = F.lit(scored.count()).alias("n_scored")
@@ -414,3 +429,6 @@ QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
 }
+
+# What the solver returns, registered beside the queries that check it: no SQL gives these numbers.
+SOLVER_QUERIES: dict[str, Query] = {"als_predictions": als_predictions, "als_top_items": als_top_items}

@@ -1,10 +1,12 @@
 """ALS recommender: quality vs the mean baseline, grid rule, top-N, save/load."""
 
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from applens.operators import ratings as rt, recommend
 
 
@@ -105,3 +107,17 @@ def test_scores_of_one_user_need_no_nested_loop(spark, low_rank):
 def test_blocks_follow_the_session_or_the_argument(spark, low_rank):
     assert recommend.default_blocks(low_rank) == max(10, spark.sparkContext.defaultParallelism)
     assert recommend.make_als(blocks=33).getNumUserBlocks() == 33
+
+
+def test_registered_queries_return_what_the_fit_predicts(spark):
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables not present")
+    queries = entry.queries()
+    top = sorted(map(tuple, queries["als_top_items"](spark, sf).select("rank", "item_id", "name", "prediction").collect()))
+    assert [r[0] for r in top] == list(range(1, len(top) + 1)) == sorted(r["rank"] for r in queries["als_top_n"](spark, sf).collect())
+    assert top and all(a[3] >= b[3] for a, b in zip(top, top[1:])) and all(r[2] for r in top) and len({r[1] for r in top}) == len(top)
+    told = queries["als_predictions"](spark, sf)
+    assert all(abs(r["prediction"]) < 1000 for r in told.collect())
+    keys = ["user_id", "item_id", "rating"]
+    assert sorted(map(tuple, told.select(keys).collect())) == sorted(map(tuple, queries["als_predict"](spark, sf).select(keys).collect()))
