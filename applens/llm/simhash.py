@@ -29,7 +29,7 @@ SHINGLE = 4
 MAX_BITS = 4
 SEED = 42
 PIVOTS = 16
-HOT_DEAL = 1 << 15       # fingerprints; larger deals are dealt again by finer blocks
+HOT_DEAL = 1 << 15       # fingerprints; larger deals are dealt again by more bits, until none is left
 _CHUNK = 1 << 14
 
 
@@ -74,43 +74,24 @@ def _blocks(low: int, high: int, n: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def _deals(max_bits: int) -> list[list[tuple[int, int]]]:
-    """Sets of blocks of which at least one is equal for any two fingerprints within ``max_bits``."""
-    return [list(pair) for pair in combinations(_blocks(0, 64, max_bits + 2), 2)]
+def _bits(blocks) -> int:
+    """The mask that holds just the bits of ``blocks``."""
+    return sum((1 << width) - 1 << first for first, width in blocks)
 
 
-def _value(fp, blocks):
-    """The bits of ``blocks`` side by side; works on columns and on numpy arrays alike."""
-    out, shift = None, 0
-    for first, width in blocks:
-        part = ((fp >> np.uint64(first)) & np.uint64((1 << width) - 1)) << np.uint64(shift)
-        out, shift = part if out is None else out | part, shift + width
-    return out
+def _deals(max_bits: int) -> list[int]:
+    """Masks on at least one of which any two fingerprints within ``max_bits`` are equal."""
+    return [_bits(pair) for pair in combinations(_blocks(0, 64, max_bits + 2), 2)]
 
 
-def _value_column(col: str, blocks):
-    out, shift = F.lit(0).cast("bigint"), 0
-    for first, width in blocks:
-        part = F.shiftleft(F.shiftrightunsigned(col, first).bitwiseAND(F.lit((1 << width) - 1).cast("bigint")), shift)
-        out, shift = out.bitwiseOR(part), shift + width
-    return out
+def _finer(mask: int, max_bits: int) -> list[int]:
+    """``mask`` with a part of its open bits each; two fingerprints within ``max_bits`` that agree on it agree on one of these."""
+    rest = [b for b in range(64) if not mask >> b & 1]
+    return [mask | _bits((b, 1) for b in rest[first:first + width]) for first, width in _blocks(0, len(rest), max_bits + 1)]
 
 
-def _finer(deal: int, max_bits: int) -> list[list[tuple[int, int]]]:
-    """Blocks of the bits that ``deal`` leaves open, one of which is equal within ``max_bits``."""
-    taken = _deals(max_bits)[deal]
-    rest = [b for b in range(64) if not any(first <= b < first + width for first, width in taken)]
-    groups = []
-    for k in range(max_bits + 1):
-        bits = rest[len(rest) * k // (max_bits + 1):len(rest) * (k + 1) // (max_bits + 1)]
-        runs: list[tuple[int, int]] = []
-        for b in bits:
-            if runs and runs[-1][0] + runs[-1][1] == b:
-                runs[-1] = (runs[-1][0], runs[-1][1] + 1)
-            else:
-                runs.append((b, 1))
-        groups.append(runs)
-    return groups
+def _signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
 
 
 _REFERENCES = np.random.default_rng(7).integers(0, 1 << 64, size=PIVOTS, dtype=np.uint64)
@@ -174,50 +155,52 @@ def link_deal(fp: np.ndarray, table: np.ndarray, max_bits: int) -> list[tuple[in
     return links
 
 
-def _link_partition(max_bits: int, hot: int | None):
-    names = ["deal", "sub", "key", "a", "b"]
+def _link_partition(max_bits: int, hot: int):
+    names = ["mask", "key", "a", "b"]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-            zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], names=names)
-
-    def again(deal: int, key: int, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Rows of a hot deal, dealt once more by each finer block."""
-        for sub, blocks in enumerate(_finer(deal, max_bits), 1):
-            value = (np.uint64(key & (1 << 32) - 1) << np.uint64(16)) ^ _value(fp, blocks)
-            n = len(fp)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+
+    def may_spill(mask: int) -> bool:
+        """Whether a deal has bits to be dealt by; with as few as ``max_bits`` open it holds 2 ** max_bits fingerprints at most."""
+        return 64 - (mask % (1 << 64)).bit_count() > max_bits
+
+    def again(mask: int, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows of a hot deal, dealt once more by each finer mask."""
+        n = len(fp)
+        for finer in _finer(mask % (1 << 64), max_bits):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, deal, np.int32)), pa.array(np.full(n, sub, np.int32)), pa.array(value.view(np.int64)),
+                [pa.array(np.full(n, _signed(finer))), pa.array((fp & np.uint64(finer)).view(np.int64)),
                  pa.array(fp.view(np.int64)), pa.nulls(n, pa.int64())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Input sorted by (deal, sub, key): one deal is held at a time, a hot one not even whole."""
+        """Input sorted by (mask, key): one deal is held at a time, a hot one not even whole."""
         at, held, spilling, out = None, [], False, []
 
         def close() -> Iterator[pa.RecordBatch]:
             if at is None or not held:
                 return
             if spilling:
-                yield from again(at[0], at[2], np.concatenate([f for f, _ in held]))
+                yield from again(at[0], np.concatenate([f for f, _ in held]))
             elif len(held) > 1 or len(held[0][0]) > 1:
                 fp, table = (np.concatenate(x) if len(x) > 1 else x[0] for x in zip(*held))
                 signed = fp.view(np.int64)
-                out.extend((at[0], 0, 0, int(signed[i]), int(signed[j])) for i, j in link_deal(fp, table, max_bits))
+                out.extend((*at, int(signed[i]), int(signed[j])) for i, j in link_deal(fp, table, max_bits))
 
         for batch in batches:
-            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("deal", "sub", "key", "fp")]
-            fp = cols[3].view(np.uint64)
+            cols = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("mask", "key", "fp")]
+            fp = cols[2].view(np.uint64)
             table = pivot_table(fp)
-            turns = np.nonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]) | (cols[2][1:] != cols[2][:-1]))[0] + 1
+            turns = np.nonzero((cols[0][1:] != cols[0][:-1]) | (cols[1][1:] != cols[1][:-1]))[0] + 1
             for a, b in zip([0, *turns.tolist()], [*turns.tolist(), len(fp)]):
-                key = (int(cols[0][a]), int(cols[1][a]), int(cols[2][a]))
+                key = (int(cols[0][a]), int(cols[1][a]))
                 if key != at:
                     yield from close()
                     at, held, spilling = key, [], False
                 held.append((fp[a:b], table[a:b]))
-                if hot and b - a + sum(len(f) for f, _ in held[:-1]) > hot:
+                if b - a + sum(len(f) for f, _ in held[:-1]) > hot and may_spill(key[0]):
                     spilling = True
-                    yield from again(at[0], at[2], np.concatenate([f for f, _ in held]))
+                    yield from again(at[0], np.concatenate([f for f, _ in held]))
                     held = []
             if len(out) > 10_000:
                 yield batch_of(out)
@@ -230,19 +213,19 @@ def _link_partition(max_bits: int, hot: int | None):
 
 def fingerprint_links(distinct: DataFrame, max_bits: int = MAX_BITS, hot: int = HOT_DEAL) -> DataFrame:
     """Links (a, b) between distinct fingerprints (column fp) whose components are those of all pairs within ``max_bits``."""
-    deals = F.array(*(F.struct(F.lit(i).alias("deal"), _value_column("fp", blocks).alias("key"))
-                      for i, blocks in enumerate(_deals(max_bits))))
-    dealt = distinct.select("fp", F.explode(deals).alias("d")).select(
-        F.col("d.deal").alias("deal"), F.lit(0).alias("sub"), F.col("d.key").alias("key"), "fp")
-    schema = "deal int, sub int, key bigint, a bigint, b bigint"
-
-    def linked(rows: DataFrame, hot: int | None) -> DataFrame:
-        return (rows.repartition("deal", "sub", "key").sortWithinPartitions("deal", "sub", "key")
-                .mapInArrow(tidy(_link_partition(max_bits, hot)), schema))
-
-    first = pinned(linked(dealt, hot))
-    second = linked(first.filter("b IS NULL").select("deal", "sub", "key", F.col("a").alias("fp")), None)
-    return first.filter("b IS NOT NULL").select("a", "b").unionAll(second.select("a", "b"))
+    deals = F.array(*(F.struct(F.lit(_signed(m)).cast("bigint").alias("mask"), F.col("fp").bitwiseAND(F.lit(_signed(m)).cast("bigint")).alias("key"))
+                      for m in _deals(max_bits)))
+    rows = distinct.select("fp", F.explode(deals).alias("d")).select("d.mask", "d.key", "fp")
+    links = None
+    while True:
+        met = pinned(rows.repartition("mask", "key").sortWithinPartitions("mask", "key")
+                     .mapInArrow(tidy(_link_partition(max_bits, hot)), "mask bigint, key bigint, a bigint, b bigint"))
+        found, more = met.filter("b IS NOT NULL").select("a", "b"), met.filter("b IS NULL")
+        links = links.unionAll(found) if links is not None else found
+        if more.isEmpty():
+            return links
+        # a hot deal is dealt until it is bounded: every turn fixes more bits, and two ways may lead to one mask
+        rows = more.select("mask", "key", F.col("a").alias("fp")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, id_col: str = "doc_id",

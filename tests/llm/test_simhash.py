@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 
 from applens.llm import simhash as sh
@@ -116,3 +117,35 @@ def test_repeated_rows_null_ids_empty_table_and_filter(spark, docs):
     assert kept.columns == table.columns
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 2, 9]
     assert sh.near_duplicates(table.limit(0)).count() == 0
+
+
+def test_no_deal_of_any_level_is_compared_while_it_is_hot(monkeypatch):
+    """Very many near fingerprints: deals are dealt again until they are small, and links still connect all."""
+    center, hot = 0x0123456789ABCDEF, 200
+    prints = {center}
+    for a in range(64):
+        for b in range(a):
+            prints.add(center ^ 1 << a ^ 1 << b)
+    fp = np.array(sorted(prints), np.uint64)
+    sizes, real = [], sh.link_deal
+    monkeypatch.setattr(sh, "link_deal", lambda f, t, m: sizes.append(len(f)) or real(f, t, m))
+    rows = {(sh._signed(m), sh._signed(int(x) & m), sh._signed(int(x))) for m in sh._deals(4) for x in fp}
+    links, levels = [], 0
+    while rows:
+        batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*sorted(rows))], names=["mask", "key", "fp"])
+        out = [r for b in sh._link_partition(4, hot)(iter([batch])) for r in b.to_pylist()]
+        links += [(r["a"], r["b"]) for r in out if r["b"] is not None]
+        rows = {(r["mask"], r["key"], r["a"]) for r in out if r["b"] is None}
+        levels += 1
+    assert levels > 2 and max(sizes) <= hot
+    root = {sh._signed(int(x)): sh._signed(int(x)) for x in fp}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+    for a, b in links:
+        assert (a % (1 << 64) ^ b % (1 << 64)).bit_count() <= 4
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    assert len({find(x) for x in root}) == 1
