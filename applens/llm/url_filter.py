@@ -20,38 +20,58 @@ from applens.llm.common import byte_texts, tidy
 FEATURE_BITS = 15
 GRAMS = (3, 4, 5)
 
-# The default labelled table: words that stand for each label, put into the same forms of URL, so that only the words tell the labels apart.
-_BLOCKED = ("adult", "xxx", "sex", "porn", "casino", "poker", "slots", "bets", "betting", "jackpot", "pills", "pharmacy",
-            "viagra", "replica", "cheap", "free", "win", "spam", "farm", "ads", "track", "tracker", "clicks", "popup",
-            "loans", "payday", "warez", "torrent", "crack", "escort", "phish", "malware")
-_ALLOWED = ("news", "weather", "library", "garden", "museum", "school", "science", "recipes", "travel", "music", "history",
-            "forum", "health", "theatre", "city", "river", "mountain", "journal", "review", "letters", "photo", "market")
-_SYLLABLES = ("th", "tion", "ing", "er", "on", "ha", "re", "st", "an", "ble", "ly", "ou", "sh", "ti", "nd", "in", "es", "en",
-              "or", "at", "ed", "he", "wh", "nt", "ea", "de", "la", "que", "eau", "sch", "heit", "ción", "mente", "ra")
-_BEFORE = ("", "www.", "m.", "blog.")
-_AFTER = ("", "/", ".html", "?page=2&ref=x", "#top", "?utm_source=feed")
-
-
-def _in_forms(hosts: list[str], label: int, forms: int) -> list[tuple[str, int]]:
-    """Each host under ``forms`` prefixes, domains, languages and endings, taken in turn."""
+# The default labelled table: ordinary words of English and neighbouring languages that stand for each label, as hosts of one or two
+# words and in paths of common shapes.  Both labels get the same prefixes, domains and paths, so only the words tell them apart.
+_BLOCKED = (
+    "adult xxx sex sexy porn porno nude erotic escort hentai fetish webcam milf camgirls casino poker slots roulette blackjack jackpot gamble "
+    "gambling lottery bingo bet bets betting bookmaker wager wetten apuestas pills pharmacy viagra cialis steroids weightloss dietpills "
+    "replica knockoff cheap free discount bargain win winner prize giveaway coupon spam farm linkfarm backlinks seo ads adserver adclick "
+    "banner popup track tracker tracking clicks clickbait affiliate loans payday creditfix fastcash getrich bitcoinprofit forex warez "
+    "torrent crack cracked keygen serial nulled pirate phish phishing malware virus trojan hack exploit scam").split()
+_ALLOWED = (
+    "news weather library garden museum school science recipes travel music history forum health theatre city river mountain journal review "
+    "letters photo market university college hospital church village council community society institute research physics biology "
+    "chemistry mathematics geology astronomy medicine nursing law court police railway station airport harbour bridge street house "
+    "kitchen bakery coffee bread wine cheese fruit vegetable farmer forest ocean island beach lake valley desert winter summer spring "
+    "autumn morning evening sunday family children parents teacher student reader writer author poetry novel story book press paper "
+    "magazine radio television cinema film orchestra concert guitar piano dance painting gallery sculpture design architecture building "
+    "engineering software computer network database developer code linux python camera bicycle football cricket tennis chess running "
+    "swimming sailing climbing hiking camping fishing horse cattle animal nature planet energy water earth climate economy business "
+    "finance insurance bank office company factory workshop furniture clothing shoes textile jewellery antique heritage archive record "
+    "language english grammar dictionary translation zeitung nachrichten schule wissenschaft reise garten geschichte stadt gesundheit "
+    "actualites cuisine voyage histoire ville sante jardin ecole noticias cocina viajes historia ciudad salud escuela mundo "
+    # names of places, makers and people, which tell nothing and are allowed
+    "london manchester bristol dublin edinburgh chicago boston seattle denver houston toronto montreal vancouver sydney melbourne "
+    "auckland berlin hamburg munich cologne dresden vienna zurich geneva brussels antwerp amsterdam rotterdam copenhagen stockholm "
+    "helsinki warsaw prague budapest athens lisbon madrid sevilla valencia barcelona milano torino firenze napoli toulouse bordeaux "
+    "strasbourg marseille lyon nantes thames rhine danube siemens bosch nokia ericsson philips toyota honda nissan volvo renault peugeot "
+    "michelin adidas nestle danone lufthansa samsung toshiba panasonic yamaha nikon canon kodak intel cisco oracle adobe mozilla debian "
+    "ubuntu fedora postgres hadoop jenkins smith johnson williams taylor anderson thompson roberts edwards patterson hernandez rodriguez "
+    "fernandez mueller schmidt schneider fischer weber wagner becker hoffmann dupont lefebvre moreau laurent rossi bianchi ferrari "
+    "jansen vandenberg nielsen hansen eriksson lindqvist virtanen kowalski novak horvath papadopoulos silva santos oliveira").split()
+_NEUTRAL = ("online", "my", "best", "24", "world", "the", "live", "top", "direct", "daily", "club", "center", "plus", "room", "time", "box")
+_BEFORE = ("www.", "", "m.", "", "blog.", "www.", "en.", "shop.", "forum.")
+_DOMAINS = ("com", "org", "net", "co.uk", "de", "com", "info", "io", "fr", "eu", "es", "edu.au", "com.br")
+_PATHS = ("/", "", "/about", "/index.html", "/2019/04/{}", "/wiki/{}", "/{}/", "/category/{}/page/2", "/products/item-{}", "/articles/{}-in-brief",
+          "/en/{}", "/user/profile", "/p/10482", "/blog/a-short-note-on-{}", "/search?q={}", "/de/kontakt", "/news/story-81734.html")
+
+
+def _in_forms(words: Sequence[str], label: int, forms: int) -> list[tuple[str, int]]:
+    """Each word alone, with another and with a neutral one, under ``forms`` prefixes, domains and paths, taken in turn."""
     out = []
-    for i, host in enumerate(hosts):
-        for k in range(forms):
-            at = i * forms + k
-            domain, language = ("com", "net", "org")[(at + i) % 3], ("en", "fr", "de", "es")[(at + at // 4) % 4]
-            out.append((f"http{'s' * (at % 2)}://{_BEFORE[at % 4]}{host}.example.{domain}/{language}/{at * 37 % 1000}{_AFTER[at % 6]}", label))
+    for i, w in enumerate(words):
+        o, a, b = words[(i * 7 + 3) % len(words)], _NEUTRAL[i % len(_NEUTRAL)], _NEUTRAL[(i * 5 + 2) % len(_NEUTRAL)]
+        for k, host in enumerate((w, w + o, f"{w}-{o}", a + w, w + b, f"{b}-{w}")):
+            for f in range(forms):
+                at = (i * 6 + k) * forms + f
+                path = _PATHS[at * 5 % len(_PATHS)].format(words[(i * 11 + at) % len(words)])
+                out.append((f"http{'s' * (at % 3 > 0)}://{_BEFORE[at % len(_BEFORE)]}{host}.{_DOMAINS[at * 3 % len(_DOMAINS)]}{path}", label))
     return out
 
 
 def labelled_urls() -> list[tuple[str, int]]:
     """(url, 1 to block or 0 to allow)."""
-    blocked = [f for i, w in enumerate(_BLOCKED)
-               for o in (_BLOCKED[(i * 7 + 3) % len(_BLOCKED)],) for f in (f"{w}-{o}", w + o, f"{w}-x")]
-    invented = [_SYLLABLES[i % len(_SYLLABLES)] + _SYLLABLES[(i * 11 + i // len(_SYLLABLES)) % len(_SYLLABLES)]
-                for i in range(3 * len(_SYLLABLES))] + ["th" + s + t for s, t in zip(_SYLLABLES, _SYLLABLES[::-1])]
-    allowed = [f for i, w in enumerate(_ALLOWED)
-               for o in (_ALLOWED[(i * 5 + 2) % len(_ALLOWED)],) for f in (w, w + o, f"{w}-{o}", f"{w}-x")]
-    return _in_forms(blocked, 1, 4) + _in_forms(allowed, 0, 4) + _in_forms(invented, 0, 4)
+    return _in_forms(_BLOCKED, 1, 3) + _in_forms(_ALLOWED, 0, 3)
 
 
 def host_and_path(url: Column | str) -> tuple[Column, Column]:
