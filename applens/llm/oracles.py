@@ -67,8 +67,28 @@ tops AS (SELECT doc_id, item_id, n, d, b, shift, arg_max(hits - coalesce(hits_be
 SELECT doc_id, item_id, CAST(max(n_matched) AS INTEGER) AS n_matched FROM tops
 WHERE n_matched >= least({dc.MIN_TOKENS}, CAST(ceil(n * {dc.MIN_SHARE}) AS INTEGER)) GROUP BY doc_id, item_id"""
 
+# Every pair of distinct sets with a shingle in common is counted; sets are told apart by the shingles themselves.
+NGRAM_JACCARD = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda t: t <> '') AS w
+  FROM documents),
+s AS (SELECT rid, doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g FROM d),
+k AS (SELECT min(rid) AS k, g, len(g) AS n FROM s WHERE len(g) > 0 GROUP BY g),
+e AS (SELECT k, n, unnest(g) AS x FROM k),
+p AS (SELECT a.k AS a, b.k AS b FROM e a JOIN e b ON a.x = b.x AND a.k < b.k AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+      GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+l AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+reach AS (SELECT k AS a, k AS b FROM k UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a),
+least AS (SELECT k.k, min(s.doc_id) AS doc FROM s JOIN k USING (g) GROUP BY k.k),
+named AS (SELECT r.a AS k, min(doc) AS component_id FROM reach r JOIN least ON least.k = r.b GROUP BY r.a)
+SELECT doc_id, len(s.g) AS n_shingles, CASE WHEN len(s.g) = 0 THEN doc_id ELSE component_id END AS component_id
+FROM s LEFT JOIN k USING (g) LEFT JOIN named USING (k)"""
+
 ORACLES = {
     "op3_decontamination": DECONTAMINATION,
     "op4_suffix_dedup": SUFFIX_DEDUP,
     "op8_exact_dedup": EXACT_DEDUP,
+    "op11_ngram_jaccard": NGRAM_JACCARD,
 }

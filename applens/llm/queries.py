@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from applens.llm import (decontaminate, exact_dedup, html_extract, mixing, quality, simhash, suffix_dedup, token_count,
-                         token_output, url_filter)
+from applens.llm import (decontaminate, exact_dedup, html_extract, mixing, partenum, quality, simhash, suffix_dedup,
+                         token_count, token_output, url_filter)
 from applens.llm.common import table
 from applens.llm.oracles import ORACLES  # noqa: F401
 
@@ -65,6 +65,10 @@ def op10_source_mixing(spark, sf):
     return mixing.mix_report(table(spark, sf, "documents"))
 
 
+def op11_ngram_jaccard(spark, sf):
+    return partenum.similar_documents(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extraction": op2_html_extraction,
@@ -76,4 +80,5 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_simhash": op9_simhash,
     "op10_source_mixing": op10_source_mixing,
+    "op11_ngram_jaccard": op11_ngram_jaccard,
 }

@@ -18,6 +18,7 @@ COLUMNS = {
     "op5": ["doc_id", "held_out", "score", "predicted"], "op6": ["doc_id", "n_words", "n_tokens"],
     "op7": ["doc_id", "start", "n_tokens", "ids_crc32"], "op8": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op9": ["doc_id", "fingerprint", "component_id"], "op10": ["doc_id", "size", "source_size", "target", "taken"],
+    "op11": ["doc_id", "n_shingles", "component_id"],
 }
 
 
