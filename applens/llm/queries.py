@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from applens.llm import (decontaminate, exact_dedup, html_extract, mixing, partenum, quality, simhash, suffix_dedup,
-                         token_count, token_output, url_filter)
+from applens.llm import (decontaminate, exact_dedup, html_extract, mixing, partenum, prefix_trie, quality, repair,
+                         simhash, suffix_dedup, token_count, token_output, url_filter)
 from applens.llm.common import table
 from applens.llm.oracles import ORACLES  # noqa: F401
 
@@ -69,6 +69,14 @@ def op11_ngram_jaccard(spark, sf):
     return partenum.similar_documents(table(spark, sf, "documents"))
 
 
+def op12_conversation_repair(spark, sf):
+    return repair.repaired(table(spark, sf, "conversations"))
+
+
+def op13_prefix_trie(spark, sf):
+    return prefix_trie.prefix_nodes(table(spark, sf, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extraction": op2_html_extraction,
@@ -81,4 +89,6 @@ QUERIES: dict[str, Query] = {
     "op9_simhash": op9_simhash,
     "op10_source_mixing": op10_source_mixing,
     "op11_ngram_jaccard": op11_ngram_jaccard,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_prefix_trie": op13_prefix_trie,
 }
