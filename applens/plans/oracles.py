@@ -247,6 +247,30 @@ _ORACLES |= {
         FROM (SELECT count(*) AS n FROM scored) s, range(1, {Q.TOP_N} + 1) r WHERE r.range <= n""",
 }
 
+_PRODUCT = " + ".join(f"u.f{j} * i.f{j}" for j in range(dv.FACTORS))
+_UNRATED = "NOT EXISTS (SELECT 1 FROM ratings r WHERE r.user_id = {u} AND r.item_id = {i})"
+
+_ORACLES |= {
+    "all_users_top_n": _with(R, dv.cte(D, "u", dv.user_factor_exprs(D), "(SELECT DISTINCT user_id FROM events)"),
+                             dv.cte(D, "i", dv.item_factor_exprs(D), "part")) + f"""SELECT * FROM (
+        SELECT user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY prediction DESC, item_id) AS INTEGER) AS rank, item_id, prediction
+        FROM (SELECT u.user_id, i.item_id, {_PRODUCT} AS prediction FROM u CROSS JOIN i
+              WHERE {_UNRATED.format(u='u.user_id', i='i.item_id')}) WHERE prediction < 1000) WHERE rank <= {Q.TOP_N}""",
+    "als_all_users": _with(R, _TRAINED) + f""", u AS (SELECT DISTINCT user_id FROM trained),
+        i AS (SELECT DISTINCT p_partkey AS item_id FROM part WHERE p_partkey IN (SELECT item_id FROM trained))
+        SELECT CAST(user_id AS BIGINT) AS user_id, least(count(*), {Q.TOP_N}) AS n_listed, true AS unrated, true AS ordered
+        FROM u CROSS JOIN i WHERE {_UNRATED.format(u='u.user_id', i='i.item_id')} GROUP BY user_id""",
+}
+
+_ROUTED = _with(_click_cte()) + "SELECT strftime(ts, '%Y/%m/%d/') AS route, line FROM click WHERE NOT truncated AND NOT corrupt"
+
+_ORACLES |= {
+    "stream_routed_lines": _ROUTED,
+    "routed_appends": _ROUTED,
+    "stream_rejects": _with(_click_cte()) + """SELECT CASE WHEN corrupt THEN 'bad_body' ELSE 'bad_app' END AS reject,
+        count(*) AS n_lines FROM click WHERE truncated OR corrupt GROUP BY 1""",
+}
+
 
 def oracles() -> dict[str, str]:
     return dict(_ORACLES)

@@ -18,10 +18,12 @@ from applens.functions import querystring as qs
 from applens.functions.text import java_split
 from applens.operators import arrivals as arr
 from applens.operators import clicks as clk
-from applens.operators import ids, kv, lookup, models, ratings as rt, recommend
+from applens.operators import ids, kv, lookup, models, ratings as rt, recommend, topn
 from applens.session import pinned, remove_path, scratch_path
+from applens.sinks.text import append_batch, read_routed
 from applens.sources import derived as dv
 from applens.sources import text as txt
+from applens.streaming import clicks_stream as stream
 
 PERSONAL_USER = 0          # the person the personal ratings belong to
 TOP_N = 50
@@ -315,6 +317,50 @@ def q_clicks_per_app(spark, sf):
     return clk.clicks_per_app(_clicks(spark, sf))
 
 
+def _streamed(spark, sf, name, start, read) -> DataFrame:
+    """Two runs of a stream over click logs that arrive in two lots, a file per micro-batch.
+
+    The second run starts from the first one's checkpoint.  Every file holds lines of all days, so
+    each micro-batch but the first is late for the days it adds to.
+    """
+    def write(path):
+        lines = dv.click_lines(spark, sf)
+        for lot in (0, 1):
+            lines.where(F.col("event_id") % 2 == lot).select("value").repartition(3).write.mode("append").text(f"{path}/in")
+            source = stream.read_click_source(spark, "text", f"{path}/in", max_files_per_trigger=1)
+            stream.finish(start(source, f"{path}/out", f"{path}/checkpoint", available_now=True))
+
+    return _from_stored(spark, name, write, lambda p: read(f"{p}/out"))
+
+
+def q_stream_routed_lines(spark, sf):
+    """What the click stream files under each day, read back from its directories after a restart."""
+    return _streamed(spark, sf, "stream-lines", stream.start_click_etl, lambda p: read_routed(spark, p))
+
+
+def q_stream_rejects(spark, sf):
+    """What the stream's quarantine holds of each reason."""
+    def read(path):
+        back = spark.read.schema("value string, reject string").text(path)
+        return back.groupBy("reject").agg(F.count(F.lit(1)).alias("n_lines"))
+
+    return _streamed(spark, sf, "stream-rejects", stream.start_click_rejects, read)
+
+
+def q_routed_appends(spark, sf):
+    """Click lines appended by two batches at once, gzip, both with lines of every day, and one of them run again."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def write(path):
+        lines = _clicks(spark, sf).where("ok").select("event_id", "route", "line")
+        lots = [lines.where(F.col("event_id") % 3 == 0), lines.where(F.col("event_id") % 3 != 0)]
+        with ThreadPoolExecutor(2) as pool:
+            list(pool.map(lambda at: append_batch(lots[at], path, f"lot{at}", compression="gzip"), (0, 1)))
+        append_batch(lots[1], path, "lot1", compression="gzip")
+
+    return _from_stored(spark, "routed-appends", write, lambda p: read_routed(spark, p))
+
+
 # -- ids ---------------------------------------------------------------------------
 
 def q_java_hash_id(spark, sf):
@@ -425,10 +471,33 @@ def q_als_top_n(spark, sf):
             .select("rank", n_scored, F.col("rated").isNull().alias("unrated"), "ordered"))
 
 
+def q_all_users_top_n(spark, sf):
+    """Every user's best unrated items, by whole-number factors that SQL can sum up as well."""
+    return topn.top_unrated(dv.user_factors(spark, sf), dv.item_factors(spark, sf), _ratings(spark, sf), TOP_N)
+
+
+def als_all_users_top(spark, sf):
+    """Every user's best unrated items by a fitted model, with names."""
+    r, training, _ = _als_inputs(spark, sf)
+    model = recommend.fit(training, rank=8, reg=0.1, max_iter=10)
+    return topn.recommend_for_all(model, r, _items(spark, sf), TOP_N)
+
+
+def q_als_all_users(spark, sf):
+    """Per user: how many items were listed, whether all are unrated, and whether they are in order."""
+    top = pinned(als_all_users_top(spark, sf))
+    mine = _ratings(spark, sf).select("user_id", "item_id").distinct().withColumn("rated", F.lit(True))
+    before = F.lag("prediction").over(Window.partitionBy("user_id").orderBy("rank"))
+    listed = top.withColumn("falls", F.coalesce(F.col("prediction") <= before, F.lit(True))).join(mine, ["user_id", "item_id"], "left")
+    return listed.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_listed"), F.bool_and(F.col("rated").isNull()).alias("unrated"),
+                                         F.bool_and("falls").alias("ordered"))
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
 }
 
 # What the solver returns, registered beside the queries that check it: no SQL gives these numbers.
-SOLVER_QUERIES: dict[str, Query] = {"als_predictions": als_predictions, "als_top_items": als_top_items}
+SOLVER_QUERIES: dict[str, Query] = {"als_predictions": als_predictions, "als_top_items": als_top_items,
+                                    "als_all_users_top": als_all_users_top}

@@ -125,6 +125,32 @@ def personal_exprs(d: Dialect) -> list[tuple[str, str]]:
             ("rating", "CASE WHEN event_id % 7 = 0 THEN CAST(0 AS DOUBLE) WHEN event_id % 13 = 0 THEN -value ELSE value END")]
 
 
+FACTORS = 8
+
+
+def user_factor_exprs(d: Dialect) -> list[tuple[str, str]]:
+    """Whole-number factors of a user, so that any engine sums their products exactly."""
+    return [("user_id", "CAST(user_id AS BIGINT)")] + [
+        (f"f{j}", f"CAST((user_id * {2 * j + 3} + {j * j + 1}) % 17 - 8 AS DOUBLE)") for j in range(FACTORS)]
+
+
+def item_factor_exprs(d: Dialect) -> list[tuple[str, str]]:
+    return [("item_id", "CAST(p_partkey AS BIGINT)")] + [
+        (f"f{j}", f"CAST((p_partkey * {3 * j + 5} + {d.idiv('p_partkey', str(j + 2))}) % 13 - 6 AS DOUBLE)") for j in range(FACTORS)]
+
+
+def user_factors(spark, sf_dir) -> DataFrame:
+    """(user_id, features) of every user of an event."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct().selectExpr(*_select(SPARK, user_factor_exprs(SPARK)))
+    return users.select("user_id", F.array(*(f"f{j}" for j in range(FACTORS))).alias("features"))
+
+
+def item_factors(spark, sf_dir) -> DataFrame:
+    """(item_id, features) of every part."""
+    items = table(spark, sf_dir, "part").selectExpr(*_select(SPARK, item_factor_exprs(SPARK)))
+    return items.select("item_id", F.array(*(f"f{j}" for j in range(FACTORS))).alias("features"))
+
+
 def personal_lines(spark, sf_dir) -> DataFrame:
     """``user::item::rating`` lines (column ``value``) of :func:`personal_exprs`."""
     r = events_base(spark, sf_dir).selectExpr(*_select(SPARK, personal_exprs(SPARK)))

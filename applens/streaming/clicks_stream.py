@@ -71,7 +71,11 @@ def _start(w, trigger: str | None, available_now: bool, compression: str | None,
 
 def run_until_caught_up(source: DataFrame, out_root: str, checkpoint: str, **kw) -> None:
     """Process everything currently available, then stop (tests, backfills)."""
-    q = start_click_etl(source, out_root, checkpoint, available_now=True, **kw)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
+    finish(start_click_etl(source, out_root, checkpoint, available_now=True, **kw))
+
+
+def finish(query: StreamingQuery) -> None:
+    """Wait for a run over what is available to end; a failure is raised."""
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
