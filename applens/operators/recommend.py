@@ -7,8 +7,11 @@ better RMSE wins ties.  Scoring, ranking and top-N all stay distributed.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,14 +67,52 @@ def rmse(predictions: DataFrame) -> float | None:
     return None if mean is None else float(mean) ** 0.5
 
 
-def rmse_over_all(model: ALSModel, data: DataFrame) -> float | None:
-    """RMSE with the number of ALL rows as denominator (unscored rows count); None if none was scored."""
-    row = (model.transform(data)
-           .agg(F.sum(F.when(~F.isnan("prediction"), _squared_error())).alias("sse"),
-                F.count(F.lit(1)).alias("n")).first())
+def _rmse_of_all(scored: DataFrame) -> float | None:
+    row = (scored.agg(F.sum(F.when(~F.isnan("prediction"), _squared_error())).alias("sse"),
+                      F.count(F.lit(1)).alias("n")).first())
     return None if row["sse"] is None else float((row["sse"] / row["n"]) ** 0.5)
 
 
+def rmse_over_all(model, data: DataFrame) -> float | None:
+    """RMSE with the number of ALL rows as denominator (unscored rows count); None if none was scored."""
+    return _rmse_of_all(model.transform(data))
+
+
+@dataclass
+class ItemBias:
+    """The mean rating plus an offset per item; items it never saw get NaN, as from an ALS model."""
+
+    offsets: DataFrame
+
+    def transform(self, data: DataFrame) -> DataFrame:
+        return (data.join(self.offsets, "item_id", "left")
+                .withColumn("prediction", F.coalesce("prediction", F.lit(float("nan")))))
+
+
+def fit_item_bias(training: DataFrame, rank: int = 1, reg: float = 0.0, max_iter: int = 10, **_) -> ItemBias:
+    """A baseline with the settings of an ALS fit: an item's offset is the sum of its deviations over its
+    count plus ``reg * rank``, approached from 0 by ``max_iter`` half steps.  One aggregate; only the mean
+    reaches the driver."""
+    mean = training.agg(F.avg("rating")).first()[0]
+    near = 1 - 0.5 ** max_iter
+    offset = F.sum(F.col("rating") - F.lit(mean)) / (F.count(F.lit(1)) + F.lit(reg * rank)) * near
+    return ItemBias(training.groupBy("item_id").agg((F.lit(mean) + offset).alias("prediction")))
+
+
+@contextmanager
+def held(ratings: DataFrame, blocks: int | None = None) -> Iterator[DataFrame]:
+    """``ratings`` read once and kept, dealt by user to as many blocks as a fit uses, and released at the end.
+
+    Splits of it are filters over what is kept, so a search reads and parses its input once
+    however many settings it tries.
+    """
+    kept = ratings.repartition(blocks or default_blocks(ratings), "user_id").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 @dataclass
 class GridResult:
     model: ALSModel
@@ -84,25 +125,37 @@ class GridResult:
 
 def grid_search(training: DataFrame, validation: DataFrame, grid: dict,
                 all_rows_denominator: bool = False, seed: int = 42,
-                parallelism: int = 1, blocks: int | None = None) -> GridResult:
+                parallelism: int = 1, blocks: int | None = None, trainer: Callable | None = None,
+                keep: str | None = None, cache: bool = True) -> GridResult:
     """rank -> regParam -> maxIter order; first strictly smaller RMSE wins.
 
     ``parallelism`` > 1 submits that many fits at once from driver threads
     (each fit is its own distributed job; a large cluster runs them side by
     side); the winner is still chosen in grid order.  Only the best model so far is
     kept: Spark releases the factors of the others once nothing refers to them.
-    Inputs are cached for the search and released after.  A setting that scored nothing never wins; raises if no
+    Inputs are cached for the search and released after, unless ``cache`` is off because they are parts of
+    what :func:`held` keeps.  A setting that scored nothing never wins; raises if no
     setting produced a finite RMSE (e.g. no overlap between the splits) instead of returning nothing.
+
+    ``trainer`` replaces :func:`fit`; it takes the same settings and returns something with ``transform``.
+    With ``keep``, every setting's validation rows are stored with their predictions under
+    ``<keep>/trial=<place>`` and the error is that of the stored rows, which are not scored again.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     settings = [(rank, reg, iters) for rank in grid["rank"] for reg in grid["reg"]
                 for iters in grid["iters"]]
-    training, validation = training.cache(), validation.cache()
-
-    def run(setting):
-        rank, reg, iters = setting
-        model = fit(training, rank=rank, reg=reg, max_iter=iters, seed=seed, blocks=blocks)
+    if cache:
+        training, validation = training.cache(), validation.cache()
+
+    def run(place):
+        rank, reg, iters = settings[place]
+        model = (trainer or fit)(training, rank=rank, reg=reg, max_iter=iters, seed=seed, blocks=blocks)
+        if keep:
+            at = f"{keep}/trial={place}"
+            model.transform(validation).select("user_id", "item_id", "rating", "prediction").write.mode("overwrite").parquet(at)
+            stored = training.sparkSession.read.parquet(at)
+            return model, _rmse_of_all(stored) if all_rows_denominator else rmse(stored.where(F.col("prediction") < 1000.0))
         r = (rmse_over_all(model, validation) if all_rows_denominator
              else rmse(score(model, validation)))
         return model, r
@@ -111,8 +164,8 @@ def grid_search(training: DataFrame, validation: DataFrame, grid: dict,
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             for at in range(0, len(settings), parallelism):
-                here = settings[at:at + parallelism]
-                for (rank, reg, iters), (model, r) in zip(here, pool.map(run, here)):
+                here = range(at, min(at + parallelism, len(settings)))
+                for (rank, reg, iters), (model, r) in zip(settings[at:], pool.map(run, here)):
                     trials.append((rank, reg, iters, r))
                     if r is not None and r == r and (best is None or r < best.rmse):
                         best = GridResult(model, rank, reg, iters, r, trials)
@@ -120,8 +173,9 @@ def grid_search(training: DataFrame, validation: DataFrame, grid: dict,
             raise ValueError("no grid setting produced a finite validation RMSE")
         return best
     finally:
-        training.unpersist()
-        validation.unpersist()
+        if cache:
+            training.unpersist()
+            validation.unpersist()
 
 
 def score_for_user(model: ALSModel, user_id: int, items: DataFrame, bound: float = 1000.0) -> DataFrame:

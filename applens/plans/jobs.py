@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from applens.operators import arrivals as arr
 from applens.operators import clicks
 from applens.operators import kv as kvops
-from applens.operators import lookup, models, ratings as rt, recommend
+from applens.operators import lookup, models, ratings as rt, recommend, topn
 from applens.operators.ids import dense_index
 from applens.session import build_session
 from applens.sinks.text import write_routed, write_single_file
@@ -57,23 +57,28 @@ def _constant_rmse(fit: DataFrame, test: DataFrame) -> float | None:
 
 
 def movielens(spark: SparkSession, home: str, user_id: int = 0, out: str | None = None,
-              model_path: str | None = None, parallelism: int = 1, blocks: int | None = None) -> dict:
-    """Three-way split, grid search, test RMSE, baseline and top-50 for one user; the best model is
-    saved under ``model_path``."""
+              model_path: str | None = None, parallelism: int = 1, blocks: int | None = None,
+              all_users_out: str | None = None) -> dict:
+    """Three-way split, grid search, test RMSE, baseline and top-50 for one user, and for every user under
+    ``all_users_out``; the best model is saved under ``model_path``."""
     ratings = txt.read_ratings(spark, f"{home.rstrip('/')}/ratings.dat")
     mine = txt.read_ratings(spark, f"{home.rstrip('/')}/personalRatings.txt", fields=3)
     mine = rt.personal(mine, user_id)
     items = txt.parse_items(txt.read_ordered_lines(spark, f"{home.rstrip('/')}/movies.dat"), pos_col="pos")
     profile = rt.rating_profile(ratings).first().asDict()
-    training, validation, test = rt.split_three_way(ratings)
-    training = rt.union_training(training, mine)
-    best = recommend.grid_search(training, validation.select("user_id", "item_id", "rating"),
-                                 recommend.GRID_THREE_WAY, all_rows_denominator=True,
-                                 parallelism=parallelism, blocks=blocks)
-    if model_path:
-        best.model.write().overwrite().save(model_path)
-    test_rmse = recommend.rmse_over_all(best.model, test)
-    base = _constant_rmse(training.select("rating").unionByName(validation.select("rating")), test)
+    with recommend.held(ratings, blocks) as kept:
+        training, validation, test = rt.split_three_way(kept)
+        training = rt.union_training(training, mine)
+        best = recommend.grid_search(training, validation.select("user_id", "item_id", "rating"),
+                                     recommend.GRID_THREE_WAY, all_rows_denominator=True,
+                                     parallelism=parallelism, blocks=blocks, cache=False)
+        if model_path:
+            best.model.write().overwrite().save(model_path)
+        test_rmse = recommend.rmse_over_all(best.model, test)
+        base = _constant_rmse(training.select("rating").unionByName(validation.select("rating")), test)
+        if all_users_out:
+            rated = kept.select("user_id", "item_id").unionByName(mine.select("user_id", "item_id"))
+            topn.recommend_for_all(best.model, rated, items, 50).write.mode("overwrite").parquet(all_users_out)
     cands = recommend.unrated_candidates(items, mine, user_id)
     top = recommend.top_n(recommend.score_for_user(best.model, user_id, cands), items, 50)
     if out:
@@ -96,13 +101,14 @@ def als_evaluation(spark: SparkSession, source: str, year: str, month: str, day:
     r = (raw.join(users, "user").join(apps, "app")
          .select(F.col("user_id").cast("int"), F.col("item_id").cast("int"), "rating",
                  (F.col("lasttimestamp") % 10).alias("bucket")))
-    training, validation = rt.split_two_way(r)
-    best = recommend.grid_search(training, validation, recommend.GRID_TWO_WAY, parallelism=parallelism, blocks=blocks)
+    with recommend.held(r, blocks) as kept:
+        training, validation = rt.split_two_way(kept)
+        best = recommend.grid_search(training, validation, recommend.GRID_TWO_WAY, parallelism=parallelism, blocks=blocks, cache=False)
+        base = _constant_rmse(training.select("rating").unionByName(validation.select("rating")), validation)
     if model_path:
         best.model.write().overwrite().save(f"{model_path}/model")
         users.write.mode("overwrite").parquet(f"{model_path}/users")
         apps.write.mode("overwrite").parquet(f"{model_path}/items")
-    base = _constant_rmse(training.select("rating").unionByName(validation.select("rating")), validation)
     return {"best": (best.rank, best.reg, best.iters), "validation_rmse": best.rmse,
             "baseline_rmse": base, "improvement": _improvement(base, best.rmse)}
 
@@ -193,7 +199,7 @@ def parser() -> argparse.ArgumentParser:
     job("jdbc-preview", "url", "table", "column", **jdbc_options, lower={"type": int, "required": True},
         upper={"type": int, "required": True}, partitions={"type": int, "default": 20}, rows={"type": int, "default": 10})
     job("als-demo", "ratings_path", "model_path", blocks=number)
-    job("movielens", "home", out=text, user={"type": int, "default": 0}, **als)
+    job("movielens", "home", out=text, all_users_out=text, user={"type": int, "default": 0}, **als)
     job("als-evaluation", "source", "year", "month", "day", **als)
     job("kv-export", "kv_source", "date", "out_root", zone=zone, rejects=text, literal={"action": "store_true"})
     job("kv-prefix-lookup", "ids_path", "kv_source", "out", single_file={"action": "store_true"})
@@ -224,7 +230,8 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "als-demo":
         print(json.dumps({"mse": als_demo(spark, a.ratings_path, a.model_path, blocks=a.blocks)}))
     elif a.job == "movielens":
-        print(json.dumps(movielens(spark, a.home, a.user, a.out, a.model_path, a.parallelism, a.blocks)))
+        print(json.dumps(movielens(spark, a.home, a.user, a.out, a.model_path, a.parallelism, a.blocks,
+                                   a.all_users_out)))
     elif a.job == "als-evaluation":
         print(json.dumps(als_evaluation(spark, a.source, a.year, a.month, a.day, a.model_path, a.parallelism, a.blocks)))
     elif a.job == "kv-export":

@@ -9,7 +9,7 @@ does not depend on the solver is returned and checked.
 from __future__ import annotations
 
 from applens.operators.kv import KV_FIELDS
-from applens.operators.recommend import GRID_TWO_WAY
+from applens.operators.recommend import GRID_THREE_WAY, GRID_TWO_WAY
 from applens.plans import queries as Q
 from applens.sources import derived as dv
 from applens.sources.derived import DUCK as D
@@ -271,6 +271,34 @@ _ORACLES |= {
         count(*) AS n_lines FROM click WHERE truncated OR corrupt GROUP BY 1""",
 }
 
+def _settings(grid) -> str:
+    """The settings of a grid in their order, as a table."""
+    rows = [(k, r, i) for k in grid["rank"] for r in grid["reg"] for i in grid["iters"]]
+    return "g AS (SELECT * FROM (VALUES " + ", ".join(
+        f"(CAST({at} AS INTEGER), CAST({k} AS INTEGER), CAST({r} AS DOUBLE), CAST({i} AS INTEGER))"
+        for at, (k, r, i) in enumerate(rows)) + ") AS g(place, rank, reg, iters))"
+
+
+_FIRST_SPLIT = "learnt AS (SELECT * FROM ratings WHERE ts % 10 < 6)"
+
+_ORACLES |= {
+    "grid_three_way": _with(R, _FIRST_SPLIT, _settings(GRID_THREE_WAY)) + """, mean AS (SELECT avg(rating) AS m FROM learnt),
+        model AS (SELECT place, item_id, m + sum(rating - m) / (count(*) + reg * rank) * (1 - power(0.5, iters)) AS prediction
+                  FROM learnt, mean, g GROUP BY place, item_id, m, reg, rank, iters),
+        error AS (SELECT place, ts % 10 >= 8 AS test, sqrt(sum((rating - prediction) * (rating - prediction)) / any_value(n)) AS rmse
+                  FROM (SELECT *, count(*) OVER (PARTITION BY ts % 10 >= 8) AS n FROM ratings WHERE ts % 10 >= 6) r JOIN model USING (item_id)
+                  GROUP BY ALL),
+        best AS (SELECT place AS winner FROM error WHERE NOT test ORDER BY rmse, place LIMIT 1)
+        SELECT g.*, round(v.rmse, 6) AS validation_rmse, place = winner AS best, CASE WHEN place = winner THEN round(t.rmse, 6) END AS test_rmse
+        FROM g JOIN (SELECT place, rmse FROM error WHERE NOT test) v USING (place) JOIN (SELECT place, rmse FROM error WHERE test) t USING (place), best""",
+    "als_grid_three_way": _with(R, _FIRST_SPLIT, _settings(GRID_THREE_WAY), VAL) + """, n AS (SELECT count(*) AS n_rows,
+          count(*) FILTER (WHERE user_id IN (SELECT user_id FROM learnt) AND item_id IN (SELECT item_id FROM learnt)) AS n_scored FROM val)
+        SELECT g.*, n_rows, n_scored, true AS error_matches, true AS winner_is_least, true AS winner_tested FROM g, n""",
+    "model_round_trip": _with(R, _TRAINED) + """SELECT count(*) AS n_rows, n_before, n_before AS n_after, true AS all_equal
+        FROM (SELECT *, count(*) FILTER (WHERE user_id IN (SELECT user_id FROM trained) AND item_id IN (SELECT item_id FROM trained))
+                OVER () AS n_before FROM ratings WHERE ts % 10 >= 8) GROUP BY n_before""",
+}
+
 
 def oracles() -> dict[str, str]:
     return dict(_ORACLES)

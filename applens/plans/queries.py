@@ -471,6 +471,74 @@ def q_als_top_n(spark, sf):
             .select("rank", n_scored, F.col("rated").isNull().alias("unrated"), "ordered"))
 
 
+def _three_way_grid(spark, sf, trainer=None, keep=None):
+    """(result, test error) of the three-way grid: all rows count in an error, the winner is scored on the third split."""
+    with recommend.held(_ratings(spark, sf)) as r:
+        training, validation, test = rt.split_three_way(r)
+        res = recommend.grid_search(training, validation, recommend.GRID_THREE_WAY, all_rows_denominator=True, parallelism=4,
+                                    trainer=trainer, keep=keep, cache=False)
+        return res, recommend.rmse_over_all(res.model, test)
+
+
+def _grid_rows(spark, res, test_rmse) -> DataFrame:
+    """A row per setting: its error, whether it won, and the winner's error on the test split."""
+    rows = [(i, rk, rg, it, e, won, test_rmse if won else None) for i, (rk, rg, it, e) in enumerate(res.trials)
+            for won in [(rk, rg, it) == (res.rank, res.reg, res.iters)]]
+    return spark.createDataFrame(rows, "place int, rank int, reg double, iters int, validation_rmse double, best boolean, test_rmse double")
+
+
+def q_grid_three_way(spark, sf):
+    """The 16 settings of the three-way grid over a predictor that SQL can fit as well: errors, winner and its test error."""
+    grid = _grid_rows(spark, *_three_way_grid(spark, sf, recommend.fit_item_bias))
+    return grid.withColumn("validation_rmse", r6("validation_rmse")).withColumn("test_rmse", r6("test_rmse"))
+
+
+def als_grid_errors(spark, sf):
+    """The same with ALS: 16 fits."""
+    return _grid_rows(spark, *_three_way_grid(spark, sf))
+
+
+def q_als_grid_three_way(spark, sf):
+    """ALS over the three-way grid against its stored predictions: rows and scored rows of each setting, whether its error is
+    that of the stored rows, and whether the winner is the first of the least stored errors."""
+    def write(path):
+        res, test_rmse = _three_way_grid(spark, sf, keep=f"{path}/predictions")
+        _grid_rows(spark, res, test_rmse).write.parquet(f"{path}/grid")
+
+    def read(path):
+        e2 = (F.col("rating") - F.col("prediction")) ** 2
+        scored = ~F.isnan("prediction")
+        again = (spark.read.parquet(f"{path}/predictions").groupBy(F.col("trial").cast("int").alias("place"))
+                 .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(scored).alias("n_scored"),
+                      F.sqrt(F.sum(F.when(scored, e2)) / F.count(F.lit(1))).alias("stored")))
+        both = spark.read.parquet(f"{path}/grid").join(again, "place")
+        least = both.agg(F.min(F.struct("validation_rmse", "place")).alias("least"))
+        return both.crossJoin(F.broadcast(least)).select(
+            "place", "rank", "reg", "iters", "n_rows", "n_scored", (F.abs(F.col("stored") - F.col("validation_rmse")) < 1e-9).alias("error_matches"),
+            (F.col("best") == (F.col("place") == F.col("least.place"))).alias("winner_is_least"),
+            (F.col("best") == F.col("test_rmse").isNotNull()).alias("winner_tested"))
+
+    return _from_stored(spark, "als-grid", write, read)
+
+
+def q_model_round_trip(spark, sf):
+    """A model is saved, read back and scored beside the first: rows, rows scored by either, and whether all predictions agree."""
+    _, training, validation = _als_inputs(spark, sf)
+    model = recommend.fit(training, rank=8, reg=0.1, max_iter=10)
+
+    def read(path):
+        def scored(m, sign):
+            return recommend.score(m, validation).select("user_id", "item_id", "rating", "prediction", F.lit(sign).alias("sign"))
+        both = scored(model, 1).unionAll(scored(recommend.ALSModel.load(path), -1))
+        per_row = both.groupBy("user_id", "item_id", "rating", "prediction").agg(
+            F.sum("sign").alias("surplus"), F.count_if(F.col("sign") > 0).alias("n_before"), F.count_if(F.col("sign") < 0).alias("n_after"))
+        out = per_row.agg(F.sum("n_before").alias("n_before"), F.sum("n_after").alias("n_after"), F.bool_and(F.col("surplus") == 0).alias("all_equal"))
+        n_rows = validation.agg(F.count(F.lit(1)).alias("n_rows"))
+        return n_rows.crossJoin(out)              # a row each
+
+    return _from_stored(spark, "als-model", lambda p: model.write().save(p), read)
+
+
 def q_all_users_top_n(spark, sf):
     """Every user's best unrated items, by whole-number factors that SQL can sum up as well."""
     return topn.top_unrated(dv.user_factors(spark, sf), dv.item_factors(spark, sf), _ratings(spark, sf), TOP_N)
@@ -500,4 +568,4 @@ QUERIES: dict[str, Query] = {
 
 # What the solver returns, registered beside the queries that check it: no SQL gives these numbers.
 SOLVER_QUERIES: dict[str, Query] = {"als_predictions": als_predictions, "als_top_items": als_top_items,
-                                    "als_all_users_top": als_all_users_top}
+                                    "als_all_users_top": als_all_users_top, "als_grid_errors": als_grid_errors}
