@@ -6,18 +6,19 @@ central directory, so archive readers that start from the end (Python's
 ``zipfile``) cannot open it.  Decoding therefore walks the local header and
 inflates the raw deflate stream that follows it.
 
-This is the only Python on the click path: an Arrow-batched ``pandas_udf``
-whose per-row work is a small helper around ``zlib``.
+Base64 and the header are read by column expressions.  What goes to Python is
+one binary slice a row, the entry's data behind a byte that tells how it is
+kept; an Arrow UDF inflates it straight from the Arrow buffer.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 import struct
 import zlib
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -32,65 +33,84 @@ except (ImportError, AttributeError, KeyError):  # pragma: no cover
     pass
 
 _LOCAL_HEADER = b"PK\x03\x04"
-_NOT_B64 = re.compile(r"[^A-Za-z0-9+/]")
-_URL_SAFE = str.maketrans("-_", "+/")
+_HEADER_BYTES = 30
+_STORED, _DEFLATED = b"\0", b"\1"
+_LONGEST = 2 ** 31 - 1
 
 
-def _b64_lenient(text: str) -> bytes:
+def _bytes_of_base64(text: Column) -> Column:
     """Base64 decode of the plain and the URL-safe alphabet that skips other
     characters and tolerates missing padding (a trailing lone character carries
     no full byte)."""
-    clean = _NOT_B64.sub("", text.translate(_URL_SAFE))
-    if len(clean) % 4 == 1:
-        clean = clean[:-1]
-    return base64.b64decode(clean + "=" * (-len(clean) % 4))
+    def decoded(clean: Column) -> Column:
+        extra = F.length(clean) % 4
+        whole = F.when(extra == 1, F.substring(clean, F.lit(1), F.length(clean) - 1)).otherwise(clean)
+        return F.unbase64(F.concat(whole, F.when(extra == 2, "==").when(extra == 3, "=").otherwise("")))
+    return _bound(F.regexp_replace(F.translate(text, "-_", "+/"), "[^A-Za-z0-9+/]+", ""), decoded)
 
 
-def inflate_first_entry(data: bytes) -> str:
-    """Bytes of a ZIP stream -> text of its first entry.
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: the one-element array gives it a name.  ``use`` must not
+    bind further values: a Python UDF over a lambda that uses the variable of an outer one is not planned."""
+    return F.transform(F.array(value), use)[0]
 
-    No local header -> ``''`` (an empty stream has no entries).  A damaged
-    deflate stream raises ``zlib.error``.
+
+def _number(data: Column, at: int, width: int) -> Column:
+    """Little-endian unsigned number of ``width`` bytes at offset ``at``."""
+    parts = [F.conv(F.hex(F.substring(data, at + 1 + i, 1)), 16, 10).cast("bigint") * (1 << 8 * i) for i in range(width)]
+    return sum(parts[1:], parts[0])
+
+
+def _first_entry(data: Column) -> Column:
+    """Bytes of a ZIP stream -> how its first entry is kept and the entry's data (all that follows, if deflated).
+
+    No local header gives an empty entry: an empty stream has none.
     """
-    if len(data) < 30 or data[:4] != _LOCAL_HEADER:
-        return ""
-    (_, _, flags, method, _, _, _, csize, _, name_len, extra_len) = struct.unpack(
-        "<4sHHHHHIIIHH", data[:30])
-    start = 30 + name_len + extra_len
-    if method == 0:
-        body = data[start:start + csize]
-    else:
-        inflater = zlib.decompressobj(-zlib.MAX_WBITS)
-        body = inflater.decompress(data[start:]) + inflater.flush()
-        if not inflater.eof:  # the stream stops before its final block
-            raise zlib.error("unexpected end of deflate stream")
-    return body.decode("utf-8", errors="replace")
-
-
-def unzip_text(text: str | None) -> str | None:
-    """base64 ZIP text -> decompressed text; NULL in -> NULL out, damaged -> NULL."""
-    if text is None:
-        return None
+    start = (_number(data, 26, 2) + _number(data, 28, 2) + (_HEADER_BYTES + 1)).cast("int")
+    is_entry = (F.length(data) >= _HEADER_BYTES) & (F.substring(data, 1, 4) == F.lit(_LOCAL_HEADER))
+    is_stored = _number(data, 8, 2) == 0
+    size = F.least(_number(data, 18, 4), F.lit(_LONGEST)).cast("int")
+    return F.when(data.isNull(), None).when(~is_entry, F.lit(_STORED)).when(
+        is_stored, F.concat(F.lit(_STORED), F.substring(data, start, size))).otherwise(
+        F.concat(F.lit(_DEFLATED), F.substring(data, start, F.lit(_LONGEST))))
+
+
+def _inflated(entry: memoryview) -> bytes | None:
+    """The entry's text bytes; None for a damaged deflate stream."""
+    if entry[:1] == _STORED:
+        return entry[1:].tobytes()
+    inflater = zlib.decompressobj(-zlib.MAX_WBITS)
     try:
-        return inflate_first_entry(_b64_lenient(text))
-    except (ValueError, zlib.error, struct.error):
+        body = inflater.decompress(entry[1:]) + inflater.flush()
+    except zlib.error:
         return None
-
-
-@F.pandas_udf(StringType())
-def _unzip_udf(s: pd.Series) -> pd.Series:
-    return s.map(unzip_text, na_action="ignore")
+    return body if inflater.eof else None      # else the stream stops before its final block
+
+
+@F.arrow_udf(StringType())
+def _inflate_udf(entries: pa.Array) -> pa.Array:
+    if not len(entries):
+        return pa.array([], pa.string())
+    entries = entries.cast(pa.large_binary())
+    _, offsets, data = entries.buffers()
+    edges = memoryview(offsets).cast("q")[entries.offset:entries.offset + len(entries) + 1].tolist()
+    view, known = memoryview(data if data is not None else b""), entries.is_valid().to_pylist()
+    bodies = [_inflated(view[a:b]) if ok else None for a, b, ok in zip(edges, edges[1:], known)]
+    try:
+        return pa.array(bodies, pa.binary()).cast(pa.string())
+    except pa.ArrowInvalid:                    # some body is not UTF-8
+        return pa.array([None if b is None else b.decode("utf-8", errors="replace") for b in bodies], pa.string())
 
 
 # Marked nondeterministic only so the optimizer evaluates each call exactly
 # where it is written: a filter on parsed fields would otherwise be pushed
 # below the projection and the payloads inflated twice (once per node).
-_unzip_once = _unzip_udf.asNondeterministic()
+_inflate_once = _inflate_udf.asNondeterministic()
 
 
 def unzip_payload(c) -> Column:
-    """Column form of :func:`unzip_text`."""
-    return _unzip_once(col(c))
+    """base64 ZIP text -> text of its first entry; NULL in -> NULL out, no entry -> ``''``, damaged -> NULL."""
+    return _inflate_once(_bound(_bytes_of_base64(col(c)), _first_entry))
 
 
 def payload_text(c) -> Column:

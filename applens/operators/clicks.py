@@ -36,8 +36,7 @@ def parse_click_lines(lines: DataFrame, value_col: str = "value",
                  dates.parse_sec_millis(_at("_h", 2)).alias("server_ms"),
                  _at("_h", 3).alias("_payload"), (F.size("_h") == 3).alias("_whole"))
     b = h.select(*keep, "ip", "server_ms", "_whole",
-                 F.when(F.col("server_ms").isNotNull() & F.col("_whole"),
-                        payload_text("_payload")).alias("_body"))
+                 payload_text(F.when(F.col("server_ms").isNotNull() & F.col("_whole"), F.col("_payload"))).alias("_body"))
     b = b.select(*keep, "ip", "server_ms", "_whole", F.col("_body").isNotNull().alias("_decoded"),
                  java_split("_body", "|").alias("_pieces"))
     b = b.select(*keep, "ip", "server_ms", "_whole", "_decoded", F.size("_pieces").alias("_np"),
