@@ -42,10 +42,13 @@ def rowkey_date_filter(kv: DataFrame, date_arg: str, regex: bool = False) -> Dat
     ``regex=True`` keeps the original contract (the argument is a regular
     expression, ``^.{32}<arg>.*$``); the default compares the literal
     substring, which is cheaper and cannot be mis-read as a pattern.  An argument of
-    digits alone also prunes a table that :func:`write_kv_table` stored.
+    digits alone is compared as text before the pattern is tried, and also prunes a table that
+    :func:`write_kv_table` stored.
     """
     if DATE_PARTITION in kv.columns and date_arg.isdigit():
         kv = kv.where(F.col(DATE_PARTITION).startswith(date_arg[:8]))
+    if regex and date_arg.isdigit():
+        kv = kv.where(F.substring("rowkey", ROWKEY_HASH_LEN + 1, len(date_arg)) == date_arg)
     if regex:
         return kv.where(F.col("rowkey").rlike(f"^.{{{ROWKEY_HASH_LEN}}}{date_arg}.*$"))
     return kv.where(F.substring("rowkey", ROWKEY_HASH_LEN + 1, len(date_arg)) == date_arg)
@@ -81,8 +84,9 @@ def report_lines(kv: DataFrame, zone: str = "UTC") -> DataFrame:
     others = [q for q in KV_FIELDS if q != "appList"]
     p = p.select("rowkey", "route", *others,
                  format_app_list(parse_app_list("appList", "processType")).alias("appList"))
-    lines = p.select("rowkey", "route", F.concat_ws("|", *[blank_to_space(q) for q in KV_FIELDS]).alias("line"))
-    return nonblank(lines)
+    # kept rows have a route, and a line holds its separators, so neither is blank.  A filter on the line would
+    # say nothing and have it built twice, once for the filter where the scan is
+    return p.select("rowkey", "route", F.concat_ws("|", *[blank_to_space(q) for q in KV_FIELDS]).alias("line"))
 
 
 def rejected_reports(kv: DataFrame, zone: str = "UTC") -> DataFrame:

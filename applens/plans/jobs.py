@@ -19,10 +19,10 @@ from applens.operators import clicks
 from applens.operators import kv as kvops
 from applens.operators import lookup, models, ratings as rt, recommend, topn
 from applens.operators.ids import dense_index
-from applens.session import build_session
+from applens.session import build_session, kept
 from applens.sinks.text import write_routed, write_single_file
 from applens.sources import jdbc, text as txt
-from applens.sources.tables import read_table
+from applens.sources.tables import read_table, spread
 
 
 def count_lines(spark: SparkSession, path: str) -> int:
@@ -144,7 +144,7 @@ def kv_export(spark: SparkSession, kv_source: str, date_arg: str, out_root: str,
     """
     kv = kvops.rowkey_date_filter(read_table(spark, kv_source), date_arg, regex=regex)
     write_routed(kvops.report_lines(kv, zone), out_root)
-    if rejects:
+    if rejects:      # decided on two fields; no list is parsed for it
         kvops.rejected_reports(kv, zone).write.mode("append").parquet(rejects)
 
 
@@ -157,20 +157,28 @@ def extract_app_detail(spark: SparkSession, arrivals_source: str, yyyymm: str, o
 
 def click_batch(spark: SparkSession, path: str, out_root: str, zone: str = "UTC", rejects: str | None = None) -> None:
     """Click log files -> date-routed lines; unreadable reports go to ``rejects`` with their reason."""
-    lines = txt.read_lines(spark, path).withColumn("raw", F.col("value"))
-    parsed = clicks.parse_click_lines(lines, keep=["raw"], zone=zone)
-    write_routed(clicks.click_lines(parsed), out_root)
-    if rejects:
-        clicks.click_rejects(parsed, ["raw"]).write.mode("append").parquet(rejects)
+    lines = spread(txt.read_lines(spark, path))
+    if not rejects:
+        write_routed(clicks.click_lines(clicks.parse_click_lines(lines, zone=zone)), out_root)
+        return
+    parsed = clicks.parse_click_lines(lines.withColumn("raw", F.col("value")), keep=["raw"], zone=zone)
+    raw = F.when(~F.col("ok"), F.col("raw")).alias("raw")
+    with kept(parsed.select(raw, "ip", "server_ms", "route", "line", "ok", "reject")) as once:
+        write_routed(clicks.click_lines(once), out_root)
+        clicks.click_rejects(once, ["raw"]).write.mode("append").parquet(rejects)
 
 
 def new_phone_models(spark: SparkSession, log_path: str, known: DataFrame, out: str,
                      rejects: str | None = None, zone: str = "UTC") -> None:
     """Clean (model, brand) pairs from report logs that the catalogue lacks."""
-    parsed = models.parse_reports(txt.read_lines(spark, log_path), zone=zone)
-    models.new_models(models.distinct_models(parsed), known).write.mode("append").parquet(out)
-    if rejects:
-        models.rejected(parsed).select("value", "reject").write.mode("append").parquet(rejects)
+    parsed = models.parse_reports(spread(txt.read_lines(spark, log_path)), zone=zone)
+    if not rejects:
+        models.new_models(models.distinct_models(parsed), known).write.mode("append").parquet(out)
+        return
+    line = F.when(F.col("reject").isNotNull(), F.col("value")).alias("value")
+    with kept(parsed.select(line, "model", "brand", "reject")) as once:
+        models.new_models(models.distinct_models(once), known).write.mode("append").parquet(out)
+        models.rejected(once).select("value", "reject").write.mode("append").parquet(rejects)
 
 
 def _props(pairs: list[str]) -> dict:

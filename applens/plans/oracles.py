@@ -171,8 +171,10 @@ _ORACLES: dict[str, str] = {
         FROM click WHERE corrupt OR truncated
         UNION ALL SELECT 'kv', rowkey, CASE WHEN appList IS NULL THEN 'no_app_list' ELSE 'bad_time' END
         FROM kv WHERE appList IS NULL OR acceptTimestamp = 'n/a'""",
-    "gbk_url_decode": """SELECT c_custkey, c_name || ' ' || CASE c_nationkey % 3 WHEN 0 THEN '你好'
-        WHEN 1 THEN '华为' ELSE '小米' END AS decoded FROM customer""",
+    "gbk_url_decode": _with(dv.cte(D, "t", dv.gbk_text_exprs(D, True), f"customer, (SELECT '{dv.gbk_characters()}' AS chars)")) + "SELECT * FROM t",
+    "strict_ratings": _with(dv.cte(D, "t", dv.comma_rating_exprs(D) + [("rating", "value")], dv.events_source(D))) + """SELECT width,
+        count(*) AS n_lines, count(*) FILTER (WHERE width <> 3) AS n_abort, CASE WHEN width = 3 THEN count(*) END AS n_strict,
+        CASE WHEN width = 3 THEN round(sum(rating), 6) END AS rating_total FROM t GROUP BY width""",
     "kv_scan_rowkey_regex": _with(KV) + f"""SELECT rowkey, processType FROM kv
         WHERE regexp_matches(rowkey, '^.{{32}}{Q.KV_SCAN_DATE}.*$')""",
     "kv_project": _with(KV) + f"SELECT rowkey, {', '.join(KV_FIELDS)} FROM kv",

@@ -58,6 +58,20 @@ def q_parse_ratings_delim(spark, sf):
     return _ratings(spark, sf)
 
 
+def q_strict_ratings(spark, sf):
+    """Stored comma ratings by width: how many lines have it, how many the strict reader would abort on, and, of those that it
+    takes, how many it returns and their rating total."""
+    def read(path):
+        lines = txt.check_widths(txt.read_lines(spark, f"{path}/all"))
+        widths = lines.groupBy("width").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if("abort").alias("n_abort"))
+        lines.where(~F.col("abort")).select("value").write.text(f"{path}/good")
+        good = txt.read_ratings(spark, f"{path}/good", sep=",", fields=3, strict_width=True)
+        strict = good.agg(F.lit(3).alias("width"), F.count("rating").alias("n_strict"), r6(F.sum("rating")).alias("rating_total"))
+        return widths.join(F.broadcast(strict), "width", "left")
+
+    return _from_stored(spark, "strict-ratings", lambda p: dv.comma_ratings(spark, sf).select("value").write.text(f"{p}/all"), read)
+
+
 def q_personal_ratings(spark, sf):
     lines = dv.personal_lines(spark, sf)
     return rt.personal(txt.parse_delimited_ratings(lines, fields=3), PERSONAL_USER)
@@ -230,22 +244,14 @@ def q_malformed_rows(spark, sf):
 
 
 def q_gbk_url_decode(spark, sf):
-    c = dv.table(spark, sf, "customer")
-    word = (F.when(F.col("c_nationkey") % 3 == 0, F.lit("%C4%E3%BA%C3"))
-            .when(F.col("c_nationkey") % 3 == 1, F.lit("%BB%AA%CE%AA"))
-            .otherwise(F.lit("%D0%A1%C3%D7")))
-    raw = F.concat(F.col("c_name"), F.lit("+"), word)
-    return c.select("c_custkey", qs.url_decode(raw, "GBK").alias("decoded"))
+    return dv.gbk_texts(spark, sf).select("c_custkey", qs.url_decode("value", "GBK").alias("decoded"))
 
 
 # -- key-value export -------------------------------------------------------------------
 
 def q_kv_scan_rowkey_regex(spark, sf):
-    def read(path):
-        t = kv.rowkey_date_filter(kv.read_kv_table(spark, path), KV_SCAN_DATE, regex=True)
-        return t.select("rowkey", F.col("scf")["processType"].alias("processType"))
-
-    return _from_stored(spark, "kv", lambda p: kv.write_kv_table(dv.kv_table(spark, sf), p), read)
+    t = kv.rowkey_date_filter(dv.kv_table(spark, sf), KV_SCAN_DATE, regex=True)
+    return t.select("rowkey", F.col("scf")["processType"].alias("processType"))
 
 
 def q_kv_project(spark, sf):

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job session gets.  Sized for a large cluster; tests and the
@@ -95,3 +98,14 @@ def pinned(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder, without its lineage."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` computed once for the outputs written from it inside the block, then released; partitions of a lost
+    executor are computed again."""
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield held
+    finally:
+        held.unpersist()

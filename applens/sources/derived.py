@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from applens.operators.kv import KV_FIELDS
+from applens.sources.tables import spread
 
 try:  # ship this module's helper with the UDF so executors need no install
     import sys as _sys
@@ -93,7 +94,7 @@ def events_source(d: Dialect) -> str:
 
 
 def events_base(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "events").selectExpr("*", *_event_base_exprs(SPARK))
+    return spread(table(spark, sf_dir, "events")).selectExpr("*", *_event_base_exprs(SPARK))
 
 
 def _select(d: Dialect, exprs: list[tuple[str, str]]) -> list[str]:
@@ -505,6 +506,59 @@ def customer_ids(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(*_select(SPARK, customer_ids_exprs(SPARK)))
 
 
+# ---------------------------------------------------------------------------
+# Percent-encoded GBK names, one per customer: up to five characters of the 71 rows of the code table that
+# are full, plain letters between some, now and then a byte without its second half or a bad escape
+
+GBK_ROWS = [row for row in range(0xB0, 0xF8) if row != 0xD7]
+GBK_CELLS = range(0xA1, 0xFF)
+
+
+def gbk_characters() -> str:
+    """The characters of those rows in the order of their codes."""
+    return b"".join(bytes([row, cell]) for row in GBK_ROWS for cell in GBK_CELLS).decode("gbk")
+
+
+def _gbk_places(d: Dialect) -> list[tuple[str, str, str]]:
+    """Of each possible character: row and cell, and whether a letter follows."""
+    return [(f"((c_custkey * {7 + 2 * j} + {13 * j}) % {len(GBK_ROWS)})", f"((c_custkey * {11 + 3 * j} + c_nationkey + {29 * j}) % {len(GBK_CELLS)})",
+             f"(c_custkey + {j}) % 3 = 0") for j in range(5)]
+
+
+def gbk_text_exprs(d: Dialect, decoded: bool) -> list[tuple[str, str]]:
+    """The name as sent, or (oracle side) as it must come out; ``chars`` is then the table of characters."""
+    shown = []
+    for j, (row, cell, letter) in enumerate(_gbk_places(d)):
+        if decoded:
+            one = f"substr(chars, {row} * {len(GBK_CELLS)} + {cell} + 1, 1)"
+        else:
+            lead = f"{row} + {GBK_ROWS[0]} + CASE WHEN {row} >= {0xD7 - GBK_ROWS[0]} THEN 1 ELSE 0 END"
+            one = f"'%' || hex({lead}) || '%' || hex({cell} + {GBK_CELLS[0]})"
+        shown.append(f"CASE WHEN c_custkey % 5 >= {j} THEN {one} || CASE WHEN {letter} THEN 'x{j}' ELSE '' END ELSE '' END")
+    half = "\ufffd" if decoded else "%B0"
+    text = f"c_name || '{' ' if decoded else '+'}' || {' || '.join(shown)} || CASE WHEN c_custkey % 17 = 0 THEN '{half}' ELSE '' END"
+    bad = f"CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE {text} END" if decoded else f"{text} || CASE WHEN c_custkey % 19 = 0 THEN '%zz' ELSE '' END"
+    return [("c_custkey", "c_custkey"), ("decoded" if decoded else "value", bad)]
+
+
+def gbk_texts(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").selectExpr(*_select(SPARK, gbk_text_exprs(SPARK, False)))
+
+
+# ---------------------------------------------------------------------------
+# comma ratings of which some lines have a field too few or too many
+
+def comma_rating_exprs(d: Dialect) -> list[tuple[str, str]]:
+    s = d.s
+    return [("width", "CASE WHEN event_id % 31 = 0 THEN 2 WHEN event_id % 37 = 0 THEN 4 ELSE 3 END"),
+            ("value", f"""{s('user_id')} || ',' || {s('k_')} || CASE WHEN event_id % 31 = 0 THEN '' ELSE ',' || {s('value')}
+                || CASE WHEN event_id % 37 = 0 THEN ',9' ELSE '' END END""")]
+
+
+def comma_ratings(spark, sf_dir) -> DataFrame:
+    return events_base(spark, sf_dir).selectExpr(*_select(SPARK, comma_rating_exprs(SPARK)))
+
+
 # ---------------------------------------------------------------------------
 # packed coordinates per event (NULL / 0 for reports without a fix)
 

@@ -19,3 +19,14 @@ def read_table(spark: SparkSession, source: str, ddl: str | None = None) -> Data
     if not is_path(source):
         return spark.table(source)
     return (spark.read.schema(ddl) if ddl else spark.read).parquet(source)
+
+
+def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
+    """``df`` in at least as many partitions as the session runs tasks.
+
+    A scan of few splits (a small file, one row group) leaves cores idle through whatever is done to its rows,
+    so its raw rows are dealt out first, which is cheap next to parsing them.  A scan of as many splits
+    as there are cores, as any large table has, is left as it is and nothing is shuffled.
+    """
+    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= tasks else df.repartition(tasks)

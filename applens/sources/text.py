@@ -70,6 +70,13 @@ def read_ratings(spark: SparkSession, path: str, sep: str = "::", fields: int =
     return df
 
 
+def check_widths(lines: DataFrame, sep: str = ",", fields: int = 3, value_col: str = "value") -> DataFrame:
+    """``lines`` with the ``width`` of each and whether the strict reader would ``abort`` on it: what to look at, or to
+    leave out, before a file is read with ``strict_width``."""
+    width = F.size(F.split(F.col(value_col), re.escape(sep)))
+    return lines.withColumn("width", width).withColumn("abort", F.col("width") != fields)
+
+
 def read_ordered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text file(s) -> ``value`` and ``pos``, which orders lines as they lie: by file path, then by
     the split's place in the file, then by the line's place in the split."""
