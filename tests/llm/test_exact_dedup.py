@@ -23,7 +23,7 @@ def test_against_brute_force(spark, docs):
     rng = random.Random(3)
     base = ["", None, " ", "a b c", "abc", "ab\tc\n", "a bc", "é" * 30, "x" * 100_000, " x" * 100_000, "prefix", "prefixed", "pre"]
     rows = [(i, rng.choice(base)) for i in range(200)]
-    for task_bytes in (1 << 20, 1):
+    for task_bytes in (1 << 20, 60_000, 1):
         got = sorted(map(tuple, ed.exact_duplicates(docs(rows, extra=True), task_bytes=task_bytes).collect()))
         assert got == brute(rows)
 
@@ -41,4 +41,51 @@ def test_trie_holds_every_string_with_its_owner(rows):
     for key, points, doc in rows:
         assert trie.insert(key, (points, doc, 1)) == (key not in want)
         want.setdefault(key, []).append((-points, doc))
+    assert sorted(trie.terminals()) == sorted(o for _, o in trie.owners())
     assert {k: (-min(v)[0], min(v)[1], len(v)) for k, v in want.items()} == dict(trie.owners())
+
+
+def folder(i):
+    return f"a long beginning that very many texts share, {i % 7}, and then {i % 3} " + "y" * (i % 5)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 60), max_size=80), st.integers(0, 20_000))
+def test_subtrees_that_are_cut_and_what_is_left_are_all(rows, target):
+    """Cut at any moment and inserted again, every string keeps its best row and its count."""
+    trie, again, want = ed.PatriciaTrie(), ed.PatriciaTrie(), {}
+    for i in rows:
+        key = folder(i).encode()
+        trie.insert(key, (i, i, 1))
+        want.setdefault(key, []).append((-i, i))
+        if trie.held > target:
+            for body, owner in trie.cut(target // 2):
+                again.insert(body, owner)
+            assert trie.held <= target // 2
+    for body, owner in trie.owners():
+        again.insert(body, owner)
+    assert {k: (-min(v)[0], min(v)[1], len(v)) for k, v in want.items()} == dict(again.owners())
+
+
+def test_a_trie_shares_what_its_texts_begin_with():
+    trie = ed.PatriciaTrie()
+    texts = {("common " * 300 + folder(i)).encode() for i in range(200)}
+    for t in texts:
+        trie.insert(t, (0, 0, 1))
+    assert trie.held < sum(map(len, texts)) / 2
+    assert len(trie.root.children) == 1                  # one edge out of the root: all begin alike
+    first = next(iter(trie.root.children.values()))
+    assert len(first.label) > 40 and len(first.children) == 7
+    kept = trie.held // 3
+    cut = dict(trie.cut(kept))
+    assert cut and trie.held <= kept and not set(cut) & set(dict(trie.owners())) and set(cut) | set(dict(trie.owners())) == texts
+
+
+def test_unlike_texts_of_one_partition_and_spilled_subtrees_that_meet_again(spark, docs, monkeypatch):
+    """Few partitions, so that tries hold many texts with long common beginnings; tiny bounds, so that subtrees leave and meet again."""
+    rng = random.Random(12)
+    rows = [(i, (folder(rng.randrange(40)) * rng.randint(1, 3)).replace(" ", rng.choice([" ", "", "\n "]))) for i in range(600)]
+    monkeypatch.setattr(ed, "partition_of", lambda body, digest: (len(body).bit_length() // 4, digest[0] >> 7))
+    for task_bytes in (1 << 20, 20_000, 3_000):
+        got = sorted(map(tuple, ed.exact_duplicates(docs(rows).repartition(3), task_bytes=task_bytes).collect()))
+        assert got == brute(rows)
