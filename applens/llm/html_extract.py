@@ -104,9 +104,22 @@ def parse(html: str) -> Page:
     # (name, path, skipped: 1 as a block or 2 within one, number of the article, whether an element's name or role
     # skips it, depth of classes that do, depth of the article)
     stack: list[tuple[str, int, int, int, bool, int, int]] = [("", 0, 0, 0, False, 0, -1)]
+    # where in the stack each name's open elements are, and the blocks: no tag searches the elements left open
+    places: dict[str, list[int]] = {}
+    blocks = [0]
     parts: list[str] = []
     mains = 0
 
+    def nearest(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
+    def close(depth: int) -> None:
+        for i in range(len(stack) - 1, depth - 1, -1):
+            places[stack[i][0]].pop()
+            if blocks[-1] == i:
+                blocks.pop()
+        del stack[depth:]
+
     def flush() -> None:
         if not parts:
             return
@@ -129,7 +142,7 @@ def parse(html: str) -> Page:
             if stack[-1][2] == 2:
                 continue
             if not at and not text.isspace():
-                at.append(next(s for s in reversed(stack) if s[0] in _BLOCK or not s[0]))
+                at.append(stack[blocks[-1]])
             parts.append(text)
             continue
         name = m["name"] or m["name2"]
@@ -137,11 +150,11 @@ def parse(html: str) -> Page:
             continue
         name = name.lower()
         if m["end"] or m["end2"]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
-            if name in _BLOCK or depth and any(s[0] in _BLOCK for s in stack[depth:]):
+            depth = nearest((name,))
+            if name in _BLOCK or 0 < depth <= blocks[-1]:
                 flush()
             if depth:
-                del stack[depth:]
+                close(depth)
             continue
         if name == "br":
             parts.append("\n")
@@ -149,20 +162,12 @@ def parse(html: str) -> Page:
         attrs = m["attrs"] if m["name"] else m["attrs2"]
         if name in _BLOCK:
             flush()
-            for i in range(len(stack) - 1, 0, -1):             # a block ends an open paragraph
-                if stack[i][0] == "p":
-                    del stack[i:]
-                    break
-                if stack[i][0] in _BLOCK:
-                    break
+            if stack[blocks[-1]][0] == "p":                     # a block ends an open paragraph
+                close(blocks[-1])
         if name in _ENDS:
             ended, holders = _ENDS[name]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] in ended:
-                    del stack[i:]
-                    break
-                if stack[i][0] in holders:
-                    break
+            if nearest(ended) > nearest(holders):
+                close(nearest(ended))
         _, path, skipped, main, never, words, depth = stack[-1]
         kinds, marks, never_here, skip_here = "", frozenset(), False, False
         if attrs and "=" in attrs:
@@ -186,8 +191,8 @@ def parse(html: str) -> Page:
         if name in _VOID or attrs and attrs.endswith("/") and name not in _BLOCK:
             continue
         if name in _RAW:
-            close = re.compile(rf"</{name}(?=[\s/>])", re.I).search(html, pos)
-            pos = close.start() if close else end
+            ending = re.compile(rf"</{name}(?=[\s/>])", re.I).search(html, pos)
+            pos = ending.start() if ending else end
         if name in _MAIN and not never and not skip_here and not (skipped and marks & _ENTRIES):
             # a class around an article may tell of the layout only; the article's depth says how far to believe it
             mains += 1
@@ -196,6 +201,9 @@ def parse(html: str) -> Page:
             depth = -1 if name == "main" else words
         elif (never_here or skip_here) and not skipped:
             skipped = 1 if name in _BLOCK else 2
+        places.setdefault(name, []).append(len(stack))
+        if name in _BLOCK:
+            blocks.append(len(stack))
         stack.append((name, path, skipped, main, never, words, depth))
     flush()
     return page

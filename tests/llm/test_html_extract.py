@@ -129,3 +129,16 @@ WRAPPED = [
 @pytest.mark.parametrize("html,want", WRAPPED)
 def test_a_class_around_an_article_does_not_lose_it(html, want):
     assert he.remaining_text(he.parse(html), set()) == want
+
+
+@pytest.mark.parametrize("left_open,then", [("<span>", "</b>"), ("<span>", "<div></div>x"), ("<li><ul>" + "<i>" * 9, "<li></li>y"), ("<p><b>", "z<hr>")])
+def test_tags_left_open_cost_linear_time(left_open, then):
+    """Ten times the markup takes about ten times as long, not a hundred."""
+    import time
+
+    def took(n):
+        html, began = left_open * n + then * n, time.process_time()
+        he.parse(html)
+        return time.process_time() - began
+    took(1000)
+    assert min(took(20_000) for _ in range(2)) < 40 * max(0.005, min(took(2000) for _ in range(3)))
