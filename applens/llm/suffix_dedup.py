@@ -410,7 +410,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_
         again = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("m")).filter("m > 1")
         parts = parts.unionAll(windows.filter("NOT sure").join(again, ["w1", "w2"], "left_semi")
                                .select("key", "did", F.col("at").alias("lo"), (F.col("at") + length).cast("int").alias("hi")))
-    spans = parts.groupBy("key", "did").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
+    # repeated rows (one id, one text) bring the same spans each; one of each is kept, else every copy would get those of all
+    spans = parts.distinct().groupBy("key", "did").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
     doc_id = F.nullif("did", F.lit(_NO_ID)).alias("doc_id")
     return (texts.join(spans, ["key", "did"], "left").select(doc_id, "text", "spans")
             .mapInArrow(tidy(_remove), "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "

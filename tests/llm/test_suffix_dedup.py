@@ -100,3 +100,19 @@ def test_repeated_rows_null_ids_and_empty_table(docs):
     n = len(long)
     assert got == sorted([(1, n, n, 1), (1, n, n, 1), (None, n + 1, n, 1), (2, 5, 0, 0)], key=str)
     assert sd.repeated_spans(docs([(1, "a")]).limit(0)).count() == 0
+
+
+def test_many_copies_of_one_row_cost_what_as_many_ids_cost(docs):
+    """Spans are kept once per text and id, so copies do not multiply them."""
+    import time
+    text = " ".join(f"word{i}" for i in range(500))[:3000]
+
+    def took(rows):
+        table, began = docs(rows).repartition(4).cache(), time.time()
+        table.count()
+        got = [tuple(r)[:4] for r in sd.without_repeats(table).collect()]
+        assert len(got) == len(rows) and {g[1:] for g in got} == {(3000, 3000, 1)}
+        return time.time() - began
+    took([(i, text) for i in range(20)])
+    apart = took([(i, text) for i in range(400)])
+    assert took([(7, text)] * 400) < 4 * apart + 5
