@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from applens.llm.common import WORD_PATTERN, pinned
 
-MAX_PATTERNS = 20_000     # one driver row each; more is an error, not a cut
+MAX_PATTERNS = 500_000    # one driver row each; more is an error, not a cut
+MAX_OVERLAPPING = 20_000  # of these, patterns of several sources or of a source that several patterns share: the flow's search is over them
 BUCKET_BITS, STEP_BITS = 32, 8      # the seeded order is searched by so many of its leading bits, a step at a time
 
 
@@ -53,6 +54,29 @@ def weighted_targets(sizes: dict, weights: dict, share: float, max_passes: int)
 def route(pattern_sizes: list[tuple[tuple, int]], quotas: dict, max_passes: int) -> list[int]:
     """Words taken from each pattern: the largest flow to the quotas, and of those the cheapest.
 
+    A pattern of one source that no other pattern has is a path of its own, which takes the quota or all passes;
+    the rest is searched.
+    """
+    patterns_of: dict = {}
+    for i, (members, _) in enumerate(pattern_sizes):
+        for s in members:
+            patterns_of.setdefault(s, []).append(i)
+    alone = {i for i, (members, _) in enumerate(pattern_sizes) if len(members) == 1 and len(patterns_of[members[0]]) == 1}
+    shared = [i for i in range(len(pattern_sizes)) if i not in alone]
+    if len(shared) > MAX_OVERLAPPING:
+        raise ValueError(f"more than {MAX_OVERLAPPING} patterns of sources overlap")
+    taken = [min(round(quotas.get(members[0], 0)), max_passes * size) if i in alone else 0
+             for i, (members, size) in enumerate(pattern_sizes)]
+    used = {s for i in shared for s in pattern_sizes[i][0]}
+    found = _route_shared([pattern_sizes[i] for i in shared], {s: q for s, q in quotas.items() if s in used}, max_passes)
+    for i, n in zip(shared, found):
+        taken[i] = n
+    return taken
+
+
+def _route_shared(pattern_sizes: list[tuple[tuple, int]], quotas: dict, max_passes: int) -> list[int]:
+    """The flow over patterns that share sources.
+
     Pass k of a pattern's words costs k a word.  Paths of least cost are found
     by label correction (costs on the way back are negative) and filled to their
     narrowest arc, one after the other.

@@ -45,6 +45,33 @@ def test_flow_is_largest_and_cheapest():
         assert (sum(taken), -cost) == brute_flow(patterns, quotas, 2)
 
 
+def test_patterns_alone_are_settled_without_a_search_as_the_search_would():
+    rng = random.Random(9)
+    for _ in range(40):
+        names = [f"s{i}" for i in range(6)] + [None]
+        patterns = [((s,), rng.randint(0, 30)) for s in names] + [(("s0", "s1"), rng.randint(1, 20)), (("s1", "s2", "s3"), 7)]
+        rng.shuffle(patterns)
+        quotas = {s: rng.randint(0, 50) + 0.4 for s in names if s != "s5"}
+        got, searched = mx.route(patterns, quotas, 2), mx._route_shared(patterns, quotas, 2)
+        cost = lambda taken: sum(max(0, t - n) for t, (_, n) in zip(taken, patterns))
+        assert (sum(got), cost(got)) == (sum(searched), cost(searched))
+        for (members, _), a, b in zip(patterns, got, searched):
+            if members[0] in ("s4", "s5", None):
+                assert a == b
+
+
+def test_very_many_sources_of_their_own(docs):
+    """A hundred thousand of them are routed in a moment; more overlapping ones than are searched is an error."""
+    import time
+    patterns = [((f"s{i:06}",), 1 + i % 9) for i in range(100_000)]
+    began = time.process_time()
+    taken = mx.route(patterns, {s: 1.5 * n for (s,), n in patterns}, 2)
+    assert time.process_time() - began < 10
+    assert all(t == round(1.5 * n) for t, (_, n) in zip(taken, patterns))
+    with pytest.raises(ValueError, match="overlap"):
+        mx.route([((f"s{i}", f"s{i + 1}"), 1) for i in range(mx.MAX_OVERLAPPING + 1)], {}, 2)
+
+
 def test_report_is_near_its_targets_and_agrees_again(docs):
     rng = random.Random(1)
     rows = [(i, None if i % 97 == 0 else " ".join(["w"] * rng.randint(0, 200)), rng.choice(["big"] * 5 + ["m", "n", None]))
