@@ -43,6 +43,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/applens-{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder that :func:`scratch` named, in whatever store it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def pinned(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared folder, without its lineage."""
     shared_dir(df.sparkSession)

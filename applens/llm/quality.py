@@ -165,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
           max_train: int = MAX_TRAIN) -> QualityModel:
     """Fits the model on labelled texts outside the held-out fold.
 
-    Null ids and labels are left out; an id labelled both ways counts as both.
+    Null ids and labels are left out; an id labelled both ways counts as both.  Of an id's texts the least is learnt from.
     Half of the bound is kept for each class, so a rare class is not crowded out.
     """
     marked = (labels.select(F.col(id_col).cast("bigint").alias("id"), (F.col(label_col) > 0).cast("int").alias("label"))
@@ -175,7 +175,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
               for r in marked.filter(F.col("label") == label).orderBy(order, "id").limit(max_train // 2).collect()]
     spark = docs.sparkSession
     picked = spark.createDataFrame([(r["id"], r["label"]) for r in chosen], "id bigint, label int")
-    texts = id_and_text(docs, id_col, text_col).join(F.broadcast(picked), F.col("doc_id") == F.col("id")).select("doc_id", "label", "text")
+    texts = id_and_text(docs, id_col, text_col).join(F.broadcast(picked), F.col("doc_id") == F.col("id"))
+    # one text an id, so that repeated ids do not pass the bound
+    texts = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     rows = texts.mapInArrow(tidy(_features), "doc_id bigint, label int, found array<int>").toArrow()
     found = [np.asarray(x, np.int32) for x in rows.column("found").to_pylist()]
     ids, y = rows.column("doc_id").to_numpy(), rows.column("label").to_numpy()

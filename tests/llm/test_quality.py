@@ -76,3 +76,11 @@ def test_indicators_leave_the_scratch_clean():
     seen = np.zeros(q.N_FEATURES, np.uint8)
     a = q.indicators(b"the the cat", seen)
     assert not seen.any() and (np.diff(a) > 0).all() and len(q.indicators(b"", seen)) == 0
+
+
+def test_repeated_ids_do_not_pass_the_bound(spark, docs):
+    rows, marks = make(40)
+    labels = labels_of(spark, marks)
+    once = q.train(docs(rows), labels)
+    again = q.train(docs(rows + rows + [(i, t + "~ later") for i, t in rows]), labels)
+    assert once.bias == again.bias and (once.weights == again.weights).all()
