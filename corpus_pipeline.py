@@ -2,8 +2,8 @@
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame``; :func:`run` writes its
 result as Parquet in the shared folder and rereads it as the next stage's
-documents, so a lost executor costs at most the stage under way.  All stages but the last
-return the columns of ``documents``.
+documents, so a lost executor costs at most the stage under way; a stage's folder is
+removed once the next one is written.  All stages but the last return the columns of ``documents``.
 """
 
 from __future__ import annotations
@@ -11,10 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from applens.llm import decontaminate, mixing, quality, simhash, token_output
-from applens.llm.common import scratch, table
+from applens.llm.common import remove, scratch, table
 from applens.llm.queries import tokenizer_path
 
-# SQL can express neither the classifier nor the fingerprints; tests/llm holds run() against a brute-force version.
+# SQL can express neither the classifier nor the fingerprints; tests/llm holds each stage against a brute-force version
+# and run() against the stages.
 ORACLE_SQL = None
 
 
@@ -54,9 +55,11 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
         path = scratch(spark, f"stage-{number}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
