@@ -1,5 +1,6 @@
 """The pipeline's stages, each against a brute-force version over the rows its predecessor kept."""
 
+import os
 import random
 import zlib
 from collections import Counter
@@ -84,6 +85,19 @@ def test_every_stage_against_brute_force(spark, sf_dir, tmp_path):
     assert [r["start"] for r in in_order] == [0, *np.cumsum([r["n_tokens"] for r in in_order])[:-1].tolist()]
 
 
+def test_run_gives_the_rows_of_the_stages_and_leaves_only_the_last_folder(spark, sf_dir, tmp_path, monkeypatch):
+    docs = spark.read.parquet(sf_dir + "/documents.parquet")
+    for number, (_, stage) in enumerate(cp.STAGES):
+        stage(spark, docs, sf_dir).write.parquet(str(tmp_path / f"by-hand{number}"))
+        docs = spark.read.parquet(str(tmp_path / f"by-hand{number}"))
+    used = []
+    monkeypatch.setattr(cp, "scratch", lambda spark, name: used.append(str(tmp_path / name)) or used[-1])
+    got = cp.run(spark, sf_dir)
+    assert got.columns == docs.columns and got.count() == docs.count() > 100
+    assert got.exceptAll(docs).isEmpty() and docs.exceptAll(got).isEmpty()
+    assert [os.path.exists(p) for p in used] == [False] * 4 + [True]
+
+
 def test_run_over_an_empty_table(spark, docs, tmp_dir):
     docs([(1, "a")]).limit(0).write.parquet(tmp_dir + "/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(tmp_dir + "/labels.parquet")
