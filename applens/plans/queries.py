@@ -458,7 +458,7 @@ def _als_top(spark, sf):
     model = recommend.fit(training, rank=8, reg=0.1, max_iter=10)
     items = _items(spark, sf)
     cands = recommend.unrated_candidates(items, r, PERSONAL_USER)
-    scored = recommend.score_for_user(model, PERSONAL_USER, cands)
+    scored = pinned(recommend.score_for_user(model, PERSONAL_USER, cands))     # counted and ranked
     return r, scored, recommend.top_n(scored, items, TOP_N)
 
 
