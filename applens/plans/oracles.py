@@ -232,15 +232,11 @@ _ORACLES: dict[str, str] = {
     "deobfuscate_list": _with(KV) + "SELECT rowkey, appList AS text FROM kv WHERE appList IS NOT NULL",
 }
 
-_GRID = [(k, r, i) for k in GRID_TWO_WAY["rank"] for r in GRID_TWO_WAY["reg"] for i in GRID_TWO_WAY["iters"]]
 _TRAINED = "trained AS (SELECT * FROM ratings WHERE ts % 10 < 8)"
 
 _ORACLES |= {
     "als_predict": _with(R, _TRAINED) + """SELECT v.user_id, v.item_id, v.rating, true AS usable FROM ratings v
         WHERE v.ts % 10 >= 8 AND v.user_id IN (SELECT user_id FROM trained) AND v.item_id IN (SELECT item_id FROM trained)""",
-    "als_grid": "SELECT * FROM (VALUES " + ", ".join(
-        f"(CAST({at} AS INTEGER), CAST({k} AS INTEGER), CAST({r} AS DOUBLE), CAST({i} AS INTEGER), true, true)"
-        for at, (k, r, i) in enumerate(_GRID)) + ") AS g(place, rank, reg, iters, scored, winner_is_least)",
     "als_top_n": _with(R, _TRAINED) + f""", scored AS (
         SELECT DISTINCT p_partkey FROM part WHERE p_partkey IN (SELECT item_id FROM trained)
           AND p_partkey NOT IN (SELECT item_id FROM ratings WHERE user_id = {Q.PERSONAL_USER})
@@ -296,6 +292,10 @@ _ORACLES |= {
     "als_grid_three_way": _with(R, _FIRST_SPLIT, _settings(GRID_THREE_WAY), VAL) + """, n AS (SELECT count(*) AS n_rows,
           count(*) FILTER (WHERE user_id IN (SELECT user_id FROM learnt) AND item_id IN (SELECT item_id FROM learnt)) AS n_scored FROM val)
         SELECT g.*, n_rows, n_scored, true AS error_matches, true AS winner_is_least, true AS winner_tested FROM g, n""",
+    "als_grid": _with(R, _TRAINED, _settings(GRID_TWO_WAY)) + """, n AS (SELECT count(*) AS n_rows,
+          count(*) FILTER (WHERE user_id IN (SELECT user_id FROM trained) AND item_id IN (SELECT item_id FROM trained)) AS n_scored
+          FROM ratings WHERE ts % 10 >= 8)
+        SELECT g.*, n_rows, n_scored, true AS scored, true AS error_matches, true AS winner_is_least FROM g, n""",
     "model_round_trip": _with(R, _TRAINED) + """SELECT count(*) AS n_rows, n_before, n_before AS n_after, true AS all_equal
         FROM (SELECT *, count(*) FILTER (WHERE user_id IN (SELECT user_id FROM trained) AND item_id IN (SELECT item_id FROM trained))
                 OVER () AS n_before FROM ratings WHERE ts % 10 >= 8) GROUP BY n_before""",

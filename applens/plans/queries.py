@@ -442,14 +442,33 @@ def q_als_predict(spark, sf):
     return als_predictions(spark, sf).select("user_id", "item_id", "rating", (F.abs("prediction") < 1000).alias("usable"))
 
 
+def _against_stored(spark, path, error) -> DataFrame:
+    """The rows of ``<path>/grid`` beside what the stored predictions of their settings give: rows, scored rows, ``error`` of
+    them; whether that is the error reported, and whether the winner is the first of the least."""
+    again = (spark.read.parquet(f"{path}/predictions").groupBy(F.col("trial").cast("int").alias("place"))
+             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.isnan("prediction")).alias("n_scored"), error.alias("stored")))
+    both = spark.read.parquet(f"{path}/grid").join(again, "place")
+    least = both.agg(F.min(F.struct("validation_rmse", "place")).alias("least"))
+    return (both.crossJoin(F.broadcast(least))          # one row
+            .withColumn("error_matches", F.abs(F.col("stored") - F.col("validation_rmse")) < 1e-9)
+            .withColumn("winner_is_least", F.col("best") == (F.col("place") == F.col("least.place"))))
+
+
 def q_als_grid(spark, sf):
-    """The settings in grid order, whether each was scored, and whether the winner is the first of the least errors."""
-    _, training, validation = _als_inputs(spark, sf)
-    res = recommend.grid_search(training, validation, recommend.GRID_TWO_WAY, parallelism=4)
-    least = min((r, i) for i, (_, _, _, r) in enumerate(res.trials))
-    winner = res.trials[least[1]][:3] == (res.rank, res.reg, res.iters) and least[0] == res.rmse
-    rows = [(i, rk, rg, it, r > 0, winner) for i, (rk, rg, it, r) in enumerate(res.trials)]
-    return spark.createDataFrame(rows, "place int, rank int, reg double, iters int, scored boolean, winner_is_least boolean")
+    """ALS over the two-way grid against its stored predictions: rows and scored rows of each setting, whether its error, over
+    scored rows, is that of the stored rows, and whether the winner is the first of the least errors."""
+    def write(path):
+        with recommend.held(_ratings(spark, sf)) as r:
+            training, validation = rt.split_two_way(r)
+            res = recommend.grid_search(training, validation, recommend.GRID_TWO_WAY, parallelism=4, keep=f"{path}/predictions", cache=False)
+        _grid_rows(spark, res, None).write.parquet(f"{path}/grid")
+
+    def read(path):
+        usable = F.when(F.col("prediction") < 1000, (F.col("rating") - F.col("prediction")) ** 2)
+        return _against_stored(spark, path, F.sqrt(F.avg(usable))).select(
+            "place", "rank", "reg", "iters", "n_rows", "n_scored", (F.col("validation_rmse") > 0).alias("scored"), "error_matches", "winner_is_least")
+
+    return _from_stored(spark, "als-grid-two-way", write, read)
 
 
 def _als_top(spark, sf):
@@ -512,16 +531,9 @@ def q_als_grid_three_way(spark, sf):
         _grid_rows(spark, res, test_rmse).write.parquet(f"{path}/grid")
 
     def read(path):
-        e2 = (F.col("rating") - F.col("prediction")) ** 2
-        scored = ~F.isnan("prediction")
-        again = (spark.read.parquet(f"{path}/predictions").groupBy(F.col("trial").cast("int").alias("place"))
-                 .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(scored).alias("n_scored"),
-                      F.sqrt(F.sum(F.when(scored, e2)) / F.count(F.lit(1))).alias("stored")))
-        both = spark.read.parquet(f"{path}/grid").join(again, "place")
-        least = both.agg(F.min(F.struct("validation_rmse", "place")).alias("least"))
-        return both.crossJoin(F.broadcast(least)).select(
-            "place", "rank", "reg", "iters", "n_rows", "n_scored", (F.abs(F.col("stored") - F.col("validation_rmse")) < 1e-9).alias("error_matches"),
-            (F.col("best") == (F.col("place") == F.col("least.place"))).alias("winner_is_least"),
+        e2 = F.when(~F.isnan("prediction"), (F.col("rating") - F.col("prediction")) ** 2)
+        return _against_stored(spark, path, F.sqrt(F.sum(e2) / F.count(F.lit(1)))).select(
+            "place", "rank", "reg", "iters", "n_rows", "n_scored", "error_matches", "winner_is_least",
             (F.col("best") == F.col("test_rmse").isNotNull()).alias("winner_tested"))
 
     return _from_stored(spark, "als-grid", write, read)
