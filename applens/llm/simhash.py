@@ -8,7 +8,8 @@ inequality two fingerprints whose rows differ by more than ``max_bits`` in any
 column cannot be linked, which discards nearly all pairs before any is verified
 bit by bit.  Leaders of the deal serve as further references: points within
 reach of a leader are linked to it, so a dense group of near copies costs its
-size times its leaders and gives one link a point, never all its pairs.
+size times its leaders and gives one link a point, never all its pairs.  A deal
+that spreads too wide for a few leaders is cut by its bits and compared group by group.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ MAX_BITS = 4
 SEED = 42
 PIVOTS = 16
 HOT_DEAL = 1 << 15       # fingerprints; larger deals are dealt again by more bits, until none is left
+LEADERS = 64             # of a group that is compared through them; a group with more is cut by its bits
+GROUP = 512              # fingerprints of one such cut that are compared by their rows of the table
 _CHUNK = 1 << 14
 
 
@@ -103,7 +106,12 @@ def pivot_table(fp: np.ndarray) -> np.ndarray:
 
 
 def link_deal(fp: np.ndarray, table: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Positions (i, j) of links that connect exactly what all links within ``max_bits`` connect."""
+    """Positions (i, j) of links that connect exactly what all links within ``max_bits`` connect.
+
+    A group of at most LEADERS leaders is compared through them.  A group that spreads wider is cut by the bits in which its
+    fingerprints vary: in ``max_bits + 1`` parts of these, two linked fingerprints agree on at least one part.  Groups that a part
+    still leaves large are taken up in turn, so the cost of a fingerprint does not grow with those that are far from it.
+    """
     n = len(fp)
     links: list[tuple[int, int]] = []
     if n == 2:
@@ -129,29 +137,72 @@ def link_deal(fp: np.ndarray, table: np.ndarray, max_bits: int) -> list[tuple[in
             root[max(a, b)] = min(a, b)
             links.append((i, j))
 
-    # leaders: every point is within reach of its own, leaders are out of each other's
-    open_, leaders, own = np.arange(n), [], []
-    while len(open_):
-        i = int(open_[0])
-        mine = near(i, open_)
-        for j in mine[mine != i].tolist():
-            join(i, j)
-        leaders.append(i)
-        own.append(mine)
-        open_ = open_[~np.isin(open_, mine, assume_unique=True)]
-    # links across: only leaders within three reaches can have linked points
-    lead = np.array(leaders)
-    for a in range(len(lead) - 1):
-        apart = np.bitwise_count(fp[lead[a + 1:]] ^ fp[lead[a]])
-        for b in (a + 1 + np.nonzero(apart <= 3 * max_bits)[0]).tolist():
-            if find(leaders[a]) == find(leaders[b]):
-                continue
-            few, many = sorted((own[a], own[b]), key=len)
-            for x in few.tolist():
-                hit = near(x, many)
-                if len(hit):
-                    join(x, int(hit[0]))
-                    break
+    def by_leaders(group: np.ndarray) -> bool:
+        """Links a group through its leaders; False if there are more than LEADERS, with some links found."""
+        # every point is within reach of its own leader, leaders are out of each other's
+        open_, leaders, own = group, [], []
+        while len(open_):
+            if len(leaders) == LEADERS:
+                return False
+            i = int(open_[0])
+            mine = near(i, open_)
+            for j in mine[mine != i].tolist():
+                join(i, j)
+            leaders.append(i)
+            own.append(mine)
+            open_ = open_[~np.isin(open_, mine, assume_unique=True)]
+        # links across: only leaders within three reaches can have linked points
+        lead = np.array(leaders)
+        for a in range(len(lead) - 1):
+            apart = np.bitwise_count(fp[lead[a + 1:]] ^ fp[lead[a]])
+            for b in (a + 1 + np.nonzero(apart <= 3 * max_bits)[0]).tolist():
+                if find(leaders[a]) == find(leaders[b]):
+                    continue
+                few, many = sorted((own[a], own[b]), key=len)
+                for x in few.tolist():
+                    hit = near(x, many)
+                    if len(hit):
+                        join(x, int(hit[0]))
+                        break
+        return True
+
+    def by_table(group: np.ndarray, key: np.ndarray) -> None:
+        """Links points of equal key; ``group`` is sorted by it and no key has more than GROUP points."""
+        placed, since = np.empty(n, np.int64), len(group) + 1
+        for step in range(1, GROUP):
+            at = np.nonzero(key[step:] == key[:-step])[0]
+            if not len(at):
+                return
+            if since > len(group):            # points that are known to be connected need no further look
+                placed[group], since = [find(x) for x in group.tolist()], 0
+            i, j = group[at], group[at + step]
+            apart = placed[i] != placed[j]
+            i, j = i[apart], j[apart]
+            for column in columns:
+                close = np.abs(column[i] - column[j]) <= max_bits
+                i, j = i[close], j[close]
+            linked = np.bitwise_count(fp[i] ^ fp[j]) <= max_bits
+            since += int(linked.sum())
+            for x, y in zip(i[linked].tolist(), j[linked].tolist()):
+                join(x, y)
+
+    columns = np.ascontiguousarray(table.T)
+    work = [np.arange(n)]
+    while work:
+        group = work.pop()
+        if by_leaders(group) or len({find(x) for x in group.tolist()}) == 1:
+            continue
+        varying = int(np.bitwise_or.reduce(fp[group] ^ fp[group[0]]))
+        bits = [b for b in range(64) if varying >> b & 1]
+        for first, width in _blocks(0, len(bits), max_bits + 1):
+            key = fp[group] & np.uint64(_bits((b, 1) for b in bits[first:first + width]))
+            order = np.argsort(key, kind="stable")
+            key, dealt = key[order], group[order]
+            size = np.diff(np.nonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))[0])
+            small = np.repeat(size <= GROUP, size)
+            by_table(dealt[small], key[small])
+            ends = np.cumsum(size)
+            work.extend(dealt[ends[k] - size[k]:ends[k]] for k in np.nonzero(size > GROUP)[0].tolist())
     return links
 
 

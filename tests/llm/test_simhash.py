@@ -149,3 +149,33 @@ def test_no_deal_of_any_level_is_compared_while_it_is_hot(monkeypatch):
         x, y = find(a), find(b)
         root[max(x, y)] = min(x, y)
     assert len({find(x) for x in root}) == 1
+
+
+def test_wide_deals_are_cut_and_keep_all_links(monkeypatch):
+    """Deals of more leaders than are compared at once, loose and dense, against all pairs; with groups that are cut again too."""
+    rng = np.random.default_rng(9)
+    open_bits = ~np.uint64((1 << 21) - 1)
+
+    def flipped(fp, times):
+        for _ in range(times):
+            fp = fp ^ (np.uint64(1) << rng.integers(21, 64, len(fp), dtype=np.uint64))
+        return fp
+    centers = rng.integers(0, 1 << 64, size=40, dtype=np.uint64)
+    deals = [rng.integers(0, 1 << 64, size=900, dtype=np.uint64), flipped(centers[rng.integers(0, 40, 900)], 4),
+             flipped(centers[rng.integers(0, 3, 900)], 7), flipped(np.repeat(centers[:1], 900), 10)]
+    for group in (sh.GROUP, 20):
+        monkeypatch.setattr(sh, "GROUP", group)
+        for deal in deals:
+            fp = np.unique(deal & open_bits)
+            links = sh.link_deal(fp, sh.pivot_table(fp), 4)
+            root = list(range(len(fp)))
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+            for i, j in links:
+                assert int(fp[i] ^ fp[j]).bit_count() <= 4 and find(i) != find(j)
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+            assert [find(i) for i in range(len(fp))] == brute_components([int(x) for x in fp])
