@@ -66,6 +66,12 @@ _LISTS = frozenset(
     "newsletter sidebar sidebars rail widget widgets comment comments reply replies respond disqus discussion related recommended "
     "recommendations".split())
 _ENTRIES = frozenset("comment comments reply replies card cards teaser teasers".split())     # articles of such a box
+# Words that go with them in the name of such a box.  Within an article a name with any other word is the author's (related-work).
+_BOX_WORDS = frozenset(
+    "area articles author avatar bar block body bottom box button buttons card cards center column component container content count cta "
+    "date desktop email entry facebook feed fixed form google group header heading icon icons inline inner item items js label large "
+    "leaderboard left link links list main media meta mobile module name next outer panel post posts prev previous reading right row "
+    "section slot small sticky stories story text thread title to tools top twitter unit videos whatsapp wrap wrapper".split())
 _HAS = re.compile(r"(?<!\S)(?:has|with|without|no)[-_]\S*")           # classes that say what is inside or missing
 # An open element that a start tag ends, up to the nearest of the elements that hold it.
 _ENDS = {"li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)),
@@ -98,6 +104,12 @@ def _hash(parent: int, *parts: str) -> int:
     return xxhash.xxh64_intdigest("\x00".join(parts).encode("utf-8", "surrogatepass"), parent & (1 << 64) - 1)
 
 
+def _names_box(name: str) -> bool:
+    """Whether a class or id names what is not the article, with no word beside that a box would not have."""
+    words = {w.lower() for w in _WORDS.findall(name)}
+    return not words.isdisjoint(_SKIPPED_WORDS) and words <= _SKIPPED_WORDS | _BOX_WORDS
+
+
 def parse(html: str) -> Page:
     """Elements and text blocks of a page; lenient about tags left open, stray ends and cut-off pages."""
     page = Page()
@@ -175,7 +187,8 @@ def parse(html: str) -> Page:
             kinds = found.get("class", "")
             marks = {w.lower() for k in ("class", "id") if k in found for w in _WORDS.findall(found[k])}
             never_here = found.get("role", "").lower() in _SKIPPED_ROLES
-            skip_here = not marks.isdisjoint(_SKIPPED_WORDS)
+            skip_here = not marks.isdisjoint(_SKIPPED_WORDS) and (
+                not main or any(_names_box(c) for k in ("class", "id") if k in found for c in found[k].split()))
         if name in ("html", "body") or name in _MAIN and "comment" not in marks and "comments" not in marks:
             never_here = skip_here = False                     # a page's own classes name its kind, not what it holds
         if name in _SKIPPED or not main and name == "header":

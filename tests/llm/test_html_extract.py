@@ -142,3 +142,15 @@ def test_tags_left_open_cost_linear_time(left_open, then):
         return time.process_time() - began
     took(1000)
     assert min(took(20_000) for _ in range(2)) < 40 * max(0.005, min(took(2000) for _ in range(3)))
+
+
+WITHIN = [("discussion-guide", True), ("related-work", True), ("search-algorithm", True), ("menuPlanning", True), ("has-comments", True),
+          ("related-work ad", False), ("ad", False), ("ad-box", False), ("comment-list", False), ("relatedPosts", False),
+          ("sponsored-content wide", False), ("share-buttons", False), ("newsletter_signup", False), ("widget-12", False), ("disqus_thread", False)]
+
+
+@pytest.mark.parametrize("name,kept", WITHIN)
+@pytest.mark.parametrize("attr", ["class", "id"])
+def test_a_listed_word_within_an_article_skips_only_a_box(name, kept, attr):
+    html = f"<article><p>a</p><div {attr}='{name}'><p>b</p></div><p>c</p></article>"
+    assert he.remaining_text(he.parse(html), set()) == ("a\nb\nc" if kept else "a\nc")
