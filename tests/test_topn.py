@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,3 +68,36 @@ def test_a_model_lists_for_every_user_what_it_lists_for_one(spark):
         want = [(r["rank"], r["item_id"], r["name"], round(r["prediction"], 9)) for r in one.collect()]
         got = top.where(F.col("user_id") == user).orderBy("rank").collect()
         assert [(r["rank"], r["item_id"], r["name"], round(r["prediction"], 9)) for r in got] == want
+
+
+def test_lists_do_not_grow_with_the_number_of_cells(spark, monkeypatch):
+    rng = random.Random(9)
+    users = [(u, [rng.randint(-9, 9) for _ in range(4)]) for u in range(60)]
+    items = [(i, [rng.randint(-9, 9) for _ in range(4)]) for i in range(2000)]
+    rated = {(rng.randrange(60), rng.randrange(2000)) for _ in range(3000)}
+    listed, real = spark.sparkContext.accumulator(0), topn.best_of_cell
+
+    def counted(*args):
+        out = real(*args)
+        listed.add(len(out[0]))
+        return out
+
+    monkeypatch.setattr(topn, "best_of_cell", counted)
+    got = topn.top_unrated(*frames(spark, (users, items, rated)), n=5, block=50)
+    assert sorted(map(tuple, got.collect())) == everything(users, items, rated, 5)
+    assert listed.value < 60 * 5 * 8          # 40 cells of items a user, of which each listed 5
+
+
+def test_a_cell_keeps_what_comes_before_the_floor():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        users, items = rng.permutation(50)[:12], rng.permutation(90)[:30]
+        x, y = rng.integers(-3, 4, (12, 3)).astype(float), rng.integers(-3, 4, (30, 3)).astype(float)
+        floor = rng.choice([-np.inf, -2.0, 0.0, 3.0, 9.0], 12), rng.integers(0, 90, 12)
+        rated = {(users[rng.integers(12)], items[rng.integers(30)]) for _ in range(40)}
+        got = topn.best_of_cell(users, x, floor, items, y, tuple(map(np.array, zip(*rated))), 4, 8.0)
+        want = []
+        for u, a, f, last in zip(users, x, *floor):
+            scored = sorted((-(a @ b), i) for i, b in zip(items, y) if (u, i) not in rated and a @ b < 8.0)
+            want += [(u, i, -s) for s, i in [z for z in scored if z < (-f, last)][:4]]
+        assert sorted(zip(*got)) == sorted(want)
