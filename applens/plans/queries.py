@@ -354,17 +354,22 @@ def q_stream_rejects(spark, sf):
 
 
 def q_routed_appends(spark, sf):
-    """Click lines appended by two batches at once, gzip, both with lines of every day, and one of them run again."""
+    """Click lines appended by two batches at once, gzip, both with lines of every day, and one of them run again.
+
+    The lines are parsed once and stored for the batches: a filter is not taken below the parse, so each batch
+    would parse those of the others too.
+    """
     from concurrent.futures import ThreadPoolExecutor
 
     def write(path):
-        lines = _clicks(spark, sf).where("ok").select("event_id", "route", "line")
+        _clicks(spark, sf).where("ok").select("event_id", "route", "line").write.parquet(f"{path}/parsed")
+        lines = spark.read.parquet(f"{path}/parsed")
         lots = [lines.where(F.col("event_id") % 3 == 0), lines.where(F.col("event_id") % 3 != 0)]
         with ThreadPoolExecutor(2) as pool:
-            list(pool.map(lambda at: append_batch(lots[at], path, f"lot{at}", compression="gzip"), (0, 1)))
-        append_batch(lots[1], path, "lot1", compression="gzip")
+            list(pool.map(lambda at: append_batch(lots[at], f"{path}/out", f"lot{at}", compression="gzip"), (0, 1)))
+        append_batch(lots[1], f"{path}/out", "lot1", compression="gzip")
 
-    return _from_stored(spark, "routed-appends", write, lambda p: read_routed(spark, p))
+    return _from_stored(spark, "routed-appends", write, lambda p: read_routed(spark, f"{p}/out"))
 
 
 # -- ids ---------------------------------------------------------------------------

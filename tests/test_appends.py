@@ -91,3 +91,19 @@ def test_a_stream_killed_between_its_output_and_its_commit(spark, tmp_dir):
     forget(f"{checkpoint}/commits", f"{out}/_spark_metadata")
     run()
     assert _all(spark, out) == sorted(rows(batch))
+
+
+def test_the_appended_batches_parse_each_line_once(spark, monkeypatch):
+    from applens.plans import queries
+
+    parsed = spark.sparkContext.accumulator(0)
+
+    def parse(x):
+        parsed.add(1)
+        return x
+
+    once = F.udf(parse, "string").asNondeterministic()
+    lines = _lines(spark, "a").withColumn("event_id", F.substring_index("line", "-", -1).cast("int"))
+    monkeypatch.setattr(queries, "_clicks", lambda *_: lines.select("event_id", "route", once("line").alias("line")).withColumn("ok", F.col("line").isNotNull()))
+    assert sorted(rows(queries.q_routed_appends(spark, ""))) == sorted(rows(lines, "route", "line"))
+    assert parsed.value == 40
