@@ -21,16 +21,19 @@ GRID_THREE_WAY = {"rank": [8, 12], "reg": [0.01, 0.02, 0.1, 10.0], "iters": [10,
 GRID_TWO_WAY = {"rank": [8, 12], "reg": [0.01, 0.1, 10.0], "iters": [10, 20]}
 
 MAX_TOP = 10_000
+BLOCK_IDS = 64               # ids of a side, and its ratings, that a block of a fit takes before there are more blocks
+BLOCK_RATINGS = 8_000_000
 
 
 def make_als(rank: int = 10, max_iter: int = 10, reg: float = 0.01, seed: int = 42,
              user_col: str = "user_id", item_col: str = "item_id",
-             rating_col: str = "rating", blocks: int | None = None) -> ALS:
+             rating_col: str = "rating", blocks: int | tuple[int, int] | None = None) -> ALS:
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user_col,
               itemCol=item_col, ratingCol=rating_col, coldStartStrategy="nan",
               checkpointInterval=10)
     if blocks:
-        als = als.setNumUserBlocks(blocks).setNumItemBlocks(blocks)
+        users, items = blocks if isinstance(blocks, tuple) else (blocks, blocks)
+        als = als.setNumUserBlocks(users).setNumItemBlocks(items)
     return als
 
 
@@ -39,8 +42,19 @@ def default_blocks(training: DataFrame) -> int:
     return max(10, training.sparkSession.sparkContext.defaultParallelism)
 
 
-def fit(training: DataFrame, blocks: int | None = None, **kw) -> ALSModel:
-    """Fit ALS over ``blocks`` user and item blocks (see :func:`default_blocks`).
+def side_blocks(training: DataFrame, most: int | None = None) -> tuple[int, int]:
+    """(user blocks, item blocks) of a fit, at most ``most`` (see :func:`default_blocks`).
+
+    Each iteration sends every user's factors to all item blocks that hold one of its items, and the other way round, so
+    a side of few ids gets no more blocks than its ids and ratings need.
+    """
+    most = most or default_blocks(training)
+    n, users, items = training.agg(F.count(F.lit(1)), F.approx_count_distinct("user_id"), F.approx_count_distinct("item_id")).first()
+    return tuple(min(most, max(1, -(-ids // BLOCK_IDS), -(-n // BLOCK_RATINGS))) for ids in (users, items))
+
+
+def fit(training: DataFrame, blocks: int | tuple[int, int] | None = None, **kw) -> ALSModel:
+    """Fit ALS over ``blocks`` user and item blocks (see :func:`side_blocks`).
 
     Its factor lineage is checkpointed every 10 iterations into
     the shared checkpoint folder, so a lost executor costs at most the
@@ -48,7 +62,7 @@ def fit(training: DataFrame, blocks: int | None = None, **kw) -> ALSModel:
     from applens.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(training.sparkSession)
-    return make_als(blocks=blocks or default_blocks(training), **kw).fit(training)
+    return make_als(blocks=blocks or side_blocks(training), **kw).fit(training)
 
 
 def score(model: ALSModel, data: DataFrame, bound: float = 1000.0) -> DataFrame:
@@ -147,6 +161,8 @@ def grid_search(training: DataFrame, validation: DataFrame, grid: dict,
                 for iters in grid["iters"]]
     if cache:
         training, validation = training.cache(), validation.cache()
+    if not blocks and not trainer:
+        blocks = side_blocks(training)
 
     def run(place):
         rank, reg, iters = settings[place]

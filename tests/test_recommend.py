@@ -121,3 +121,16 @@ def test_registered_queries_return_what_the_fit_predicts(spark):
     assert all(abs(r["prediction"]) < 1000 for r in told.collect())
     keys = ["user_id", "item_id", "rating"]
     assert sorted(map(tuple, told.select(keys).collect())) == sorted(map(tuple, queries["als_predict"](spark, sf).select(keys).collect()))
+
+
+def test_a_side_of_few_ids_gets_few_blocks(spark, monkeypatch):
+    ratings = spark.range(12_000).selectExpr("CAST(id % 3000 AS INT) AS user_id", "CAST(id % 100 AS INT) AS item_id", "CAST(id % 5 AS DOUBLE) AS rating")
+    assert recommend.side_blocks(ratings, 12) == (12, 2)         # users' factors go to 2 blocks of items, not to 12
+    assert recommend.side_blocks(ratings.limit(0), 12) == (1, 1)
+    made, real = [], recommend.make_als
+    monkeypatch.setattr(recommend, "make_als", lambda **kw: made.append(kw["blocks"]) or real(**kw))
+    model = recommend.fit(ratings, rank=2, max_iter=1)
+    recommend.grid_search(ratings, ratings, {"rank": [2], "reg": [0.1], "iters": [1, 2]})
+    assert made == [(10, 2)] * 3 and model.userFactors.count() == 3000 and model.itemFactors.count() == 100
+    monkeypatch.setattr(recommend, "BLOCK_RATINGS", 2_000)
+    assert recommend.side_blocks(ratings, 12) == (12, 6)         # few items of many ratings are still many tasks
