@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark import StorageLevel
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -89,7 +90,25 @@ def _rmse_of_all(scored: DataFrame) -> float | None:
 
 def rmse_over_all(model, data: DataFrame) -> float | None:
     """RMSE with the number of ALL rows as denominator (unscored rows count); None if none was scored."""
-    return _rmse_of_all(model.transform(data))
+    with sized(model):
+        return _rmse_of_all(model.transform(data))
+
+
+@contextmanager
+def sized(model) -> Iterator[None]:
+    """Inside the block the planner knows how large the factors of ``model`` are.
+
+    What a fit returns has no size, so each scoring join would shuffle the rows to be scored; of factors that are counted
+    and kept, the joins broadcast a side that is below the session's threshold and leave the rows where they are.
+    """
+    sides = [model.userFactors, model.itemFactors] if isinstance(model, ALSModel) else []
+    try:
+        for side in sides:
+            side.persist(StorageLevel.MEMORY_AND_DISK).count()
+        yield
+    finally:
+        for side in sides:
+            side.unpersist()
 
 
 @dataclass
@@ -143,9 +162,10 @@ def grid_search(training: DataFrame, validation: DataFrame, grid: dict,
                 keep: str | None = None, cache: bool = True) -> GridResult:
     """rank -> regParam -> maxIter order; first strictly smaller RMSE wins.
 
-    ``parallelism`` > 1 submits that many fits at once from driver threads
+    ``parallelism`` > 1 keeps that many fits running from driver threads
     (each fit is its own distributed job; a large cluster runs them side by
-    side); the winner is still chosen in grid order.  Only the best model so far is
+    side), those of most iterations first, so that none waits for a longer one beside it; the winner
+    is still the first in grid order.  Only the best model so far is
     kept: Spark releases the factors of the others once nothing refers to them.
     Inputs are cached for the search and released after, unless ``cache`` is off because they are parts of
     what :func:`held` keeps.  A setting that scored nothing never wins; raises if no
@@ -164,29 +184,32 @@ def grid_search(training: DataFrame, validation: DataFrame, grid: dict,
     if not blocks and not trainer:
         blocks = side_blocks(training)
 
+    best, winner, lock = None, None, Lock()
+
     def run(place):
+        nonlocal best, winner
         rank, reg, iters = settings[place]
         model = (trainer or fit)(training, rank=rank, reg=reg, max_iter=iters, seed=seed, blocks=blocks)
-        if keep:
-            at = f"{keep}/trial={place}"
-            model.transform(validation).select("user_id", "item_id", "rating", "prediction").write.mode("overwrite").parquet(at)
-            stored = training.sparkSession.read.parquet(at)
-            return model, _rmse_of_all(stored) if all_rows_denominator else rmse(stored.where(F.col("prediction") < 1000.0))
-        r = (rmse_over_all(model, validation) if all_rows_denominator
-             else rmse(score(model, validation)))
-        return model, r
-
-    best, trials = None, []
+        with sized(model):
+            if keep:
+                at = f"{keep}/trial={place}"
+                model.transform(validation).select("user_id", "item_id", "rating", "prediction").write.mode("overwrite").parquet(at)
+                stored = training.sparkSession.read.parquet(at)
+                r = _rmse_of_all(stored) if all_rows_denominator else rmse(stored.where(F.col("prediction") < 1000.0))
+            else:
+                r = _rmse_of_all(model.transform(validation)) if all_rows_denominator else rmse(score(model, validation))
+        with lock:
+            if r is not None and r == r and (best is None or (r, place) < (best.rmse, winner)):
+                best, winner = GridResult(model, rank, reg, iters, r, []), place
+        return r
+
+    order = sorted(range(len(settings)), key=lambda place: -settings[place][2] if parallelism > 1 else place)
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            for at in range(0, len(settings), parallelism):
-                here = range(at, min(at + parallelism, len(settings)))
-                for (rank, reg, iters), (model, r) in zip(settings[at:], pool.map(run, here)):
-                    trials.append((rank, reg, iters, r))
-                    if r is not None and r == r and (best is None or r < best.rmse):
-                        best = GridResult(model, rank, reg, iters, r, trials)
+            errors = dict(zip(order, pool.map(run, order)))
         if best is None:
             raise ValueError("no grid setting produced a finite validation RMSE")
+        best.trials = [(*setting, errors[place]) for place, setting in enumerate(settings)]
         return best
     finally:
         if cache:

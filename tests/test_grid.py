@@ -2,6 +2,7 @@
 
 import os
 import random
+import threading
 
 import duckdb
 import pytest
@@ -76,3 +77,46 @@ def test_a_saved_model_scores_as_before(spark, ratings, tmp_dir):
     again = recommend.ALSModel.load(f"{tmp_dir}/model")
     a, b = (recommend.score(m, validation).select("user_id", "item_id", "rating", "prediction") for m in (model, again))
     assert 0 < a.count() < validation.count() and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_no_fit_waits_for_a_longer_one_beside_it(spark, ratings):
+    training, validation = rt.split_two_way(ratings)
+    started, last = [], threading.Event()
+
+    def trainer(t, **kw):
+        started.append((kw["rank"], kw["max_iter"]))
+        if len(started) == 6:
+            last.set()
+        if started[0] == (kw["rank"], kw["max_iter"]):
+            assert last.wait(60), "the others wait for the first"
+        return recommend.fit_item_bias(t, reg=0.1 * kw["rank"])
+
+    res = recommend.grid_search(training, validation, {"rank": [3, 2], "reg": [0.1], "iters": [1, 4, 2]}, parallelism=2, trainer=trainer)
+    assert {i for _, i in started[:2]} == {4}                      # longest first
+    assert [t[:3] for t in res.trials] == [(k, 0.1, i) for k in (3, 2) for i in (1, 4, 2)]
+    errors = [t[3] for t in res.trials]
+    assert len(set(errors[:3])) == 1 == len(set(errors[3:])) and errors[0] != errors[3]
+    least = errors.index(min(errors))                              # equal errors: the first in grid order wins, whichever ended first
+    assert (res.rank, res.reg, res.iters, res.rmse) == (*res.trials[least][:3], min(errors))
+
+
+def test_scored_rows_stay_where_they_are(spark, ratings, monkeypatch, tmp_dir):
+    training, validation = rt.split_two_way(ratings)
+    plans, models, real = [], [], recommend.ALSModel.transform
+
+    def transform(model, data):
+        out = real(model, data)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        models.append(model)
+        return out
+
+    model = recommend.fit(training, rank=2, max_iter=2)
+    want = sorted(map(tuple, model.transform(validation).select("user_id", "item_id", "prediction").fillna(-1).collect()))
+    monkeypatch.setattr(recommend.ALSModel, "transform", transform)
+    res = recommend.grid_search(training, validation, {"rank": [2], "reg": [0.01], "iters": [2]}, keep=f"{tmp_dir}/kept", cache=False)
+    recommend.grid_search(training, validation, {"rank": [2], "reg": [0.01], "iters": [2]}, cache=False)
+    recommend.rmse_over_all(res.model, validation)
+    assert len(plans) == 3 and all(p.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in p for p in plans)
+    got = spark.read.parquet(f"{tmp_dir}/kept/trial=0").select("user_id", "item_id", "prediction").fillna(-1).collect()
+    assert sorted(map(tuple, got)) == want
+    assert not any(side.storageLevel.useMemory for m in models for side in (m.userFactors, m.itemFactors))
