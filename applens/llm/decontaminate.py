@@ -8,13 +8,17 @@ compared token by token: the best run of agreeing tokens, with few enough
 substitutions, decides.
 
 Documents stay where they lie: positions are generated, hashed and looked up in one
-pass, and only hits are shuffled.  The benchmark is broadcast if its counted tokens and
-bytes are within bounds; for a larger one the hashes are shuffled instead, without their documents, and
-those with a hit are fetched again.
+pass, and only diagonals with a hit are shuffled, once each, with the document's tokens beside the item: a hit
+never carries the whole document, of which a task would hold a copy for each hit.  The benchmark is broadcast if
+its counted tokens and bytes are within bounds; for a larger one the hashes are shuffled instead, without their
+documents, and those with a hit are fetched again.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,12 +69,23 @@ def needed(n_tokens: Column) -> Column:
     return F.least(F.lit(MIN_TOKENS), F.ceil(n_tokens * MIN_SHARE).cast("int"))
 
 
-def _agreeing(words: Column, item: Column, first: Column) -> Column:
-    """Agreeing tokens of the best run, with the item's first token at ``first`` (maybe before the text)."""
-    skip = F.greatest(F.lit(0), -first)
-    doc_part = F.slice(words, F.greatest(first, F.lit(0)) + 1, F.size(item) - skip)
-    item_part = F.slice(item, skip + 1, F.size(doc_part))
-    return _best_run(F.zip_with(doc_part, item_part, lambda a, b: a == b))
+def _goes_on(words: Column, pos: Column, item: Column, at: Column, number: Column, masks) -> Column:
+    """Whether the hit's mask also fits one token earlier, so that an earlier hit stands for the same diagonal."""
+    def fits(mask):
+        return reduce(and_, (F.get(words, pos - 1 + i) == F.get(item, at - 1 + i) for i, c in enumerate(mask) if c == "1"))
+
+    return (pos > 0) & (at > 0) & reduce(or_, ((number == i) & fits(m) for i, m in enumerate(masks)))
+
+
+def _beside(words: Column, n_item: Column, first: Column) -> Column:
+    """The document's tokens beside an item whose first token is at ``first`` (maybe before the text)."""
+    return F.slice(words, F.greatest(first, F.lit(0)) + 1, n_item - F.greatest(F.lit(0), -first))
+
+
+def _agreeing(beside: Column, item: Column, first: Column) -> Column:
+    """Agreeing tokens of the best run between an item and what :func:`_beside` gives for it."""
+    item_part = F.slice(item, F.greatest(F.lit(0), -first) + 1, F.size(beside))
+    return _best_run(F.zip_with(beside, item_part, lambda a, b: a == b))
 
 
 def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, masks=MASKS, id_col: str = "doc_id", text_col: str = "text",
@@ -82,27 +97,35 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, masks=MASKS, id_co
     match nothing; null and empty texts on either side match nothing.  Repeated
     rows give one row per pair of ids; other columns are not read; without documents or items there are no rows.
     """
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), tokens(F.col(item_text_col).cast("string")).alias("item"))
-    seeds = (items.select("item_id", "item", F.posexplode("item").alias("at", "_"))
-             .select("item_id", "at", F.explode(_seeds(F.col("item"), F.col("at"), masks)).alias("seed"))
+    items = (benchmark.select(F.col(item_col).cast("bigint").alias("item_id"), tokens(F.col(item_text_col).cast("string")).alias("item"))
+             .withColumn("item_key", F.xxhash64("item_id", "item")))
+    seeds = (items.select("item_key", "item", F.posexplode("item").alias("at", "_"))
+             .select("item_key", F.size("item").alias("n_item"), "at", F.explode(_seeds(F.col("item"), F.col("at"), masks)).alias("seed"))
              .filter("seed IS NOT NULL"))
     size = items.agg(F.sum(F.size("item")).alias("n"), F.sum(F.octet_length(F.concat_ws("", "item"))).alias("bytes")).first()
     small = (size["n"] or 0) <= broadcast_tokens and (size["bytes"] or 0) <= broadcast_bytes
 
     did, text = F.col(id_col).cast("bigint"), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = docs.select(did.alias("doc_id"), F.xxhash64(did, text).alias("key"), tokens(text).alias("words"))
+    first = (F.col("pos") - F.col("at")).alias("first")
     if small:
+        # all of this is one generated loop into the aggregate behind distinct(), which can spill; rows that leave such a
+        # loop for anything else, like a lambda, wait in memory until the document is through
         hits = (words.select("doc_id", "words", F.posexplode("words").alias("pos", "_"))
-                .select("doc_id", "words", "pos", F.explode(_seeds(F.col("words"), F.col("pos"), masks)).alias("seed"))
-                .join(F.broadcast(seeds), "seed").select("doc_id", "words", "item_id", (F.col("pos") - F.col("at")).alias("first"))
-                .join(F.broadcast(items), "item_id"))
+                .select("doc_id", "words", "pos", F.posexplode(_seeds(F.col("words"), F.col("pos"), masks)).alias("mask", "seed"))
+                .join(F.broadcast(seeds.drop("n_item")), "seed").join(F.broadcast(items.drop("item_id")), "item_key")
+                .filter(~_goes_on(F.col("words"), F.col("pos"), F.col("item"), F.col("at"), F.col("mask"), masks))
+                .select("doc_id", "item_key", first, _beside(F.col("words"), F.size("item"), first).alias("beside"))
+                .distinct().join(F.broadcast(items), "item_key"))
     else:
         hits = (words.select("key", "words", F.posexplode("words").alias("pos", "_"))
                 .select("key", "pos", F.explode(_seeds(F.col("words"), F.col("pos"), masks)).alias("seed"))
-                .join(seeds, "seed").select("key", "item_id", (F.col("pos") - F.col("at")).alias("first")).distinct()
-                .join(words, "key").join(items, "item_id"))
+                .join(seeds, "seed").select("key", "item_key", "n_item", first).distinct()
+                .join(words, "key")
+                .select("doc_id", "item_key", "first", _beside(F.col("words"), F.col("n_item"), F.col("first")).alias("beside"))
+                .join(items, "item_key"))
     found = hits.select("doc_id", "item_id", F.size("item").alias("n_item"),
-                        _agreeing(F.col("words"), F.col("item"), F.col("first")).alias("n_matched"))
+                        _agreeing(F.col("beside"), F.col("item"), F.col("first")).alias("n_matched"))
     return (found.filter(F.col("n_matched") >= needed(F.col("n_item")))
             .groupBy("doc_id", "item_id").agg(F.max("n_matched").alias("n_matched")))
 

@@ -98,3 +98,26 @@ def test_passages_with_replaced_tokens_are_mostly_found(spark, docs):
         rows += [(10_000 + i, " ".join(f"t{rng.randint(0, 3000)}" for _ in range(200))) for i in range(300)]
         got = {r["doc_id"] for r in dc.benchmark_overlaps(docs(rows), bench).collect()}
         assert len([d for d in got if d < 10_000]) >= least * 300 and not [d for d in got if d >= 10_000]
+
+
+def test_a_document_of_many_passages_keeps_no_copy_of_itself_for_each_hit(spark, docs):
+    """20,000 words of items one after another: 54,000 hits, which with all the words each are some 15 GB in one task."""
+    rng = random.Random(5)
+    items = [(i, " ".join(f"t{rng.randint(0, 3000)}" for _ in range(40))) for i in range(50)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    text = " ".join(t for _ in range(10) for _, t in rng.sample(items, 50))
+    got = {(r[0], r[1]): r[2] for r in dc.benchmark_overlaps(docs([(1, text), (2, "clean text")]), bench).collect()}
+    assert got == {(1, i): 40 for i, _ in items}
+
+
+def test_texts_under_one_item_id_are_judged_each_by_itself_on_both_joins(spark, docs):
+    rng = random.Random(6)
+    text = lambda n: " ".join(f"t{rng.randint(0, 3000)}" for _ in range(n))
+    items = [(1, text(40)), (1, text(12)), (1, None), (2, text(30))]
+    items += [(3, items[0][1]), (3, items[0][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(10, "a " + items[0][1] + " b"), (11, items[1][1]), (12, items[1][1] + " " + items[3][1]), (13, "a " * 50),
+            (14, " ".join(items[0][1].split()[5:25])), (14, items[3][1])]
+    for bound in (dc.BROADCAST_TOKENS, 0):
+        got = {(r[0], r[1]): r[2] for r in dc.benchmark_overlaps(docs(rows), bench, broadcast_tokens=bound).collect()}
+        assert got == brute(rows, items)
